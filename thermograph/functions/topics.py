@@ -48,18 +48,26 @@ def config_reply_topic(sensor_id: Column | str, conf_prefix: str = CONF_PREFIX)
     return F.concat(F.lit(conf_prefix + "/"), _col(sensor_id))
 
 
+def under(topic: Column | str, prefix: str) -> Column:
+    """Multi-level wildcard ``<prefix>/#``: the prefix level itself or any
+    topic below it."""
+    t = _col(topic)
+    base = prefix.rstrip("/")
+    return (t == F.lit(base)) | t.startswith(base + "/")
+
+
 def topic_matches(topic: Column | str, prefix: str = DATA_PREFIX,
                   location: str | None = None) -> Column:
     """Subscription filter: one exact location, or everything under prefix."""
     t = _col(topic)
     if location is None:
-        return t.startswith(prefix)
-    return t == F.lit(prefix + location.replace(".", "/"))
+        return under(t, prefix)
+    return t == F.lit(prefix.rstrip("/") + "/" + location.replace(".", "/"))
 
 
 def route_direction(topic: Column | str, data_prefix: str = DATA_PREFIX,
                     conf_prefix: str = CONF_PREFIX) -> Column:
-    """Bridge direction of a topic: data topics go out, conf topics both ways."""
-    t = _col(topic)
-    return (F.when(t.startswith(data_prefix), F.lit("out"))
-            .when(t.startswith(conf_prefix + "/"), F.lit("both")))
+    """Bridge direction of a topic: data topics go out, conf topics both ways,
+    anything else is not bridged (null)."""
+    return (F.when(under(topic, data_prefix), F.lit("out"))
+            .when(under(topic, conf_prefix), F.lit("both")))

@@ -18,8 +18,18 @@ from thermograph.operators.enrich import enrich, enrich_calendar, enrich_locatio
 from thermograph.operators.months import max_month, monthly_diff_means
 from thermograph.operators.moving import moving_average
 from thermograph.operators.readings import dedupe_readings
+from thermograph.operators import actuators as act
+from thermograph.operators import telemetry as tel
+from thermograph.operators import words
+from thermograph.constants import CONF_PREFIX, DATA_PREFIX
+from thermograph.functions.topics import location_to_topic, sensor_location, topic_to_location
 from thermograph.plans import oracle
+from thermograph.sources.messages import telemetry_messages
 from thermograph.sources.readings import sensor_readings
+from thermograph.sources.text import documents
+
+# Location used by the single-location subscription query.
+EXACT_LOCATION = "B.1.0.1"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +84,105 @@ def q_dedupe_readings(spark, sf_dir):
     return dedupe_readings(sensor_readings(spark, sf_dir))
 
 
+def _messages(spark, sf_dir):
+    return telemetry_messages(sensor_readings(spark, sf_dir, with_sensor=True))
+
+
+def _mixed(spark, sf_dir):
+    """Data messages, configuration requests and replies in one stream."""
+    r = sensor_readings(spark, sf_dir, with_sensor=True)
+    data = r.select("event_id", F.lit("data").alias("kind"),
+                    location_to_topic("location").alias("topic"))
+    req = r.select("event_id", F.lit("request").alias("kind"), F.lit(CONF_PREFIX).alias("topic"))
+    rep = r.select("event_id", F.lit("reply").alias("kind"),
+                   F.concat(F.lit(CONF_PREFIX + "/"), F.col("sensor_id")).alias("topic"))
+    return data.unionByName(req).unionByName(rep)
+
+
+def q_word_count(spark, sf_dir):
+    return words.word_count(documents(spark, sf_dir))
+
+
+def q_word_count_per_doc(spark, sf_dir):
+    return words.word_count_per_doc(documents(spark, sf_dir))
+
+
+def q_distinct_words_per_doc(spark, sf_dir):
+    return words.distinct_words_per_doc(documents(spark, sf_dir))
+
+
+def q_corpus_sizes(spark, sf_dir):
+    return words.corpus_sizes(documents(spark, sf_dir))
+
+
+def q_letter_count(spark, sf_dir):
+    return words.letter_count(documents(spark, sf_dir))
+
+
+def q_parse_telemetry(spark, sf_dir):
+    return tel.parse_telemetry(_messages(spark, sf_dir))
+
+
+def q_topic_to_location(spark, sf_dir):
+    m = _messages(spark, sf_dir)
+    return m.select("event_id", "topic", topic_to_location("topic").alias("location"))
+
+
+def q_location_to_topic(spark, sf_dir):
+    r = sensor_readings(spark, sf_dir)
+    return r.select("event_id", "location", location_to_topic("location").alias("topic"))
+
+
+def q_sensor_location(spark, sf_dir):
+    r = sensor_readings(spark, sf_dir, with_sensor=True)
+    return r.select("event_id", "sensor_id", sensor_location("sensor_id").alias("location"))
+
+
+def q_config_replies(spark, sf_dir):
+    req = sensor_readings(spark, sf_dir, with_sensor=True).select("sensor_id").distinct()
+    return tel.config_replies(req)
+
+
+def q_topic_filter_exact(spark, sf_dir):
+    return tel.filter_topics(_mixed(spark, sf_dir), DATA_PREFIX, EXACT_LOCATION)
+
+
+def q_topic_filter_wildcard(spark, sf_dir):
+    return tel.filter_topics(_mixed(spark, sf_dir), DATA_PREFIX)
+
+
+def q_route_topics(spark, sf_dir):
+    return tel.route_topics(_mixed(spark, sf_dir))
+
+
+def q_valid_location(spark, sf_dir):
+    r = sensor_readings(spark, sf_dir)
+    cand = r.select("event_id", F.explode(F.array(
+        F.struct(F.lit(0).alias("variant"), F.col("location").alias("candidate")),
+        F.struct(F.lit(1).alias("variant"), F.lower("location").alias("candidate")),
+        F.struct(F.lit(2).alias("variant"),
+                 F.replace("location", F.lit("."), F.lit("/")).alias("candidate")))).alias("c"))
+    return tel.check_locations(cand.select("event_id", "c.variant", "c.candidate"), "candidate")
+
+
+def q_telemetry_with_location(spark, sf_dir):
+    parsed = tel.parse_telemetry(_messages(spark, sf_dir))
+    req = sensor_readings(spark, sf_dir, with_sensor=True).select("sensor_id")
+    return tel.telemetry_with_location(parsed, tel.config_replies(req))
+
+
+def q_transitions(metric, spark, sf_dir):
+    return act.actuator_transitions(sensor_readings(spark, sf_dir), metric)
+
+
+def q_actuator_events(spark, sf_dir):
+    return act.actuator_events(sensor_readings(spark, sf_dir))
+
+
+def q_actuator_state(spark, sf_dir):
+    return act.actuator_states(sensor_readings(spark, sf_dir))
+
+
 def _register() -> tuple[dict[str, Query], dict[str, str]]:
     qs: dict[str, Query] = {}
     sql: dict[str, str] = {}
@@ -96,6 +205,25 @@ def _register() -> tuple[dict[str, Query], dict[str, str]]:
         for lv in LEVELS:
             add(f"moving_avg_{hz}_{lv}", partial(q_moving, hz, lv), oracle.moving_avg(hz, lv))
     add("dedupe_readings", q_dedupe_readings, oracle.dedupe_readings())
+    add("word_count_per_doc", q_word_count_per_doc, oracle.word_count_per_doc())
+    add("word_count", q_word_count, oracle.word_count())
+    add("distinct_words_per_doc", q_distinct_words_per_doc, oracle.distinct_words_per_doc())
+    add("corpus_sizes", q_corpus_sizes, oracle.corpus_sizes())
+    add("letter_count", q_letter_count, oracle.letter_count())
+    add("parse_telemetry", q_parse_telemetry, oracle.parse_telemetry())
+    add("topic_to_location", q_topic_to_location, oracle.topic_to_location())
+    add("location_to_topic", q_location_to_topic, oracle.location_to_topic())
+    add("sensor_location", q_sensor_location, oracle.sensor_location())
+    add("config_replies", q_config_replies, oracle.config_replies())
+    add("topic_filter_exact", q_topic_filter_exact, oracle.topic_filter_exact(EXACT_LOCATION))
+    add("topic_filter_wildcard", q_topic_filter_wildcard, oracle.topic_filter_wildcard())
+    add("route_topics", q_route_topics, oracle.route_topics())
+    add("valid_location", q_valid_location, oracle.valid_location())
+    add("telemetry_with_location", q_telemetry_with_location, oracle.telemetry_with_location())
+    add("temperature_transitions", partial(q_transitions, "temperature"), oracle.transitions("temperature"))
+    add("humidity_transitions", partial(q_transitions, "humidity"), oracle.transitions("humidity"))
+    add("actuator_events", q_actuator_events, oracle.actuator_events())
+    add("actuator_state", q_actuator_state, oracle.actuator_state())
     return qs, sql
 
 

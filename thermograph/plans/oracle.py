@@ -190,3 +190,165 @@ SELECT event_id,
        CAST({half_even(cents('temperature'), '10')} AS DOUBLE) / 10.0 AS temperature_1dp,
        CAST({half_even(cents('humidity'), '10')} AS DOUBLE) / 10.0 AS humidity_1dp
 FROM sensors"""
+
+
+# --- words ------------------------------------------------------------------
+SPLIT_SQL = r"string_split_regex(regexp_replace(text, '[ \n]\z', ''), '[ \n]')"
+TOKENS_CTE = f"toks AS (SELECT doc_id, unnest({SPLIT_SQL}) AS word FROM documents)"
+
+
+def word_count() -> str:
+    return f"WITH {TOKENS_CTE}\nSELECT word, count(*) AS n FROM toks GROUP BY word"
+
+
+def word_count_per_doc() -> str:
+    return f"WITH {TOKENS_CTE}\nSELECT doc_id, word, count(*) AS n FROM toks GROUP BY doc_id, word"
+
+
+def distinct_words_per_doc() -> str:
+    return f"SELECT doc_id, CAST(len(list_distinct({SPLIT_SQL})) AS BIGINT) AS n_words FROM documents"
+
+
+def corpus_sizes() -> str:
+    return f"""WITH d AS ({distinct_words_per_doc()})
+SELECT count(*) AS n_docs, max(n_words) AS max_distinct, CAST(sum(n_words) AS BIGINT) AS sum_distinct FROM d"""
+
+
+def letter_count() -> str:
+    sums = ",\n       ".join(
+        f"CAST(coalesce(sum(length(text) - length(replace(text, '{c}', ''))), 0) AS BIGINT) AS {c}"
+        for c in LETTERS)
+    cols = ", ".join(LETTERS)
+    return f"""WITH s AS (SELECT {sums} FROM documents)
+SELECT letter, n FROM (UNPIVOT s ON {cols} INTO NAME letter VALUE n)"""
+
+
+# --- messages -----------------------------------------------------------------
+def _topic(loc: str) -> str:
+    return f"'{DATA_PREFIX}' || replace({loc}, '.', '/')"
+
+
+def _assigned(sensor_id: str) -> str:
+    d = f"replace({sensor_id}, '{SENSOR_ORG}-', '')"
+
+    def code(pos: int, codes: list[str]) -> str:
+        lst = "[" + ", ".join(f"'{c}'" for c in codes) + "]"
+        return f"{lst}[TRY_CAST(substr({d}, {pos}, 1) AS INTEGER) + 1]"
+
+    return (f"({code(1, NEIGHBORHOOD_CODES)} || '/' || {code(2, BUILDING_CODES)} || '/' || "
+            f"{code(3, FLOOR_CODES)} || '/' || CASE WHEN length({d}) >= 4 THEN substr({d}, 4, 1) END)")
+
+
+def parse_telemetry() -> str:
+    return f"""WITH {SENSORS_CTE}
+SELECT event_id, location, dateTime, temperature, humidity, sensor_id AS s_id,
+       CAST(event_id % 1048576 AS INTEGER) AS seq FROM sensors"""
+
+
+def topic_to_location() -> str:
+    return f"WITH {SENSORS_CTE}\nSELECT event_id, {_topic('location')} AS topic, location FROM sensors"
+
+
+def location_to_topic() -> str:
+    return f"WITH {SENSORS_CTE}\nSELECT event_id, location, {_topic('location')} AS topic FROM sensors"
+
+
+def sensor_location() -> str:
+    return f"WITH {SENSORS_CTE}\nSELECT event_id, sensor_id, {_assigned('sensor_id')} AS location FROM sensors"
+
+
+def config_replies() -> str:
+    return f"""WITH {SENSORS_CTE}
+SELECT sensor_id, '{CONF_PREFIX}/' || sensor_id AS topic, {_assigned('sensor_id')} AS location
+FROM (SELECT DISTINCT sensor_id FROM sensors)"""
+
+
+MIXED_CTE = f"""mixed AS (
+  SELECT event_id, 'data' AS kind, {_topic('location')} AS topic FROM sensors
+  UNION ALL SELECT event_id, 'request', '{CONF_PREFIX}' FROM sensors
+  UNION ALL SELECT event_id, 'reply', '{CONF_PREFIX}/' || sensor_id FROM sensors)"""
+
+
+def _under(prefix: str) -> str:
+    base = prefix.rstrip("/")
+    return f"(topic = '{base}' OR starts_with(topic, '{base}/'))"
+
+
+def topic_filter_exact(location: str) -> str:
+    return f"""WITH {SENSORS_CTE}, {MIXED_CTE}
+SELECT event_id, kind, topic FROM mixed WHERE topic = '{DATA_PREFIX.rstrip('/')}/{location.replace('.', '/')}'"""
+
+
+def topic_filter_wildcard() -> str:
+    return f"""WITH {SENSORS_CTE}, {MIXED_CTE}
+SELECT event_id, kind, topic FROM mixed WHERE {_under(DATA_PREFIX)}"""
+
+
+def route_topics() -> str:
+    return f"""WITH {SENSORS_CTE}, {MIXED_CTE}
+SELECT event_id, kind, topic,
+       CASE WHEN {_under(DATA_PREFIX)} THEN 'out' WHEN {_under(CONF_PREFIX)} THEN 'both' END AS direction
+FROM mixed"""
+
+
+def valid_location() -> str:
+    return f"""WITH {SENSORS_CTE},
+cand AS (
+  SELECT event_id, 0 AS variant, location AS candidate FROM sensors
+  UNION ALL SELECT event_id, 1, lower(location) FROM sensors
+  UNION ALL SELECT event_id, 2, replace(location, '.', '/') FROM sensors)
+SELECT event_id, variant, candidate, regexp_full_match(candidate, '{LOCATION_PATTERN}') AS valid FROM cand"""
+
+
+def telemetry_with_location() -> str:
+    return f"""WITH {SENSORS_CTE}
+SELECT event_id, location, dateTime, temperature, humidity, sensor_id AS s_id,
+       CAST(event_id % 1048576 AS INTEGER) AS seq,
+       replace({_assigned('sensor_id')}, '/', '.') AS assigned_location
+FROM sensors WHERE {_assigned('sensor_id')} IS NOT NULL"""
+
+
+# --- actuators ----------------------------------------------------------------
+_LIMITS = {"temperature": TEMPERATURE_LIMIT, "humidity": HUMIDITY_LIMIT}
+
+STATES_CTE = f"""sig AS (
+  SELECT location, event_id, dateTime, temperature, humidity,
+         CASE WHEN temperature > {TEMPERATURE_LIMIT} THEN 1 WHEN temperature < {TEMPERATURE_LIMIT} THEN 0 END AS s_temperature,
+         CASE WHEN humidity > {HUMIDITY_LIMIT} THEN 1 WHEN humidity < {HUMIDITY_LIMIT} THEN 0 END AS s_humidity
+  FROM sensors),
+st AS (
+  SELECT *,
+    coalesce(last_value(s_temperature IGNORE NULLS) OVER (PARTITION BY location ORDER BY dateTime, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS now_temperature,
+    coalesce(last_value(s_temperature IGNORE NULLS) OVER (PARTITION BY location ORDER BY dateTime, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS was_temperature,
+    coalesce(last_value(s_humidity IGNORE NULLS) OVER (PARTITION BY location ORDER BY dateTime, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS now_humidity,
+    coalesce(last_value(s_humidity IGNORE NULLS) OVER (PARTITION BY location ORDER BY dateTime, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS was_humidity
+  FROM sig)"""
+
+
+def _word(x: str) -> str:
+    return f"CASE WHEN {x} = 1 THEN 'on' ELSE 'off' END"
+
+
+def _event(m: str) -> str:
+    return f"CASE WHEN now_{m} <> was_{m} THEN {_word(f'now_{m}')} ELSE 'no change' END"
+
+
+def transitions(metric: str) -> str:
+    return f"""WITH {SENSORS_CTE}, {STATES_CTE}
+SELECT location, event_id, dateTime, CAST({metric} AS DOUBLE) AS value, {_word(f'now_{metric}')} AS action
+FROM st WHERE now_{metric} <> was_{metric}"""
+
+
+def actuator_events() -> str:
+    parts = "\nUNION ALL\n".join(
+        f"SELECT location, event_id, dateTime, '{m}' AS metric, CAST({m} AS DOUBLE) AS value, "
+        f"{_word(f'now_{m}')} AS action FROM st WHERE now_{m} <> was_{m}" for m in _LIMITS)
+    return f"WITH {SENSORS_CTE}, {STATES_CTE}\n{parts}"
+
+
+def actuator_state() -> str:
+    return f"""WITH {SENSORS_CTE}, {STATES_CTE}
+SELECT location, event_id, dateTime,
+       {_word('now_temperature')} AS temperature_state, {_event('temperature')} AS temperature_event,
+       {_word('now_humidity')} AS humidity_state, {_event('humidity')} AS humidity_event
+FROM st"""

@@ -30,7 +30,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8,
     """A local session for tests and the benchmark."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "8g"))
+               .config("spark.driver.memory", "8g")
+               .config("spark.ui.showConsoleProgress", "false"))
     for k, v in JOB_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
