@@ -39,28 +39,22 @@ def daily_means(df: DataFrame, level: str = "room") -> DataFrame:
                       mean_2dp("_sh", "_nh").alias("avg_hum"), "n_rows")
 
 
-def day_night_diff(df: DataFrame, level: str = "room") -> DataFrame:
-    """Day mean, night mean and their difference per (day, level key).
+_PARTIALS = ["_dn", "_nn", "_dts", "_dtn", "_dhs", "_dhn", "_nts", "_ntn", "_nhs", "_nhn"]
 
-    A (key, day) appears only when it has at least one daytime row and one
-    night row (rows are counted, not non-null values, so an all-null measure
-    gives a null mean and a null difference).  Means are rounded half-even to
-    two digits before the difference; the difference of two-digit values is
-    exact.  Output: day, <key>, day_temp, day_hum, night_temp, night_hum,
-    temp_diff, hum_diff (DOUBLE).
-    """
-    key = _key(level)
+
+def _conditional_sums() -> list:
     d, n = F.col("daily"), ~F.col("daily")
     tc, hc = to_cents("temperature"), to_cents("humidity")
-    agg = (df.where(F.col("daily").isNotNull())
-           .groupBy(key, "day")
-           .agg(F.count(F.when(d, 1)).alias("_dn"),
-                F.count(F.when(n, 1)).alias("_nn"),
-                F.sum(F.when(d, tc)).alias("_dts"), F.count(F.when(d, tc)).alias("_dtn"),
-                F.sum(F.when(d, hc)).alias("_dhs"), F.count(F.when(d, hc)).alias("_dhn"),
-                F.sum(F.when(n, tc)).alias("_nts"), F.count(F.when(n, tc)).alias("_ntn"),
-                F.sum(F.when(n, hc)).alias("_nhs"), F.count(F.when(n, hc)).alias("_nhn"))
-           .where((F.col("_dn") > 0) & (F.col("_nn") > 0)))
+    return [F.count(F.when(d, 1)).alias("_dn"),
+            F.count(F.when(n, 1)).alias("_nn"),
+            F.sum(F.when(d, tc)).alias("_dts"), F.count(F.when(d, tc)).alias("_dtn"),
+            F.sum(F.when(d, hc)).alias("_dhs"), F.count(F.when(d, hc)).alias("_dhn"),
+            F.sum(F.when(n, tc)).alias("_nts"), F.count(F.when(n, tc)).alias("_ntn"),
+            F.sum(F.when(n, hc)).alias("_nhs"), F.count(F.when(n, hc)).alias("_nhn")]
+
+
+def _diff_from_sums(agg: DataFrame, key: str) -> DataFrame:
+    agg = agg.where((F.col("_dn") > 0) & (F.col("_nn") > 0))
     cents = agg.select(
         "day", key,
         half_even_div("_dts", "_dtn").alias("_dt"),
@@ -75,6 +69,44 @@ def day_night_diff(df: DataFrame, level: str = "room") -> DataFrame:
         cents_to_double(F.col("_dh") - F.col("_nh")).alias("hum_diff"))
 
 
+def day_night_diff(df: DataFrame, level: str = "room") -> DataFrame:
+    """Day mean, night mean and their difference per (day, level key).
+
+    A (key, day) appears only when it has at least one daytime row and one
+    night row (rows are counted, not non-null values, so an all-null measure
+    gives a null mean and a null difference).  Means are rounded half-even to
+    two digits before the difference; the difference of two-digit values is
+    exact.  Output: day, <key>, day_temp, day_hum, night_temp, night_hum,
+    temp_diff, hum_diff (DOUBLE).
+    """
+    key = _key(level)
+    agg = (df.where(F.col("daily").isNotNull())
+           .groupBy(key, "day")
+           .agg(*_conditional_sums()))
+    return _diff_from_sums(agg, key)
+
+
+def room_day_partials(df: DataFrame) -> DataFrame:
+    """Conditional sums per (room, day), carrying every coarser level key.
+
+    This is the only aggregate that reads the readings when all four levels
+    are wanted: the coarser levels add these partial sums up (sums and counts
+    compose; means would not)."""
+    keys = [LEVEL_KEY[lv] for lv in ("room", "floor", "building", "neighborhood")]
+    return (df.where(F.col("daily").isNotNull())
+            .groupBy(*keys, "day")
+            .agg(*_conditional_sums()))
+
+
+def day_night_diff_from_partials(partials: DataFrame, level: str = "room") -> DataFrame:
+    """:func:`day_night_diff` for one level from :func:`room_day_partials`."""
+    key = _key(level)
+    if level == "room":
+        return _diff_from_sums(partials, key)
+    agg = partials.groupBy(key, "day").agg(*[F.sum(c).alias(c) for c in _PARTIALS])
+    return _diff_from_sums(agg, key)
+
+
 def day_night_diff_join(df: DataFrame, level: str = "room") -> DataFrame:
     """The same result as :func:`day_night_diff`, written as the day side
     joined to the night side (two readers of one aggregate).  Kept to check

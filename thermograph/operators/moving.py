@@ -77,8 +77,10 @@ def _frame_mean(measure: str, spec: list[str], h_us: int) -> dict[str, Column]:
     upto = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     before = w.rangeBetween(Window.unboundedPreceding, -(h_us + 1))
     c = to_cents(measure)
-    s = F.sum(c).over(upto) - F.coalesce(F.sum(c).over(before), F.lit(0))
-    n = F.count(c).over(upto) - F.coalesce(F.count(c).over(before), F.lit(0))
+    # A null time is a peer of the other null times only: nothing precedes it.
+    has_t = F.col(_ORD).isNotNull()
+    s = F.sum(c).over(upto) - F.coalesce(F.when(has_t, F.sum(c).over(before)), F.lit(0))
+    n = F.count(c).over(upto) - F.coalesce(F.when(has_t, F.count(c).over(before)), F.lit(0))
     return {f"_s_{measure}": s, f"_n_{measure}": n}
 
 
