@@ -31,3 +31,9 @@ def epoch_micros(ts: Column | str) -> Column:
     NTZ values are read as UTC wall-clock time (the session runs in UTC).
     """
     return F.unix_micros(_col(ts).cast("timestamp"))
+
+
+def floor_div(expr_sql: str, width: int) -> Column:
+    """floor(expr / width) for a BIGINT SQL expression, in exact integer
+    arithmetic (no rounding through DOUBLE), also for negative values."""
+    return F.expr(f"(({expr_sql}) - pmod({expr_sql}, {int(width)})) div {int(width)}")

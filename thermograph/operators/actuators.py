@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from thermograph.constants import HUMIDITY_LIMIT, TEMPERATURE_LIMIT
-from thermograph.functions.calendar import epoch_micros
+from thermograph.functions.calendar import epoch_micros, floor_div
 
 DAY_US = 86400 * 10**6
 DEFAULT_LIMITS = {"temperature": TEMPERATURE_LIMIT, "humidity": HUMIDITY_LIMIT}
@@ -52,10 +52,9 @@ def actuator_states(readings: DataFrame, limits: dict[str, float] | None = None,
     df = readings
     if scope != "location":
         df = df.withColumn("_scope", F.lit("all"))
-    ordv = epoch_micros(ts)
+    df = df.withColumn("_ord", epoch_micros(ts))
     df = df.withColumns({
-        "_ord": ordv,
-        "_bucket": F.floor(ordv / F.lit(bucket_us)).cast("bigint") if bucket_us else F.lit(0).cast("bigint"),
+        "_bucket": floor_div("_ord", bucket_us) if bucket_us else F.lit(0).cast("bigint"),
         **{f"_sig_{m}": signal(m, lim) for m, lim in limits.items()},
     })
     # Last signal of each (key, bucket), ordered by (time, tiebreak).

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from thermograph.constants import HORIZONS, LEVEL_KEY
-from thermograph.functions.calendar import epoch_micros
+from thermograph.functions.calendar import epoch_micros, floor_div
 from thermograph.functions.exact import cents_to_double, half_even_div, to_cents
 
 _US = {"us": 1, "microsecond": 1, "ms": 1000, "millisecond": 1000,
@@ -61,8 +61,8 @@ def auto_bucket_micros(h_us: int) -> int:
 def _with_halo(df: DataFrame, key: str, h_us: int, width: int) -> DataFrame:
     """Adds ``_bucket`` and ``_halo``: the row itself in its own bucket, plus a
     halo copy in every later bucket whose frames reach back to it."""
-    own = F.floor(F.col(_ORD) / F.lit(width)).cast("bigint")
-    last = F.floor((F.col(_ORD) + F.lit(h_us)) / F.lit(width)).cast("bigint")
+    own = floor_div(_ORD, width)
+    last = floor_div(f"{_ORD} + {int(h_us)}", width)
     buckets = F.when(F.col(_ORD).isNull(), F.array(F.lit(None).cast("bigint"))) \
         .otherwise(F.sequence(own, last))
     return (df.withColumn("_own", own)

@@ -85,7 +85,8 @@ def q_dedupe_readings(spark, sf_dir):
 
 
 def _messages(spark, sf_dir):
-    return telemetry_messages(sensor_readings(spark, sf_dir, with_sensor=True))
+    # JSON writing and parsing is CPU-heavy per row: spread a coarse scan.
+    return telemetry_messages(sensor_readings(spark, sf_dir, with_sensor=True, spread_rows=True))
 
 
 def _mixed(spark, sf_dir):

@@ -39,6 +39,18 @@ def read_readings_csv(spark: SparkSession, path: str, *,
             .csv(path))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster's cores when the scan yields
+    fewer input splits than cores (e.g. one large row group).  A large input
+    already has more splits than cores and is left as it is, so this never
+    adds a shuffle at scale."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
@@ -65,7 +77,7 @@ def sensor_id_from_user(user_id: str = "user_id", org: str = SENSOR_ORG):
 
 
 def sensor_readings(spark: SparkSession, sf_dir: str, *,
-                    with_sensor: bool = False) -> DataFrame:
+                    with_sensor: bool = False, spread_rows: bool = False) -> DataFrame:
     """Readings derived from ``events`` (one reading per event).
 
     location from user-id bits (16 rooms), dateTime = ts + (event_id % 12) * 30
@@ -73,6 +85,8 @@ def sensor_readings(spark: SparkSession, sf_dir: str, *,
     humidity = (7 * value) % 100, both DECIMAL(10,2).
     """
     ev = table(spark, sf_dir, "events")
+    if spread_rows:
+        ev = spread(ev)
     cols = [
         F.col("event_id"),
         location_from_user().alias("location"),

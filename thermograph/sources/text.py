@@ -7,6 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from thermograph.sources.readings import spread
+
 
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc STRING, text STRING): each file is one whole record."""
@@ -15,7 +17,11 @@ def read_text_files(spark: SparkSession, path: str) -> DataFrame:
                     F.col("value").alias("text")))
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, text) of the driver's ``documents`` table."""
-    return (spark.read.parquet(os.path.join(sf_dir, "documents.parquet"))
-            .select("doc_id", "text"))
+def documents(spark: SparkSession, sf_dir: str, *, spread_rows: bool = True) -> DataFrame:
+    """(doc_id, text) of the driver's ``documents`` table.
+
+    Texts are CPU-heavy per row (tokenizing, letter counts), so when the
+    table arrives in fewer splits than cores the rows are spread first."""
+    df = (spark.read.parquet(os.path.join(sf_dir, "documents.parquet"))
+          .select("doc_id", "text"))
+    return spread(df) if spread_rows else df
