@@ -80,3 +80,13 @@ def test_stats_job(spark, tmp_path):
     assert mv.count() == 6
     res2 = run(spark, df, str(tmp_path / "split"), levels=("room",), split_horizons=True, differences=False)
     assert len(res2) == 3
+
+
+def test_generated_dataset_round_trip(spark, tmp_path):
+    from thermograph.plans.generate import write_dataset
+    out = str(tmp_path / "gen")
+    assert write_dataset(spark, 2000, out, seed=11)
+    back = read_readings_csv(spark, out)
+    assert back.count() <= 2000 and back.where("dateTime IS NULL").count() == 0
+    times = [r.dateTime for r in back.collect()]
+    assert times == sorted(times)

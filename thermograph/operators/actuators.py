@@ -31,6 +31,16 @@ def signal(value: Column | str, limit: float) -> Column:
     return F.when(v > F.lit(limit), F.lit(1)).when(v < F.lit(limit), F.lit(0))
 
 
+def _packed_order(ord_col: str, tiebreak: str, tiebreak_type: str) -> Column:
+    """(time, tiebreak) as one orderable number: time * 10^20 + (tiebreak +
+    2^63) for an integral tiebreak (fits DECIMAL(38,0) for any BIGINT time in
+    microseconds); a struct for any other tiebreak type."""
+    if tiebreak_type in ("bigint", "int", "smallint", "tinyint"):
+        return F.expr(f"CAST({ord_col} AS DECIMAL(38,0)) * CAST(1e20 AS DECIMAL(38,0)) "
+                      f"+ (CAST({tiebreak} AS DECIMAL(38,0)) + CAST(9223372036854775808 AS DECIMAL(38,0)))")
+    return F.struct(F.col(ord_col), F.col(tiebreak))
+
+
 def _state_word(c: Column) -> Column:
     return F.when(c == 1, F.lit("on")).otherwise(F.lit("off"))
 
@@ -57,10 +67,12 @@ def actuator_states(readings: DataFrame, limits: dict[str, float] | None = None,
         "_bucket": floor_div("_ord", bucket_us) if bucket_us else F.lit(0).cast("bigint"),
         **{f"_sig_{m}": signal(m, lim) for m, lim in limits.items()},
     })
-    # Last signal of each (key, bucket), ordered by (time, tiebreak).
-    order_struct = F.struct(F.col("_ord"), F.col(tiebreak))
+    # Last signal of each (key, bucket), ordered by (time, tiebreak).  The
+    # order is packed into one DECIMAL(38,0) so the aggregate stays a hash
+    # aggregate (a struct ordering would force a sort of every input row).
+    order_key = _packed_order("_ord", tiebreak, dict(df.dtypes)[tiebreak])
     lasts = df.groupBy(key, "_bucket").agg(*[
-        F.max_by(F.col(f"_sig_{m}"), F.when(F.col(f"_sig_{m}").isNotNull(), order_struct))
+        F.max_by(F.col(f"_sig_{m}"), F.when(F.col(f"_sig_{m}").isNotNull(), order_key))
         .alias(f"_last_{m}") for m in limits])
     before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carry = lasts.select(key, "_bucket", *[

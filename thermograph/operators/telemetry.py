@@ -24,7 +24,10 @@ def parse_telemetry(messages: DataFrame, prefix: str = DATA_PREFIX, *,
     ``keep_malformed`` (then its measures are null).  A missing field gives
     null for that field only."""
     j = F.from_json(F.col("payload"), PAYLOAD_SCHEMA)
-    parsed = messages.withColumn("_j", j)
+    # Parse once: a generator output is a barrier for filter push-down, so a
+    # filter on the parsed struct (ours, or one inferred from a later join)
+    # does not copy the parse into the scan-side filter as well.
+    parsed = messages.select("*", F.explode(F.array(j)).alias("_j"))
     if not keep_malformed:
         parsed = parsed.where(F.col("_j.d").isNotNull())
     lead = ["event_id"] if "event_id" in messages.columns else []
@@ -57,10 +60,12 @@ def telemetry_with_location(readings: DataFrame, replies: DataFrame) -> DataFram
     The assignment table has one row per sensor after de-duplication; the join
     is left to the optimizer, whose adaptive execution switches it to a
     broadcast only when the measured assignment side is small."""
+    # The location is a function of the sensor id, so distinct pairs are one
+    # row per sensor (a hash aggregate, partially applied before the shuffle).
     assign = (replies.where(F.col("location").isNotNull())
               .select("sensor_id", F.replace("location", F.lit("/"), F.lit("."))
                       .alias("assigned_location"))
-              .dropDuplicates(["sensor_id"]))
+              .distinct())
     return readings.join(assign, readings["s_id"] == assign["sensor_id"], "inner") \
         .drop("sensor_id")
 
