@@ -47,13 +47,18 @@ def corpus_sizes(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Da
 
 
 def letter_count(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(letter, n) for the 26 lower-case letters over all texts.
-
-    Each row contributes 26 counts computed in place (no row per character);
-    the single aggregated row is unpivoted to 26 rows."""
-    sums = docs.agg(*[F.coalesce(F.sum(letter_occurrences(text, c)), F.lit(0))
-                      .cast("bigint").alias(c) for c in LETTERS])
-    return sums.unpivot([], list(LETTERS), "letter", "n")
+    """(letter, n) for the 26 lower-case letters over all texts (0 if absent).
+
+    Other characters are dropped inside each row, the letters are generated
+    and counted in the same code-generated stage (partial aggregation), so
+    only 26 partial counts per task reach the shuffle; the final <= 26 rows
+    are pivoted against the fixed letter list and unpivoted back."""
+    only = F.regexp_replace(F.col(text), f"[^{LETTERS[0]}-{LETTERS[-1]}]+", "")
+    chars = docs.select(F.explode(F.split(only, "")).alias("letter")).where(F.col("letter") != "")
+    counts = chars.groupBy("letter").agg(F.count(F.lit(1)).alias("n"))
+    wide = counts.groupBy().pivot("letter", list(LETTERS)).agg(F.first("n"))
+    wide = wide.select(*[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in LETTERS])
+    return wide.unpivot([], list(LETTERS), "letter", "n")
 
 
 def letter_count_per_doc(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
