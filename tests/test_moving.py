@@ -34,15 +34,16 @@ def test_frame_edges(spark):
             ("A.0.S.1", d(2022, 1, 1, 12, 0, 1), "40.00", None),  # 1 h 0 m 1 s after 11:00
             ("A.0.S.2", d(2022, 1, 1, 10, 30), "50.00", "5.00")]
     df = enrich(readings_df(spark, rows))
-    for bucket in ("auto", None, "1 hour"):
-        got = _rows(moving_average(df, "room", "1 hour", bucket=bucket))
+    for strategy, bucket in (("prefix", "auto"), ("prefix", "30 minutes"), ("halo", "auto"),
+                             ("halo", "1 hour"), ("plain", None)):
+        got = _rows(moving_average(df, "room", "1 hour", strategy=strategy, bucket=bucket))
         assert got == _rows(spark.createDataFrame([
             ("A.0.S.1", d(2022, 1, 1, 10, 0), 10.0, 1.0),
             ("A.0.S.1", d(2022, 1, 1, 11, 0), 20.0, 2.0),
             ("A.0.S.1", d(2022, 1, 1, 11, 0), 20.0, 2.0),
             ("A.0.S.1", d(2022, 1, 1, 12, 0, 1), 40.0, None),
             ("A.0.S.2", d(2022, 1, 1, 10, 30), 50.0, 5.0)],
-            "k string, t timestamp, a double, b double")), bucket
+            "k string, t timestamp, a double, b double")), (strategy, bucket)
     # building level: temperature pooled over both rooms, humidity per room
     got = {(r.dateTime, r.avg_temp, r.avg_hum) for r in moving_average(df, "building", "1 hour").collect()}
     assert (d(2022, 1, 1, 11, 0), 27.5, 2.0) in got  # (10+20+30+50)/4, (1+2+3)/3
@@ -54,12 +55,13 @@ def enriched(spark):
 
 
 @pytest.mark.parametrize("level", LEVELS)
-def test_bucketed_equals_plain(enriched, level):
+def test_strategies_agree(enriched, level):
     for hz in ("hour", "week"):
         a = _rows(moving_average(enriched, level, hz))
         b = _rows(moving_average(enriched, level, hz, bucket=None))
-        c = _rows(moving_average(enriched, level, hz, bucket="1 day"))
-        assert a == b == c
+        c = _rows(moving_average(enriched, level, hz, strategy="halo", bucket="1 day"))
+        d = _rows(moving_average(enriched, level, hz, strategy="prefix", bucket="20 minute"))
+        assert a == b == c == d
 
 
 def test_growing_frames_equal_sliding_decimal_frame(spark, enriched):
@@ -88,7 +90,8 @@ def test_null_time_rows(spark):
     df = enrich(readings_df(spark, rows))
     got = _rows(moving_average(df, "room", "1 hour"))
     plain = _rows(moving_average(df, "room", "1 hour", bucket=None))
-    assert got == plain
+    halo = _rows(moving_average(df, "room", "1 hour", strategy="halo"))
+    assert got == plain == halo
     nulls = [r for r in got if r[1] is None]
     assert [r[2] for r in nulls] == [15.0, 15.0]
 

@@ -6,24 +6,40 @@ is inclusive), rounded half-even to two digits.  Temperature is windowed by the
 level key; humidity by the room key (``humidity_scope="room"``, as the batch
 job does) or by the level key (``"level"``).
 
-Plan, exact mode:
-
-* The frame sum is a difference of two *growing* frames over one ordering,
-  ``sum(UNBOUNDED..CURRENT) - sum(UNBOUNDED..horizon+1us PRECEDING)``, on
-  BIGINT hundredths.  Spark evaluates growing frames incrementally, so the cost
-  per row is constant however many rows a frame holds (a sliding RANGE frame
-  re-aggregates its whole buffer whenever its lower edge moves).
-* Bucketed partitioning (default): a key may hold a large share of all rows
-  (there are only a handful of neighborhoods), so the window is partitioned by
-  (key, time bucket) instead of by key.  Each row also goes, marked as a halo
-  copy, to the following buckets whose frames reach back to it (one extra bucket
-  when the bucket is at least as wide as the horizon).  Halo rows feed the
-  sums and are dropped afterwards.  Work per task is bounded by the bucket
-  width, not by the key's share of the data.
+Frame sums are exact BIGINT sums of hundredths, always written as differences
+of *growing* frames (``UNBOUNDED PRECEDING .. x``), which Spark evaluates
+incrementally: the cost per row does not depend on how many rows a frame holds
+(a sliding RANGE frame re-aggregates its buffer whenever its lower edge moves).
+
+Strategies (a key may hold a large share of all rows -- there are only a
+handful of neighborhoods -- so the default never windows a whole key in one
+task):
+
+``"prefix"`` (default)
+    Time is cut into fine buckets of width ``g`` (1 hour by default, dividing
+    every horizon ``h = m * g``).  For a row at ``t`` in bucket ``b``::
+
+        sum[t-h, t] = own(b, <= t) + total(b-m .. b-1) - own(b-m, < t-h)
+
+    The first term is a growing frame over bucket ``b``.  The last term is a
+    growing frame over a *ghost* copy of bucket ``b-m`` shifted forward by
+    ``h`` into bucket ``b`` (each row is copied exactly once per horizon).
+    The middle term comes from a small table of bucket totals per (key,
+    bucket), joined on (key, bucket).  Work per task is bounded by one fine
+    bucket of one key, whatever the horizon.
+``"halo"``
+    Buckets of width ``B`` (default 4 horizons, at least a day); each row also
+    goes as a halo copy to the later buckets whose frames reach back to it
+    (about ``h / B`` extra rows).  Cheaper (no totals table), but a bucket of
+    a hot key holds ``B`` worth of its rows.
+``"plain"``
+    One window partition per key (the textbook form).
 """
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +52,8 @@ _US = {"us": 1, "microsecond": 1, "ms": 1000, "millisecond": 1000,
        "day": 86400 * 10**6, "week": 7 * 86400 * 10**6}
 
 _ORD = "_ord"
+_SHORT = {"temperature": "temp", "humidity": "hum"}
+HOUR_US = _US["hour"]
 
 
 def horizon_micros(horizon: str | int) -> int:
@@ -51,16 +69,37 @@ def horizon_micros(horizon: str | int) -> int:
 
 
 def auto_bucket_micros(h_us: int) -> int:
-    """Default bucket width: four horizons, at least one day.
-
-    Halo copies are about ``horizon / width`` of the rows (25% or less);
-    buckets stay narrow enough to spread a hot key over many tasks."""
+    """Default halo bucket width: four horizons, at least one day."""
     return max(4 * h_us, _US["day"])
 
 
-def _with_halo(df: DataFrame, key: str, h_us: int, width: int) -> DataFrame:
-    """Adds ``_bucket`` and ``_halo``: the row itself in its own bucket, plus a
-    halo copy in every later bucket whose frames reach back to it."""
+def auto_fine_micros(hs: list[int]) -> int:
+    """Default fine bucket for the prefix strategy: one hour, or the largest
+    width dividing every horizon if one hour does not."""
+    g = 0
+    for h in hs:
+        g = gcd(g, h)
+    return HOUR_US if g % HOUR_US == 0 else g
+
+
+def _cents_cols(measures: list[str]) -> dict[str, Column]:
+    return {f"_c_{m}": to_cents(m) for m in measures}
+
+
+def _mean_cols(measures: list[str], names: list[str]) -> dict[str, Column]:
+    return {f"avg_{_SHORT[m]}_{nm}": cents_to_double(half_even_div(f"_s_{m}_{nm}", f"_n_{m}_{nm}"))
+            for nm in names for m in measures}
+
+
+def _drop_sums(df: DataFrame, measures: list[str], names: list[str]) -> DataFrame:
+    return df.drop(*[f"_{p}_{m}_{nm}" for nm in names for m in measures for p in ("s", "n")])
+
+
+# --- plain and halo ---------------------------------------------------------
+
+def _with_halo(df: DataFrame, h_us: int, width: int) -> DataFrame:
+    """Adds ``_bucket`` and ``_halo``: the row in its own bucket, plus a halo
+    copy in every later bucket whose frames reach back to it."""
     own = floor_div(_ORD, width)
     last = floor_div(f"{_ORD} + {int(h_us)}", width)
     buckets = F.when(F.col(_ORD).isNull(), F.array(F.lit(None).cast("bigint"))) \
@@ -71,127 +110,196 @@ def _with_halo(df: DataFrame, key: str, h_us: int, width: int) -> DataFrame:
             .drop("_own"))
 
 
-def _frame_mean(measure: str, spec: list[str], h_us: int) -> dict[str, Column]:
-    """Half-even mean of ``measure`` over [t - h, t], as growing-frame diffs."""
+def _growing_stage(df: DataFrame, key: str, measures: list[str], hs: dict[str, int],
+                   width: int | None) -> DataFrame:
+    spec = [key]
+    if width:
+        df = _with_halo(df, max(hs.values()), width)
+        spec = [key, "_bucket"]
     w = Window.partitionBy(*spec).orderBy(_ORD)
     upto = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    before = w.rangeBetween(Window.unboundedPreceding, -(h_us + 1))
-    c = to_cents(measure)
-    # A null time is a peer of the other null times only: nothing precedes it.
-    has_t = F.col(_ORD).isNotNull()
-    s = F.sum(c).over(upto) - F.coalesce(F.when(has_t, F.sum(c).over(before)), F.lit(0))
-    n = F.count(c).over(upto) - F.coalesce(F.when(has_t, F.count(c).over(before)), F.lit(0))
-    return {f"_s_{measure}": s, f"_n_{measure}": n}
+    has_t = F.col(_ORD).isNotNull()  # a null time is a peer of null times only
+    cols: dict[str, Column] = {}
+    for nm, h in hs.items():
+        before = w.rangeBetween(Window.unboundedPreceding, -(h + 1))
+        for m in measures:
+            c = F.col(f"_c_{m}")
+            cols[f"_s_{m}_{nm}"] = F.sum(c).over(upto) - F.coalesce(
+                F.when(has_t, F.sum(c).over(before)), F.lit(0))
+            cols[f"_n_{m}_{nm}"] = F.count(c).over(upto) - F.coalesce(
+                F.when(has_t, F.count(c).over(before)), F.lit(0))
+    df = df.withColumns(cols)
+    if width:
+        df = df.where(~F.col("_halo")).drop("_bucket", "_halo")
+    return df
 
 
-def _sliding_mean(measure: str, spec: list[str], h_us: int) -> Column:
-    """Single-precision form: FLOAT mean over a sliding RANGE frame, bround."""
-    w = Window.partitionBy(*spec).orderBy(_ORD).rangeBetween(-h_us, Window.currentRow)
-    return F.bround(F.avg(F.col(measure).cast("float")).over(w), 2)
+# --- prefix -------------------------------------------------------------------
 
+def _bucket_totals(base: DataFrame, keys: list[str], measures: list[str], g: int) -> DataFrame:
+    """Sum and count of hundredths per (keys, fine bucket) for timed rows."""
+    return (base.where(F.col(_ORD).isNotNull())
+            .groupBy(*keys, floor_div(_ORD, g).alias("_b"))
+            .agg(*[e for m in measures for e in (
+                F.sum(f"_c_{m}").alias(f"_ts_{m}"), F.count(f"_c_{m}").alias(f"_tn_{m}"))]))
 
-def _windowed(df: DataFrame, key: str, measures: list[str], h_us: int,
-              bucket_us: int | None, exact: bool, out: dict[str, str]) -> DataFrame:
-    """Adds ``out[measure]`` columns computed over windows keyed by ``key``."""
-    spec = [key]
-    if bucket_us:
-        df = _with_halo(df, key, h_us, bucket_us)
-        spec = [key, "_bucket"]
-    if exact:
-        cols: dict[str, Column] = {}
+
+def _span_totals(totals: DataFrame, key: str, measures: list[str], ms: dict[str, int]) -> DataFrame:
+    """total(b-m .. b-1) per (key, b) for every horizon, as growing-frame
+    differences over the small totals table (one row per key and bucket)."""
+    t = totals.groupBy(key, "_b").agg(*[F.sum(f"_{p}_{m}").alias(f"_{p}_{m}")
+                                       for m in measures for p in ("ts", "tn")])
+    w = Window.partitionBy(key).orderBy("_b")
+    upto = w.rangeBetween(Window.unboundedPreceding, -1)
+    cols = []
+    for nm, m_ in ms.items():
+        before = w.rangeBetween(Window.unboundedPreceding, -(m_ + 1))
         for m in measures:
-            cols.update(_frame_mean(m, spec, h_us))
-        df = df.withColumns(cols)
-        df = df.withColumns({out[m]: cents_to_double(half_even_div(f"_s_{m}", f"_n_{m}"))
-                             for m in measures})
-        df = df.drop(*[f"_{p}_{m}" for m in measures for p in ("s", "n")])
-    else:
-        df = df.withColumns({out[m]: _sliding_mean(m, spec, h_us) for m in measures})
-    if bucket_us:
-        df = df.where(~F.col("_halo")).drop("_bucket", "_halo")
-    return df
+            for p, out in (("ts", "s"), ("tn", "n")):
+                c = F.col(f"_{p}_{m}")
+                cols.append((F.coalesce(F.sum(c).over(upto), F.lit(0))
+                             - F.coalesce(F.sum(c).over(before), F.lit(0))).alias(f"_d{out}_{m}_{nm}"))
+    return t.select(key, "_b", *cols)
+
+
+def _prefix_stage(rows: DataFrame, key: str, measures: list[str], hs: dict[str, int],
+                  g: int, spans: DataFrame, payload: list[str]) -> DataFrame:
+    names = list(hs)
+    ms = {nm: h // g for nm, h in hs.items()}
+    # copy 0 is the row itself; copy i is its ghost for horizon i (shifted by h_i)
+    copies = F.when(F.col(_ORD).isNull(), F.array(F.lit(0))) \
+        .otherwise(F.array(*[F.lit(i) for i in range(len(names) + 1)]))
+    x = rows.withColumn("_b0", floor_div(_ORD, g)).withColumn("_k", F.explode(copies))
+    shift = F.lit(0).cast("bigint")
+    bshift = F.lit(0).cast("bigint")
+    for i, nm in enumerate(names, start=1):
+        shift = F.when(F.col("_k") == i, F.lit(hs[nm])).otherwise(shift)
+        bshift = F.when(F.col("_k") == i, F.lit(ms[nm])).otherwise(bshift)
+    own = F.col("_k") == 0
+    x = x.withColumns({
+        "_t": F.col(_ORD) + shift,
+        "_b": F.col("_b0") + bshift,
+        # ghosts carry only what the frame sums need
+        **{p: F.when(own, F.col(p)) for p in payload},
+    }).drop("_b0")
+    w = Window.partitionBy(key, "_b").orderBy("_t")
+    upto = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    strictly_before = w.rangeBetween(Window.unboundedPreceding, -1)
+    cols: dict[str, Column] = {}
+    for m in measures:
+        c = F.col(f"_c_{m}")
+        cols[f"_os_{m}"] = F.sum(F.when(own, c)).over(upto)
+        cols[f"_on_{m}"] = F.count(F.when(own, c)).over(upto)
+        for i, nm in enumerate(names, start=1):
+            gi = F.col("_k") == i
+            cols[f"_gs_{m}_{nm}"] = F.sum(F.when(gi, c)).over(strictly_before)
+            cols[f"_gn_{m}_{nm}"] = F.count(F.when(gi, c)).over(strictly_before)
+    x = x.withColumns(cols).where(own)
+    x = x.join(spans, [key, "_b"], "left")
+    timed = F.col(_ORD).isNotNull()
+    out: dict[str, Column] = {}
+    for m in measures:
+        for nm in names:
+            for p in ("s", "n"):
+                out[f"_{p}_{m}_{nm}"] = (F.coalesce(F.col(f"_o{p}_{m}"), F.lit(0))
+                                         + F.when(timed, F.coalesce(F.col(f"_d{p}_{m}_{nm}"), F.lit(0))
+                                                  - F.coalesce(F.col(f"_g{p}_{m}_{nm}"), F.lit(0)))
+                                         .otherwise(F.lit(0)))
+    x = x.withColumns(out)
+    drop = ["_k", "_t", "_b"] + [f"_o{p}_{m}" for m in measures for p in ("s", "n")]
+    drop += [f"_{a}{p}_{m}_{nm}" for a in ("g", "d") for p in ("s", "n") for m in measures for nm in names]
+    return x.drop(*drop)
+
+
+# --- public -------------------------------------------------------------------
+
+def _resolve(strategy: str, bucket, hs: list[int]) -> tuple[str, int | None]:
+    if bucket is False or bucket is None or strategy == "plain":
+        return "plain", None
+    if strategy == "halo":
+        width = auto_bucket_micros(max(hs)) if bucket in ("auto", True) else horizon_micros(bucket)
+        return "halo", width
+    if strategy == "prefix":
+        g = auto_fine_micros(hs) if bucket in ("auto", True) else horizon_micros(bucket)
+        if any(h % g for h in hs):
+            raise ValueError(f"fine bucket {g}us must divide every horizon {hs}")
+        return "prefix", g
+    raise ValueError(f"unknown strategy {strategy!r}")
+
+
+def moving_averages(df: DataFrame, level: str = "room",
+                    horizons: dict[str, str | int] | None = None, *,
+                    humidity_scope: str = "room", strategy: str = "prefix",
+                    bucket: str | int | None | bool = "auto") -> DataFrame:
+    """Moving averages of one level for several horizons in one pass.
+
+    Output: <key>, dateTime, avg_temp_<name>, avg_hum_<name> for every horizon
+    name (default ``hour``, ``day``, ``week``).  ``df`` needs dateTime,
+    temperature, humidity and the location columns of
+    :func:`thermograph.operators.enrich.enrich_location`.  ``bucket`` is the
+    bucket width of the strategy (``"auto"``, ``"1 hour"``, microseconds);
+    ``bucket=None``/``False`` selects the plain strategy."""
+    horizons = horizons or dict(HORIZONS)
+    hs = {nm: horizon_micros(h) for nm, h in horizons.items()}
+    names = list(hs)
+    strategy, width = _resolve(strategy, bucket, list(hs.values()))
+    key = LEVEL_KEY[level]
+    room = LEVEL_KEY["room"]
+    hum_key = room if humidity_scope == "room" else key
+    stages = ([(key, ["temperature", "humidity"])] if hum_key == key
+              else [(key, ["temperature"]), (hum_key, ["humidity"])])
+    keys = list(dict.fromkeys([key, room]))
+    base = (df.select(*keys, "dateTime", "temperature", "humidity")
+            .withColumn(_ORD, epoch_micros("dateTime"))
+            .withColumns(_cents_cols(["temperature", "humidity"])))
+    rows = base
+    if strategy == "prefix":
+        totals = _bucket_totals(base, keys, ["temperature", "humidity"], width)
+        ms = {nm: h // width for nm, h in hs.items()}
+    for k, measures in stages:
+        if strategy == "prefix":
+            spans = _span_totals(totals, k, measures, ms)
+            payload = [c for c in rows.columns
+                       if c not in (k, _ORD) and not c.startswith("_c_")]
+            rows = _prefix_stage(rows, k, measures, hs, width, spans, payload)
+        else:
+            rows = _growing_stage(rows, k, measures, hs, width if strategy == "halo" else None)
+        rows = rows.withColumns(_mean_cols(measures, names))
+        rows = _drop_sums(rows, measures, names).drop(*[f"_c_{m}" for m in measures])
+    outs = [f"avg_{s}_{nm}" for nm in names for s in ("temp", "hum")]
+    return rows.select(key, "dateTime", *outs)
 
 
 def moving_average(df: DataFrame, level: str = "room", horizon: str | int = "1 hour", *,
                    humidity_scope: str = "room", exact: bool = True,
+                   strategy: str = "prefix",
                    bucket: str | int | None | bool = "auto") -> DataFrame:
     """One row per reading: <level key>, dateTime, avg_temp, avg_hum.
 
-    ``df`` needs dateTime, temperature, humidity and the location columns of
-    :func:`thermograph.operators.enrich.enrich_location`.  ``bucket``: "auto"
-    (default), a width (``"28 days"`` or microseconds), or None/False for one
-    window partition per key.  ``exact=False`` averages FLOAT measures over a
-    sliding frame and rounds with ``bround``.
-    """
+    ``exact=False`` averages FLOAT measures over a sliding RANGE frame and
+    rounds with ``bround`` (one window partition per key)."""
     key = LEVEL_KEY[level]
-    room = LEVEL_KEY["room"]
-    h_us = horizon_micros(horizon)
-    if bucket is None or bucket is False:
-        bucket_us = None
-    elif bucket == "auto" or bucket is True:
-        bucket_us = auto_bucket_micros(h_us)
-    else:
-        bucket_us = horizon_micros(bucket)
-    hum_key = room if humidity_scope == "room" else key
-    base = df.select(*{key, room}, "dateTime", "temperature", "humidity") \
-        .withColumn(_ORD, epoch_micros("dateTime"))
-    out = {"temperature": "avg_temp", "humidity": "avg_hum"}
-    if hum_key == key:
-        res = _windowed(base, key, ["temperature", "humidity"], h_us, bucket_us, exact, out)
-    else:
-        res = _windowed(base, key, ["temperature"], h_us, bucket_us, exact, out)
-        res = _windowed(res, hum_key, ["humidity"], h_us, bucket_us, exact, out)
-    return res.select(key, "dateTime", "avg_temp", "avg_hum")
+    if not exact:
+        return _float_moving_average(df, level, horizon, humidity_scope)
+    res = moving_averages(df, level, {"h": horizon}, humidity_scope=humidity_scope,
+                          strategy=strategy, bucket=bucket)
+    return res.select(key, "dateTime", F.col("avg_temp_h").alias("avg_temp"),
+                      F.col("avg_hum_h").alias("avg_hum"))
 
 
-def moving_averages(df: DataFrame, level: str = "room",
-                    horizons: dict[str, str] | None = None, *,
-                    humidity_scope: str = "room",
-                    bucket: str | int | None | bool = "auto") -> DataFrame:
-    """Several horizons of one level in one pass (one sort per window key).
-
-    Output: <key>, dateTime, avg_temp_<name>, avg_hum_<name> per horizon name.
-    The bucket width is chosen for the longest horizon."""
-    horizons = horizons or dict(HORIZONS)
+def _float_moving_average(df: DataFrame, level: str, horizon: str | int,
+                          humidity_scope: str) -> DataFrame:
     key = LEVEL_KEY[level]
     room = LEVEL_KEY["room"]
-    hs = {name: horizon_micros(h) for name, h in horizons.items()}
-    h_max = max(hs.values())
-    if bucket is None or bucket is False:
-        bucket_us = None
-    elif bucket == "auto" or bucket is True:
-        bucket_us = auto_bucket_micros(h_max)
-    else:
-        bucket_us = horizon_micros(bucket)
+    h = horizon_micros(horizon)
     hum_key = room if humidity_scope == "room" else key
-    res = df.select(*{key, room}, "dateTime", "temperature", "humidity") \
+    base = df.select(*dict.fromkeys([key, room]), "dateTime", "temperature", "humidity") \
         .withColumn(_ORD, epoch_micros("dateTime"))
 
-    def stage(frame: DataFrame, k: str, measures: list[str]) -> DataFrame:
-        spec = [k]
-        if bucket_us:
-            frame = _with_halo(frame, k, h_max, bucket_us)
-            spec = [k, "_bucket"]
-        cols: dict[str, Column] = {}
-        for name, h in hs.items():
-            for m in measures:
-                for c, e in _frame_mean(m, spec, h).items():
-                    cols[f"{c}_{name}"] = e
-        frame = frame.withColumns(cols)
-        short = {"temperature": "temp", "humidity": "hum"}
-        frame = frame.withColumns({
-            f"avg_{short[m]}_{name}": cents_to_double(
-                half_even_div(f"_s_{m}_{name}", f"_n_{m}_{name}"))
-            for name in hs for m in measures})
-        frame = frame.drop(*cols.keys())
-        if bucket_us:
-            frame = frame.where(~F.col("_halo")).drop("_bucket", "_halo")
-        return frame
-
-    if hum_key == key:
-        res = stage(res, key, ["temperature", "humidity"])
-    else:
-        res = stage(res, key, ["temperature"])
-        res = stage(res, hum_key, ["humidity"])
-    outs = [c for name in hs for c in (f"avg_temp_{name}", f"avg_hum_{name}")]
-    return res.select(key, "dateTime", *outs)
+    def avg(m: str, k: str) -> Column:
+        w = Window.partitionBy(k).orderBy(_ORD).rangeBetween(-h, Window.currentRow)
+        return F.bround(F.avg(F.col(m).cast("float")).over(w), 2)
+
+    res = base.withColumn("avg_temp", avg("temperature", key)) \
+        .withColumn("avg_hum", avg("humidity", hum_key))
+    return res.select(key, "dateTime", "avg_temp", "avg_hum")
