@@ -79,15 +79,24 @@ def test_stream_equals_batch(spark, landed, tmp_path):
     flat.mkdir()
     for i, f in enumerate(files):
         os.link(f, flat / f"part-{i:03d}.parquet")
-    out = tmp_path / "out"
-    q = actuator_job(spark, str(flat), str(out), checkpoint=str(tmp_path / "ck"),
-                     available_now=True, max_files_per_trigger=1)
-    q.awaitTermination(300)
-    got = spark.read.parquet(str(out))
-    assert got.select("epoch").distinct().count() == 5
     batch = actuator_states(sensor_readings(spark, SF001))
     cols = ["location", "event_id", "temperature_state", "temperature_event", "humidity_state", "humidity_event"]
-    assert _rows(got.select(*cols)) == _rows(batch.select(*cols))
+    for mode in ("keyed", "buckets"):
+        out = tmp_path / f"out_{mode}"
+        q = actuator_job(spark, str(flat), str(out), checkpoint=str(tmp_path / f"ck_{mode}"),
+                         available_now=True, max_files_per_trigger=1, mode=mode)
+        q.awaitTermination(300)
+        got = spark.read.parquet(str(out))
+        assert got.select("epoch").distinct().count() == 5, mode
+        assert _rows(got.select(*cols)) == _rows(batch.select(*cols)), mode
+
+
+def test_initial_state(spark):
+    vals = [("29", "59"), ("31", "59")]
+    df = _seq(spark, vals)
+    init = spark.createDataFrame([("A.0.S.1", 1, 0)], "location string, temperature int, humidity int")
+    st = actuator_states(df, initial=init).orderBy("dateTime").collect()
+    assert [r.temperature_event for r in st] == ["off", "on"]
 
 
 def test_ingest_and_assignment_streams(spark, landed, tmp_path):

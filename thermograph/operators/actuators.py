@@ -48,7 +48,8 @@ def _state_word(c: Column) -> Column:
 def actuator_states(readings: DataFrame, limits: dict[str, float] | None = None, *,
                     scope: str = "location", location: str = "location",
                     ts: str = "dateTime", tiebreak: str = "event_id",
-                    bucket_us: int | None = DAY_US, keep: list[str] | tuple = ()) -> DataFrame:
+                    bucket_us: int | None = DAY_US, keep: list[str] | tuple = (),
+                    initial: DataFrame | None = None) -> DataFrame:
     """One row per message with the state of every actuator after it.
 
     Output: <key>, event_id, dateTime, and per metric ``<m>`` (a measure
@@ -56,7 +57,9 @@ def actuator_states(readings: DataFrame, limits: dict[str, float] | None = None,
     "no change"), plus the ``keep`` columns passed through.
     ``scope="location"`` keeps one actuator per location;
     ``scope="global"`` shares one actuator among all messages (one key, still
-    split by time bucket)."""
+    split by time bucket).  ``initial`` (one row per key: the key column and
+    ``<m>`` as 0/1) gives the states before the first message, e.g. the state
+    left by earlier micro-batches; missing keys start off."""
     limits = limits or DEFAULT_LIMITS
     key = location if scope == "location" else "_scope"
     df = readings
@@ -77,6 +80,11 @@ def actuator_states(readings: DataFrame, limits: dict[str, float] | None = None,
     before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carry = lasts.select(key, "_bucket", *[
         F.last(f"_last_{m}", ignorenulls=True).over(before).alias(f"_carry_{m}") for m in limits])
+    if initial is not None:
+        init = initial.select(F.col(location).alias(key) if scope == "location" else F.lit("all").alias(key),
+                              *[F.col(m).cast("int").alias(f"_init_{m}") for m in limits])
+        carry = carry.join(init, [key], "left").select(
+            key, "_bucket", *[F.coalesce(f"_carry_{m}", f"_init_{m}").alias(f"_carry_{m}") for m in limits])
     w = Window.partitionBy(key, "_bucket").orderBy("_ord", tiebreak)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prior = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -129,3 +137,14 @@ def actuator_events(readings: DataFrame, limits: dict[str, float] | None = None,
             for m in limits])).alias("_e"))
     return (stacked.where(F.col("_e.action") != "no change")
             .select(*key, tiebreak, ts, "_e.metric", "_e.value", "_e.action"))
+
+
+def final_states(states: DataFrame, metrics: list[str], *, key: str = "location",
+                 ts: str = "dateTime", tiebreak: str = "event_id") -> DataFrame:
+    """State of every actuator after the last message of each key (0/1), from
+    the output of :func:`actuator_states`: one row per key, a hash aggregate."""
+    df = states.withColumn("_ord", epoch_micros(ts))
+    order_key = _packed_order("_ord", tiebreak, dict(df.dtypes)[tiebreak])
+    return df.groupBy(key).agg(*[
+        F.max_by(F.when(F.col(f"{m}_state") == "on", 1).otherwise(0), order_key).alias(m)
+        for m in metrics])

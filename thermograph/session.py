@@ -58,6 +58,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder on the "
+                               "shared file system (a machine-local folder would be "
+                               "lost with its executor)")
         path = tempfile.mkdtemp(prefix="thermograph-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -1,5 +1,9 @@
-"""Threshold actuators on a stream: keyed state with
-``applyInPandasWithState``.
+"""Threshold actuators on a stream.
+
+Two forms: keyed state with ``applyInPandasWithState`` (one pandas group per
+key and micro-batch), and :func:`bucketed_actuator_writer`, which runs every
+micro-batch through the bucketed batch operator seeded with a per-key state
+table (a hot key is split by time inside the micro-batch).
 
 The state of a key is two small integers (the last signal of each actuator),
 so it does not grow with the stream.  Inside a micro-batch the rows of a key
@@ -92,3 +96,73 @@ def transitions_stream(readings: DataFrame, metric: str = "temperature", **kw) -
     lim = {metric: DEFAULT_LIMITS[metric]} if "limits" not in kw else kw.pop("limits")
     st = actuator_state_stream(readings, lim, **kw)
     return st.where(F.col(f"{metric}_event") != "no change")
+
+
+# --- micro-batches through the bucketed batch operator -------------------------
+
+def _latest_epoch_before(spark, root: str, epoch_id: int) -> str | None:
+    """Path of the newest ``<root>/epoch=<n>`` with n < epoch_id (any file
+    system Spark can reach)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(conf)
+    if not fs.exists(path):
+        return None
+    best = None
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if name.startswith("epoch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            n = int(name.split("=", 1)[1])
+            if n < epoch_id and (best is None or n > best):
+                best = n
+    return None if best is None else f"{root.rstrip('/')}/epoch={best}"
+
+
+def bucketed_actuator_writer(out_path: str, state_path: str,
+                             limits: dict[str, float] | None = None, *,
+                             scope: str = "location", events_only: bool = False):
+    """A ``foreachBatch`` function running the actuators per micro-batch with
+    the bucketed batch operator, so a hot key is split by time within the
+    batch instead of landing in one group.
+
+    The state between micro-batches is a table with one row per key written
+    to ``<state_path>/epoch=<id>``; epoch ``e`` reads the newest state older
+    than ``e``.  Outputs and state are written with overwrite per epoch, so a
+    replayed epoch recomputes the same result."""
+    from thermograph.operators.actuators import actuator_states, final_states
+
+    limits = limits or DEFAULT_LIMITS
+    metrics = list(limits)
+    key = "location" if scope == "location" else "_scope"
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        prev_path = _latest_epoch_before(spark, state_path, epoch_id)
+        prev = spark.read.parquet(prev_path) if prev_path else None
+        init = prev.withColumnRenamed(key, "location") if (prev is not None and scope != "location") else prev
+        states = actuator_states(batch, limits, scope=scope, initial=init, keep=metrics)
+        out = f"{out_path.rstrip('/')}/epoch={epoch_id}"
+        # Written once; the output and the new state are read back from it
+        # instead of recomputing the micro-batch.
+        states_path = f"{state_path.rstrip('/')}/_states/epoch={epoch_id}"
+        states.write.mode("overwrite").parquet(states_path)
+        written = spark.read.parquet(states_path)
+        if events_only:
+            changed = F.lit(False)
+            for m in metrics:
+                changed = changed | (F.col(f"{m}_event") != "no change")
+            written.where(changed).write.mode("overwrite").parquet(out)
+        else:
+            written.write.mode("overwrite").parquet(out)
+        k = "location" if scope == "location" else "_scope"
+        src = written if scope == "location" else written.withColumn("_scope", F.lit("all"))
+        last = final_states(src, metrics, key=k).withColumn("_p", F.lit(1))
+        if prev is not None:
+            merged = prev.select(k, *metrics).withColumn("_p", F.lit(0)).unionByName(last)
+            last = merged.groupBy(k).agg(*[F.max_by(m, "_p").alias(m) for m in metrics])
+        else:
+            last = last.drop("_p")
+        last.write.mode("overwrite").parquet(f"{state_path.rstrip('/')}/epoch={epoch_id}")
+
+    return write

@@ -17,7 +17,7 @@ from thermograph.operators.telemetry import config_replies, filter_topics, parse
 from thermograph.session import checkpoint_dir
 from thermograph.sinks.streams import epoch_parquet_writer
 from thermograph.sources.messages import read_message_stream, read_request_stream
-from thermograph.streaming.actuators import actuator_state_stream
+from thermograph.streaming.actuators import actuator_state_stream, bucketed_actuator_writer
 
 
 def _start(df: DataFrame, name: str, out_path: str, spark: SparkSession,
@@ -60,11 +60,27 @@ def location_assignment(spark: SparkSession, requests_path: str, out_path: str,
 
 
 def actuators(spark: SparkSession, messages_path: str, out_path: str, *,
-              scope: str = "location", checkpoint: str | None = None,
+              scope: str = "location", mode: str = "buckets", checkpoint: str | None = None,
               available_now: bool = False, trigger_seconds: int | None = None,
-              max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Messages -> actuator state after every message (both actuators)."""
+              max_files_per_trigger: int | None = None, events_only: bool = False) -> StreamingQuery:
+    """Messages -> actuator state after every message (both actuators).
+
+    ``mode="buckets"`` (default) runs each micro-batch through the bucketed
+    batch operator with a per-key state table (a hot key is split by time);
+    ``mode="keyed"`` uses ``applyInPandasWithState`` (one group per key and
+    micro-batch)."""
     msgs = read_message_stream(spark, messages_path, max_files_per_trigger=max_files_per_trigger)
     rows = parse_telemetry(filter_topics(msgs))
-    return _start(actuator_state_stream(rows, scope=scope), "actuators", out_path, spark,
-                  checkpoint, available_now, trigger_seconds)
+    ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "streams", "actuators")
+    if mode == "keyed":
+        return _start(actuator_state_stream(rows, scope=scope), "actuators", out_path, spark,
+                      ckpt, available_now, trigger_seconds)
+    writer = bucketed_actuator_writer(out_path, os.path.join(ckpt, "state"), scope=scope,
+                                      events_only=events_only)
+    w = rows.writeStream.queryName("actuators").option("checkpointLocation", ckpt) \
+        .foreachBatch(writer)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif trigger_seconds:
+        w = w.trigger(processingTime=f"{trigger_seconds} seconds")
+    return w.start()
