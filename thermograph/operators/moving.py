@@ -144,11 +144,13 @@ def _bucket_totals(base: DataFrame, keys: list[str], measures: list[str], g: int
                 F.sum(f"_c_{m}").alias(f"_ts_{m}"), F.count(f"_c_{m}").alias(f"_tn_{m}"))]))
 
 
-def _span_totals(totals: DataFrame, key: str, measures: list[str], ms: dict[str, int]) -> DataFrame:
+def _span_totals(totals: DataFrame, key: str, measures: list[str], ms: dict[str, int],
+                 unique: bool = False) -> DataFrame:
     """total(b-m .. b-1) per (key, b) for every horizon, as growing-frame
-    differences over the small totals table (one row per key and bucket)."""
-    t = totals.groupBy(key, "_b").agg(*[F.sum(f"_{p}_{m}").alias(f"_{p}_{m}")
-                                       for m in measures for p in ("ts", "tn")])
+    differences over the small totals table (one row per key and bucket).
+    ``unique``: the totals already have one row per (key, b)."""
+    t = totals if unique else totals.groupBy(key, "_b").agg(
+        *[F.sum(f"_{p}_{m}").alias(f"_{p}_{m}") for m in measures for p in ("ts", "tn")])
     w = Window.partitionBy(key).orderBy("_b")
     upto = w.rangeBetween(Window.unboundedPreceding, -1)
     cols = []
@@ -258,7 +260,8 @@ def moving_averages(df: DataFrame, level: str = "room",
         ms = {nm: h // width for nm, h in hs.items()}
     for k, measures in stages:
         if strategy == "prefix":
-            spans = _span_totals(totals, k, measures, ms)
+            # totals are grouped by room (which fixes every coarser key)
+            spans = _span_totals(totals, k, measures, ms, unique=(k == room))
             payload = [c for c in rows.columns
                        if c not in (k, _ORD) and not c.startswith("_c_")]
             rows = _prefix_stage(rows, k, measures, hs, width, spans, payload)
