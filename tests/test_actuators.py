@@ -39,7 +39,7 @@ def test_across_buckets_and_global_scope(spark):
     assert [(r.location, r.action) for r in t] == [("A.0.S.1", "on"), ("A.0.S.1", "off")]
     g = actuator_transitions(df, "temperature", scope="global").orderBy("dateTime").collect()
     assert [r.action for r in g] == ["on", "off", "on", "off"]
-    nb = actuator_transitions(df, "temperature", bucket_us=None).orderBy("dateTime").collect()
+    nb = actuator_transitions(df, "temperature", bucket_us=86400 * 10**6).orderBy("dateTime").collect()
     assert [(r.location, r.action) for r in nb] == [("A.0.S.1", "on"), ("A.0.S.1", "off")]
 
 
@@ -54,8 +54,12 @@ def _rows(df):
 
 def test_bucketing_does_not_change_states(spark):
     r = sensor_readings(spark, SF001)
-    assert _rows(actuator_states(r)) == _rows(actuator_states(r, bucket_us=None))
-    assert _rows(actuator_states(r, scope="global")) == _rows(actuator_states(r, scope="global", bucket_us=3600 * 10**6))
+    plain = _rows(actuator_states(r, bucket_us=None))
+    assert _rows(actuator_states(r)) == plain
+    assert _rows(actuator_states(r, bucket_us=3600 * 10**6)) == plain
+    assert _rows(actuator_states(r, bucket_us=86400 * 10**6)) == plain
+    assert _rows(actuator_states(r, scope="global", bucket_us=None)) == \
+        _rows(actuator_states(r, scope="global", bucket_us=3600 * 10**6))
 
 
 @pytest.fixture(scope="module")

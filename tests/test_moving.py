@@ -61,7 +61,8 @@ def test_strategies_agree(enriched, level):
         b = _rows(moving_average(enriched, level, hz, bucket=None))
         c = _rows(moving_average(enriched, level, hz, strategy="halo", bucket="1 day"))
         d = _rows(moving_average(enriched, level, hz, strategy="prefix", bucket="20 minute"))
-        assert a == b == c == d
+        e = _rows(moving_average(enriched, level, hz, strategy="prefix"))
+        assert a == b == c == d == e
 
 
 def test_growing_frames_equal_sliding_decimal_frame(spark, enriched):
@@ -77,11 +78,12 @@ def test_growing_frames_equal_sliding_decimal_frame(spark, enriched):
 
 
 def test_all_horizons_in_one_pass(enriched):
-    allh = moving_averages(enriched, "floor")
-    for hz in ("hour", "day", "week"):
-        one = moving_average(enriched, "floor", hz)
-        a = _rows(allh.select("fullFloorLocation", "dateTime", f"avg_temp_{hz}", f"avg_hum_{hz}"))
-        assert a == _rows(one)
+    for strategy in ("prefix", "halo", "plain"):
+        allh = moving_averages(enriched, "floor", strategy=strategy)
+        for hz in ("hour", "day", "week"):
+            one = moving_average(enriched, "floor", hz, strategy="plain")
+            a = _rows(allh.select("fullFloorLocation", "dateTime", f"avg_temp_{hz}", f"avg_hum_{hz}"))
+            assert a == _rows(one), strategy
 
 
 def test_null_time_rows(spark):
@@ -91,7 +93,8 @@ def test_null_time_rows(spark):
     got = _rows(moving_average(df, "room", "1 hour"))
     plain = _rows(moving_average(df, "room", "1 hour", bucket=None))
     halo = _rows(moving_average(df, "room", "1 hour", strategy="halo"))
-    assert got == plain == halo
+    prefix = _rows(moving_average(df, "room", "1 hour", strategy="prefix"))
+    assert got == plain == halo == prefix
     nulls = [r for r in got if r[1] is None]
     assert [r[2] for r in nulls] == [15.0, 15.0]
 

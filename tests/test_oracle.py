@@ -39,3 +39,22 @@ def test_entry_smoke(spark):
     assert len(rows) == 241  # neighborhood-days with both day and night rows at sf0.001
     assert df.columns == ["day", "neighborhood", "day_temp", "day_hum", "night_temp",
                           "night_hum", "temp_diff", "hum_diff"]
+
+
+SCALE_SENSITIVE = sorted(k for k in QUERIES if k.startswith("moving_avg_") or k.endswith("_transitions")
+                         or k in ("actuator_events", "actuator_state"))
+
+
+@pytest.fixture()
+def large_plans(spark):
+    """Force the plans meant for large inputs (bucketed windows) on sf0.01."""
+    spark.conf.set("spark.thermograph.smallInputBytes", "0")
+    yield
+    spark.conf.unset("spark.thermograph.smallInputBytes")
+
+
+@pytest.mark.parametrize("name", SCALE_SENSITIVE)
+def test_large_input_plans_match_sql(spark, con, large_plans, name):
+    got = QUERIES[name](spark, SF01).toPandas()
+    ok, msg = frames_equal(got, con.sql(SQL[name]).df())
+    assert ok, msg

@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 
 from thermograph.constants import HUMIDITY_LIMIT, TEMPERATURE_LIMIT
 from thermograph.functions.calendar import epoch_micros, floor_div
+from thermograph.session import is_small
 
 DAY_US = 86400 * 10**6
+HOUR_US = 3600 * 10**6
 DEFAULT_LIMITS = {"temperature": TEMPERATURE_LIMIT, "humidity": HUMIDITY_LIMIT}
 
 
@@ -48,7 +50,7 @@ def _state_word(c: Column) -> Column:
 def actuator_states(readings: DataFrame, limits: dict[str, float] | None = None, *,
                     scope: str = "location", location: str = "location",
                     ts: str = "dateTime", tiebreak: str = "event_id",
-                    bucket_us: int | None = DAY_US, keep: list[str] | tuple = (),
+                    bucket_us: int | str | None = "auto", keep: list[str] | tuple = (),
                     initial: DataFrame | None = None) -> DataFrame:
     """One row per message with the state of every actuator after it.
 
@@ -59,8 +61,13 @@ def actuator_states(readings: DataFrame, limits: dict[str, float] | None = None,
     ``scope="global"`` shares one actuator among all messages (one key, still
     split by time bucket).  ``initial`` (one row per key: the key column and
     ``<m>`` as 0/1) gives the states before the first message, e.g. the state
-    left by earlier micro-batches; missing keys start off."""
+    left by earlier micro-batches; missing keys start off.  ``bucket_us``:
+    time bucket width in microseconds, None for one partition per key, or
+    "auto" (1 hour, or None for an input the optimizer estimates small)."""
     limits = limits or DEFAULT_LIMITS
+    if bucket_us == "auto":
+        # one window partition per key only for inputs estimated small
+        bucket_us = None if is_small(readings) else HOUR_US
     key = location if scope == "location" else "_scope"
     df = readings
     if scope != "location":

@@ -15,7 +15,7 @@ Strategies (a key may hold a large share of all rows -- there are only a
 handful of neighborhoods -- so the default never windows a whole key in one
 task):
 
-``"prefix"`` (default)
+``"prefix"`` (default unless the input is small)
     Time is cut into fine buckets of width ``g`` (1 hour by default, dividing
     every horizon ``h = m * g``).  For a row at ``t`` in bucket ``b``::
 
@@ -33,7 +33,10 @@ task):
     (about ``h / B`` extra rows).  Cheaper (no totals table), but a bucket of
     a hot key holds ``B`` worth of its rows.
 ``"plain"``
-    One window partition per key (the textbook form).
+    One window partition per key (the textbook form); chosen by ``"auto"``
+    when the optimizer's size estimate of the input is small
+    (``spark.thermograph.smallInputBytes``, 64 MiB), where one task per key is
+    cheap and the bucket machinery would only add stages.
 """
 
 from __future__ import annotations
@@ -46,6 +49,7 @@ from pyspark.sql import functions as F
 from thermograph.constants import HORIZONS, LEVEL_KEY
 from thermograph.functions.calendar import epoch_micros, floor_div
 from thermograph.functions.exact import cents_to_double, half_even_div, to_cents
+from thermograph.session import is_small
 
 _US = {"us": 1, "microsecond": 1, "ms": 1000, "millisecond": 1000,
        "s": 10**6, "second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6,
@@ -215,7 +219,10 @@ def _prefix_stage(rows: DataFrame, key: str, measures: list[str], hs: dict[str,
 
 # --- public -------------------------------------------------------------------
 
-def _resolve(strategy: str, bucket, hs: list[int]) -> tuple[str, int | None]:
+def _resolve(strategy: str, bucket, hs: list[int], df: DataFrame) -> tuple[str, int | None]:
+    if strategy == "auto":
+        # small inputs: one window partition per key; else bounded buckets
+        strategy = "plain" if is_small(df) else "prefix"
     if bucket is False or bucket is None or strategy == "plain":
         return "plain", None
     if strategy == "halo":
@@ -231,12 +238,15 @@ def _resolve(strategy: str, bucket, hs: list[int]) -> tuple[str, int | None]:
 
 def moving_averages(df: DataFrame, level: str = "room",
                     horizons: dict[str, str | int] | None = None, *,
-                    humidity_scope: str = "room", strategy: str = "prefix",
+                    humidity_scope: str = "room", strategy: str = "auto",
                     bucket: str | int | None | bool = "auto") -> DataFrame:
     """Moving averages of one level for several horizons in one pass.
 
     Output: <key>, dateTime, avg_temp_<name>, avg_hum_<name> for every horizon
-    name (default ``hour``, ``day``, ``week``).  ``df`` needs dateTime,
+    name (default ``hour``, ``day``, ``week``).  ``strategy="auto"`` takes
+    ``plain`` for an input the optimizer estimates as small
+    (:func:`thermograph.session.is_small`) and ``prefix`` otherwise.
+    ``df`` needs dateTime,
     temperature, humidity and the location columns of
     :func:`thermograph.operators.enrich.enrich_location`.  ``bucket`` is the
     bucket width of the strategy (``"auto"``, ``"1 hour"``, microseconds);
@@ -244,7 +254,7 @@ def moving_averages(df: DataFrame, level: str = "room",
     horizons = horizons or dict(HORIZONS)
     hs = {nm: horizon_micros(h) for nm, h in horizons.items()}
     names = list(hs)
-    strategy, width = _resolve(strategy, bucket, list(hs.values()))
+    strategy, width = _resolve(strategy, bucket, list(hs.values()), df)
     key = LEVEL_KEY[level]
     room = LEVEL_KEY["room"]
     hum_key = room if humidity_scope == "room" else key
@@ -275,7 +285,7 @@ def moving_averages(df: DataFrame, level: str = "room",
 
 def moving_average(df: DataFrame, level: str = "room", horizon: str | int = "1 hour", *,
                    humidity_scope: str = "room", exact: bool = True,
-                   strategy: str = "prefix",
+                   strategy: str = "auto",
                    bucket: str | int | None | bool = "auto") -> DataFrame:
     """One row per reading: <level key>, dateTime, avg_temp, avg_hum.
 

@@ -73,3 +73,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub folder of the shared checkpoint folder for written tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+# Inputs up to this estimated size take the simple plans (one window partition
+# per key): a single task handles them comfortably, so the hot-key machinery
+# would only add stages.  Larger inputs take the bucketed plans.
+SMALL_INPUT_BYTES = 64 * 1024 * 1024
+
+
+def estimated_bytes(df) -> int | None:
+    """The optimizer's size estimate of ``df`` (from file sizes for scans);
+    no job is run.  None when unavailable."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except Exception:
+        return None
+
+
+def is_small(df, limit: int | None = None) -> bool:
+    """True only when the estimate exists and is at most ``limit`` (default
+    ``spark.thermograph.smallInputBytes`` or 64 MiB).  Unknown means large."""
+    if limit is None:
+        conf = df.sparkSession.conf.get("spark.thermograph.smallInputBytes", None)
+        limit = int(conf) if conf else SMALL_INPUT_BYTES
+    est = estimated_bytes(df)
+    return est is not None and est <= limit
