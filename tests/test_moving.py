@@ -105,3 +105,12 @@ def test_float_mode_runs(spark):
     df = enrich(readings_df(spark, rows))
     got = sorted(r.avg_temp for r in moving_average(df, "room", "1 hour", exact=False).collect())
     assert got == [10.01, 10.02]
+
+
+def test_all_levels_in_one_pass(enriched):
+    from thermograph.operators.moving import level_view, moving_averages_all_levels
+    for strategy in ("plain", "prefix"):
+        allv = moving_averages_all_levels(enriched, strategy=strategy).cache()
+        for lv in LEVELS:
+            assert _rows(level_view(allv, lv)) == _rows(moving_averages(enriched, lv, strategy="plain")), (strategy, lv)
+        allv.unpersist()

@@ -90,8 +90,12 @@ def _cents_cols(measures: list[str]) -> dict[str, Column]:
     return {f"_c_{m}": to_cents(m) for m in measures}
 
 
-def _mean_cols(measures: list[str], names: list[str]) -> dict[str, Column]:
-    return {f"avg_{_SHORT[m]}_{nm}": cents_to_double(half_even_div(f"_s_{m}_{nm}", f"_n_{m}_{nm}"))
+def _out_name(measure: str, name: str, tag: str | None) -> str:
+    return f"avg_{_SHORT[measure]}_{name}" if tag is None else f"avg_{_SHORT[measure]}_{tag}_{name}"
+
+
+def _mean_cols(measures: list[str], names: list[str], tag: str | None = None) -> dict[str, Column]:
+    return {_out_name(m, nm, tag): cents_to_double(half_even_div(f"_s_{m}_{nm}", f"_n_{m}_{nm}"))
             for nm in names for m in measures}
 
 
@@ -236,6 +240,33 @@ def _resolve(strategy: str, bucket, hs: list[int], df: DataFrame) -> tuple[str,
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
+def _run_stages(df: DataFrame, keys: list[str], stages: list[tuple[str, list[str], str | None]],
+                hs: dict[str, int], strategy: str, width: int | None) -> DataFrame:
+    """Chains one window stage per (key, measures, output tag) over the rows
+    of ``df``; the rows keep every earlier stage's outputs."""
+    names = list(hs)
+    room = LEVEL_KEY["room"]
+    base = (df.select(*keys, "dateTime", "temperature", "humidity")
+            .withColumn(_ORD, epoch_micros("dateTime"))
+            .withColumns(_cents_cols(["temperature", "humidity"])))
+    rows = base
+    if strategy == "prefix":
+        # one small totals table for every stage: grouped by room, which
+        # fixes every coarser key
+        totals = _bucket_totals(base, keys, ["temperature", "humidity"], width)
+        ms = {nm: h // width for nm, h in hs.items()}
+    for k, measures, tag in stages:
+        if strategy == "prefix":
+            spans = _span_totals(totals, k, measures, ms, unique=(k == room))
+            payload = [c for c in rows.columns
+                       if c not in (k, _ORD) and not c.startswith("_c_")]
+            rows = _prefix_stage(rows, k, measures, hs, width, spans, payload)
+        else:
+            rows = _growing_stage(rows, k, measures, hs, width if strategy == "halo" else None)
+        rows = _drop_sums(rows.withColumns(_mean_cols(measures, names, tag)), measures, names)
+    return rows.drop(_ORD, "_c_temperature", "_c_humidity")
+
+
 def moving_averages(df: DataFrame, level: str = "room",
                     horizons: dict[str, str | int] | None = None, *,
                     humidity_scope: str = "room", strategy: str = "auto",
@@ -246,43 +277,58 @@ def moving_averages(df: DataFrame, level: str = "room",
     name (default ``hour``, ``day``, ``week``).  ``strategy="auto"`` takes
     ``plain`` for an input the optimizer estimates as small
     (:func:`thermograph.session.is_small`) and ``prefix`` otherwise.
-    ``df`` needs dateTime,
-    temperature, humidity and the location columns of
+    ``df`` needs dateTime, temperature, humidity and the location columns of
     :func:`thermograph.operators.enrich.enrich_location`.  ``bucket`` is the
     bucket width of the strategy (``"auto"``, ``"1 hour"``, microseconds);
     ``bucket=None``/``False`` selects the plain strategy."""
     horizons = horizons or dict(HORIZONS)
     hs = {nm: horizon_micros(h) for nm, h in horizons.items()}
-    names = list(hs)
     strategy, width = _resolve(strategy, bucket, list(hs.values()), df)
     key = LEVEL_KEY[level]
     room = LEVEL_KEY["room"]
     hum_key = room if humidity_scope == "room" else key
-    stages = ([(key, ["temperature", "humidity"])] if hum_key == key
-              else [(key, ["temperature"]), (hum_key, ["humidity"])])
-    keys = list(dict.fromkeys([key, room]))
-    base = (df.select(*keys, "dateTime", "temperature", "humidity")
-            .withColumn(_ORD, epoch_micros("dateTime"))
-            .withColumns(_cents_cols(["temperature", "humidity"])))
-    rows = base
-    if strategy == "prefix":
-        totals = _bucket_totals(base, keys, ["temperature", "humidity"], width)
-        ms = {nm: h // width for nm, h in hs.items()}
-    for k, measures in stages:
-        if strategy == "prefix":
-            # totals are grouped by room (which fixes every coarser key)
-            spans = _span_totals(totals, k, measures, ms, unique=(k == room))
-            payload = [c for c in rows.columns
-                       if c not in (k, _ORD) and not c.startswith("_c_")]
-            rows = _prefix_stage(rows, k, measures, hs, width, spans, payload)
-        else:
-            rows = _growing_stage(rows, k, measures, hs, width if strategy == "halo" else None)
-        rows = rows.withColumns(_mean_cols(measures, names))
-        rows = _drop_sums(rows, measures, names).drop(*[f"_c_{m}" for m in measures])
-    outs = [f"avg_{s}_{nm}" for nm in names for s in ("temp", "hum")]
+    stages = ([(key, ["temperature", "humidity"], None)] if hum_key == key
+              else [(key, ["temperature"], None), (hum_key, ["humidity"], None)])
+    rows = _run_stages(df, list(dict.fromkeys([key, room])), stages, hs, strategy, width)
+    outs = [_out_name(m, nm, None) for nm in hs for m in ("temperature", "humidity")]
     return rows.select(key, "dateTime", *outs)
 
 
+def moving_averages_all_levels(df: DataFrame, horizons: dict[str, str | int] | None = None, *,
+                               strategy: str = "auto",
+                               bucket: str | int | None | bool = "auto") -> DataFrame:
+    """Every level's moving averages in one pass, one row per reading.
+
+    Humidity is windowed by room for every level, so it is computed once
+    (``avg_hum_<h>``); temperature once per level (``avg_temp_<level>_<h>``).
+    Four window stages in all instead of seven, and one read of the input.
+    Output: the four level keys, dateTime and those columns."""
+    horizons = horizons or dict(HORIZONS)
+    hs = {nm: horizon_micros(h) for nm, h in horizons.items()}
+    strategy, width = _resolve(strategy, bucket, list(hs.values()), df)
+    room = LEVEL_KEY["room"]
+    keys = [LEVEL_KEY[lv] for lv in ("room", "floor", "building", "neighborhood")]
+    stages = [(room, ["humidity"], None)] + [(LEVEL_KEY[lv], ["temperature"], lv)
+                                             for lv in ("room", "floor", "building", "neighborhood")]
+    rows = _run_stages(df, keys, stages, hs, strategy, width)
+    outs = [_out_name("humidity", nm, None) for nm in hs]
+    outs += [_out_name("temperature", nm, lv) for lv in ("room", "floor", "building", "neighborhood")
+             for nm in hs]
+    return rows.select(*keys, "dateTime", *outs)
+
+
+def level_view(all_levels: DataFrame, level: str,
+               horizons: dict[str, str | int] | None = None) -> DataFrame:
+    """One level's result (<key>, dateTime, avg_temp_<h>, avg_hum_<h>) from
+    :func:`moving_averages_all_levels`."""
+    names = list(horizons or HORIZONS)
+    cols = []
+    for nm in names:
+        cols += [F.col(_out_name("temperature", nm, level)).alias(_out_name("temperature", nm, None)),
+                 F.col(_out_name("humidity", nm, None))]
+    return all_levels.select(LEVEL_KEY[level], "dateTime", *cols)
+
+
 def moving_average(df: DataFrame, level: str = "room", horizon: str | int = "1 hour", *,
                    humidity_scope: str = "room", exact: bool = True,
                    strategy: str = "auto",

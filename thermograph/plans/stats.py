@@ -8,8 +8,10 @@ side, or one directory per horizon with ``split_horizons``),
 Plan: the readings are aggregated ONCE into conditional sums per (room, day);
 that table (rooms x days rows, far smaller than the readings) is written to the
 shared checkpoint folder, which cuts the lineage and lets the four levels and
-their month winners re-read it instead of the readings.  Each level's three
-moving-average horizons share one sort.
+their month winners re-read it instead of the readings.  The moving averages of
+all levels and horizons are computed in one pass of four window stages
+(humidity is windowed by room at every level, so once), written once to the
+shared folder and projected per result.
 
 Usage::
 
@@ -23,12 +25,13 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from thermograph.constants import LEVELS
 from thermograph.operators.daynight import day_night_diff_from_partials, room_day_partials
 from thermograph.operators.enrich import enrich
 from thermograph.operators.months import max_month
-from thermograph.operators.moving import moving_average, moving_averages
+from thermograph.operators.moving import level_view, moving_averages_all_levels
 from thermograph.session import apply_job_conf, scratch_path
 from thermograph.sinks.files import write_csv
 from thermograph.sources.readings import read_readings_csv
@@ -57,16 +60,25 @@ def run(spark: SparkSession, readings: DataFrame, out_dir: str, *,
                 mname = f"maxMonth{_TITLE[lv]}"
                 written[mname] = write_csv(max_month(diff), os.path.join(out_dir, mname))
     if moving:
+        # All levels in one pass (humidity is windowed by room for every
+        # level, so it is computed once), written once to the shared folder
+        # and projected per level and horizon.
+        all_path = scratch_path(spark, f"moving_all_levels-{uuid.uuid4().hex}")
+        moving_averages_all_levels(enriched).write.mode("overwrite").parquet(all_path)
+        all_levels = spark.read.parquet(all_path)
         for lv in levels:
+            view = level_view(all_levels, lv)
+            key = view.columns[0]
+            # moving averages are written even when empty (one row per reading)
             if split_horizons:
                 for hz, title in _HZ.items():
                     name = f"movingAverageTemperatureAndHumidity{title}{_TITLE[lv]}"
-                    written[name] = write_csv(moving_average(enriched, lv, hz),
-                                              os.path.join(out_dir, name))
+                    one = view.select(key, "dateTime", F.col(f"avg_temp_{hz}").alias("avg_temp"),
+                                      F.col(f"avg_hum_{hz}").alias("avg_hum"))
+                    written[name] = write_csv(one, os.path.join(out_dir, name), skip_empty=False)
             else:
                 name = f"movingAverage{_TITLE[lv]}"
-                written[name] = write_csv(moving_averages(enriched, lv),
-                                          os.path.join(out_dir, name))
+                written[name] = write_csv(view, os.path.join(out_dir, name), skip_empty=False)
     return written
 
 

@@ -5,15 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+def _delete(spark, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def write_csv(df: DataFrame, path: str, *, skip_empty: bool = True,
               mode: str = "overwrite", sep: str = ";", header: bool = True) -> bool:
     """Write ``df`` as a ``;``-separated CSV directory with a header.
 
-    With ``skip_empty`` nothing is written for an empty result (checked with a
-    one-row probe, not a count).  Returns whether the result was written."""
-    if skip_empty and df.isEmpty():
-        return False
+    With ``skip_empty`` an empty result leaves no directory behind.  The
+    result is computed once: it is written, then the written files are probed
+    for a first row (a probe of ``df`` itself would run its whole plan a
+    second time), and the directory is removed when there is none.  Returns
+    whether the result was kept."""
     df.write.mode(mode).option("header", str(header).lower()).option("sep", sep).csv(path)
+    if not skip_empty:
+        return True
+    spark = df.sparkSession
+    back = spark.read.option("header", str(header).lower()).option("sep", sep).csv(path)
+    if back.isEmpty():
+        _delete(spark, path)
+        return False
     return True
 
 
