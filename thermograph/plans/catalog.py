@@ -38,8 +38,14 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(sensor_readings(spark, sf_dir))
 
 
+def _measures_as_double(df: DataFrame) -> DataFrame:
+    """Registered results carry measures as DOUBLE (the nearest double of the
+    two-digit value), a type every engine reports the same way."""
+    return df.withColumns({m: F.col(m).cast("double") for m in ("temperature", "humidity")})
+
+
 def q_scan_readings(spark, sf_dir):
-    return sensor_readings(spark, sf_dir)
+    return _measures_as_double(sensor_readings(spark, sf_dir))
 
 
 def q_enrich_location(spark, sf_dir):
@@ -121,7 +127,7 @@ def q_letter_count(spark, sf_dir):
 
 
 def q_parse_telemetry(spark, sf_dir):
-    return tel.parse_telemetry(_messages(spark, sf_dir))
+    return _measures_as_double(tel.parse_telemetry(_messages(spark, sf_dir)))
 
 
 def q_topic_to_location(spark, sf_dir):
@@ -169,7 +175,7 @@ def q_valid_location(spark, sf_dir):
 def q_telemetry_with_location(spark, sf_dir):
     parsed = tel.parse_telemetry(_messages(spark, sf_dir))
     req = sensor_readings(spark, sf_dir, with_sensor=True).select("sensor_id")
-    return tel.telemetry_with_location(parsed, tel.config_replies(req))
+    return _measures_as_double(tel.telemetry_with_location(parsed, tel.config_replies(req)))
 
 
 def q_transitions(metric, spark, sf_dir):

@@ -89,7 +89,8 @@ def with_enriched(body: str, *ctes: str) -> str:
 
 
 def scan_readings() -> str:
-    return f"WITH {SENSORS_CTE}\nSELECT event_id, location, dateTime, temperature, humidity FROM sensors"
+    return (f"WITH {SENSORS_CTE}\nSELECT event_id, location, dateTime, CAST(temperature AS DOUBLE) AS temperature, "
+            "CAST(humidity AS DOUBLE) AS humidity FROM sensors")
 
 
 def enrich_location() -> str:
@@ -241,7 +242,8 @@ def _assigned(sensor_id: str) -> str:
 
 def parse_telemetry() -> str:
     return f"""WITH {SENSORS_CTE}
-SELECT event_id, location, dateTime, temperature, humidity, sensor_id AS s_id,
+SELECT event_id, location, dateTime, CAST(temperature AS DOUBLE) AS temperature,
+       CAST(humidity AS DOUBLE) AS humidity, sensor_id AS s_id,
        CAST(event_id % 1048576 AS INTEGER) AS seq FROM sensors"""
 
 
@@ -302,7 +304,8 @@ SELECT event_id, variant, candidate, regexp_full_match(candidate, '{LOCATION_PAT
 
 def telemetry_with_location() -> str:
     return f"""WITH {SENSORS_CTE}
-SELECT event_id, location, dateTime, temperature, humidity, sensor_id AS s_id,
+SELECT event_id, location, dateTime, CAST(temperature AS DOUBLE) AS temperature,
+       CAST(humidity AS DOUBLE) AS humidity, sensor_id AS s_id,
        CAST(event_id % 1048576 AS INTEGER) AS seq,
        replace({_assigned('sensor_id')}, '/', '.') AS assigned_location
 FROM sensors WHERE {_assigned('sensor_id')} IS NOT NULL"""
