@@ -100,3 +100,14 @@ def test_difference_invariant_on_sample(spark):
     df = spark.createDataFrame(GOLDEN_SAMPLE, "day string, k string, dt double, dh double, nt double, nh double, td double, hd double")
     for r in df.selectExpr("bround(dt - nt, 2) = td AS a", "bround(dh - nh, 2) = hd AS b").collect():
         assert r.a and r.b
+
+
+def test_float_variant_agrees_without_ties(spark):
+    from thermograph.operators.daynight import day_night_diff_float
+    d = dt.datetime
+    rows = [("A.0.S.1", d(2022, 3, 1, 9), "10.10", "50.20"), ("A.0.S.1", d(2022, 3, 1, 10), "10.30", "50.40"),
+            ("A.0.S.1", d(2022, 3, 1, 22), "8.00", "40.00")]
+    df = enrich(readings_df(spark, rows))
+    a = day_night_diff_float(df, "room").first()
+    b = day_night_diff(df, "room").first()
+    assert (a.day_temp, a.night_temp, a.temp_diff, a.hum_diff) == (b.day_temp, b.night_temp, b.temp_diff, b.hum_diff)

@@ -98,3 +98,10 @@ def is_small(df, limit: int | None = None) -> bool:
         limit = int(conf) if conf else SMALL_INPUT_BYTES
     est = estimated_bytes(df)
     return est is not None and est <= limit
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder on any file system Spark can reach."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -4,11 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-
-def _delete(spark, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+from thermograph.session import delete_path
 
 
 def write_csv(df: DataFrame, path: str, *, skip_empty: bool = True,
@@ -26,7 +22,7 @@ def write_csv(df: DataFrame, path: str, *, skip_empty: bool = True,
     spark = df.sparkSession
     back = spark.read.option("header", str(header).lower()).option("sep", sep).csv(path)
     if back.isEmpty():
-        _delete(spark, path)
+        delete_path(spark, path)
         return False
     return True
 
