@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thermograph.operators.readings import dedupe_readings, generate_readings
+from thermograph.session import apply_job_conf
 from thermograph.sinks.files import write_csv
 
 
@@ -45,6 +46,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True)
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("thermograph-generate").getOrCreate()
+    apply_job_conf(spark)
     write_dataset(spark, args.rows, args.out, args.seed)
 
 
