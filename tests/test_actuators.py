@@ -93,6 +93,21 @@ def test_stream_equals_batch(spark, landed, tmp_path):
         got = spark.read.parquet(str(out))
         assert got.select("epoch").distinct().count() == 5, mode
         assert _rows(got.select(*cols)) == _rows(batch.select(*cols)), mode
+    # one actuator shared by every location, through the bucketed writer;
+    # events_only keeps just the messages that switch something
+    gbatch = actuator_states(sensor_readings(spark, SF001), scope="global", bucket_us=3600 * 10**6)
+    gcols = ["event_id", "temperature_state", "temperature_event", "humidity_state", "humidity_event"]
+    q = actuator_job(spark, str(flat), str(tmp_path / "out_global"), checkpoint=str(tmp_path / "ck_global"),
+                     available_now=True, max_files_per_trigger=1, scope="global")
+    q.awaitTermination(300)
+    got = spark.read.parquet(str(tmp_path / "out_global"))
+    assert _rows(got.select(*gcols)) == _rows(gbatch.select(*gcols))
+    q = actuator_job(spark, str(flat), str(tmp_path / "out_events"), checkpoint=str(tmp_path / "ck_events"),
+                     available_now=True, max_files_per_trigger=2, events_only=True)
+    q.awaitTermination(300)
+    ev = spark.read.parquet(str(tmp_path / "out_events"))
+    changed = batch.where("temperature_event != 'no change' OR humidity_event != 'no change'")
+    assert _rows(ev.select(*cols)) == _rows(changed.select(*cols))
 
 
 def test_initial_state(spark):

@@ -114,3 +114,16 @@ def test_all_levels_in_one_pass(enriched):
         for lv in LEVELS:
             assert _rows(level_view(allv, lv)) == _rows(moving_averages(enriched, lv, strategy="plain")), (strategy, lv)
         allv.unpersist()
+
+
+def test_humidity_scope_level(enriched):
+    for strategy in ("plain", "prefix", "halo"):
+        got = _rows(moving_average(enriched, "building", "day", humidity_scope="level", strategy=strategy))
+        # with humidity windowed by the level, both measures share one key
+        h = horizon_micros("day")
+        w = Window.partitionBy("fullBuildingLocation").orderBy("_o").rangeBetween(-h, 0)
+        ref = (enriched.withColumn("_o", epoch_micros("dateTime"))
+               .select("fullBuildingLocation", "dateTime",
+                       F.bround(F.avg("temperature").over(w), 2).cast("double").alias("avg_temp"),
+                       F.bround(F.avg("humidity").over(w), 2).cast("double").alias("avg_hum")))
+        assert got == _rows(ref), strategy
