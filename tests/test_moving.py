@@ -127,3 +127,35 @@ def test_humidity_scope_level(enriched):
                        F.bround(F.avg("temperature").over(w), 2).cast("double").alias("avg_temp"),
                        F.bround(F.avg("humidity").over(w), 2).cast("double").alias("avg_hum")))
         assert got == _rows(ref), strategy
+
+
+def test_adaptive_widths(spark, enriched):
+    from thermograph.operators.moving import candidate_widths
+    hour = 3600 * 10**6
+    assert candidate_widths([7 * 24 * hour])[:3] == [168 * hour, 84 * hour, 56 * hour]
+    assert candidate_widths([hour, 24 * hour, 168 * hour]) == [hour]
+    assert candidate_widths([30 * 60 * 10**6]) == [30 * 60 * 10**6]
+    plain = _rows(moving_average(enriched, "neighborhood", "week", strategy="plain"))
+    for target in ("1", "50", "100000000"):  # narrowest, middle, widest buckets
+        spark.conf.set("spark.thermograph.bucketRows", target)
+        try:
+            assert _rows(moving_average(enriched, "neighborhood", "week", strategy="prefix")) == plain, target
+        finally:
+            spark.conf.unset("spark.thermograph.bucketRows")
+
+
+def test_adaptive_plan_choice(spark, enriched):
+    from thermograph.operators.moving import _plan_stages, busiest_hours
+    from thermograph.functions.calendar import epoch_micros as em
+    base = enriched.withColumn("_ord", em("dateTime"))
+    b = busiest_hours(base, ["neighborhood", "fullRoomLocation"])
+    assert b["neighborhood"] >= b["fullRoomLocation"] >= 1
+    week = 7 * 86400 * 10**6
+    assert _plan_stages(base, ["neighborhood"], [week], True, 10**9)["neighborhood"][0] == "halo"
+    assert _plan_stages(base, ["neighborhood"], [week], True, 1)["neighborhood"] == ("prefix", 3600 * 10**6)
+    spark.conf.set("spark.thermograph.smallInputBytes", "0")
+    try:
+        plain = _rows(moving_average(enriched, "floor", "day", strategy="plain"))
+        assert _rows(moving_average(enriched, "floor", "day")) == plain
+    finally:
+        spark.conf.unset("spark.thermograph.smallInputBytes")

@@ -45,12 +45,16 @@ SCALE_SENSITIVE = sorted(k for k in QUERIES if k.startswith("moving_avg_") or k.
                          or k in ("actuator_events", "actuator_state"))
 
 
-@pytest.fixture()
-def large_plans(spark):
-    """Force the plans meant for large inputs (bucketed windows) on sf0.01."""
+@pytest.fixture(params=["halo", "prefix"])
+def large_plans(spark, request):
+    """Force the plans meant for large inputs on sf0.01: treated as large, and
+    with a row target of 1 for prefix (every key looks hot: 1-hour buckets)."""
     spark.conf.set("spark.thermograph.smallInputBytes", "0")
+    if request.param == "prefix":
+        spark.conf.set("spark.thermograph.bucketRows", "1")
     yield
     spark.conf.unset("spark.thermograph.smallInputBytes")
+    spark.conf.unset("spark.thermograph.bucketRows")
 
 
 @pytest.mark.parametrize("name", SCALE_SENSITIVE)

@@ -15,9 +15,9 @@ Strategies (a key may hold a large share of all rows -- there are only a
 handful of neighborhoods -- so the default never windows a whole key in one
 task):
 
-``"prefix"`` (default unless the input is small)
-    Time is cut into fine buckets of width ``g`` (1 hour by default, dividing
-    every horizon ``h = m * g``).  For a row at ``t`` in bucket ``b``::
+``"prefix"``
+    Time is cut into buckets of width ``g`` dividing every horizon
+    (``h = m * g``).  For a row at ``t`` in bucket ``b``::
 
         sum[t-h, t] = own(b, <= t) + total(b-m .. b-1) - own(b-m, < t-h)
 
@@ -25,18 +25,26 @@ task):
     growing frame over a *ghost* copy of bucket ``b-m`` shifted forward by
     ``h`` into bucket ``b`` (each row is copied exactly once per horizon).
     The middle term comes from a small table of bucket totals per (key,
-    bucket), joined on (key, bucket).  Work per task is bounded by one fine
-    bucket of one key, whatever the horizon.
+    bucket), joined on (key, bucket).  Work per task is bounded by one
+    bucket of one key, whatever the horizon.  With ``bucket="auto"`` the
+    width is chosen per key from the data, as below.
 ``"halo"``
     Buckets of width ``B`` (default 4 horizons, at least a day); each row also
     goes as a halo copy to the later buckets whose frames reach back to it
     (about ``h / B`` extra rows).  Cheaper (no totals table), but a bucket of
     a hot key holds ``B`` worth of its rows.
 ``"plain"``
-    One window partition per key (the textbook form); chosen by ``"auto"``
-    when the optimizer's size estimate of the input is small
-    (``spark.thermograph.smallInputBytes``, 64 MiB), where one task per key is
-    cheap and the bucket machinery would only add stages.
+    One window partition per key (the textbook form).
+
+``strategy="auto"`` (the default) takes ``plain`` when the optimizer's size
+estimate of the input is small (``spark.thermograph.smallInputBytes``,
+64 MiB): one task per key is cheap there and buckets would only add stages.
+Otherwise one statistics job (a grouping-sets count, one number per window key
+to the driver) finds the busiest (key, hour), and each window key gets
+``halo`` if a halo bucket of its busiest stretch stays under
+``spark.thermograph.bucketRows`` (1,000,000) rows, else ``prefix`` with the
+widest whole-hour bucket that does (one hour at the narrowest): sparse keys
+take the cheap plan, a hot key the bounded one.
 """
 
 from __future__ import annotations
@@ -56,6 +64,9 @@ _US = {"us": 1, "microsecond": 1, "ms": 1000, "millisecond": 1000,
        "day": 86400 * 10**6, "week": 7 * 86400 * 10**6}
 
 _ORD = "_ord"
+# Adaptive prefix buckets aim at most this many rows per (key, bucket)
+# (``spark.thermograph.bucketRows``).
+TARGET_BUCKET_ROWS = 1_000_000
 _SHORT = {"temperature": "temp", "humidity": "hum"}
 HOUR_US = _US["hour"]
 
@@ -77,15 +88,6 @@ def auto_bucket_micros(h_us: int) -> int:
     return max(4 * h_us, _US["day"])
 
 
-def auto_fine_micros(hs: list[int]) -> int:
-    """Default fine bucket for the prefix strategy: one hour, or the largest
-    width dividing every horizon if one hour does not."""
-    g = 0
-    for h in hs:
-        g = gcd(g, h)
-    return HOUR_US if g % HOUR_US == 0 else g
-
-
 def _cents_cols(measures: list[str]) -> dict[str, Column]:
     return {f"_c_{m}": to_cents(m) for m in measures}
 
@@ -145,11 +147,65 @@ def _growing_stage(df: DataFrame, key: str, measures: list[str], hs: dict[str, i
 # --- prefix -------------------------------------------------------------------
 
 def _bucket_totals(base: DataFrame, keys: list[str], measures: list[str], g: int) -> DataFrame:
-    """Sum and count of hundredths per (keys, fine bucket) for timed rows."""
+    """Sum and count of hundredths, and rows, per (keys, fine bucket) for
+    timed rows."""
     return (base.where(F.col(_ORD).isNotNull())
             .groupBy(*keys, floor_div(_ORD, g).alias("_b"))
-            .agg(*[e for m in measures for e in (
-                F.sum(f"_c_{m}").alias(f"_ts_{m}"), F.count(f"_c_{m}").alias(f"_tn_{m}"))]))
+            .agg(F.count(F.lit(1)).alias("_rows"),
+                 *[e for m in measures for e in (
+                     F.sum(f"_c_{m}").alias(f"_ts_{m}"), F.count(f"_c_{m}").alias(f"_tn_{m}"))]))
+
+
+def candidate_widths(hs: list[int]) -> list[int]:
+    """Bucket widths for the prefix strategy, widest first: whole hours
+    dividing every horizon (or the common divisor itself below an hour)."""
+    g = 0
+    for h in hs:
+        g = gcd(g, h)
+    if g % HOUR_US:
+        return [g]
+    units = g // HOUR_US
+    return [d * HOUR_US for d in range(units, 0, -1) if units % d == 0]
+
+
+def busiest_hours(base: DataFrame, keys: list[str]) -> dict[str, int]:
+    """Most rows any single (key, hour) holds, for every key column: one
+    scan with grouping sets and partial aggregation; one number per key
+    reaches the driver."""
+    keys = list(dict.fromkeys(keys))
+    x = base.where(F.col(_ORD).isNotNull()).select(*keys, floor_div(_ORD, HOUR_US).alias("_h"))
+    if len(keys) == 1:
+        r = x.groupBy(keys[0], "_h").agg(F.count(F.lit(1)).alias("_r")).agg(F.max("_r")).first()[0]
+        return {keys[0]: r or 0}
+    n = len(keys)
+    # grouping_id: a set bit for every column left out of the set, first column highest
+    gid = {sum(1 << (n - j) for j in range(n) if j != i): keys[i] for i in range(n)}
+    per = (x.groupingSets([[k, "_h"] for k in keys], *keys, "_h")
+           .agg(F.count(F.lit(1)).alias("_r"), F.grouping_id().alias("_gid"))
+           .groupBy("_gid").agg(F.max("_r").alias("r")))
+    out = {k: 0 for k in keys}
+    for row in per.collect():
+        out[gid[row["_gid"]]] = row["r"] or 0
+    return out
+
+
+def _plan_stages(base: DataFrame, stage_keys: list[str], hs: list[int], adaptive_halo: bool,
+                 target_rows: int) -> dict[str, tuple[str, int]]:
+    """Per window key: ``("halo", B)`` when a halo bucket of the busiest key
+    stays under the row target (and ``adaptive_halo``), else ``("prefix", g)``
+    with the widest bucket that does (one hour at the narrowest)."""
+    busiest = busiest_hours(base, stage_keys)
+    halo_b = auto_bucket_micros(max(hs))
+    widths = candidate_widths(hs)
+    plan = {}
+    for k in dict.fromkeys(stage_keys):
+        r = busiest.get(k, 0)
+        if adaptive_halo and r * -(-halo_b // HOUR_US) <= target_rows:
+            plan[k] = ("halo", halo_b)
+            continue
+        fit = [w for w in widths if r * max(w // HOUR_US, 1) <= target_rows]
+        plan[k] = ("prefix", fit[0] if fit else widths[-1])
+    return plan
 
 
 def _span_totals(totals: DataFrame, key: str, measures: list[str], ms: dict[str, int],
@@ -224,16 +280,19 @@ def _prefix_stage(rows: DataFrame, key: str, measures: list[str], hs: dict[str,
 # --- public -------------------------------------------------------------------
 
 def _resolve(strategy: str, bucket, hs: list[int], df: DataFrame) -> tuple[str, int | None]:
-    if strategy == "auto":
-        # small inputs: one window partition per key; else bounded buckets
-        strategy = "plain" if is_small(df) else "prefix"
     if bucket is False or bucket is None or strategy == "plain":
         return "plain", None
+    if strategy == "auto":
+        # small inputs: one window partition per key; else chosen per key
+        # from the data (halo or prefix buckets)
+        return ("plain", None) if is_small(df) else ("adaptive", None)
     if strategy == "halo":
         width = auto_bucket_micros(max(hs)) if bucket in ("auto", True) else horizon_micros(bucket)
         return "halo", width
     if strategy == "prefix":
-        g = auto_fine_micros(hs) if bucket in ("auto", True) else horizon_micros(bucket)
+        if bucket in ("auto", True):
+            return "prefix", None  # chosen per window key from the data
+        g = horizon_micros(bucket)
         if any(h % g for h in hs):
             raise ValueError(f"fine bucket {g}us must divide every horizon {hs}")
         return "prefix", g
@@ -245,24 +304,29 @@ def _run_stages(df: DataFrame, keys: list[str], stages: list[tuple[str, list[str
     """Chains one window stage per (key, measures, output tag) over the rows
     of ``df``; the rows keep every earlier stage's outputs."""
     names = list(hs)
-    room = LEVEL_KEY["room"]
     base = (df.select(*keys, "dateTime", "temperature", "humidity")
             .withColumn(_ORD, epoch_micros("dateTime"))
             .withColumns(_cents_cols(["temperature", "humidity"])))
     rows = base
-    if strategy == "prefix":
-        # one small totals table for every stage: grouped by room, which
-        # fixes every coarser key
-        totals = _bucket_totals(base, keys, ["temperature", "humidity"], width)
-        ms = {nm: h // width for nm, h in hs.items()}
+    stage_keys = [k for k, _, _ in stages]
+    if strategy in ("adaptive", "prefix") and width is None:
+        conf = df.sparkSession.conf.get("spark.thermograph.bucketRows", None)
+        target = int(conf) if conf else TARGET_BUCKET_ROWS
+        plan = _plan_stages(base, stage_keys, list(hs.values()), strategy == "adaptive", target)
+    else:
+        plan = {k: (strategy, width) for k in stage_keys}
     for k, measures, tag in stages:
-        if strategy == "prefix":
-            spans = _span_totals(totals, k, measures, ms, unique=(k == room))
+        how, w = plan[k]
+        if how == "prefix":
+            ms = {nm: h // w for nm, h in hs.items()}
+            # bucket totals of this key: a partial aggregate, one row per (key, bucket)
+            totals = _bucket_totals(base, [k], measures, w)
+            spans = _span_totals(totals, k, measures, ms, unique=True)
             payload = [c for c in rows.columns
                        if c not in (k, _ORD) and not c.startswith("_c_")]
-            rows = _prefix_stage(rows, k, measures, hs, width, spans, payload)
+            rows = _prefix_stage(rows, k, measures, hs, w, spans, payload)
         else:
-            rows = _growing_stage(rows, k, measures, hs, width if strategy == "halo" else None)
+            rows = _growing_stage(rows, k, measures, hs, w if how == "halo" else None)
         rows = _drop_sums(rows.withColumns(_mean_cols(measures, names, tag)), measures, names)
     return rows.drop(_ORD, "_c_temperature", "_c_humidity")
 
