@@ -27,6 +27,17 @@ HOUR_US = 3600 * 10**6
 DEFAULT_LIMITS = {"temperature": TEMPERATURE_LIMIT, "humidity": HUMIDITY_LIMIT}
 
 
+def _auto_bucket(df: DataFrame, key: str) -> int:
+    from thermograph.operators.moving import TARGET_BUCKET_ROWS, busiest_hours
+    conf = df.sparkSession.conf.get("spark.thermograph.bucketRows", None)
+    target = int(conf) if conf else TARGET_BUCKET_ROWS
+    r = busiest_hours(df, [key])[key]
+    for width in (7 * DAY_US, DAY_US):
+        if r * (width // HOUR_US) <= target:
+            return width
+    return HOUR_US
+
+
 def signal(value: Column | str, limit: float) -> Column:
     """1 above the limit, 0 below it, null at the limit or for a null value."""
     v = F.col(value) if isinstance(value, str) else value
@@ -63,16 +74,20 @@ def actuator_states(readings: DataFrame, limits: dict[str, float] | None = None,
     ``<m>`` as 0/1) gives the states before the first message, e.g. the state
     left by earlier micro-batches; missing keys start off.  ``bucket_us``:
     time bucket width in microseconds, None for one partition per key, or
-    "auto" (1 hour, or None for an input the optimizer estimates small)."""
+    "auto": None for an input the optimizer estimates small, else the widest
+    of 7 days / 1 day / 1 hour whose busiest (key, bucket) stays under
+    ``spark.thermograph.bucketRows`` rows."""
     limits = limits or DEFAULT_LIMITS
-    if bucket_us == "auto":
-        # one window partition per key only for inputs estimated small
-        bucket_us = None if is_small(readings) else HOUR_US
     key = location if scope == "location" else "_scope"
     df = readings
     if scope != "location":
         df = df.withColumn("_scope", F.lit("all"))
     df = df.withColumn("_ord", epoch_micros(ts))
+    if bucket_us == "auto":
+        # one window partition per key only for inputs estimated small;
+        # otherwise the widest bucket keeping the busiest (key, bucket) under
+        # the row target, from one statistics job
+        bucket_us = None if is_small(readings) else _auto_bucket(df, key)
     df = df.withColumns({
         "_bucket": floor_div("_ord", bucket_us) if bucket_us else F.lit(0).cast("bigint"),
         **{f"_sig_{m}": signal(m, lim) for m, lim in limits.items()},
