@@ -1,0 +1,2 @@
+"""Jobs and the query registry (imported lazily: ``thermograph.plans.catalog``,
+``thermograph.plans.stats``, ``thermograph.plans.generate``)."""
