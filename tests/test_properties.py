@@ -93,3 +93,19 @@ def test_actuator_plans_equal_brute_force(spark, rows):
     for bucket in (None, 3600 * 10**6, 86400 * 10**6):
         got = actuator_states(df, {"temperature": 30}, bucket_us=bucket).collect()
         assert {ids[r.event_id]: (r.temperature_state, r.temperature_event) for r in got} == want, bucket
+
+
+def test_null_locations_all_plans(spark):
+    d = dt.datetime
+    rows = [(None, d(2022, 3, 1, 0, 0), "10.00", "1.00"), (None, d(2022, 3, 1, 2, 0), "20.00", "2.00"),
+            (None, d(2022, 3, 1, 4, 30), "31.00", "3.00"), ("A.0.S.1", d(2022, 3, 1, 1), "40.00", "4.00"),
+            (None, d(2022, 3, 1, 5, 0), "29.00", None)]
+    df = enrich(readings_df(spark, rows)).cache()
+    want = sorted((tuple(r) for r in moving_average(df, "room", "1 day", strategy="plain").collect()), key=repr)
+    for strategy, bucket in (("prefix", "1 hour"), ("halo", "1 day"), ("prefix", "auto")):
+        got = moving_average(df, "room", "1 day", strategy=strategy, bucket=bucket).collect()
+        assert sorted((tuple(r) for r in got), key=repr) == want, (strategy, bucket)
+    raw = readings_df(spark, rows).withColumn("event_id", F.monotonically_increasing_id())
+    plain = sorted((tuple(r) for r in actuator_states(raw, bucket_us=None).collect()), key=repr)
+    hourly = sorted((tuple(r) for r in actuator_states(raw, bucket_us=3600 * 10**6).collect()), key=repr)
+    assert plain == hourly

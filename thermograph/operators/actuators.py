@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from thermograph.constants import HUMIDITY_LIMIT, TEMPERATURE_LIMIT
 from thermograph.functions.calendar import epoch_micros, floor_div
-from thermograph.session import is_small
+from thermograph.session import is_small, join_null_safe, key_parts
 
 DAY_US = 86400 * 10**6
 HOUR_US = 3600 * 10**6
@@ -105,16 +105,18 @@ def actuator_states(readings: DataFrame, limits: dict[str, float] | None = None,
     if initial is not None:
         init = initial.select(F.col(location).alias(key) if scope == "location" else F.lit("all").alias(key),
                               *[F.col(m).cast("int").alias(f"_init_{m}") for m in limits])
-        carry = carry.join(init, [key], "left").select(
+        carry = join_null_safe(carry, init, [key]).select(
             key, "_bucket", *[F.coalesce(f"_carry_{m}", f"_init_{m}").alias(f"_carry_{m}") for m in limits])
-    w = Window.partitionBy(key, "_bucket").orderBy("_ord", tiebreak)
+    df = df.withColumns(key_parts(key))
+    w = Window.partitionBy("_kn", "_kv", "_bucket").orderBy("_ord", tiebreak)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prior = w.rowsBetween(Window.unboundedPreceding, -1)
     local = df.withColumns({
         **{f"_now_{m}": F.last(f"_sig_{m}", ignorenulls=True).over(upto) for m in limits},
         **{f"_was_{m}": F.last(f"_sig_{m}", ignorenulls=True).over(prior) for m in limits},
     })
-    j = local.join(carry, [key, "_bucket"], "left")
+    # keyed like the window, so the join reuses its partitioning
+    j = local.join(carry.withColumns(key_parts(key)).drop(key), ["_kn", "_kv", "_bucket"], "left")
     out = [key, tiebreak, ts, *keep]
     cols = {}
     for m in limits:

@@ -57,7 +57,7 @@ from pyspark.sql import functions as F
 from thermograph.constants import HORIZONS, LEVEL_KEY
 from thermograph.functions.calendar import epoch_micros, floor_div
 from thermograph.functions.exact import cents_to_double, half_even_div, to_cents
-from thermograph.session import is_small
+from thermograph.session import is_small, key_parts
 
 _US = {"us": 1, "microsecond": 1, "ms": 1000, "millisecond": 1000,
        "s": 10**6, "second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6,
@@ -248,7 +248,8 @@ def _prefix_stage(rows: DataFrame, key: str, measures: list[str], hs: dict[str,
         # ghosts carry only what the frame sums need
         **{p: F.when(own, F.col(p)) for p in payload},
     }).drop("_b0")
-    w = Window.partitionBy(key, "_b").orderBy("_t")
+    x = x.withColumns(key_parts(key))
+    w = Window.partitionBy("_kn", "_kv", "_b").orderBy("_t")
     upto = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     strictly_before = w.rangeBetween(Window.unboundedPreceding, -1)
     cols: dict[str, Column] = {}
@@ -261,7 +262,8 @@ def _prefix_stage(rows: DataFrame, key: str, measures: list[str], hs: dict[str,
             cols[f"_gs_{m}_{nm}"] = F.sum(F.when(gi, c)).over(strictly_before)
             cols[f"_gn_{m}_{nm}"] = F.count(F.when(gi, c)).over(strictly_before)
     x = x.withColumns(cols).where(own)
-    x = x.join(spans, [key, "_b"], "left")
+    # spans are keyed the same way: the join reuses the window's partitioning
+    x = x.join(spans.withColumns(key_parts(key)).drop(key), ["_kn", "_kv", "_b"], "left")
     timed = F.col(_ORD).isNotNull()
     out: dict[str, Column] = {}
     for m in measures:
@@ -272,7 +274,7 @@ def _prefix_stage(rows: DataFrame, key: str, measures: list[str], hs: dict[str,
                                                   - F.coalesce(F.col(f"_g{p}_{m}_{nm}"), F.lit(0)))
                                          .otherwise(F.lit(0)))
     x = x.withColumns(out)
-    drop = ["_k", "_t", "_b"] + [f"_o{p}_{m}" for m in measures for p in ("s", "n")]
+    drop = ["_k", "_t", "_b", "_kn", "_kv"] + [f"_o{p}_{m}" for m in measures for p in ("s", "n")]
     drop += [f"_{a}{p}_{m}_{nm}" for a in ("g", "d") for p in ("s", "n") for m in measures for nm in names]
     return x.drop(*drop)
 

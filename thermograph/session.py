@@ -105,3 +105,27 @@ def delete_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def key_parts(key: str) -> dict:
+    """Two columns standing for ``key`` in partitioning and joins:
+    ``_kn`` (key is null) and ``_kv`` (key as text, '' when null).  They group
+    exactly as the key does (null keys together, apart from '') and make
+    joins on null keys plain equi-joins, so a join on them reuses a window's
+    partitioning on them instead of shuffling again."""
+    from pyspark.sql import functions as F
+    return {"_kn": F.col(key).isNull(), "_kv": F.coalesce(F.col(key).cast("string"), F.lit(""))}
+
+
+def join_null_safe(left, right, keys: list[str], how: str = "left"):
+    """Equi-join on ``keys`` where null keys match each other (``<=>``), as
+    grouping and window partitioning treat them; the right key columns are
+    dropped.  Still an equi-join for the planner (hash / sort-merge)."""
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c)
+                             for c in right.columns])
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
