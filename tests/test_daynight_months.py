@@ -111,3 +111,15 @@ def test_float_variant_agrees_without_ties(spark):
     a = day_night_diff_float(df, "room").first()
     b = day_night_diff(df, "room").first()
     assert (a.day_temp, a.night_temp, a.temp_diff, a.hum_diff) == (b.day_temp, b.night_temp, b.temp_diff, b.hum_diff)
+
+
+def test_null_location_has_no_difference(spark):
+    d = dt.datetime
+    rows = [(None, d(2022, 3, 1, 9), "10.00", "50.00"), (None, d(2022, 3, 1, 22), "8.00", "40.00"),
+            ("A.0.S.1", d(2022, 3, 1, 9), "10.00", "50.00"), ("A.0.S.1", d(2022, 3, 1, 22), "8.00", "40.00")]
+    df = enrich(readings_df(spark, rows))
+    for lv in LEVELS:
+        a = _sorted(day_night_diff(df, lv))
+        assert a == _sorted(day_night_diff_join(df, lv)) == _sorted(
+            day_night_diff_from_partials(room_day_partials(df), lv)), lv
+    assert len(_sorted(day_night_diff(df, "room"))) == 1

@@ -54,7 +54,9 @@ def _conditional_sums() -> list:
 
 
 def _diff_from_sums(agg: DataFrame, key: str) -> DataFrame:
-    agg = agg.where((F.col("_dn") > 0) & (F.col("_nn") > 0))
+    # A null key never pairs a day side with a night side (an equality
+    # match), so it has no difference.
+    agg = agg.where((F.col("_dn") > 0) & (F.col("_nn") > 0) & F.col(key).isNotNull())
     cents = agg.select(
         "day", key,
         half_even_div("_dts", "_dtn").alias("_dt"),
