@@ -90,3 +90,10 @@ def test_generated_dataset_round_trip(spark, tmp_path):
     assert back.count() <= 2000 and back.where("dateTime IS NULL").count() == 0
     times = [r.dateTime for r in back.collect()]
     assert times == sorted(times)
+
+
+def test_csv_timestamp_format(spark, tmp_path):
+    p = tmp_path / "eu.csv"
+    p.write_text("Location;Date Time;Temperature;Humidity\nA.0.S.1;03/09/2022 15:01;31.20;58.40\n")
+    r = read_readings_csv(spark, str(p), timestamp_format="dd/MM/yyyy HH:mm").first()
+    assert r.dateTime == dt.datetime(2022, 9, 3, 15, 1)

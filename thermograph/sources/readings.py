@@ -30,13 +30,19 @@ def readings_schema(measure_type: T.DataType | None = None,
 
 def read_readings_csv(spark: SparkSession, path: str, *,
                       measure_type: T.DataType | None = None,
-                      time_type: T.DataType | None = None) -> DataFrame:
+                      time_type: T.DataType | None = None,
+                      timestamp_format: str | None = None) -> DataFrame:
     """``;``-separated readings with a header, bound to the schema by position
-    (header names are ignored, so ``Date Time`` and ``dateTime`` both load)."""
-    return (spark.read.schema(readings_schema(measure_type, time_type))
-            .option("header", "true").option("sep", ";")
-            .option("enforceSchema", "true")
-            .csv(path))
+    (header names are ignored, so ``Date Time`` and ``dateTime`` both load).
+
+    Times parse with Spark's default rules (``yyyy-MM-dd HH:mm`` and
+    ``yyyy-MM-dd HH:mm:ss`` both work) unless ``timestamp_format`` is given."""
+    r = (spark.read.schema(readings_schema(measure_type, time_type))
+         .option("header", "true").option("sep", ";")
+         .option("enforceSchema", "true"))
+    if timestamp_format:
+        r = r.option("timestampFormat", timestamp_format)
+    return r.csv(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
