@@ -10,7 +10,6 @@ from conftest import SF001, readings_df
 from thermograph.operators.actuators import actuator_events, actuator_states, actuator_transitions
 from thermograph.sources.messages import telemetry_messages
 from thermograph.sources.readings import sensor_readings
-from thermograph.streaming.actuators import actuator_state_stream
 from thermograph.streaming.telemetry import actuators as actuator_job
 from thermograph.streaming.telemetry import location_assignment, telemetry_ingest
 
