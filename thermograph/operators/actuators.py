@@ -92,21 +92,6 @@ def actuator_states(readings: DataFrame, limits: dict[str, float] | None = None,
         "_bucket": floor_div("_ord", bucket_us) if bucket_us else F.lit(0).cast("bigint"),
         **{f"_sig_{m}": signal(m, lim) for m, lim in limits.items()},
     })
-    # Last signal of each (key, bucket), ordered by (time, tiebreak).  The
-    # order is packed into one DECIMAL(38,0) so the aggregate stays a hash
-    # aggregate (a struct ordering would force a sort of every input row).
-    order_key = _packed_order("_ord", tiebreak, dict(df.dtypes)[tiebreak])
-    lasts = df.groupBy(key, "_bucket").agg(*[
-        F.max_by(F.col(f"_sig_{m}"), F.when(F.col(f"_sig_{m}").isNotNull(), order_key))
-        .alias(f"_last_{m}") for m in limits])
-    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carry = lasts.select(key, "_bucket", *[
-        F.last(f"_last_{m}", ignorenulls=True).over(before).alias(f"_carry_{m}") for m in limits])
-    if initial is not None:
-        init = initial.select(F.col(location).alias(key) if scope == "location" else F.lit("all").alias(key),
-                              *[F.col(m).cast("int").alias(f"_init_{m}") for m in limits])
-        carry = join_null_safe(carry, init, [key]).select(
-            key, "_bucket", *[F.coalesce(f"_carry_{m}", f"_init_{m}").alias(f"_carry_{m}") for m in limits])
     df = df.withColumns(key_parts(key))
     w = Window.partitionBy("_kn", "_kv", "_bucket").orderBy("_ord", tiebreak)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -115,8 +100,11 @@ def actuator_states(readings: DataFrame, limits: dict[str, float] | None = None,
         **{f"_now_{m}": F.last(f"_sig_{m}", ignorenulls=True).over(upto) for m in limits},
         **{f"_was_{m}": F.last(f"_sig_{m}", ignorenulls=True).over(prior) for m in limits},
     })
-    # keyed like the window, so the join reuses its partitioning
-    j = local.join(carry.withColumns(key_parts(key)).drop(key), ["_kn", "_kv", "_bucket"], "left")
+    if bucket_us or initial is not None:
+        j = _with_carry(df, local, key, limits, tiebreak, location, scope, initial)
+    else:
+        # one partition per key and nothing before it: no state to carry in
+        j = local.withColumns({f"_carry_{m}": F.lit(None).cast("int") for m in limits})
     out = [key, tiebreak, ts, *keep]
     cols = {}
     for m in limits:
@@ -131,6 +119,28 @@ def actuator_states(readings: DataFrame, limits: dict[str, float] | None = None,
     return res
 
 
+def _with_carry(df: DataFrame, local: DataFrame, key: str, limits: dict[str, float],
+                tiebreak: str, location: str, scope: str, initial: DataFrame | None) -> DataFrame:
+    """Joins to every row the state entering its (key, bucket)."""
+    # Last signal of each (key, bucket), ordered by (time, tiebreak).  The
+    # order is packed into one DECIMAL(38,0) so the aggregate stays a hash
+    # aggregate (a struct ordering would force a sort of every input row).
+    order_key = _packed_order("_ord", tiebreak, dict(df.dtypes)[tiebreak])
+    lasts = df.groupBy(key, "_bucket").agg(*[
+        F.max_by(F.col(f"_sig_{m}"), F.when(F.col(f"_sig_{m}").isNotNull(), order_key))
+        .alias(f"_last_{m}") for m in limits])
+    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carry = lasts.select(key, "_bucket", *[
+        F.last(f"_last_{m}", ignorenulls=True).over(before).alias(f"_carry_{m}") for m in limits])
+    if initial is not None:
+        init = initial.select(F.col(location).alias(key) if scope == "location" else F.lit("all").alias(key),
+                              *[F.col(m).cast("int").alias(f"_init_{m}") for m in limits])
+        carry = join_null_safe(carry, init, [key]).select(
+            key, "_bucket", *[F.coalesce(f"_carry_{m}", f"_init_{m}").alias(f"_carry_{m}") for m in limits])
+    # keyed like the window, so the join reuses its partitioning
+    return local.join(carry.withColumns(key_parts(key)).drop(key), ["_kn", "_kv", "_bucket"], "left")
+
+
 def actuator_transitions(readings: DataFrame, metric: str = "temperature",
                          limit: float | None = None, **kw) -> DataFrame:
     """Messages that switch one actuator: <key>, event_id, dateTime, value,
