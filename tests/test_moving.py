@@ -159,3 +159,19 @@ def test_adaptive_plan_choice(spark, enriched):
         assert _rows(moving_average(enriched, "floor", "day")) == plain
     finally:
         spark.conf.unset("spark.thermograph.smallInputBytes")
+
+
+def test_all_levels_adaptive(spark, enriched):
+    from thermograph.operators.moving import level_view, moving_averages_all_levels
+    plain = moving_averages_all_levels(enriched, strategy="plain")
+    for target in (None, "1"):
+        spark.conf.set("spark.thermograph.smallInputBytes", "0")
+        if target:
+            spark.conf.set("spark.thermograph.bucketRows", target)
+        try:
+            got = moving_averages_all_levels(enriched)
+            for lv in ("room", "neighborhood"):
+                assert _rows(level_view(got, lv)) == _rows(level_view(plain, lv)), (target, lv)
+        finally:
+            spark.conf.unset("spark.thermograph.smallInputBytes")
+            spark.conf.unset("spark.thermograph.bucketRows")
