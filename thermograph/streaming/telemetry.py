@@ -13,6 +13,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from thermograph.constants import DATA_PREFIX
 from thermograph.operators.telemetry import config_replies, filter_topics, parse_telemetry
 from thermograph.session import checkpoint_dir
 from thermograph.sinks.streams import epoch_parquet_writer
@@ -34,18 +35,14 @@ def _start(df: DataFrame, name: str, out_path: str, spark: SparkSession,
 
 
 def telemetry_ingest(spark: SparkSession, messages_path: str, out_path: str, *,
-                     prefix: str | None = None, checkpoint: str | None = None,
+                     prefix: str = DATA_PREFIX, checkpoint: str | None = None,
                      available_now: bool = False, trigger_seconds: int | None = None,
                      max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Messages landed as files -> reading rows (location, dateTime,
-    temperature, humidity, sensor id) appended per micro-batch."""
+    temperature, humidity, sensor id) appended per micro-batch; only topics
+    under ``prefix`` are read, malformed payloads are dropped."""
     msgs = read_message_stream(spark, messages_path, max_files_per_trigger=max_files_per_trigger)
-    if prefix is not None:
-        msgs = filter_topics(msgs, prefix)
-        rows = parse_telemetry(msgs, prefix)
-    else:
-        msgs = filter_topics(msgs)
-        rows = parse_telemetry(msgs)
+    rows = parse_telemetry(filter_topics(msgs, prefix), prefix)
     return _start(rows, "telemetry_ingest", out_path, spark, checkpoint,
                   available_now, trigger_seconds)
 
