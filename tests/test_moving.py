@@ -175,3 +175,14 @@ def test_all_levels_adaptive(spark, enriched):
         finally:
             spark.conf.unset("spark.thermograph.smallInputBytes")
             spark.conf.unset("spark.thermograph.bucketRows")
+
+
+def test_busiest_hours_grouping_sets(enriched):
+    from thermograph.operators.moving import busiest_hours
+    base = enriched.withColumn("_ord", epoch_micros("dateTime"))
+    keys = ["fullRoomLocation", "fullFloorLocation", "fullBuildingLocation", "neighborhood"]
+    got = busiest_hours(base, keys)
+    for k in keys:
+        direct = (base.groupBy(k, F.floor(F.col("_ord") / 3600000000)).count()
+                  .agg(F.max("count")).first()[0])
+        assert got[k] == direct, k
