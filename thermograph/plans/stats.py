@@ -61,8 +61,9 @@ def run(spark: SparkSession, readings: DataFrame, out_dir: str, *,
                 written[name] = write_csv(diff, os.path.join(out_dir, name))
                 if written[name]:
                     mname = f"maxMonth{_TITLE[lv]}"
-                    written[mname] = write_csv(max_month(diff).orderBy("month"),  # <= 12 rows
-                                                  os.path.join(out_dir, mname))
+                    # at most 12 rows, written in month order
+                    written[mname] = write_csv(max_month(diff).orderBy("month"),
+                                               os.path.join(out_dir, mname))
         if moving:
             # All levels in one pass (humidity is windowed by room for every
             # level, so it is computed once), written once to the shared folder
