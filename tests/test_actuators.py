@@ -174,3 +174,25 @@ def test_checkpoint_dir_required_on_clusters():
                            sparkContext=SimpleNamespace(master="yarn"))
     with pytest.raises(RuntimeError):
         checkpoint_dir(fake)
+
+
+def test_transitions_stream(spark, landed, tmp_path):
+    import glob
+
+    from thermograph.operators.telemetry import parse_telemetry
+    from thermograph.sources.messages import read_message_stream
+    from thermograph.streaming.actuators import transitions_stream
+    files = sorted(glob.glob(os.path.join(landed, "batch=*", "*.parquet")))
+    flat = tmp_path / "flat"
+    flat.mkdir()
+    for i, f in enumerate(files):
+        os.link(f, flat / f"part-{i:03d}.parquet")
+    rows = parse_telemetry(read_message_stream(spark, str(flat), max_files_per_trigger=1))
+    q = (transitions_stream(rows, "temperature").writeStream.format("memory")
+         .queryName("temp_transitions").option("checkpointLocation", str(tmp_path / "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = spark.sql("SELECT location, event_id, temperature_event FROM temp_transitions")
+    want = actuator_transitions(sensor_readings(spark, SF001), "temperature") \
+        .select("location", "event_id", F.col("action").alias("temperature_event"))
+    assert _rows(got) == _rows(want)
