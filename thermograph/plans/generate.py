@@ -45,7 +45,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--seed", type=int, default=7)
     ap.add_argument("--out", required=True)
     args = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("thermograph-generate").getOrCreate()
+    spark = (SparkSession.builder.appName("thermograph-generate")
+             .config("spark.ui.enabled", "false").getOrCreate())
     apply_job_conf(spark)
     write_dataset(spark, args.rows, args.out, args.seed)
 

@@ -99,7 +99,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True, help="output directory")
     ap.add_argument("--split-horizons", action="store_true")
     args = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("thermograph-stats").getOrCreate()
+    spark = (SparkSession.builder.appName("thermograph-stats")
+             .config("spark.ui.enabled", "false").getOrCreate())
     apply_job_conf(spark)  # UTC before the CSV times are parsed
     res = run(spark, read_readings_csv(spark, args.input), args.out,
               split_horizons=args.split_horizons)
