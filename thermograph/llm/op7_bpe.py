@@ -6,9 +6,10 @@ Encoding, for texts of any number and length:
    consecutive documents into *chunks* of about ``CHUNK_WORDS`` pre-tokens and
    numbers the distinct words of a chunk: the positions of a document become a
    list of those numbers, so a word travels once per chunk, not per occurrence.
-2. (chunk, number, word) rows are shuffled by word.  All rows of a word meet,
-   sorted, and each distinct word of the whole input is merged once.  A word
-   has at most one row per chunk, so no word is a hot key.
+2. Words are shuffled by word: by a hash into buckets, a chunk's words of one
+   bucket packed into a row.  All occurrences of a word meet, and each distinct
+   word of the whole input is merged once.  A word comes at most once per
+   chunk, so no word is a hot key.
 3. The ids go back to the chunk, join its documents there, and are put
    together by position.
 
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
@@ -85,17 +87,29 @@ def splitter(pattern: str, other: dict[int, str]) -> Callable[[str], list[str]]:
     return split
 
 
-def _pack(slots: np.ndarray) -> bytes:
-    """Numbers below 2**32 as a compressed blob, byte planes apart."""
+def _pack(*parts: np.ndarray | bytes) -> bytes:
+    """Numbers below 2**32 (byte planes apart) and bytes as one compressed blob."""
     import zstandard
-    planes = slots.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    out = []
+    for part in parts:
+        if not isinstance(part, bytes):
+            part = part.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+        out += [len(part).to_bytes(8, "little"), part]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
 
 
-def _unpack(blob: bytes) -> np.ndarray:
+def _unpack(blob: bytes, numbers: int) -> list:
+    """The parts of a blob, the first ``numbers`` of them as numbers."""
     import zstandard
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+    data, at, out = zstandard.ZstdDecompressor().decompress(blob), 0, []
+    while at < len(data):
+        end = at + 8 + int.from_bytes(data[at:at + 8], "little")
+        part, at = data[at + 8:end], end
+        if len(out) < numbers:
+            planes = np.frombuffer(part, np.uint8).reshape(4, -1)
+            part = np.ascontiguousarray(planes.T).view("<u4").ravel()
+        out.append(part)
+    return out
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], pattern: str, other, packed: bool):
@@ -128,13 +142,24 @@ def _chunks(batches: Iterator[pa.RecordBatch], pattern: str, other, packed: bool
         yield name(), ids, blobs, words
 
 
-def _words(pattern: str, other):
+def _words(pattern: str, other, buckets: int):
+    """Distinct words of each chunk, one row for each bucket of words."""
     def run(batches):
         for chunk, _, _, words in _chunks(batches, pattern, other, False):
-            n = len(words)
+            data = [w.encode() for w in words]
+            bucket = np.fromiter(map(zlib.crc32, data), np.int64, len(data)) % buckets
+            order = np.argsort(bucket, kind="stable")
+            cut = np.flatnonzero(np.diff(bucket[order])) + 1
+            rows = [own for own in np.split(order, cut) if len(own)]
+            blobs = []
+            for own in rows:
+                mine = [data[k] for k in own.tolist()]
+                blobs.append(_pack(own, np.fromiter(map(len, mine), np.int64, len(mine)),
+                                   b"".join(mine)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, chunk, np.int64)), pa.array(np.arange(n, dtype=np.int32)),
-                 pa.array(list(words), pa.string())], ["chunk", "slot", "word"])
+                [pa.array(np.full(len(rows), chunk, np.int64)),
+                 pa.array([int(bucket[own[0]]) for own in rows], pa.int32()),
+                 pa.array(blobs, pa.binary())], ["chunk", "bucket", "words"])
     return run
 
 
@@ -151,29 +176,41 @@ def _positions(pattern: str, other, id_type: pa.DataType):
 
 
 def _merge(ranks):
-    """ids of each word; rows are sorted by word, so each word is merged once."""
+    """ids of the words; rows are sorted by bucket, and a word has one bucket, so
+    each distinct word is merged once."""
     def run(batches):
         import tiktoken
         # One pattern match is the whole piece: it has been split already.
         merge = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks.value,
                                   special_tokens={}).encode_ordinary
-        last, ids = None, b""
+        known: dict[bytes, list[int]] = {}
+        last = None
         for batch in batches:
             out = []
-            for word in batch.column("word").to_pylist():
-                if word != last:
-                    last, ids = word, np.array(merge(word), "<u4").tobytes()
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("chunk"), batch.column("slot"), pa.array(out, pa.binary())],
-                ["chunk", "slot", "ids"])
+            for bucket, blob in zip(batch.column("bucket").to_pylist(),
+                                    batch.column("words").to_pylist(), strict=True):
+                if bucket != last:
+                    known, last = {}, bucket
+                slots, size, data = _unpack(blob, 2)
+                ids, n, at = [], [], 0
+                for end in np.cumsum(size, dtype=np.int64).tolist():
+                    word = data[at:end]
+                    own = known.get(word)
+                    if own is None:
+                        own = known[word] = merge(word.decode())
+                    ids += own
+                    n.append(len(own))
+                    at = end
+                out.append(_pack(slots, np.array(n, np.uint32), np.array(ids, np.uint32)))
+            yield pa.RecordBatch.from_arrays([batch.column("chunk"), pa.array(out, pa.binary())],
+                                             ["chunk", "ids"])
     return run
 
 
 def _assemble(finish: Callable | None, id_type: pa.DataType):
     """Documents' ids from rows sorted by (chunk, kind): words, then documents."""
     def parts(batches):
-        chunk, slots, pieces, flat = None, [], [], None
+        chunk, held, table = None, [], None
         for batch in batches:
             names = batch.column("chunk").to_numpy()
             cut = np.flatnonzero(names[1:] != names[:-1]) + 1
@@ -181,44 +218,41 @@ def _assemble(finish: Callable | None, id_type: pa.DataType):
                 if j == i:
                     continue
                 if names[i] != chunk:
-                    chunk, slots, pieces, flat = names[i], [], [], None
+                    chunk, held, table = names[i], [], None
                 rows = batch.slice(i, j - i)
-                is_doc = rows.column("kind").to_numpy()
-                w = int((is_doc == 0).sum())
-                if w:
-                    slots.append(rows.column("slot").slice(0, w).to_numpy())
-                    pieces += rows.column("data").slice(0, w).to_pylist()
+                w = int((rows.column("kind").to_numpy() == 0).sum())
+                held += [_unpack(x, 3) for x in rows.column("data").slice(0, w).to_pylist()]
                 if w == len(rows):
                     continue
                 docs = rows.slice(w)
-                if flat is None:
-                    if slots:
-                        _, order = np.unique(np.concatenate(slots), return_index=True)
-                        pieces = [pieces[x] for x in order]
-                    size = np.array([len(x) // 4 for x in pieces], np.int64)
-                    begin = np.concatenate(([0], np.cumsum(size)))
-                    flat = np.frombuffer(b"".join(pieces), "<u4").astype(np.int32)
-                if len(pieces) != docs.column("slot")[0].as_py():
+                if table is None:
+                    slots, size, flat = (np.concatenate([x[k] for x in held]) if held
+                                         else np.zeros(0, np.uint32) for k in range(3))
+                    # Chunks with the same words have the same name, and rows twice.
+                    _, order = np.unique(slots, return_index=True)
+                    size = size.astype(np.int64)
+                    table = (np.cumsum(size) - size)[order], size[order], flat.astype(np.int32)
+                    held = []
+                begin, size, flat = table
+                if len(size) != docs.column("n_words")[0].as_py():
                     raise RuntimeError("the documents changed between the two readings")
                 # A few documents at a time, whole ones.
-                got, ids, held = [], [], 0
+                got, first, total = [], 0, 0
                 blobs = docs.column("data").to_pylist()
                 for at, blob in enumerate(blobs):
-                    s = _unpack(blob)
+                    s = _unpack(blob, 1)[0]
                     n = size[s]
                     ends = np.cumsum(n)
-                    total = int(ends[-1]) if len(n) else 0
-                    take = np.arange(total) + np.repeat(begin[s] - (ends - n), n)
-                    got.append(flat[take])
-                    ids.append(at)
-                    held += 4 * total
-                    if held >= OUT_BYTES or at == len(blobs) - 1:
+                    here = int(ends[-1]) if len(n) else 0
+                    got.append(flat[np.arange(here) + np.repeat(begin[s] - (ends - n), n)])
+                    total += 4 * here
+                    if total >= OUT_BYTES or at == len(blobs) - 1:
                         offsets = np.concatenate(([0], np.cumsum([len(x) for x in got])))
                         lists = pa.ListArray.from_arrays(
                             pa.array(offsets, pa.int32()), pa.array(np.concatenate(got)))
                         yield pa.RecordBatch.from_arrays(
-                            [docs.column("_id").slice(ids[0], len(ids)), lists], ["_id", "ids"])
-                        got, ids, held = [], [], 0
+                            [docs.column("_id").slice(first, len(got)), lists], ["_id", "ids"])
+                        got, first, total = [], at + 1, 0
 
     def run(batches):
         out = parts(batches)
@@ -237,14 +271,16 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     kind = docs.schema["_id"].dataType
     from pyspark.sql.pandas.types import to_arrow_type
     arrow, name = to_arrow_type(kind), kind.simpleString()
-    words = docs.mapInArrow(_words(pattern, other), "chunk long, slot int, word string")
-    ids = (words.repartition("word").sortWithinPartitions("word")
-           .mapInArrow(_merge(table), "chunk long, slot int, ids binary"))
+    # More buckets than tasks, so that a task holds a share of the distinct words.
+    buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = docs.mapInArrow(_words(pattern, other, buckets), "chunk long, bucket int, words binary")
+    ids = (words.repartition("bucket").sortWithinPartitions("bucket")
+           .mapInArrow(_merge(table), "chunk long, ids binary"))
     places = docs.mapInArrow(_positions(pattern, other, arrow),
                              f"chunk long, n_words int, _id {name}, blob binary")
-    both = ids.select("chunk", F.lit(0).alias("kind"), "slot", F.lit(None).cast(kind).alias("_id"),
-                      F.col("ids").alias("data")).unionByName(
-        places.select("chunk", F.lit(1).alias("kind"), F.col("n_words").alias("slot"), "_id",
+    both = ids.select("chunk", F.lit(0).alias("kind"), F.lit(0).alias("n_words"),
+                      F.lit(None).cast(kind).alias("_id"), F.col("ids").alias("data")).unionByName(
+        places.select("chunk", F.lit(1).alias("kind"), "n_words", "_id",
                       F.col("blob").alias("data")))
     both = both.repartition("chunk").sortWithinPartitions("chunk", "kind")
     out = both.mapInArrow(_assemble(finish, arrow), finish_schema or f"_id {name}, ids array<int>")
