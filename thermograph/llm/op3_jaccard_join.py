@@ -7,15 +7,17 @@ runs without ASCII white space, A-Z lower-cased).  Two documents link when
 1. *Sets.*  Equal sets become one: copies share a set id, whatever their number.
 2. *Size bands and parts.*  Linked sets have sizes within ``pct`` % of each
    other, and differ in at most ``(100 - pct) / (100 + pct) * (|A| + |B|)``
-   shingles.  Within a size band the hash space is cut into so many parts that
-   linked sets must agree on the whole of at least one part that isn't empty
-   (pigeonhole), so sets are keyed by (band, part, hash of the shingles there):
-   no link is lost, and a passage that many documents share doesn't bring
-   unrelated ones together.  Sets near a band's lower end are also keyed in
-   the band below, where their smaller partners are.
-3. *Tiles.*  Sets with the same key form a tile.  Neighbours in a tile are
-   compared first; a tile whose members are not all connected by links found
-   so far is then compared member against member, in blocks of bounded size.
+   shingles, say ``d``.  Within a size band the hash space is cut into so many
+   parts that every set has shingles in more than ``d`` of them; sets are keyed
+   by (band, part, hash of the shingles there).  Of any ``d + 1`` parts with
+   shingles linked sets agree on one (pigeonhole), so a set may leave out its
+   most frequent keys: no link is lost, and a passage that many documents share
+   brings no unrelated ones together.  Sets near a band's lower end are also
+   keyed in the band below, where their smaller partners are.
+3. *Tiles.*  Sets that meet by a key are gathered, with all that meet them in
+   turn, in tiles of bounded size, and compared there.  What is too large for one
+   tile is linked inside blocks, then by what stands for their components; then
+   blocks that still meet at a key without being connected are compared.
 4. Each comparison bounds the overlap from above by the bit counts of the two
    bitmaps; pairs that pass get an exact intersection of sorted arrays.
 5. Components by minimum labels with pointer jumping, written to the shared
@@ -42,7 +44,7 @@ from thermograph.llm._text import U64, Words, mix, shingle_sets, text_slices
 
 # Parts of the hash space, in largest differences of the band.  The lowest level
 # at which every set of a band holds is taken for the whole band.
-LEVELS = (1.35, 1.7, 2.5, 4.0)
+LEVELS = (1.2, 1.35, 1.7, 2.5, 4.0)
 BLOCK = 512  # members of a tile that are compared in one task
 BLOCK_SHINGLES = 1 << 21  # and their shingles, unless one set has more
 # Rows up to which (document, tile) is broadcast to the texts; beyond, a join shuffles.
@@ -72,14 +74,14 @@ def part_of(value: np.ndarray, parts: int) -> np.ndarray:
 
 
 def set_ids(row: np.ndarray, value: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """(size, id) of each row's set."""
+    """(size, id) of each row's set; ids are even."""
     size = np.bincount(row, minlength=n_rows)
     sid = np.zeros(n_rows, U64)
     full = np.flatnonzero(size)
     if len(full):
         begin = np.concatenate(([0], np.cumsum(size)[:-1]))[full]
         sid[full] = mix(np.add.reduceat(mix(value ^ U64(0x5851F42D4C957F2D)), begin)
-                        ^ size[full].astype(U64) * U64(0x9E3779B97F4A7C15))
+                        ^ size[full].astype(U64) * U64(0x9E3779B97F4A7C15)) & ~U64(1)
     return size, sid
 
 
@@ -99,28 +101,26 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def levels_that_hold(row, value, size, pct: int) -> np.ndarray:
-    """Per row a bit for each level at which its set, as the smaller of a pair,
-    has more parts that aren't empty than shingles that may differ.  The last
-    level, where each shingle is a part, always holds."""
+def parts_by_level(row, value, size, pct: int) -> np.ndarray:
+    """Per row and level, in how many parts of its own band its set has
+    shingles; at the last level each shingle is a part."""
     band = np.where(size > 0, band_of(np.maximum(size, 1)), -1)
-    allowed = max_difference(size, pct)
-    mask = np.full(len(size), 1 << len(LEVELS), np.int64)
+    out = np.zeros((len(size), len(LEVELS) + 1), np.int32)
+    out[:, -1] = size
     for b, r, v in _by_band(row, value, size, band):
         for k in range(len(LEVELS)):
-            parts = np.bincount(r[_changes(r, part_of(v, band_parts(b, k, pct)))],
-                                minlength=len(size))
-            mask |= np.where((band == b) & (parts > allowed), 1 << k, 0)
-    return mask
+            out[:, k] += np.bincount(r[_changes(r, part_of(v, band_parts(b, k, pct)))],
+                                     minlength=len(size)).astype(np.int32)
+    return out
 
 
 def set_keys(row, value, size, sid, pct: int, level: dict[int, int]):
-    """(key, sid) of sets, in their own band and, if a smaller partner may be
-    in the band below, in that one too."""
+    """(key, tag) of sets, in their own band (tag: id + 1) and, if a smaller
+    partner may be in the band below, in that one too (tag: id)."""
     own = np.where(size > 0, band_of(np.maximum(size, 1)), -1)
     least = -(-size * pct // 100)
     below = np.where((size > 0) & (band_of(np.maximum(least, 1)) < own), own - 1, -1)
-    for band in (own, below):
+    for mark, band in ((U64(1), own), (U64(0), below)):
         for b, r, v in _by_band(row, value, size, band):
             k = level.get(b)
             if k is None:  # no set in this band: nobody to meet there
@@ -132,7 +132,7 @@ def set_keys(row, value, size, sid, pct: int, level: dict[int, int]):
                 begin = _changes(r, part)
                 total = np.add.reduceat(mix(v), begin)
             tag = U64((b + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
-            yield mix(total ^ mix(part[begin] + tag)), sid[r[begin]]
+            yield mix(total ^ mix(part[begin] + tag)), sid[r[begin]] | mark
 
 
 def bitmaps(row: np.ndarray, value: np.ndarray, n_rows: int, words: int) -> np.ndarray:
@@ -212,10 +212,11 @@ def _features(column: str, k: int, pct: int):
             for i, j, texts in text_slices(batch.column(column)):
                 row, value = shingle_sets(Words(texts, lower=True), j - i, k)
                 size, sid = set_ids(row, value, j - i)
-                hold = levels_that_hold(row, value, size, pct)
+                parts = parts_by_level(row, value, size, pct)
+                flat = pa.FixedSizeListArray.from_arrays(pa.array(parts.ravel()), parts.shape[1])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("_id").slice(i, j - i), pa.array(size.astype(np.int64)),
-                     _signed(sid), pa.array(hold)], ["_id", "n", "sid", "hold"])
+                     _signed(sid), flat.cast(pa.list_(pa.int32()))], ["_id", "n", "sid", "parts"])
     return run
 
 
@@ -234,7 +235,7 @@ def _keys(column: str, k: int, pct: int, level: dict[int, int]):
                 keep = new[row]
                 for key, of in set_keys(row[keep], value[keep], np.where(new, size, 0), sid,
                                         pct, level):
-                    yield pa.RecordBatch.from_arrays([_signed(key), _signed(of)], ["key", "sid"])
+                    yield pa.RecordBatch.from_arrays([_signed(key), _signed(of)], ["key", "tag"])
     return run
 
 
@@ -284,19 +285,41 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     docs = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     id_type = docs.schema["_id"].dataType.simpleString()
     features = written(spark, docs.mapInArrow(
-        _features("_text", k, pct), f"_id {id_type}, n long, sid long, hold long"), "op3-features")
-    full = features.where("n > 0")
-    sets = full.groupBy("sid").agg(F.min("_id").alias("first"), F.max("n").alias("n"),
-                                   F.count(F.lit(1)).alias("n_copies"))
-    # One row per band: the lowest level at which all its sets hold.
-    bands = full.groupBy(F.floor(F.log2(F.col("n") + 0.5)).cast("int").alias("band")).agg(
-        F.bit_and("hold").alias("hold")).collect()
-    level = {r["band"]: (r["hold"] & -r["hold"]).bit_length() - 1 for r in bands}
-
-    keys = docs.mapInArrow(_keys("_text", k, pct, level), "key long, sid long")
-    order = Window.partitionBy("key").orderBy("sid").rowsBetween(Window.unboundedPreceding, 0)
-    meet = written(spark, keys.withColumn("lead", F.first("sid").over(order))
-                   .where("sid <> lead").distinct(), "op3-meet")
+        _features("_text", k, pct), f"_id {id_type}, n long, sid long, parts array<int>"),
+        "op3-features")
+    full = features.where("n > 0").withColumn("band", F.floor(F.log2(F.col("n") + 0.5)).cast("int"))
+    differ = F.floor((100 - pct) * (F.col("n") + F.floor(F.col("n") * 100 / pct)) / (100 + pct))
+    # One row per band: the lowest level at which all its sets hold, that is, have
+    # more parts than shingles that may differ.
+    holds = F.array(*[(F.get("parts", F.lit(x)) > differ).cast("int")
+                      for x in range(len(LEVELS) + 1)])
+    bands = full.groupBy("band").agg(*[F.min(holds[x]).alias(f"h{x}")
+                                       for x in range(len(LEVELS) + 1)]).collect()
+    level = {r["band"]: next(x for x in range(len(LEVELS) + 1) if r[f"h{x}"]) for r in bands}
+    at = F.lit(0)
+    for b, x in level.items():
+        at = F.when(F.col("band") == b, x).otherwise(at)
+    # spare: how many of a set's parts need not be looked at.
+    sets = full.groupBy("sid").agg(
+        F.min("_id").alias("first"), F.max("n").alias("n"), F.count(F.lit(1)).alias("n_copies"),
+        F.max(F.get("parts", at) - differ - 1).alias("spare"))
+
+    keys = docs.mapInArrow(_keys("_text", k, pct, level), "key long, tag long")
+    key = Window.partitionBy("key")
+    sid = F.col("tag").bitwiseAND(F.lit(-2))
+    multi = keys.withColumns({"m": F.count(F.lit(1)).over(key), "low": F.min(sid).over(key),
+                              "high": F.max(sid).over(key)}).where("low <> high")
+    multi = written(spark, multi.select("key", sid.alias("sid"), "m", (F.col("tag") != sid)
+                                        .alias("own")).distinct(), "op3-keys")
+    # Each set, as the smaller of a pair, looks at its least frequent keys only.
+    rank = Window.partitionBy("sid")
+    picked = (multi.where("own").join(sets.select("sid", "spare"), "sid")
+              .withColumns({"c": F.count(F.lit(1)).over(rank),
+                            "r": F.row_number().over(rank.orderBy("m", "key"))})
+              .where("r <= c - spare").select("key").distinct())
+    meet = multi.select("key", "sid").distinct().join(picked, "key", "left_semi")
+    meet = written(spark, meet.withColumn("lead", F.min("sid").over(key)).where("sid <> lead"),
+                   "op3-meet")
     near = components(spark, meet.select(F.col("lead").alias("a"), F.col("sid").alias("b")),
                       "op3-near")
 
@@ -355,7 +378,7 @@ def _across(docs: DataFrame, members: DataFrame, meet: DataFrame, links: DataFra
         heads = written(spark, heads.join(more.select("sid").distinct(), "sid", "left_anti"),
                         "op3-heads")
         before, count = count, heads.count()
-        if before == count:
+        if count > 0.7 * before:
             break
     if not edges.isEmpty():
         done = components(spark, edges, "op3-done").withColumnRenamed("label", "now")
