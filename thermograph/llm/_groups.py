@@ -83,7 +83,7 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def without_ids(docs: DataFrame, ids: DataFrame, id_col: str, limit: int = 2_000_000) -> DataFrame:
+def without_ids(docs: DataFrame, ids: DataFrame, id_col: str, limit: int = 500_000) -> DataFrame:
     """``docs`` without the rows whose id is in ``ids`` (one column, a written
     table); it is broadcast if it has at most ``limit`` rows."""
     key = free_name(docs, "_out")

@@ -48,7 +48,7 @@ LEVELS = (1.2, 1.35, 1.7, 2.5, 4.0)
 BLOCK = 512  # members of a tile that are compared in one task
 BLOCK_SHINGLES = 1 << 21  # and their shingles, unless one set has more
 # Rows up to which (document, tile) is broadcast to the texts; beyond, a join shuffles.
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 500_000
 
 
 def max_difference(n, pct: int):

@@ -41,7 +41,7 @@ SIMILAR = 70
 LEAF = 4096
 WEIGHT = 20
 # Lines to drop up to which they are broadcast to the texts; beyond, a join shuffles.
-BROADCAST_ROWS = 4_000_000
+BROADCAST_ROWS = 1_000_000
 HELD = 200_000  # different lines that a task adds up before it sends them on
 
 _DIGIT = np.zeros(256, bool)
