@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_WORDS = 2_000_000
+CHUNK_WORDS = 1_000_000
 MAX_VOCABULARY = 1 << 20
 OUT_BYTES = 4 << 20  # of ids in one Arrow batch
 
