@@ -22,7 +22,6 @@ FLOOR_CODES = ["S", "0", "1", "2"]
 # deliberately unescaped: any character may separate the parts).
 LOCATION_PATTERN = "^([A-Z0-9]+.[A-Z0-9]+.[A-Z0-9]+.[A-Z0-9]+)$"
 # Word separators are only the space and the newline.
-WORD_SEPARATORS = " \n"
 # Letters counted by the letter count.
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 # Moving-average horizons.
@@ -51,4 +50,3 @@ DATA_PREFIX = "sensor/data/"
 CONF_PREFIX = "sensor/conf"
 SENSOR_ORG = "sens"
 
-MEASURES = ("temperature", "humidity")

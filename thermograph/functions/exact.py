@@ -1,17 +1,22 @@
-"""Exact two-digit arithmetic.
+"""Exact decimal arithmetic.
 
-Measures carry two decimal digits.  Means are rounded half-even to two digits,
+Measures are whole numbers of their own last decimal place (``measure_scale``:
+hundredths for two-digit measures), so no reading is rounded.  Means are rounded half-even to two digits,
 which meets exact ties often (small groups of two-digit inputs), so the exact
-mode keeps every measure as a whole number of hundredths ("cents", BIGINT),
-sums cents, and rounds the quotient with integer arithmetic.  The result is
+mode keeps every measure as a whole number of its units (BIGINT; "cents" where
+it has two digits by definition), sums them, and rounds the quotient with integer arithmetic.  The result is
 identical in any engine that does the same integer steps, and it stays in
 BIGINT arithmetic inside whole-stage codegen.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Decimal places of FLOAT and DOUBLE measures (a DECIMAL keeps its own).
+FLOAT_SCALE = 6
 
 
 def to_cents(c: Column | str) -> Column:
@@ -20,6 +25,32 @@ def to_cents(c: Column | str) -> Column:
     return (c.cast("decimal(18,2)") * 100).cast("bigint")
 
 
+def measure_scale(df: DataFrame, *measures: str) -> int:
+    """Decimal places that hold the named measures of ``df`` exactly: the
+    largest scale of their types, two at least.  FLOAT and DOUBLE are read at
+    ``FLOAT_SCALE`` places; measures with more places should be DECIMAL."""
+    out = 2
+    for m in measures:
+        t = df.schema[m].dataType
+        if isinstance(t, T.DecimalType):
+            out = max(out, t.scale)
+        elif isinstance(t, (T.FloatType, T.DoubleType)):
+            out = max(out, FLOAT_SCALE)
+    return out
+
+
+def to_units(c: Column | str, scale: int) -> Column:
+    """A measure as a whole number of ``10 ** -scale`` (BIGINT)."""
+    c = F.col(c) if isinstance(c, str) else c
+    return (c.cast(f"decimal({16 + scale},{scale})") * F.lit(10 ** scale)).cast("bigint")
+
+
+def hundredths(n: str, scale: int) -> str:
+    """The divisor that turns a sum of ``n`` values in units of ``10 ** -scale``
+    into a mean in hundredths (SQL text for :func:`half_even_div`)."""
+    return n if scale == 2 else f"{n} * {10 ** (scale - 2)}L"
+
+
 def half_even_div(s: str, n: str) -> Column:
     """round_half_even(s / n) for BIGINT SQL expressions ``s`` and ``n``.
 

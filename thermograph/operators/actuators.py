@@ -24,6 +24,9 @@ from thermograph.session import is_small, join_null_safe, key_parts
 
 DAY_US = 86400 * 10**6
 HOUR_US = 3600 * 10**6
+# Time order of a missing time: before every real one (year 1 is -6.2e16), and
+# small enough that the packed order fits DECIMAL(38,0).
+NO_TIME = -10**17
 DEFAULT_LIMITS = {"temperature": TEMPERATURE_LIMIT, "humidity": HUMIDITY_LIMIT}
 
 
@@ -32,10 +35,16 @@ def _auto_bucket(df: DataFrame, key: str) -> int:
     conf = df.sparkSession.conf.get("spark.thermograph.bucketRows", None)
     target = int(conf) if conf else TARGET_BUCKET_ROWS
     r = busiest_hours(df, [key])[key]
-    for width in (7 * DAY_US, DAY_US):
-        if r * (width // HOUR_US) <= target:
+    minute = HOUR_US // 60
+    for width in (7 * DAY_US, DAY_US, HOUR_US, 15 * minute, 5 * minute):
+        if r * width / HOUR_US <= target:
             return width
-    return HOUR_US
+    return minute
+
+
+def time_order(ts: str) -> Column:
+    """Microseconds since the epoch; missing times come first, as nulls do."""
+    return F.coalesce(epoch_micros(ts), F.lit(NO_TIME))
 
 
 def signal(value: Column | str, limit: float) -> Column:
@@ -46,11 +55,12 @@ def signal(value: Column | str, limit: float) -> Column:
 
 def _packed_order(ord_col: str, tiebreak: str, tiebreak_type: str) -> Column:
     """(time, tiebreak) as one orderable number: time * 10^20 + (tiebreak +
-    2^63) for an integral tiebreak (fits DECIMAL(38,0) for any BIGINT time in
+    2^63 + 1, 0 if missing) for an integral tiebreak (fits DECIMAL(38,0) for any BIGINT time in
     microseconds); a struct for any other tiebreak type."""
     if tiebreak_type in ("bigint", "int", "smallint", "tinyint"):
         return F.expr(f"CAST({ord_col} AS DECIMAL(38,0)) * CAST(1e20 AS DECIMAL(38,0)) "
-                      f"+ (CAST({tiebreak} AS DECIMAL(38,0)) + CAST(9223372036854775808 AS DECIMAL(38,0)))")
+                      f"+ coalesce(CAST({tiebreak} AS DECIMAL(38,0)) "
+                      f"+ CAST(9223372036854775809 AS DECIMAL(38,0)), CAST(0 AS DECIMAL(38,0)))")
     return F.struct(F.col(ord_col), F.col(tiebreak))
 
 
@@ -75,14 +85,14 @@ def actuator_states(readings: DataFrame, limits: dict[str, float] | None = None,
     left by earlier micro-batches; missing keys start off.  ``bucket_us``:
     time bucket width in microseconds, None for one partition per key, or
     "auto": None for an input the optimizer estimates small, else the widest
-    of 7 days / 1 day / 1 hour whose busiest (key, bucket) stays under
+    of 7 days, 1 day, 1 hour, 15, 5 and 1 minutes whose busiest (key, bucket) stays under
     ``spark.thermograph.bucketRows`` rows."""
     limits = limits or DEFAULT_LIMITS
     key = location if scope == "location" else "_scope"
     df = readings
     if scope != "location":
         df = df.withColumn("_scope", F.lit("all"))
-    df = df.withColumn("_ord", epoch_micros(ts))
+    df = df.withColumn("_ord", time_order(ts))
     if bucket_us == "auto":
         # one window partition per key only for inputs estimated small;
         # otherwise the widest bucket keeping the busiest (key, bucket) under
@@ -177,7 +187,7 @@ def final_states(states: DataFrame, metrics: list[str], *, key: str = "location"
                  ts: str = "dateTime", tiebreak: str = "event_id") -> DataFrame:
     """State of every actuator after the last message of each key (0/1), from
     the output of :func:`actuator_states`: one row per key, a hash aggregate."""
-    df = states.withColumn("_ord", epoch_micros(ts))
+    df = states.withColumn("_ord", time_order(ts))
     order_key = _packed_order("_ord", tiebreak, dict(df.dtypes)[tiebreak])
     return df.groupBy(key).agg(*[
         F.max_by(F.when(F.col(f"{m}_state") == "on", 1).otherwise(0), order_key).alias(m)

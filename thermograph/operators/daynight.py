@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thermograph.constants import LEVEL_KEY
-from thermograph.functions.exact import cents_to_double, half_even_div, mean_2dp, to_cents
+from thermograph.functions.exact import (cents_to_double, half_even_div, hundredths, mean_2dp,
+                                         measure_scale, to_cents, to_units)
 
-_DIFF_COLS = ["day_temp", "day_hum", "night_temp", "night_hum", "temp_diff", "hum_diff"]
 
 
 def _key(level: str) -> str:
@@ -28,23 +28,24 @@ def daily_means(df: DataFrame, level: str = "room") -> DataFrame:
     Output: daily, day, <key>, avg_temp, avg_hum (half-even, two digits),
     n_rows.  ``df`` must be enriched (location + calendar)."""
     key = _key(level)
+    scale = measure_scale(df, "temperature", "humidity")
     agg = (df.groupBy("daily", "day", key)
-           .agg(F.sum(to_cents("temperature")).alias("_st"),
+           .agg(F.sum(to_units("temperature", scale)).alias("_st"),
                 F.count("temperature").alias("_nt"),
-                F.sum(to_cents("humidity")).alias("_sh"),
+                F.sum(to_units("humidity", scale)).alias("_sh"),
                 F.count("humidity").alias("_nh"),
                 F.count(F.lit(1)).alias("n_rows")))
     return agg.select("daily", "day", key,
-                      mean_2dp("_st", "_nt").alias("avg_temp"),
-                      mean_2dp("_sh", "_nh").alias("avg_hum"), "n_rows")
+                      mean_2dp("_st", hundredths("_nt", scale)).alias("avg_temp"),
+                      mean_2dp("_sh", hundredths("_nh", scale)).alias("avg_hum"), "n_rows")
 
 
 _PARTIALS = ["_dn", "_nn", "_dts", "_dtn", "_dhs", "_dhn", "_nts", "_ntn", "_nhs", "_nhn"]
 
 
-def _conditional_sums() -> list:
+def _conditional_sums(scale: int) -> list:
     d, n = F.col("daily"), ~F.col("daily")
-    tc, hc = to_cents("temperature"), to_cents("humidity")
+    tc, hc = to_units("temperature", scale), to_units("humidity", scale)
     return [F.count(F.when(d, 1)).alias("_dn"),
             F.count(F.when(n, 1)).alias("_nn"),
             F.sum(F.when(d, tc)).alias("_dts"), F.count(F.when(d, tc)).alias("_dtn"),
@@ -53,16 +54,16 @@ def _conditional_sums() -> list:
             F.sum(F.when(n, hc)).alias("_nhs"), F.count(F.when(n, hc)).alias("_nhn")]
 
 
-def _diff_from_sums(agg: DataFrame, key: str) -> DataFrame:
+def _diff_from_sums(agg: DataFrame, key: str, scale: int) -> DataFrame:
     # A null key never pairs a day side with a night side (an equality
     # match), so it has no difference.
     agg = agg.where((F.col("_dn") > 0) & (F.col("_nn") > 0) & F.col(key).isNotNull())
     cents = agg.select(
         "day", key,
-        half_even_div("_dts", "_dtn").alias("_dt"),
-        half_even_div("_dhs", "_dhn").alias("_dh"),
-        half_even_div("_nts", "_ntn").alias("_nt"),
-        half_even_div("_nhs", "_nhn").alias("_nh"))
+        half_even_div("_dts", hundredths("_dtn", scale)).alias("_dt"),
+        half_even_div("_dhs", hundredths("_dhn", scale)).alias("_dh"),
+        half_even_div("_nts", hundredths("_ntn", scale)).alias("_nt"),
+        half_even_div("_nhs", hundredths("_nhn", scale)).alias("_nh"))
     return cents.select(
         "day", key,
         cents_to_double("_dt").alias("day_temp"), cents_to_double("_dh").alias("day_hum"),
@@ -82,14 +83,16 @@ def day_night_diff(df: DataFrame, level: str = "room") -> DataFrame:
     temp_diff, hum_diff (DOUBLE).
     """
     key = _key(level)
+    scale = measure_scale(df, "temperature", "humidity")
     agg = (df.where(F.col("daily").isNotNull())
            .groupBy(key, "day")
-           .agg(*_conditional_sums()))
-    return _diff_from_sums(agg, key)
+           .agg(*_conditional_sums(scale)))
+    return _diff_from_sums(agg, key, scale)
 
 
 def room_day_partials(df: DataFrame) -> DataFrame:
-    """Conditional sums per (room, day), carrying every coarser level key.
+    """Conditional sums per (room, day), carrying every coarser level key, in
+    units of the measures' last decimal place (``measure_scale``).
 
     This is the only aggregate that reads the readings when all four levels
     are wanted: the coarser levels add these partial sums up (sums and counts
@@ -97,16 +100,18 @@ def room_day_partials(df: DataFrame) -> DataFrame:
     keys = [LEVEL_KEY[lv] for lv in ("room", "floor", "building", "neighborhood")]
     return (df.where(F.col("daily").isNotNull())
             .groupBy(*keys, "day")
-            .agg(*_conditional_sums()))
+            .agg(*_conditional_sums(measure_scale(df, "temperature", "humidity"))))
 
 
-def day_night_diff_from_partials(partials: DataFrame, level: str = "room") -> DataFrame:
-    """:func:`day_night_diff` for one level from :func:`room_day_partials`."""
+def day_night_diff_from_partials(partials: DataFrame, level: str = "room",
+                                 scale: int = 2) -> DataFrame:
+    """:func:`day_night_diff` for one level from :func:`room_day_partials`;
+    ``scale``: the readings' ``measure_scale``."""
     key = _key(level)
     if level == "room":
-        return _diff_from_sums(partials, key)
+        return _diff_from_sums(partials, key, scale)
     agg = partials.groupBy(key, "day").agg(*[F.sum(c).alias(c) for c in _PARTIALS])
-    return _diff_from_sums(agg, key)
+    return _diff_from_sums(agg, key, scale)
 
 
 def day_night_diff_join(df: DataFrame, level: str = "room") -> DataFrame:
@@ -144,4 +149,3 @@ def day_night_diff_float(df: DataFrame, level: str = "room") -> DataFrame:
                     F.bround(F.col("day_hum") - F.col("night_hum"), 2).alias("hum_diff"))
 
 
-DIFF_COLUMNS = _DIFF_COLS

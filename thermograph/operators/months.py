@@ -35,10 +35,10 @@ def max_month(diff: DataFrame) -> DataFrame:
     difference is the largest (ties all kept), the mean then rounded
     half-even to two digits.  Empty when there is no non-null mean."""
     sums = _monthly_sums(diff).where(F.col("_nt") > 0)
-    mean = F.col("_st").cast("double") / F.col("_nt").cast("double")
-    # At most 12 rows reach this window: one partition is bounded.
-    top = Window.partitionBy(F.lit(0))
-    return (sums.withColumn("_m", mean)
-            .withColumn("_max", F.max("_m").over(top))
-            .where(F.col("_m") == F.col("_max"))
+    # At most 12 rows: means are compared exactly, as s1 * n2 against s2 * n1.
+    rows = F.collect_list(F.struct("_st", "_nt")).over(Window.partitionBy(F.lit(0)))
+    wide = "DECIMAL(19,0)"
+    beaten = F.exists("_all", lambda o: o["_st"].cast(wide) * F.col("_nt").cast(wide)
+                      > F.col("_st").cast(wide) * o["_nt"].cast(wide))
+    return (sums.withColumn("_all", rows).where(~beaten)
             .select("month", mean_2dp("_st", "_nt").alias("temp")))

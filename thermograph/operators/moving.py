@@ -56,7 +56,8 @@ from pyspark.sql import functions as F
 
 from thermograph.constants import HORIZONS, LEVEL_KEY
 from thermograph.functions.calendar import epoch_micros, floor_div
-from thermograph.functions.exact import cents_to_double, half_even_div, to_cents
+from thermograph.functions.exact import (cents_to_double, half_even_div, hundredths,
+                                         measure_scale, to_units)
 from thermograph.session import is_small, key_parts
 
 _US = {"us": 1, "microsecond": 1, "ms": 1000, "millisecond": 1000,
@@ -88,16 +89,18 @@ def auto_bucket_micros(h_us: int) -> int:
     return max(4 * h_us, _US["day"])
 
 
-def _cents_cols(measures: list[str]) -> dict[str, Column]:
-    return {f"_c_{m}": to_cents(m) for m in measures}
+def _unit_cols(measures: list[str], scale: int) -> dict[str, Column]:
+    return {f"_c_{m}": to_units(m, scale) for m in measures}
 
 
 def _out_name(measure: str, name: str, tag: str | None) -> str:
     return f"avg_{_SHORT[measure]}_{name}" if tag is None else f"avg_{_SHORT[measure]}_{tag}_{name}"
 
 
-def _mean_cols(measures: list[str], names: list[str], tag: str | None = None) -> dict[str, Column]:
-    return {_out_name(m, nm, tag): cents_to_double(half_even_div(f"_s_{m}_{nm}", f"_n_{m}_{nm}"))
+def _mean_cols(measures: list[str], names: list[str], tag: str | None = None,
+               scale: int = 2) -> dict[str, Column]:
+    return {_out_name(m, nm, tag): cents_to_double(half_even_div(
+                f"_s_{m}_{nm}", hundredths(f"_n_{m}_{nm}", scale)))
             for nm in names for m in measures}
 
 
@@ -156,6 +159,10 @@ def _bucket_totals(base: DataFrame, keys: list[str], measures: list[str], g: int
                      F.sum(f"_c_{m}").alias(f"_ts_{m}"), F.count(f"_c_{m}").alias(f"_tn_{m}"))]))
 
 
+# Widths below an hour, for keys with more rows in an hour than one task takes.
+SUB_HOUR_US = [m * 60 * 10**6 for m in (30, 15, 5, 1)]
+
+
 def candidate_widths(hs: list[int]) -> list[int]:
     """Bucket widths for the prefix strategy, widest first: whole hours
     dividing every horizon (or the common divisor itself below an hour)."""
@@ -193,17 +200,19 @@ def _plan_stages(base: DataFrame, stage_keys: list[str], hs: list[int], adaptive
                  target_rows: int) -> dict[str, tuple[str, int]]:
     """Per window key: ``("halo", B)`` when a halo bucket of the busiest key
     stays under the row target (and ``adaptive_halo``), else ``("prefix", g)``
-    with the widest bucket that does (one hour at the narrowest)."""
+    with the widest bucket that does if an hour's rows are spread evenly (one
+    minute at the narrowest)."""
     busiest = busiest_hours(base, stage_keys)
     halo_b = auto_bucket_micros(max(hs))
     widths = candidate_widths(hs)
+    widths += [w for w in SUB_HOUR_US if w < widths[-1] and all(h % w == 0 for h in hs)]
     plan = {}
     for k in dict.fromkeys(stage_keys):
         r = busiest.get(k, 0)
         if adaptive_halo and r * -(-halo_b // HOUR_US) <= target_rows:
             plan[k] = ("halo", halo_b)
             continue
-        fit = [w for w in widths if r * max(w // HOUR_US, 1) <= target_rows]
+        fit = [w for w in widths if r * w / HOUR_US <= target_rows]
         plan[k] = ("prefix", fit[0] if fit else widths[-1])
     return plan
 
@@ -306,9 +315,10 @@ def _run_stages(df: DataFrame, keys: list[str], stages: list[tuple[str, list[str
     """Chains one window stage per (key, measures, output tag) over the rows
     of ``df``; the rows keep every earlier stage's outputs."""
     names = list(hs)
+    scale = measure_scale(df, "temperature", "humidity")
     base = (df.select(*keys, "dateTime", "temperature", "humidity")
             .withColumn(_ORD, epoch_micros("dateTime"))
-            .withColumns(_cents_cols(["temperature", "humidity"])))
+            .withColumns(_unit_cols(["temperature", "humidity"], scale)))
     rows = base
     stage_keys = [k for k, _, _ in stages]
     if strategy in ("adaptive", "prefix") and width is None:
@@ -329,7 +339,7 @@ def _run_stages(df: DataFrame, keys: list[str], stages: list[tuple[str, list[str
             rows = _prefix_stage(rows, k, measures, hs, w, spans, payload)
         else:
             rows = _growing_stage(rows, k, measures, hs, w if how == "halo" else None)
-        rows = _drop_sums(rows.withColumns(_mean_cols(measures, names, tag)), measures, names)
+        rows = _drop_sums(rows.withColumns(_mean_cols(measures, names, tag, scale)), measures, names)
     return rows.drop(_ORD, "_c_temperature", "_c_humidity")
 
 

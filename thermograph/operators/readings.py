@@ -7,25 +7,27 @@ from pyspark.sql import functions as F
 
 from thermograph.constants import (GEN_END, GEN_FLOORS, GEN_HUMIDITY, GEN_LETTERS,
                                    GEN_START, GEN_TEMPERATURE)
-from thermograph.functions.exact import to_cents
+from thermograph.functions.exact import measure_scale, to_units
 
 
 def dedupe_readings(df: DataFrame, location: str = "location",
                     ts: str = "dateTime") -> DataFrame:
     """One reading per (location, time): the mean of its duplicates.
 
-    The mean is the nearest DOUBLE to the exact quotient (sum of hundredths /
-    (count * 100)), so it is the same in every engine.  Output: location,
+    The mean is the nearest DOUBLE to the exact quotient (sum of units /
+    (count * units per one)), so it is the same in every engine.  Output: location,
     dateTime, temperature, humidity, n_readings.  Ordering is left to the
     sink."""
+    scale = measure_scale(df, "temperature", "humidity")
+    one = F.lit(10 ** scale)
     agg = (df.groupBy(location, ts)
-           .agg(F.sum(to_cents("temperature")).alias("_st"), F.count("temperature").alias("_nt"),
-                F.sum(to_cents("humidity")).alias("_sh"), F.count("humidity").alias("_nh"),
+           .agg(F.sum(to_units("temperature", scale)).alias("_st"), F.count("temperature").alias("_nt"),
+                F.sum(to_units("humidity", scale)).alias("_sh"), F.count("humidity").alias("_nh"),
                 F.count(F.lit(1)).alias("n_readings")))
     return agg.select(
         location, ts,
-        (F.col("_st").cast("double") / (F.col("_nt") * 100).cast("double")).alias("temperature"),
-        (F.col("_sh").cast("double") / (F.col("_nh") * 100).cast("double")).alias("humidity"),
+        (F.col("_st").cast("double") / (F.col("_nt") * one).cast("double")).alias("temperature"),
+        (F.col("_sh").cast("double") / (F.col("_nh") * one).cast("double")).alias("humidity"),
         "n_readings")
 
 

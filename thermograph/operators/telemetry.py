@@ -42,6 +42,14 @@ def parse_telemetry(messages: DataFrame, prefix: str = DATA_PREFIX, *,
     )
 
 
+def malformed(messages: DataFrame) -> DataFrame:
+    """The messages that :func:`parse_telemetry` leaves out: no JSON, or no
+    ``d`` object.  All their columns are kept."""
+    j = F.from_json(F.col("payload"), PAYLOAD_SCHEMA)
+    return messages.select("*", F.explode(F.array(j)).alias("_j")).where(
+        F.col("_j.d").isNull()).drop("_j")
+
+
 def config_replies(requests: DataFrame, sensor_id: str = "sensor_id", *,
                    org: str = SENSOR_ORG, conf_prefix: str = CONF_PREFIX) -> DataFrame:
     """Location assignment: each request (a sensor id) gets a reply on the

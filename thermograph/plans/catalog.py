@@ -131,7 +131,7 @@ def q_parse_telemetry(spark, sf_dir):
 
 
 def q_topic_to_location(spark, sf_dir):
-    m = _messages(spark, sf_dir)
+    m = telemetry_messages(sensor_readings(spark, sf_dir, with_sensor=True))
     return m.select("event_id", "topic", topic_to_location("topic").alias("location"))
 
 
@@ -190,6 +190,47 @@ def q_actuator_state(spark, sf_dir):
     return act.actuator_states(sensor_readings(spark, sf_dir))
 
 
+def _four_digits(spark, sf_dir):
+    """Enriched readings whose measures have four digits (whole numbers of
+    0.0001, by a rule from ``events``)."""
+    base = F.round(F.col("value") * 100).cast("bigint")
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", base.alias("_b"))
+    units = {"temperature": (F.col("_b") * 37 + F.col("event_id")) % 400000,
+             "humidity": (F.col("_b") * 53 + F.col("event_id")) % 1000000}
+    rows = sensor_readings(spark, sf_dir).drop("temperature", "humidity").join(ev, "event_id")
+    return enrich(rows.withColumns({
+        m: (u.cast("decimal(12,0)") / 10000).cast("decimal(10,4)") for m, u in units.items()}).drop("_b"))
+
+
+def q_mean_daily_4dp(spark, sf_dir):
+    return daily_means(_four_digits(spark, sf_dir), "room")
+
+
+def q_moving_4dp(spark, sf_dir):
+    return moving_average(_four_digits(spark, sf_dir), "room", "day", strategy="prefix")
+
+
+def q_moving_by(strategy, horizon, spark, sf_dir):
+    return moving_average(_enriched(spark, sf_dir), "neighborhood", horizon, strategy=strategy)
+
+
+def q_actuator_state_bucketed(spark, sf_dir):
+    return act.actuator_states(sensor_readings(spark, sf_dir), bucket_us=act.HOUR_US)
+
+
+def q_transitions_bucketed(spark, sf_dir):
+    return act.actuator_transitions(sensor_readings(spark, sf_dir), "temperature",
+                                    bucket_us=act.DAY_US)
+
+
+def q_malformed_telemetry(spark, sf_dir):
+    """Payloads cut short or without a body, by rule; the messages set aside."""
+    n = F.col("event_id")
+    broken = _messages(spark, sf_dir).withColumn("payload", F.when(
+        n % 7 == 0, F.substring("payload", 1, 5)).when(n % 11 == 0, "{}").otherwise(F.col("payload")))
+    return tel.malformed(broken).select("event_id", "topic")
+
+
 def _register() -> tuple[dict[str, Query], dict[str, str]]:
     qs: dict[str, Query] = {}
     sql: dict[str, str] = {}
@@ -231,6 +272,17 @@ def _register() -> tuple[dict[str, Query], dict[str, str]]:
     add("humidity_transitions", partial(q_transitions, "humidity"), oracle.transitions("humidity"))
     add("actuator_events", q_actuator_events, oracle.actuator_events())
     add("actuator_state", q_actuator_state, oracle.actuator_state())
+    # The plans that large inputs take, whatever the size of this one.
+    for hz in ("hour", "day", "week"):
+        for strategy in ("prefix", "halo"):
+            add(f"moving_avg_{hz}_neighborhood_{strategy}", partial(q_moving_by, strategy, hz),
+                oracle.moving_avg(hz, "neighborhood"))
+    add("actuator_state_bucketed", q_actuator_state_bucketed, oracle.actuator_state())
+    add("temperature_transitions_bucketed", q_transitions_bucketed, oracle.transitions("temperature"))
+    add("malformed_telemetry", q_malformed_telemetry, oracle.malformed_telemetry())
+    # Measures with more than two digits.
+    add("mean_daily_room_4dp", q_mean_daily_4dp, oracle.four_digit(oracle.mean_daily("room")))
+    add("moving_avg_day_room_4dp", q_moving_4dp, oracle.four_digit(oracle.moving_avg("day", "room")))
     return qs, sql
 
 

@@ -176,6 +176,25 @@ def moving_avg(horizon: str, level: str, humidity_scope: str = "room") -> str:
         framed)
 
 
+def four_digit(query: str) -> str:
+    """``mean_daily`` or ``moving_avg`` SQL over four-digit measures: columns
+    hold units of 0.0001, so counts are multiplied by 100 for a mean in
+    hundredths."""
+    base = "CAST(round(value * 100) AS BIGINT)"
+    for name, old, new in (
+            ("temperature", "CAST(10 + value % 27.5 AS DECIMAL(10,2))", f"({base} * 37 + event_id) % 400000"),
+            ("humidity", "CAST((value * 7) % 100 AS DECIMAL(10,2))", f"({base} * 53 + event_id) % 1000000")):
+        query = query.replace(f"{old} AS {name}", f"{new} AS {name}")
+        query = query.replace(cents(name), name).replace(f"count({name})", f"100 * count({name})")
+    return query
+
+
+def malformed_telemetry() -> str:
+    return f"""WITH {SENSORS_CTE}
+SELECT event_id, {_topic('location')} AS topic FROM sensors
+WHERE event_id % 7 = 0 OR event_id % 11 = 0"""
+
+
 def dedupe_readings() -> str:
     return f"""WITH {SENSORS_CTE}
 SELECT location, dateTime,

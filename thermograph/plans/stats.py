@@ -26,8 +26,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import _parse_datatype_string
 
 from thermograph.constants import LEVELS
+from thermograph.functions.exact import measure_scale
 from thermograph.operators.daynight import day_night_diff_from_partials, room_day_partials
 from thermograph.operators.enrich import enrich
 from thermograph.operators.months import max_month
@@ -55,8 +57,9 @@ def run(spark: SparkSession, readings: DataFrame, out_dir: str, *,
             scratch.append(part_path)
             room_day_partials(enriched).write.mode("overwrite").parquet(part_path)
             partials = spark.read.parquet(part_path)
+            scale = measure_scale(enriched, "temperature", "humidity")
             for lv in levels:
-                diff = day_night_diff_from_partials(partials, lv)
+                diff = day_night_diff_from_partials(partials, lv, scale)
                 name = f"diff{_TITLE[lv]}"
                 written[name] = write_csv(diff, os.path.join(out_dir, name))
                 if written[name]:
@@ -98,11 +101,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--input", required=True, help="readings CSV file or directory")
     ap.add_argument("--out", required=True, help="output directory")
     ap.add_argument("--split-horizons", action="store_true")
+    ap.add_argument("--measures", default="decimal(18,6)",
+                    help="type of the measures in the input, e.g. float or decimal(20,8)")
     args = ap.parse_args(argv)
     spark = (SparkSession.builder.appName("thermograph-stats")
              .config("spark.ui.enabled", "false").getOrCreate())
     apply_job_conf(spark)  # UTC before the CSV times are parsed
-    res = run(spark, read_readings_csv(spark, args.input), args.out,
+    res = run(spark, read_readings_csv(
+        spark, args.input, measure_type=_parse_datatype_string(args.measures)), args.out,
               split_horizons=args.split_horizons)
     for k, v in res.items():
         print(f"{k}: {'written' if v else 'empty, skipped'}")

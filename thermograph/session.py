@@ -44,10 +44,10 @@ def apply_job_conf(spark: SparkSession) -> None:
     for k, v in JOB_CONF.items():
         if k == "spark.ui.enabled":
             continue
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: keep theirs
-            pass
+        spark.conf.set(k, v)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone != "UTC":
+        raise RuntimeError(f"the session's time zone is {zone}, not UTC")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

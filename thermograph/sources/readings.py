@@ -10,16 +10,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from thermograph.constants import SENSOR_ORG
+from thermograph.session import is_small
+
+SPREAD_BYTES = 256 * 1024 * 1024
+SPREAD_PARTS = 16
 
 
 def readings_schema(measure_type: T.DataType | None = None,
                     time_type: T.DataType | None = None) -> T.StructType:
     """location STRING, dateTime TIMESTAMP, temperature, humidity.
 
-    ``measure_type`` defaults to DECIMAL(10,2) (exact mode); pass
-    ``FloatType()`` for the single-precision layout.
+    ``measure_type`` defaults to DECIMAL(18,6): six digits are kept exactly;
+    pass a wider DECIMAL for more, ``FloatType()`` for the single-precision
+    layout.
     """
-    m = measure_type or T.DecimalType(10, 2)
+    m = measure_type or T.DecimalType(18, 6)
     return T.StructType([
         T.StructField("location", T.StringType(), True),
         T.StructField("dateTime", time_type or T.TimestampType(), True),
@@ -46,14 +51,12 @@ def read_readings_csv(spark: SparkSession, path: str, *,
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster's cores when the scan yields
-    fewer input splits than cores (e.g. one large row group).  A large input
-    already has more splits than cores and is left as it is, so this never
-    adds a shuffle at scale."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+    """Round-robin the rows of an input of up to ``SPREAD_BYTES`` (the
+    optimizer's estimate) over ``SPREAD_PARTS`` partitions: one row group of a
+    small table is a single split.  A larger or unknown size is left as it is;
+    the plan depends on no number of cores."""
+    if is_small(df, SPREAD_BYTES):
+        return df.repartition(SPREAD_PARTS)
     return df
 
 

@@ -10,8 +10,19 @@ from pyspark.sql import functions as F
 from thermograph.sources.readings import spread
 
 
+def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(doc STRING, text STRING): each line of each file, for files too large
+    to be one row.  Lines end at newlines, which separate words anyway, so
+    word counts over the lines are those over the files, except that an empty
+    file has no line (as one record it has one empty word) and that a blank
+    before a newline, or a newline at the very end, brings no empty word."""
+    return (spark.read.option("lineSep", "\n").text(path)
+            .select(F.col("_metadata.file_path").alias("doc"), F.col("value").alias("text")))
+
+
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
-    """(doc STRING, text STRING): each file is one whole record."""
+    """(doc STRING, text STRING): each file is one whole record, for files that
+    fit one row; see ``read_text_lines`` for larger ones."""
     return (spark.read.text(path, wholetext=True)
             .select(F.col("_metadata.file_path").alias("doc"),
                     F.col("value").alias("text")))

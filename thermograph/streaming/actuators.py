@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from thermograph.operators.actuators import DEFAULT_LIMITS
+from thermograph.session import delete_path
 
 
 def _output_schema(key: str, tiebreak: str, ts_type: str, metrics: list[str]) -> str:
@@ -37,7 +38,7 @@ def _state_schema(metrics: list[str]) -> str:
     return ", ".join(f"{m} int" for m in metrics)
 
 
-def _make_step(key: str, tiebreak: str, limits: dict[str, float]):
+def _make_step(key: str, tiebreak: str, limits: dict[str, float], values: bool = False):
     metrics = list(limits)
 
     def step(group_key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -45,7 +46,8 @@ def _make_step(key: str, tiebreak: str, limits: dict[str, float]):
         pdf = pd.concat(list(pdfs), ignore_index=True)
         if pdf.empty:
             return
-        pdf = pdf.sort_values(["dateTime", tiebreak], kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(["dateTime", tiebreak], kind="stable",
+                              na_position="first").reset_index(drop=True)
         prev = state.get if state.exists else tuple(0 for _ in metrics)
         out = pd.DataFrame({key: pdf[key].astype(object), tiebreak: pdf[tiebreak],
                             "dateTime": pdf["dateTime"]})
@@ -60,6 +62,9 @@ def _make_step(key: str, tiebreak: str, limits: dict[str, float]):
             out[f"{m}_state"] = word
             out[f"{m}_event"] = np.where(now != was, word, "no change")
             last.append(int(now.iloc[-1]))
+        if values:
+            for m in metrics:
+                out[m] = pd.to_numeric(pdf[m], errors="coerce").astype("float64")
         state.update(tuple(last))
         yield out
 
@@ -68,9 +73,10 @@ def _make_step(key: str, tiebreak: str, limits: dict[str, float]):
 
 def actuator_state_stream(readings: DataFrame, limits: dict[str, float] | None = None, *,
                           scope: str = "location", location: str = "location",
-                          tiebreak: str = "event_id") -> DataFrame:
-    """Streaming (or batch) readings -> one row per message with the state of
-    each actuator after it and what changed (same columns as the batch form).
+                          tiebreak: str = "event_id", values: bool = False) -> DataFrame:
+    """Streaming readings (for a batch, use ``actuator_states``) -> one row per message with the state of
+    each actuator after it and what changed (same columns as the batch form;
+    with ``values`` also the measures).
 
     ``scope="global"`` keeps one actuator for all locations (a single key)."""
     limits = limits or DEFAULT_LIMITS
@@ -82,8 +88,9 @@ def actuator_state_stream(readings: DataFrame, limits: dict[str, float] | None =
     df = df.select(key, tiebreak, "dateTime",
                    *[F.col(m).cast("double").alias(m) for m in metrics])
     out = df.groupBy(key).applyInPandasWithState(
-        _make_step(key, tiebreak, limits),
-        outputStructType=_output_schema(key, tiebreak, ts_type, metrics),
+        _make_step(key, tiebreak, limits, values),
+        outputStructType=_output_schema(key, tiebreak, ts_type, metrics)
+        + "".join(f", {m} double" for m in metrics if values),
         stateStructType=_state_schema(metrics),
         outputMode="append",
         timeoutConf=GroupStateTimeout.NoTimeout,
@@ -100,35 +107,57 @@ def transitions_stream(readings: DataFrame, metric: str = "temperature", **kw) -
 
 # --- micro-batches through the bucketed batch operator -------------------------
 
-def _latest_epoch_before(spark, root: str, epoch_id: int) -> str | None:
-    """Path of the newest ``<root>/epoch=<n>`` with n < epoch_id (any file
-    system Spark can reach)."""
+def _epochs(spark, root: str) -> tuple[list[int], list[int]]:
+    """Numbers of the complete ``<root>/epoch=<n>`` and of all of them (any
+    file system Spark can reach)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(conf)
     if not fs.exists(path):
-        return None
-    best = None
+        return [], []
+    done, found = [], []
     for st in fs.listStatus(path):
         name = st.getPath().getName()
-        if name.startswith("epoch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            n = int(name.split("=", 1)[1])
-            if n < epoch_id and (best is None or n > best):
-                best = n
-    return None if best is None else f"{root.rstrip('/')}/epoch={best}"
+        if name.startswith("epoch="):
+            found.append(int(name.split("=", 1)[1]))
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                done.append(found[-1])
+    return sorted(done), sorted(found)
+
+
+def switched(states: DataFrame, metrics: list[str]) -> DataFrame:
+    """The messages that switch any actuator."""
+    changed = F.lit(False)
+    for m in metrics:
+        changed = changed | (F.col(f"{m}_event") != "no change")
+    return states.where(changed)
+
+
+def event_rows(states: DataFrame, metrics: list[str], key: list[str]) -> DataFrame:
+    """One row per switch: key, event_id, dateTime, metric, value, action;
+    within a message the metrics keep their order (temperature first)."""
+    each = F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"),
+                 F.col(f"{m}_event").alias("action")) for m in metrics]))
+    rows = states.select(*key, "event_id", "dateTime", each.alias("_e"))
+    return rows.where(F.col("_e.action") != "no change").select(
+        *key, "event_id", "dateTime", "_e.metric", "_e.value", "_e.action")
 
 
 def bucketed_actuator_writer(out_path: str, state_path: str,
                              limits: dict[str, float] | None = None, *,
-                             scope: str = "location", events_only: bool = False):
+                             scope: str = "location", events_only: bool = False,
+                             as_events: bool = False):
     """A ``foreachBatch`` function running the actuators per micro-batch with
     the bucketed batch operator, so a hot key is split by time within the
     batch instead of landing in one group.
 
     The state between micro-batches is a table with one row per key written
     to ``<state_path>/epoch=<id>``; epoch ``e`` reads the newest state older
-    than ``e``.  Outputs and state are written with overwrite per epoch, so a
+    than ``e``, and the two newest before it are kept, all older ones deleted.
+    ``events_only`` writes only the messages that switch an actuator,
+    ``as_events`` one row per switch (:func:`event_rows`).  Outputs and state are written with overwrite per epoch, so a
     replayed epoch recomputes the same result."""
     from thermograph.operators.actuators import actuator_states, final_states
 
@@ -138,31 +167,38 @@ def bucketed_actuator_writer(out_path: str, state_path: str,
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        prev_path = _latest_epoch_before(spark, state_path, epoch_id)
+        root = state_path.rstrip("/")
+        older = [n for n in _epochs(spark, root)[0] if n < epoch_id]
+        prev_path = f"{root}/epoch={older[-1]}" if older else None
         prev = spark.read.parquet(prev_path) if prev_path else None
         init = prev.withColumnRenamed(key, "location") if (prev is not None and scope != "location") else prev
         states = actuator_states(batch, limits, scope=scope, initial=init, keep=metrics)
         out = f"{out_path.rstrip('/')}/epoch={epoch_id}"
-        # Written once; the output and the new state are read back from it
-        # instead of recomputing the micro-batch.
-        states_path = f"{state_path.rstrip('/')}/_states/epoch={epoch_id}"
+        # Each message is written once: the output itself, or, where that has
+        # events only, the states it is made of; the new state is read from it.
+        states_path = f"{root}/_states/epoch={epoch_id}" if events_only or as_events else out
         states.write.mode("overwrite").parquet(states_path)
-        written = spark.read.parquet(states_path)
-        if events_only:
-            changed = F.lit(False)
-            for m in metrics:
-                changed = changed | (F.col(f"{m}_event") != "no change")
-            written.where(changed).write.mode("overwrite").parquet(out)
-        else:
-            written.write.mode("overwrite").parquet(out)
+        written = spark.read.schema(states.schema).parquet(states_path)
+        if events_only and not as_events:
+            switched(written, metrics).write.mode("overwrite").parquet(out)
+        if as_events:
+            own = [key] if scope == "location" else []
+            event_rows(written, metrics, own).write.mode("overwrite").parquet(out)
         k = "location" if scope == "location" else "_scope"
         src = written if scope == "location" else written.withColumn("_scope", F.lit("all"))
         last = final_states(src, metrics, key=k).withColumn("_p", F.lit(1))
         if prev is not None:
             merged = prev.select(k, *metrics).withColumn("_p", F.lit(0)).unionByName(last)
-            last = merged.groupBy(k).agg(*[F.max_by(m, "_p").alias(m) for m in metrics])
+            last = merged.groupBy(k).agg(*[F.max_by(m, F.when(F.col(m).isNotNull(), F.col("_p")))
+                                           .alias(m) for m in metrics])
         else:
             last = last.drop("_p")
-        last.write.mode("overwrite").parquet(f"{state_path.rstrip('/')}/epoch={epoch_id}")
+        last.write.mode("overwrite").parquet(f"{root}/epoch={epoch_id}")
+        for n in _epochs(spark, root)[1]:
+            if n < epoch_id and n not in older[-1:]:
+                delete_path(spark, f"{root}/epoch={n}")
+        for n in _epochs(spark, f"{root}/_states")[1]:
+            if n < epoch_id:
+                delete_path(spark, f"{root}/_states/epoch={n}")
 
     return write
