@@ -14,7 +14,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 # A slice holds documents up to this many bytes (one longer text is a slice).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -58,6 +58,9 @@ def text_slices(col, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, int, p
         j = min(max(j, i + 1), len(col))
         yield i, j, col.slice(i, j - i)
         i = j
+    # Workers live on between stages; what a batch needed goes back.
+    del col, off
+    pa.default_memory_pool().release_unused()
 
 
 class Words:

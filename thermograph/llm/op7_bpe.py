@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 CHUNK_WORDS = 1_000_000
 MAX_VOCABULARY = 1 << 20
-OUT_BYTES = 4 << 20  # of ids in one Arrow batch
+OUT_BYTES = 1 << 20  # of ids in one Arrow batch
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -140,6 +140,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], pattern: str, other, packed: bool
                 ids, blobs, held = [], [], 0
     if held:
         yield name(), ids, blobs, words
+    pa.default_memory_pool().release_unused()
 
 
 def _words(pattern: str, other, buckets: int):
@@ -257,6 +258,7 @@ def _assemble(finish: Callable | None, id_type: pa.DataType):
     def run(batches):
         out = parts(batches)
         yield from finish(out) if finish else out
+        pa.default_memory_pool().release_unused()
     return run
 
 
