@@ -236,6 +236,22 @@ def test_lines(spark, odd_rows, monkeypatch, limit):
     assert op6.dedup_lines(frame(spark, docs).limit(0)).count() == 0
 
 
+def test_templates_do_not_depend_on_the_order_of_rows():
+    rng = random.Random(9)
+    lines = [[rng.randint(0, 2) if k > 4 else k for k in range(12)] for _ in range(40)]
+    entries = [(hash(tuple(x)), 1, i, op6.np.array(x, op6.np.uint16).tobytes())
+               for i, x in enumerate(lines)]
+    entries = list({e[0]: e for e in entries}.values())
+
+    def run(rows):
+        return sorted(op6._leaf(*(list(c) for c in (
+            [e[0] for e in rows],)), 12, *(list(c) for c in zip(*[e[1:] for e in rows], strict=True))))
+    want = run(entries)
+    for _ in range(5):
+        rng.shuffle(entries)
+        assert run(entries) == want
+
+
 # --- 7: tokens
 
 def test_tokens(spark, odd_rows):

@@ -177,6 +177,10 @@ def _leaf(line, size, n_docs, first, words) -> Iterator[tuple[int, object]]:
             low[at] = f
     if sum(docs) < 2 or sum(docs) * size < WEIGHT:
         return
+    # In the order of the hashes: rows arrive in any order, templates must not.
+    order = sorted(places, key=places.get)
+    rank = sorted(range(len(order)), key=order.__getitem__)
+    order, docs, low, text = ([x[k] for k in rank] for x in (order, docs, low, text))
     weight = np.array(docs)
     if len(docs) == 1:
         kind = np.zeros(1, np.int64)
@@ -187,7 +191,7 @@ def _leaf(line, size, n_docs, first, words) -> Iterator[tuple[int, object]]:
     for k, f in zip(kind.tolist(), low, strict=True):
         if f is not None and (least.get(k) is None or f < least[k]):
             least[k] = f
-    for h, k in zip(places, kind.tolist(), strict=True):
+    for h, k in zip(order, kind.tolist(), strict=True):
         if total[k] >= 2 and total[k] * size >= WEIGHT:
             yield h, least.get(k)
 
