@@ -24,8 +24,9 @@ runs without ASCII white space, A-Z lower-cased).  Two documents link when
    folder after each step.
 
 Nulls: a null text has an empty set.  A document with an empty set links with
-nothing.  A null ``doc_id`` gives a row of its own with a null component.
-Repeated ids: each row is returned; rows of one id share its component (the
+nothing.  A row with a null ``doc_id`` shares the component of rows with an
+equal set and an id; without such rows its component is null and it links with
+nothing (there is no id to fetch its text by).  Repeated ids: each row is returned; rows of one id share its component (the
 smallest of theirs).  An empty table gives an empty result.
 """
 
