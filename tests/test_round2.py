@@ -123,3 +123,25 @@ def test_one_location_and_bad_messages(spark, tmp_path, mode):
     q.awaitTermination()
     good = spark.read.parquet(str(tmp_path / "i")).count()
     assert (good, spark.read.parquet(str(tmp_path / "i_malformed")).count()) == (2, 1)
+
+
+def test_stream_joined_to_the_assignments(spark, tmp_path):
+    """Telemetry of a stream gets its sensor's location from a static table."""
+    from thermograph.operators.telemetry import (config_replies, parse_telemetry,
+                                                 telemetry_with_location)
+    from thermograph.sinks.streams import epoch_parquet_writer
+    from thermograph.sources.messages import read_message_stream, telemetry_messages
+    from thermograph.sources.readings import sensor_readings
+    r = sensor_readings(spark, "/root/testdata/sf0.001", with_sensor=True)
+    land, out = str(tmp_path / "in"), str(tmp_path / "out")
+    telemetry_messages(r).repartition(3).write.parquet(land)
+    replies = config_replies(r.select("sensor_id").distinct())
+    stream = telemetry_with_location(
+        parse_telemetry(read_message_stream(spark, land, max_files_per_trigger=1)), replies)
+    q = (stream.writeStream.foreachBatch(epoch_parquet_writer(out))
+         .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    batch = telemetry_with_location(parse_telemetry(spark.read.parquet(land)), replies)
+    cols = ["event_id", "location", "s_id", "assigned_location"]
+    got = spark.read.parquet(out).select(*cols).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, batch.select(*cols).collect()))

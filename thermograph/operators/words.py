@@ -26,7 +26,7 @@ def word_count_per_doc(docs: DataFrame, doc: str = "doc_id", text: str = "text")
     Counted inside the row, as the distinct counts are: the words are sorted
     and the last place of each run, less that of the run before, is its count.
     Nothing is shuffled; rows that repeat ``doc`` are counted row by row."""
-    ordered = docs.select(doc, F.array_sort(split_words(text)).alias("_w"))
+    ordered = docs.select(doc, F.sort_array(split_words(text)).alias("_w"))
     ends = F.filter(F.sequence(F.lit(0), F.size("_w") - 1), lambda i: (
         i == F.size("_w") - 1) | (F.get("_w", i) != F.get("_w", i + 1)))
     runs = ordered.where(F.size("_w") > 0).select(doc, "_w", ends.alias("_e"))
