@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermograph.session import scratch_path
+from thermograph.session import delete_path, scratch_path
 
 
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -48,31 +48,42 @@ def components(spark: SparkSession, edges: DataFrame, name: str) -> DataFrame:
     Each round every node points to its smallest neighbour (if smaller),
     pointers are followed twice, and edges are drawn between what is pointed
     to; edges inside one label go.  Labels of all rounds are composed."""
-    left = written(spark, edges.select("a", "b").where("a <> b").distinct(), f"{name}-edges")
+    folder = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    parts = iter(range(1 << 30))
+
+    def kept(df: DataFrame) -> DataFrame:
+        path = f"{folder}/{next(parts)}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    left = kept(edges.select("a", "b").where("a <> b").distinct())
     labels = None
     while True:
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hook = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("p"))
-        hook = written(spark, hook.select(F.col("a").alias("node"), "p"), f"{name}-hook")
+        hook = kept(hook.select(F.col("a").alias("node"), "p"))
         for _ in range(2):
             up = hook.select(F.col("node").alias("p"), F.col("p").alias("q"))
             hook = hook.join(up, "p", "left").select("node", F.coalesce("q", "p").alias("p"))
-        hook = written(spark, hook, f"{name}-jump")
+        hook = kept(hook)
         if labels is None:
             labels = hook.select("node", F.col("p").alias("label"))
         else:
             step = hook.select(F.col("node").alias("label"), F.col("p").alias("q"))
             labels = labels.join(step, "label", "left").select(
                 "node", F.coalesce("q", "label").alias("label"))
-        labels = written(spark, labels, f"{name}-labels")
+        labels = kept(labels)
         a = hook.select(F.col("node").alias("a"), F.col("p").alias("la"))
         b = hook.select(F.col("node").alias("b"), F.col("p").alias("lb"))
         left = (left.join(a, "a").join(b, "b")
                 .select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b"))
                 .where("a <> b").distinct())
-        left = written(spark, left, f"{name}-edges")
+        left = kept(left)
         if left.isEmpty():
-            return labels
+            break
+    out = written(spark, labels, f"{name}-labels")
+    delete_path(spark, folder)  # the rounds' tables; the result no longer needs them
+    return out
 
 
 def free_name(df: DataFrame, name: str) -> str:
