@@ -10,7 +10,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.conftest import frame, prose
+from tests.llm.odd_tables import frame, odd_rows, prose  # noqa: F401
 from thermograph.llm import (op1_secret_scan as op1, op2_html_extract as op2,
                              op3_jaccard_join as op3, op4_quality_rules as op4,
                              op5_chat_format as op5, op6_line_dedup as op6, op7_bpe as op7,

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import corpus_pipeline as P
-from tests.llm.conftest import frame
+from tests.llm.odd_tables import frame, odd_rows  # noqa: F401
 from tests.llm.test_operators import brute_components
 from thermograph.llm.queries import ORACLE_SQL, QUERIES
 
