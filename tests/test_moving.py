@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF01, readings_df
+from conftest import SF001, SF01, readings_df
 from thermograph.constants import LEVELS
 from thermograph.functions.calendar import epoch_micros
 from thermograph.operators.enrich import enrich
@@ -188,3 +188,42 @@ def test_busiest_hours_grouping_sets(enriched):
         direct = (base.groupBy(k, F.floor(F.col("_ord") / 3600000000)).count()
                   .agg(F.max("count")).first()[0])
         assert got[k] == direct, k
+
+
+def _input_scans(df) -> int:
+    """Parquet scans of the events table in the executed plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sum("FileScan parquet" in line and "events.parquet" in line
+               for line in plan.splitlines())
+
+
+def test_one_pre_aggregate_for_all_stages(spark):
+    """The rows are the only scan of the input that the large plans keep: all
+    totals, and the statistic, come from one written table."""
+    from thermograph.operators.enrich import enrich_location
+    from thermograph.operators.moving import level_view, moving_averages_all_levels
+    rows = enrich_location(sensor_readings(spark, SF001))
+    plain = moving_averages_all_levels(rows, strategy="plain")
+    for target in ("1000000", "40", "1"):
+        spark.conf.set("spark.thermograph.bucketRows", target)
+        try:
+            got = moving_averages_all_levels(rows, strategy="prefix")
+        finally:
+            spark.conf.unset("spark.thermograph.bucketRows")
+        assert _input_scans(got) == _input_scans(plain), target
+        assert _rows(level_view(got, "neighborhood")) == _rows(level_view(plain, "neighborhood"))
+    both = moving_averages_all_levels(rows, strategy="prefix", bucket="15 minutes")
+    assert _input_scans(both) == _input_scans(plain)
+    assert _rows(level_view(both, "floor")) == _rows(level_view(plain, "floor"))
+
+
+def test_busiest_hours_from_totals(enriched):
+    from thermograph.functions.exact import to_units
+    from thermograph.operators.moving import _bucket_totals, busiest_hours
+    keys = ["fullRoomLocation", "neighborhood"]
+    base = (enriched.withColumn("_ord", epoch_micros("dateTime"))
+            .withColumn("_c_temperature", to_units("temperature", 2)))
+    for fine in (3600 * 10**6, 5 * 60 * 10**6):
+        totals = _bucket_totals(base, keys, ["temperature"], fine)
+        assert busiest_hours(base, keys, totals, fine) == busiest_hours(base, keys), fine
+        assert busiest_hours(base, keys[:1], totals, fine) == busiest_hours(base, keys[:1]), fine

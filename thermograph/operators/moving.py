@@ -39,16 +39,21 @@ task):
 ``strategy="auto"`` (the default) takes ``plain`` when the optimizer's size
 estimate of the input is small (``spark.thermograph.smallInputBytes``,
 64 MiB): one task per key is cheap there and buckets would only add stages.
-Otherwise one statistics job (a grouping-sets count, one number per window key
-to the driver) finds the busiest (key, hour), and each window key gets
-``halo`` if a halo bucket of its busiest stretch stays under
+Otherwise the input is aggregated once, to sums and counts per (all keys,
+hour), and that table is written to the shared folder.  A grouping-sets sum over
+it (one number per window key to the driver) finds the busiest (key, hour), and
+each window key gets ``halo`` if a halo bucket of its busiest stretch stays under
 ``spark.thermograph.bucketRows`` (1,000,000) rows, else ``prefix`` with the
-widest whole-hour bucket that does (one hour at the narrowest): sparse keys
-take the cheap plan, a hot key the bounded one.
+widest whole-hour bucket that does, or one of 30, 15, 5 or 1 minutes: sparse keys
+take the cheap plan, a hot key the bounded one.  The bucket totals of every
+window key are rolled up from the same table, so the input is read twice (once
+for the table, once for the rows), whatever the number of keys; once more if
+keys need buckets below an hour.
 """
 
 from __future__ import annotations
 
+import uuid
 from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window
@@ -58,7 +63,7 @@ from thermograph.constants import HORIZONS, LEVEL_KEY
 from thermograph.functions.calendar import epoch_micros, floor_div
 from thermograph.functions.exact import (cents_to_double, half_even_div, hundredths,
                                          measure_scale, to_units)
-from thermograph.session import is_small, key_parts
+from thermograph.session import is_small, key_parts, scratch_path
 
 _US = {"us": 1, "microsecond": 1, "ms": 1000, "millisecond": 1000,
        "s": 10**6, "second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6,
@@ -159,6 +164,16 @@ def _bucket_totals(base: DataFrame, keys: list[str], measures: list[str], g: int
                      F.sum(f"_c_{m}").alias(f"_ts_{m}"), F.count(f"_c_{m}").alias(f"_tn_{m}"))]))
 
 
+def _written_totals(base: DataFrame, keys: list[str], measures: list[str], g: int) -> DataFrame:
+    """``_bucket_totals`` over all ``keys``, written to the shared folder: what
+    every window key rolls its own totals up from."""
+    spark = base.sparkSession
+    totals = _bucket_totals(base, keys, measures, g)
+    path = scratch_path(spark, f"moving_totals-{uuid.uuid4().hex}")
+    totals.write.parquet(path)
+    return spark.read.schema(totals.schema).parquet(path)
+
+
 # Widths below an hour, for keys with more rows in an hour than one task takes.
 SUB_HOUR_US = [m * 60 * 10**6 for m in (30, 15, 5, 1)]
 
@@ -175,20 +190,27 @@ def candidate_widths(hs: list[int]) -> list[int]:
     return [d * HOUR_US for d in range(units, 0, -1) if units % d == 0]
 
 
-def busiest_hours(base: DataFrame, keys: list[str]) -> dict[str, int]:
+def busiest_hours(base: DataFrame, keys: list[str], totals: DataFrame | None = None,
+                  fine: int = HOUR_US) -> dict[str, int]:
     """Most rows any single (key, hour) holds, for every key column: one
     scan with grouping sets and partial aggregation; one number per key
-    reaches the driver."""
+    reaches the driver.  With ``totals`` (per bucket of ``fine``, a part of an
+    hour) the scan is of that table, not of ``base``."""
     keys = list(dict.fromkeys(keys))
-    x = base.where(F.col(_ORD).isNotNull()).select(*keys, floor_div(_ORD, HOUR_US).alias("_h"))
+    if totals is None:
+        x = base.where(F.col(_ORD).isNotNull()).select(
+            *keys, floor_div(_ORD, HOUR_US).alias("_h"), F.lit(1).cast("bigint").alias("_rows"))
+    else:
+        x = totals.select(*keys, floor_div(f"_b * {fine}", HOUR_US).alias("_h"), "_rows")
+    rows = F.sum("_rows").alias("_r")
     if len(keys) == 1:
-        r = x.groupBy(keys[0], "_h").agg(F.count(F.lit(1)).alias("_r")).agg(F.max("_r")).first()[0]
+        r = x.groupBy(keys[0], "_h").agg(rows).agg(F.max("_r")).first()[0]
         return {keys[0]: r or 0}
     n = len(keys)
     # grouping_id: a set bit for every column left out of the set, first column highest
     gid = {sum(1 << (n - j) for j in range(n) if j != i): keys[i] for i in range(n)}
     per = (x.groupingSets([[k, "_h"] for k in keys], *keys, "_h")
-           .agg(F.count(F.lit(1)).alias("_r"), F.grouping_id().alias("_gid"))
+           .agg(rows, F.grouping_id().alias("_gid"))
            .groupBy("_gid").agg(F.max("_r").alias("r")))
     out = {k: 0 for k in keys}
     for row in per.collect():
@@ -197,12 +219,13 @@ def busiest_hours(base: DataFrame, keys: list[str]) -> dict[str, int]:
 
 
 def _plan_stages(base: DataFrame, stage_keys: list[str], hs: list[int], adaptive_halo: bool,
-                 target_rows: int) -> dict[str, tuple[str, int]]:
+                 target_rows: int, totals: DataFrame | None = None,
+                 fine: int = HOUR_US) -> dict[str, tuple[str, int]]:
     """Per window key: ``("halo", B)`` when a halo bucket of the busiest key
     stays under the row target (and ``adaptive_halo``), else ``("prefix", g)``
     with the widest bucket that does if an hour's rows are spread evenly (one
     minute at the narrowest)."""
-    busiest = busiest_hours(base, stage_keys)
+    busiest = busiest_hours(base, stage_keys, totals, fine)
     halo_b = auto_bucket_micros(max(hs))
     widths = candidate_widths(hs)
     widths += [w for w in SUB_HOUR_US if w < widths[-1] and all(h % w == 0 for h in hs)]
@@ -218,11 +241,13 @@ def _plan_stages(base: DataFrame, stage_keys: list[str], hs: list[int], adaptive
 
 
 def _span_totals(totals: DataFrame, key: str, measures: list[str], ms: dict[str, int],
-                 unique: bool = False) -> DataFrame:
+                 fine: int | None = None, g: int | None = None) -> DataFrame:
     """total(b-m .. b-1) per (key, b) for every horizon, as growing-frame
     differences over the small totals table (one row per key and bucket).
-    ``unique``: the totals already have one row per (key, b)."""
-    t = totals if unique else totals.groupBy(key, "_b").agg(
+    ``fine``: the totals are of more keys and of buckets of ``fine``, a part
+    of ``g``, and are rolled up first."""
+    t = totals if fine is None else totals.groupBy(
+        key, floor_div(f"_b * {fine}", g).alias("_b")).agg(
         *[F.sum(f"_{p}_{m}").alias(f"_{p}_{m}") for m in measures for p in ("ts", "tn")])
     w = Window.partitionBy(key).orderBy("_b")
     upto = w.rangeBetween(Window.unboundedPreceding, -1)
@@ -321,19 +346,29 @@ def _run_stages(df: DataFrame, keys: list[str], stages: list[tuple[str, list[str
             .withColumns(_unit_cols(["temperature", "humidity"], scale)))
     rows = base
     stage_keys = [k for k, _, _ in stages]
+    used = list(dict.fromkeys(m for _, ms, _ in stages for m in ms))
+    totals, fine = None, width
     if strategy in ("adaptive", "prefix") and width is None:
+        fine = gcd(HOUR_US, *hs.values())
+        totals = _written_totals(base, list(dict.fromkeys(stage_keys)), used, fine)
         conf = df.sparkSession.conf.get("spark.thermograph.bucketRows", None)
         target = int(conf) if conf else TARGET_BUCKET_ROWS
-        plan = _plan_stages(base, stage_keys, list(hs.values()), strategy == "adaptive", target)
+        plan = _plan_stages(base, stage_keys, list(hs.values()), strategy == "adaptive", target,
+                            totals, fine)
     else:
         plan = {k: (strategy, width) for k in stage_keys}
+    narrow = [w for how, w in plan.values() if how == "prefix" and (totals is None or w % fine)]
+    if len(narrow) > 1:  # several keys: one read for all of them
+        fine = min(narrow)
+        totals = _written_totals(base, list(dict.fromkeys(stage_keys)), used, fine)
     for k, measures, tag in stages:
         how, w = plan[k]
         if how == "prefix":
             ms = {nm: h // w for nm, h in hs.items()}
-            # bucket totals of this key: a partial aggregate, one row per (key, bucket)
-            totals = _bucket_totals(base, [k], measures, w)
-            spans = _span_totals(totals, k, measures, ms, unique=True)
+            if totals is not None and w % fine == 0:
+                spans = _span_totals(totals, k, measures, ms, fine, w)
+            else:  # of this key alone: a partial aggregate, one row per (key, bucket)
+                spans = _span_totals(_bucket_totals(base, [k], measures, w), k, measures, ms)
             payload = [c for c in rows.columns
                        if c not in (k, _ORD) and not c.startswith("_c_")]
             rows = _prefix_stage(rows, k, measures, hs, w, spans, payload)
