@@ -252,6 +252,16 @@ def test_templates_do_not_depend_on_the_order_of_rows():
         assert run(entries) == want
 
 
+def test_a_template_recurs_at_every_size(spark):
+    rng = random.Random(12)
+    names = sorted({"".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8))
+                    for _ in range(4200)})
+    docs = [(i, f"Posted by user {x} in the general forum of this site") for i, x in enumerate(names)]
+    assert len(docs) > op6.LEAF
+    got = rows(op6.dedup_lines(frame(spark, docs)))
+    assert [r["doc_id"] for r in got if not r["n_dropped"]] == [0]
+
+
 # --- 7: tokens
 
 def test_tokens(spark, odd_rows):

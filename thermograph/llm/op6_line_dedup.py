@@ -3,11 +3,18 @@
 A line is its words (runs without ASCII white space); a word with a digit is a
 variable field.  The tree has a fixed depth: the number of words, then the
 ``DEPTH`` leading words (variables as one).  Lines that reach the same leaf are
-compared word by word, most frequent first: a line joins the template with most
-equal words if these are ``SIMILAR`` % or more of all, and words that differ
-become variable fields of the template.  A leaf with over ``LEAF`` different
-lines gets another level (the next word), so no comparison grows with the
-square of a frequent beginning.
+taken most frequent first (then by hash): a line joins, of the templates begun
+before it, the one with most equal words if these are ``SIMILAR`` % or more of
+all (of several, the first); otherwise it begins a template.
+
+That holds at every size.  A leaf of up to ``LEAF`` different lines is done in
+one task.  A larger one is dealt into parts of about ``LEAF`` lines by their
+hash and done in rounds: the first of the lines without a template, at most
+about ``LEAF``, are done in one task; the templates they begin are laid over
+every part.  Where a part ends or a round stops changes no result.  A round
+settles the whole leaf but for lines that are like none of its templates, so a
+leaf of few templates takes few rounds, one of unlike lines only takes as many
+as it has lines by ``LEAF``, and compares them all.
 
 A template recurs if at least two documents have it and documents times words
 reach ``WEIGHT``: long lines recur from the second document on, short ones need
@@ -15,7 +22,8 @@ more.  Its lines stay in the first document (lowest id) and are dropped from
 all others.
 
 Before anything is shuffled a task adds up equal lines, so a line in a third of
-all documents is a few rows per task.  Words travel as 16-bit hashes.  The
+all documents is a few rows per task; an aggregate adds up the tasks' rows
+before any leaf is gathered.  Words travel as 16-bit hashes.  The
 decisions, not the texts, are joined back, by the line's hash.
 
 Nulls: a null text has no lines and stays null; a row with a null id is never
@@ -25,23 +33,26 @@ Blank lines are kept as they are.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from thermograph.llm._groups import free_name, with_length, written
 from thermograph.llm._text import U64, Words, mix, powers, text_slices
+from thermograph.session import delete_path, scratch_path
 
 DEPTH = 3
 SIMILAR = 70
-LEAF = 4096
+LEAF = 4096  # lines of a leaf that a task holds; no result depends on it
 WEIGHT = 20
 # Lines to drop up to which they are broadcast to the texts; beyond, a join shuffles.
 BROADCAST_ROWS = 1_000_000
+SALTS = 16  # tasks that share the lines of a template of a large leaf
 HELD = 200_000  # different lines that a task adds up before it sends them on
 
 _DIGIT = np.zeros(256, bool)
@@ -127,35 +138,22 @@ def _count(id_type: pa.DataType):
     return run
 
 
-def cluster(words: np.ndarray, weight: np.ndarray, depth: int = DEPTH) -> np.ndarray:
+def cluster(words: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Template number of each line of a leaf; ``words``: one row per line."""
     m, size = words.shape
     out = np.zeros(m, np.int64)
-    if m > LEAF and depth < size:
-        at = 0
-        for w in np.unique(words[:, depth]):
-            own = np.flatnonzero(words[:, depth] == w)
-            sub = cluster(words[own], weight[own], depth + 1)
-            out[own] = sub + at
-            at += int(sub.max()) + 1
-        return out
-    if m > LEAF:  # all words are leading ones: the lines are the same
-        return out
     shape = np.zeros((min(m, 64), size), np.uint16)
-    fixed = np.zeros((min(m, 64), size), bool)
     n = 0
     for i in np.argsort(-weight, kind="stable"):
         if n:
-            equal = ((shape[:n] == words[i]) & fixed[:n]).sum(axis=1)
+            equal = (shape[:n] == words[i]).sum(axis=1)
             best = int(equal.argmax())
             if 100 * int(equal[best]) >= SIMILAR * size:
                 out[i] = best
-                fixed[best] &= shape[best] == words[i]
                 continue
         if n == len(shape):
             shape = np.concatenate((shape, np.zeros_like(shape)))
-            fixed = np.concatenate((fixed, np.zeros_like(fixed)))
-        shape[n], fixed[n], out[i] = words[i], True, n
+        shape[n], out[i] = words[i], n
         n += 1
     return out
 
@@ -235,6 +233,101 @@ def _recurring(id_type: pa.DataType):
     return run
 
 
+def _matrix(lines: pa.Table) -> np.ndarray:
+    """The words of the lines of a leaf, one row per line."""
+    return np.frombuffer(b"".join(lines.column("words").to_pylist()), np.uint16).reshape(
+        len(lines), -1)
+
+
+def _begin(held: int):
+    """Templates of the first open lines of a leaf, from the first ones (``rank``
+    1, 2, ...) of each part: up to where a part may have more."""
+    def run(lines: pa.Table) -> pa.Table:
+        lines = lines.sort_by([("n_docs", "descending"), ("line", "ascending")])
+        last = max(1, held // lines.column("parts")[0].as_py())
+        cut = np.flatnonzero(lines.column("rank").to_numpy() == last)
+        lines = lines.slice(0, int(cut[0]) + 1 if len(cut) else len(lines)).drop_columns(["rank"])
+        kind = cluster(_matrix(lines), lines.column("n_docs").to_numpy())
+        _, begun = np.unique(kind, return_index=True)
+        lead = lines.column("line").to_numpy()[begun][kind]
+        return lines.append_column("lead", pa.array(lead, pa.int64()))
+    return run
+
+
+def _lay(own: pa.Table, found: pa.Table) -> pa.Table:
+    """The lines of a part, with the templates found in this round."""
+    if not len(own) or not len(found):
+        return own
+    line, n = own.column("line").to_numpy(), own.column("n_docs").to_numpy()
+    best = own.column("best").to_numpy().copy()
+    open_ = own.column("lead").combine_chunks().is_null().to_numpy(zero_copy_only=False)
+    lead = own.column("lead").combine_chunks().fill_null(0).to_numpy().copy()
+    words = _matrix(own)
+    size = words.shape[1]
+    found = found.sort_by([("n_docs", "descending"), ("line", "ascending")])
+    at, to = found.column("line").to_numpy(), found.column("lead").to_numpy()
+    begun = np.flatnonzero(at == to)
+    shapes = _matrix(found.take(pa.array(begun)))
+    for shape, t, w in zip(shapes, at[begun], found.column("n_docs").to_numpy()[begun], strict=True):
+        equal = (words == shape).sum(axis=1)
+        joins = ((w > n) | (w == n) & (t < line)) & (100 * equal >= SIMILAR * size) & (equal > best)
+        best[joins], lead[joins] = equal[joins], t
+        open_ &= ~joins
+    # The lines of the round are settled: later templates come after them.
+    order = np.argsort(line)
+    place = np.minimum(np.searchsorted(line, at, sorter=order), len(line) - 1)
+    mine = line[order[place]] == at
+    place = order[place[mine]]
+    best[place], lead[place], open_[place] = size, to[mine], False
+    for name, array in (("best", pa.array(best, pa.int32())),
+                        ("lead", pa.array(lead, pa.int64(), mask=open_))):
+        own = own.set_column(own.schema.get_field_index(name), name, array)
+    return own
+
+
+def _dealt(lines: DataFrame, leaves: DataFrame) -> DataFrame:
+    """The lines of ``leaves`` (leaf, parts), dealt into parts; none has a template."""
+    return lines.join(F.broadcast(leaves), "leaf").select(
+        "leaf", "parts", F.pmod("line", "parts").alias("part"), "line", "size", "n_docs",
+        "first", "words", F.lit(0).alias("best"), F.lit(None).cast("long").alias("lead"))
+
+
+def _large(lines: DataFrame, leaves: DataFrame) -> DataFrame:
+    """(line, first) for the lines of recurring templates of large leaves."""
+    spark = lines.sparkSession
+    folder = scratch_path(spark, f"op6-large-{uuid.uuid4().hex}")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    k = 0
+    state = kept(_dealt(lines, leaves), "0")
+    while not (left := state.where("lead is null")).isEmpty():
+        k += 1
+        per_part = F.greatest(F.lit(1), F.floor(F.lit(LEAF) / F.col("parts")))
+        rank = F.row_number().over(Window.partitionBy("leaf", "part").orderBy(F.desc("n_docs"), "line"))
+        first = left.select("leaf", "parts", "line", "n_docs", "words", rank.alias("rank")).where(
+            F.col("rank") <= per_part)
+        found = kept(first.groupBy("leaf").applyInArrow(
+            _begin(LEAF), "leaf long, parts long, line long, n_docs long, words binary, lead long"),
+            f"found-{k}")
+        everywhere = found.where("line = lead").withColumn(
+            "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        sent = everywhere.unionByName(
+            found.where("line <> lead").withColumn("part", F.pmod("line", "parts")))
+        state = kept(state.groupBy("leaf", "part").cogroup(sent.groupBy("leaf", "part"))
+                     .applyInArrow(_lay, state.schema), str(k))
+        delete_path(spark, f"{folder}/{k - 1}")
+        delete_path(spark, f"{folder}/found-{k}")
+    kinds = state.groupBy("lead").agg(
+        F.sum("n_docs").alias("docs"), F.min("first").alias("first"), F.max("size").alias("size"))
+    kinds = kinds.where(f"docs >= 2 and docs * size >= {WEIGHT}").select(
+        "lead", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return state.select("line", "lead", F.pmod("line", F.lit(SALTS)).cast("int").alias("salt")).join(
+        kinds, ["lead", "salt"]).select("line", "first")
+
+
 def _doc_lines(id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -297,8 +390,20 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     arrow, name = to_arrow_type(kind), kind.simpleString()
     counted = rows.mapInArrow(
         _count(arrow), f"leaf long, line long, size int, n_docs long, first {name}, words binary")
-    return (counted.repartition("leaf").sortWithinPartitions("leaf")
-            .mapInArrow(_recurring(arrow), f"line long, first {name}"))
+    lines = written(docs.sparkSession, counted.groupBy("leaf", "line", "size", "words").agg(
+        F.sum("n_docs").alias("n_docs"), F.min("first").alias("first")), "op6-counted")
+    leaves = written(docs.sparkSession, large_leaves(lines), "op6-leaves")
+    large = not leaves.isEmpty()
+    small = lines.join(F.broadcast(leaves), "leaf", "left_anti") if large else lines
+    out = (small.select(*counted.columns).repartition("leaf").sortWithinPartitions("leaf")
+           .mapInArrow(_recurring(arrow), f"line long, first {name}"))
+    return out.unionByName(_large(lines, leaves)) if large else out
+
+
+def large_leaves(lines: DataFrame) -> DataFrame:
+    """(leaf, parts) of the leaves of over ``LEAF`` different lines."""
+    return lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("m")).where(f"m > {LEAF}").select(
+        "leaf", F.ceil(F.col("m") / LEAF).cast("long").alias("parts"))
 
 
 def _marked(docs: DataFrame, id_col: str, text_col: str, column: str) -> DataFrame:
