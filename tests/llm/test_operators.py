@@ -262,6 +262,28 @@ def test_a_template_recurs_at_every_size(spark):
     assert [r["doc_id"] for r in got if not r["n_dropped"]] == [0]
 
 
+def test_a_large_leaf_is_dealt_into_parts_without_effect(spark, monkeypatch):
+    rng = random.Random(13)
+    kinds = [prose(rng, 17).split() for _ in range(12)]
+    docs = []
+    for i in range(900):
+        w = list(rng.choice(kinds))
+        for _ in range(rng.randint(0, 7)):
+            w[rng.randrange(17)] = rng.choice(rng.choice(kinds))
+        docs.append((i, f"{i} 12:00 {i * 7} " + " ".join(w)))
+    docs += [(1000 + i, rng.choice(docs)[1]) for i in range(300)]
+    df = frame(spark, docs)
+    want = sorted((r.line, r.first) for r in op6.recurring_lines(df).collect())
+    monkeypatch.setattr(op6, "LEAF", 200)
+    assert sorted((r.line, r.first) for r in op6.recurring_lines(df).collect()) == want
+    lines = spark.range(2000).selectExpr("1L leaf", "xxhash64(id) line", "20 size", "1L n_docs",
+                                         "id first", "cast('a' as binary) words")
+    leaves = op6.large_leaves(lines)
+    assert [tuple(r) for r in leaves.collect()] == [(1, 10)]
+    most = op6._dealt(lines, leaves).groupBy("part").count().agg(F.max("count")).first()[0]
+    assert most < 300
+
+
 # --- 7: tokens
 
 def test_tokens(spark, odd_rows):
