@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import random
 import zlib
@@ -395,3 +396,30 @@ def test_overlaps(spark, odd_rows, monkeypatch, limit):
     assert odd.count() == len(odd_rows)
     assert op10.overlaps(frame(spark, docs).limit(0), bench).count() == 0
     assert op10.decontaminate(frame(spark, docs), bench.limit(0)).count() == len(docs)
+
+
+def test_every_placement_of_replaced_words_leaves_enough_seeds():
+    for width in range(op10.SHORTEST, op10.WINDOW + 1):
+        differ = max(r for r in range(width) if 100 * (width - r) >= op10.PCT * width)
+        fewest = min(sum(not any(p <= x < p + op10.SEED for x in gone)
+                         for p in range(width - op10.SEED + 1))
+                     for gone in itertools.combinations(range(width), differ))
+        assert fewest >= op10.fewest_hits(width) >= 2
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_overlaps_at_every_placement(spark, monkeypatch, limit):
+    monkeypatch.setattr(op10, "BROADCAST_SEEDS", limit)
+    items = [(n, " ".join(f"w{n}x{k}" for k in range(n))) for n in (9, 10, 11, 15, 20, 33)]
+    docs = []
+    for n, text in items:
+        width = min(n, 20)
+        differ = max(r for r in range(width) if 100 * (width - r) >= 80 * width)
+        for r in (differ, differ + 1):
+            places = list(itertools.combinations(range(width), r))
+            for gone in random.Random(n).sample(places, min(len(places), 400)):
+                w = ["other" if k in gone else x for k, x in enumerate(text.split()[:width])]
+                docs.append((len(docs), "before it " + " ".join(w) + " after"))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in op10.overlaps(frame(spark, docs), bench).collect()}
+    assert got == brute_overlaps(docs, items)

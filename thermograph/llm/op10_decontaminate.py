@@ -1,22 +1,21 @@
-"""Benchmark decontamination by spaced-seed hashing, in DataFrame functions only.
-
-Words are runs without ASCII white space, lower-cased.  Two fixed masks look at
-six words of a window and ignore the others::
-
-    1.1.1.1.1.1      111...111
-
-so a hit survives replaced words: single ones two apart under the first mask,
-three in a row under the second.
-
-1. Every position of every benchmark item and every document gives a hash per
-   mask.  The masks' hashes are joined; a match of item position ``i`` and
-   document position ``p`` is a hit on diagonal ``p - i``.  The benchmark's
-   hashes are broadcast if there are at most ``BROADCAST_SEEDS`` of them;
-   otherwise the join shuffles hashes.
-2. Hits become distinct (document, item, diagonal).
+"""Benchmark decontamination by seed hashing, in DataFrame functions only.
+
+Words are runs without ASCII white space, lower-cased.  An overlap counts if
+``PCT`` % or more of ``WINDOW`` consecutive words (all words of a shorter item)
+are equal.  A seed is ``SEED`` consecutive words; of ``n`` words of which ``r``
+differ, at least ``n - SEED + 1 - SEED * r`` seeds are left, wherever they
+differ.  For every width from ``SHORTEST`` to ``WINDOW`` and the most words that
+may differ that is 2 or more, so no overlap is without seeds.
+
+1. Every position of every benchmark item and every document gives the hash of
+   its seed.  The hashes are joined; a match of item position ``i`` and document
+   position ``p`` is a hit on diagonal ``p - i``.  The benchmark's hashes are
+   broadcast if there are at most ``BROADCAST_SEEDS`` of them; otherwise the
+   join shuffles hashes.
+2. Hits are counted by (document, item, diagonal); those with fewer hits than an
+   overlap leaves at least (``fewest_hits``) go.
 3. Each diagonal is verified word by word: the item is laid over the document
-   there, and an overlap counts if ``PCT`` % or more of ``WINDOW`` consecutive
-   words (all words of a shorter item) are equal.
+   there, and the equal words of each window are counted.
 
 Nulls and short texts: a null or empty text has no words.  A text or item of
 fewer than 9 words has no seeds and never overlaps.  A null item id is an item
@@ -32,7 +31,8 @@ from pyspark.sql import functions as F
 
 from thermograph.llm._groups import without_ids, written
 
-MASKS = ((0, 2, 4, 6, 8, 10), (0, 1, 2, 6, 7, 8))
+SEED = 3
+SHORTEST = 9
 WINDOW = 20
 PCT = 80
 BROADCAST_SEEDS = 1_000_000
@@ -47,46 +47,43 @@ def words(text: Column) -> Column:
         F.split(bare, "[ \\t\\n\\x0b\\f\\r]+"))
 
 
+def fewest_hits(width: int) -> int:
+    """Seeds that an overlap of ``width`` words leaves at least."""
+    differ = width * (100 - PCT) // 100
+    return width - SEED + 1 - SEED * differ
+
+
 def seeds(df: DataFrame, id_name: str) -> DataFrame:
-    """(id, position, m0, m1): the masks' hashes at each position (null beyond
-    the end) of ``df`` (id, text)."""
+    """(id, n, position, key): the seed's hash at each position of ``df`` (id,
+    text); ``n``: words of the text."""
     hashed = df.select(id_name, F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("h"))
-    offsets = sorted({o for mask in MASKS for o in mask})
     n = F.size("h")
-    shifted = [F.slice("h", o + 1, F.greatest(n - o, F.lit(0))).alias(f"w{o}") for o in offsets]
-    rows = hashed.where(n > max(MASKS[1])).select(id_name, F.posexplode(F.arrays_zip(*shifted)))
-    keys = [F.when(F.col(f"col.w{max(mask)}").isNotNull(), F.xxhash64(
-        F.lit(k), *[F.col(f"col.w{o}") for o in mask])).alias(f"m{k}")
-        for k, mask in enumerate(MASKS)]
-    return rows.select(id_name, F.col("pos").cast("int").alias("position"), *keys).where(
-        "m0 is not null or m1 is not null")
+    shifted = [F.slice("h", o + 1, n - SEED + 1).alias(f"w{o}") for o in range(SEED)]
+    rows = hashed.where(n >= SHORTEST).select(
+        id_name, n.alias("n"), F.posexplode(F.arrays_zip(*shifted)))
+    return rows.select(id_name, "n", F.col("pos").cast("int").alias("position"),
+                       F.xxhash64(*[F.col(f"col.w{o}") for o in range(SEED)]).alias("key"))
 
 
 def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Distinct (doc, item, diagonal) of all seed matches."""
-    ours = seeds(items, "item")
-    each = ours.select("item", F.col("position").alias("i"), F.explode(F.array(*[
-        F.struct(F.lit(k).alias("mask"), F.col(f"m{k}").alias("key"))
-        for k in range(len(MASKS))])).alias("s"))
-    each = each.select("item", "i", "s.mask", "s.key").where("key is not null")
-    theirs = seeds(docs, "doc")
+    """Distinct (doc, item, diagonal) with as many seed matches as an overlap has."""
+    least = F.array(*[F.lit(fewest_hits(w)) for w in range(SHORTEST, WINDOW + 1)])
+    each = seeds(items, "item").select("item", F.col("position").alias("i"), "key", F.get(
+        least, F.least("n", F.lit(WINDOW)) - SHORTEST).alias("least"))
+    theirs = seeds(docs, "doc").select("doc", "position", "key")
     if each.count() <= BROADCAST_SEEDS:
-        # One pass over the documents' positions, a map-side look-up per mask.
-        found = theirs
-        for k in range(len(MASKS)):
-            side = each.where(F.col("mask") == k).groupBy("key").agg(
-                F.collect_list(F.struct("item", "i")).alias(f"at{k}"))
-            found = found.join(F.broadcast(side.withColumnRenamed("key", f"m{k}")), f"m{k}", "left")
-        empty = F.array().cast("array<struct<item:%s,i:int>>" % dict(items.dtypes)["item"])
-        found = found.where("at0 is not null or at1 is not null").select(
-            "doc", "position", F.explode(F.concat(F.coalesce("at0", empty),
-                                                  F.coalesce("at1", empty))).alias("at"))
-        found = found.select("doc", "at.item", (F.col("position") - F.col("at.i")).alias("diagonal"))
+        # One pass over the documents' positions, with a map-side look-up.
+        side = each.groupBy("key").agg(F.collect_list(F.struct("item", "i", "least")).alias("at"))
+        found = theirs.join(F.broadcast(side), "key").select("doc", "position", F.explode("at").alias("at"))
+        found = found.select("doc", "at.item", (F.col("position") - F.col("at.i")).alias("diagonal"),
+                             "at.least")
     else:
-        keys = theirs.select("doc", "position", F.explode(F.array("m0", "m1")).alias("key"))
-        found = keys.where("key is not null").join(each, "key").select(
-            "doc", "item", (F.col("position") - F.col("i")).alias("diagonal"))
-    return found.distinct()
+        found = theirs.join(each, "key").select(
+            "doc", "item", (F.col("position") - F.col("i")).alias("diagonal"), "least")
+    # Rows that repeat an id add up, so none of them has too few.
+    counted = found.groupBy("doc", "item", "diagonal").agg(
+        F.count(F.lit(1)).alias("n_hits"), F.min("least").alias("least"))
+    return counted.where("n_hits >= least").select("doc", "item", "diagonal")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
