@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from thermograph.functions.text import split_words
 from thermograph.operators.words import (corpus_sizes, distinct_words_per_doc, letter_count,
                                          letter_count_per_doc, word_count, word_count_per_doc)
-from thermograph.sources.text import read_text_files
+from thermograph.sources.text import read_text_files, read_text_lines
 
 # The eight input files of the distributed word count (no trailing newline).
 FILES = {
@@ -73,3 +73,15 @@ def test_letters(spark):
     assert len(got) == 26 and got["l"] == 3 and got["z"] == 2 and got["h"] == 0 and got["a"] == 0
     per = {(r.doc_id, r.letter): r.n for r in letter_count_per_doc(docs).collect()}
     assert per[(2, "z")] == 2 and (1, "a") not in per
+
+
+def test_rows_that_repeat_doc_are_added_up(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a b a"), (1, "b"), (2, "a"), (None, "c"), (None, "c")],
+                                 "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.word, r.n) for r in word_count_per_doc(docs).collect())
+    assert got == [(0, "c", 2), (1, "a", 2), (1, "b", 2), (2, "a", 1)]
+    (tmp_path / "x").write_text("a b\na c\nb a")
+    (tmp_path / "y").write_text("a\na")
+    per = [sorted(map(tuple, word_count_per_doc(read(spark, str(tmp_path)), "doc").collect()))
+           for read in (read_text_lines, read_text_files)]
+    assert per[0] == per[1] and [n for _, _, n in per[0]] == [3, 2, 1, 2]

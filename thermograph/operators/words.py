@@ -4,6 +4,7 @@ A text is one row (a file or a document).  Counting is a shuffle aggregation
 whose map side pre-aggregates, so a very frequent word sends one partial count
 per task, not one row per occurrence.  Per-document distinct counts need no
 shuffle at all: the distinct words of one text are found inside its row.
+Counts per document are found inside the row too, and added up over rows.
 """
 
 from __future__ import annotations
@@ -21,11 +22,11 @@ def tokens(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFram
 
 
 def word_count_per_doc(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, word, n): occurrences of each word in each row's text.
+    """(doc, word, n): occurrences of each word in the texts of each ``doc``.
 
-    Counted inside the row, as the distinct counts are: the words are sorted
-    and the last place of each run, less that of the run before, is its count.
-    Nothing is shuffled; rows that repeat ``doc`` are counted row by row."""
+    Counted inside the row first: the words are sorted and the last place of
+    each run, less that of the run before, is its count.  The counts of rows
+    that repeat ``doc`` (``read_text_lines``) are added up."""
     ordered = docs.select(doc, F.sort_array(split_words(text)).alias("_w"))
     ends = F.filter(F.sequence(F.lit(0), F.size("_w") - 1), lambda i: (
         i == F.size("_w") - 1) | (F.get("_w", i) != F.get("_w", i + 1)))
@@ -33,7 +34,7 @@ def word_count_per_doc(docs: DataFrame, doc: str = "doc_id", text: str = "text")
     return runs.select(doc, F.explode(F.transform("_e", lambda e, i: F.struct(
         F.get("_w", e).alias("word"),
         (e - F.coalesce(F.when(i > 0, F.get("_e", i - 1)), F.lit(-1))).cast("bigint").alias("n"))))
-        .alias("_r")).select(doc, "_r.word", "_r.n")
+        .alias("_r")).select(doc, "_r.word", "_r.n").groupBy(doc, "word").agg(F.sum("n").alias("n"))
 
 
 def word_count(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
