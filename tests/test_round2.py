@@ -89,11 +89,16 @@ def test_month_tie_is_exact(spark):
     assert sorted(r.month for r in max_month(df).collect()) == [1, 2]
 
 
-def test_words_counted_in_the_row(spark):
-    df = spark.createDataFrame([(1, "b a b"), (2, ""), (3, "a  a"), (3, "a")], "doc_id int, text string")
-    assert sorted(map(tuple, word_count_per_doc(df).collect())) == [
-        (1, "a", 1), (1, "b", 2), (2, "", 1), (3, "", 1), (3, "a", 1), (3, "a", 2)]
-    assert "Exchange hashpartitioning" not in word_count_per_doc(df)._jdf.queryExecution().toString()
+def test_rows_of_one_text_are_one_text(spark):
+    """A11 and A13-A15 agree on what a repeated id means."""
+    from thermograph.operators.words import corpus_sizes, distinct_words_per_doc
+    df = spark.createDataFrame([(1, "b a b"), (2, ""), (3, "a  a"), (3, "a b"), (4, None)],
+                               "doc_id int, text string")
+    per = sorted(map(tuple, word_count_per_doc(df).collect()))
+    assert per == [(1, "a", 1), (1, "b", 2), (2, "", 1), (3, "", 1), (3, "a", 3), (3, "b", 1)]
+    distinct = {r.doc_id: r.n_words for r in distinct_words_per_doc(df).collect()}
+    assert distinct == {1: 2, 2: 1, 3: 3, 4: 0}
+    assert tuple(corpus_sizes(df).first()) == (4, 3, 6)
 
 
 @pytest.mark.parametrize("mode", ["buckets", "keyed"])

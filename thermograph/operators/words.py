@@ -1,10 +1,11 @@
 """Word and letter counts over whole texts.
 
-A text is one row (a file or a document).  Counting is a shuffle aggregation
-whose map side pre-aggregates, so a very frequent word sends one partial count
-per task, not one row per occurrence.  Per-document distinct counts need no
-shuffle at all: the distinct words of one text are found inside its row.
-Counts per document are found inside the row too, and added up over rows.
+A text is one or more rows that share a ``doc`` (a file, a document, or the
+lines of a file too large for one row): rows that repeat ``doc`` are one text,
+in every count here.  Counting is a shuffle aggregation whose map side
+pre-aggregates, so a very frequent word sends one partial count per task, not
+one row per occurrence, and a text of many rows is spread over tasks by its
+words.  A null text has no words.
 """
 
 from __future__ import annotations
@@ -22,19 +23,8 @@ def tokens(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFram
 
 
 def word_count_per_doc(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, word, n): occurrences of each word in the texts of each ``doc``.
-
-    Counted inside the row first: the words are sorted and the last place of
-    each run, less that of the run before, is its count.  The counts of rows
-    that repeat ``doc`` (``read_text_lines``) are added up."""
-    ordered = docs.select(doc, F.sort_array(split_words(text)).alias("_w"))
-    ends = F.filter(F.sequence(F.lit(0), F.size("_w") - 1), lambda i: (
-        i == F.size("_w") - 1) | (F.get("_w", i) != F.get("_w", i + 1)))
-    runs = ordered.where(F.size("_w") > 0).select(doc, "_w", ends.alias("_e"))
-    return runs.select(doc, F.explode(F.transform("_e", lambda e, i: F.struct(
-        F.get("_w", e).alias("word"),
-        (e - F.coalesce(F.when(i > 0, F.get("_e", i - 1)), F.lit(-1))).cast("bigint").alias("n"))))
-        .alias("_r")).select(doc, "_r.word", "_r.n").groupBy(doc, "word").agg(F.sum("n").alias("n"))
+    """(doc, word, n): occurrences of each word in the texts of each ``doc``."""
+    return tokens(docs, doc, text).groupBy(doc, "word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def word_count(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -43,15 +33,19 @@ def word_count(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Data
 
 
 def distinct_words_per_doc(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, n_words): distinct words of each text (computed inside the row)."""
-    return docs.select(doc, F.size(F.array_distinct(split_words(text))).cast("bigint")
-                       .alias("n_words"))
+    """(doc, n_words): distinct words of each ``doc``.
+
+    Words are made distinct inside the row, then by (doc, word), which spreads
+    a text of many rows over tasks by its words; what is left is a count per
+    doc with partial sums."""
+    words = docs.select(doc, F.explode_outer(F.array_distinct(split_words(text))).alias("word"))
+    return words.distinct().groupBy(doc).agg(F.count("word").alias("n_words"))
 
 
 def corpus_sizes(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row: n_docs, max_distinct (largest per-text distinct count) and
-    sum_distinct (sum of per-text distinct counts, i.e. the partial pairs a
-    merge step receives)."""
+    """One row: n_docs (texts), max_distinct (largest distinct count of a text)
+    and sum_distinct (sum of the distinct counts, i.e. the partial pairs a merge
+    step receives)."""
     d = distinct_words_per_doc(docs, doc, text)
     return d.agg(F.count(F.lit(1)).alias("n_docs"),
                  F.max("n_words").alias("max_distinct"),
