@@ -123,3 +123,37 @@ SELECT doc_id, item_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_equal AS BIGI
     FROM s WHERE 100 * best >= 80 * w) WHERE r = 1
 """
 SQL["op10_decontaminate"] = OP10
+
+OP13 = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang,
+  coalesce(source, '') AS source, regexp_extract_all({LOWER.format("coalesce(text, '')")},
+  '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts FROM documents),
+o AS MATERIALIZED (SELECT k, lang, source, unnest(ts) AS term FROM d),
+kept AS MATERIALIZED (SELECT lang, term, count(*) AS c FROM o GROUP BY lang, term
+  HAVING count(DISTINCT k) >= 3),
+l AS MATERIALIZED (SELECT lang, count(*) AS v, CAST(sum(c) AS BIGINT) AS n FROM kept GROUP BY lang),
+g AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+c AS MATERIALIZED (SELECT lang, source, term, count(*) AS c FROM o SEMI JOIN kept USING (lang, term)
+  GROUP BY lang, source, term),
+n AS (SELECT lang, source, CAST(sum(c) AS BIGINT) AS n FROM c GROUP BY lang, source),
+p AS MATERIALIZED (
+  SELECT lang, source, term, coalesce(c.c, 0) AS c,
+    1 + 1000000000 * (coalesce(c.c, 0) + 1) // (coalesce(n.n, 0) + l.v) AS p
+  FROM g JOIN kept USING (lang) JOIN l USING (lang)
+  LEFT JOIN c USING (lang, source, term) LEFT JOIN n USING (lang, source)),
+q AS (SELECT lang, term, 1 + 1000000000 * (kept.c + 1) // (l.n + l.v) AS q
+  FROM kept JOIN l USING (lang)),
+f AS (SELECT a.lang, a.source, b.source AS item,
+    CAST(sum(CAST(a.p - b.p AS HUGEINT) * (a.p - b.p) // b.p) AS BIGINT) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, CAST(CAST(p - q AS HUGEINT) * (p - q) // q AS BIGINT)
+  FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+WHERE part = 'pair' OR rank <= 200
+"""
+SQL["op13_source_audit"] = OP13
