@@ -200,3 +200,24 @@ SELECT f.word, form, arg_max(top, k) AS root, n, n_near, form_n
 FROM f JOIN up USING (word) GROUP BY f.word, form, n, n_near, form_n
 """
 SQL["op12_spelling_variants"] = OP12
+
+# The same sets as OP3's, of four words; one row says which document stays.
+OP11 = f"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT doc_id, {WORDS.format(LOWER.format("coalesce(text, '')"))} AS ws FROM documents),
+s AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN []
+    WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(ws) - 2),
+           lambda i: array_to_string(ws[i:i + 3], ' ')))) END AS sh FROM w),
+n AS (SELECT doc_id, sh, CAST(len(sh) AS BIGINT) AS n FROM s),
+u AS MATERIALIZED (SELECT doc_id, n, unnest(sh) AS x FROM n),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.x = b.x AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n
+      HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+r AS (SELECT doc_id AS d, doc_id AS x FROM n UNION SELECT r.d, p.b FROM r JOIN p ON r.x = p.a),
+c AS (SELECT d, min(x) AS component_id FROM r GROUP BY d)
+SELECT n.doc_id, n.n AS n_shingles, c.component_id, n.doc_id = c.component_id AS kept
+FROM n JOIN c ON c.d = n.doc_id
+"""
+SQL["op11_minhash_dedup"] = OP11
