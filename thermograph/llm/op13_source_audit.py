@@ -15,16 +15,16 @@ of which neither has.  With p0 and q0 the weights at count 0, it is the sum of
   change, ``f(p0, q) - f(p0, q0)``: sums over the groups' histograms of counts;
 * for the terms both have, ``f(p, q) - f(p, q0) - f(p0, q) + f(p0, q0)``.
 
-The last sum is a sparse row-by-row product.  Tasks hold slices of the term-major
-index (all postings of a term are in one slice); each group's row of the slice
-scatters its terms through the index into one dense accumulator over the slice's
-peers, and only the accumulators leave the task: no posting pair is emitted.
-Slices are cut into blocks of bounded size at the bounds of terms.
+The last sum is a sparse row-by-row product.  The term-major index is a written
+table with one row per term and its postings, one per source that has it.  Tasks
+read slices of it; each group's row of a slice scatters its terms through the index
+into one dense accumulator over the slice's peers, and only the accumulators leave
+the task: no posting pair is emitted.  Slices are cut into blocks of bounded size.
 
 Counting adds up in the task first (bounded tables), so a frequent term or a hot
-source costs a row per task.  The groups' weights travel in the rows; the table
-of groups is broadcast to the histograms up to ``BROADCAST_GROUPS`` rows only,
-and joined by language beyond.
+source costs a row per task; one shuffle by (language, term) then serves the sums,
+the choice of terms and the index.  The groups' totals are joined to the postings:
+by a broadcast up to ``BROADCAST_GROUPS`` groups, by shuffles beyond.
 
 Nulls in text, lang and source are read as empty strings.  A group without terms
 takes part with count 0; a language without kept terms has value 0 for all pairs
@@ -40,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -50,7 +51,7 @@ from thermograph.llm._text import text_slices
 SCALE = 1_000_000_000
 MIN_DOCS = 3  # documents of a language that hold a kept term
 TOP_TERMS = 200  # ranks of a group's terms that are reported
-TASK_TERMS = 100_000  # (group, term) counts that a task holds before it emits them
+TASK_TERMS = 300_000  # (group, term) counts that a task holds before it emits them
 BLOCK = 1 << 19  # postings of a block of the index
 BROADCAST_GROUPS = 100_000
 
@@ -102,17 +103,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def weight(count: Column | str, total: Column | str) -> Column:
-    """1 + floor(SCALE * (count + 1) / total) by long division in steps of three
-    digits, so that no product leaves 64 bits; null for a total of 0."""
+    """1 + floor(SCALE * (count + 1) / total), in wider numbers where the product
+    leaves 64 bits; null for a total of 0."""
     total = F.col(total) if isinstance(total, str) else total
     total = F.when(total > 0, total)
     x = (F.col(count) if isinstance(count, str) else count) + F.lit(1).cast("long")
-    out, rest = F.lit(1).cast("long"), x
-    for scale in (SCALE, SCALE // 10**3, SCALE // 10**6, 1):
-        digits = F.call_function("div", rest, total)
-        out = out + digits * scale
-        rest = (rest - digits * total) * 1000
-    return out
+    wide = F.call_function("div", x.cast("decimal(20,0)") * F.lit(SCALE).cast("decimal(10,0)"),
+                           total.cast("decimal(20,0)"))
+    return F.when(x <= (1 << 62) // SCALE, F.call_function("div", x * SCALE, total)
+                  ).otherwise(wide) + 1
 
 
 def apart(p: Column, q: Column) -> Column:
@@ -121,6 +120,7 @@ def apart(p: Column, q: Column) -> Column:
 
 
 def _weights(count: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """The same by long division in steps of three digits, within 64 bits."""
     out, rest = np.ones(len(count), np.int64), count + 1
     for scale in (SCALE, SCALE // 10**3, SCALE // 10**6, 1):
         digits = rest // total
@@ -161,8 +161,10 @@ def accumulate_rows(term: np.ndarray, group: np.ndarray, p: np.ndarray, p0: np.n
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Corrections (lid, g, h, value) of a slice, sorted by (lid, term)."""
+    """Corrections (lid, g, h, value) of a slice; a term's postings are together."""
     def block(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        order = pa.compute.sort_indices(table, [("lid", "ascending"), ("term", "ascending")])
+        table = table.take(order)
         col = {c: table.column(c).to_numpy() for c in ("lid", "gid", "c", "n", "v")}
         name = table.column("term").combine_chunks().dictionary_encode().indices.to_numpy()
         total = col["n"] + col["v"]
@@ -199,12 +201,17 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from block(pa.Table.from_batches(held))
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, c, d) of all ``docs``; nulls are empty strings."""
-    texts = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c)
-                          for c in ("lang", "source", "text")])
-    part = texts.mapInArrow(_count, "lang string, source string, term string, c long, d long")
-    return part.groupBy("lang", "source", "term").agg(F.sum("c").alias("c"), F.sum("d").alias("d"))
+def term_index(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(lang, term, lang_c, postings) of all kept terms of ``docs`` (lang, source,
+    text); a posting (source, c) for each source that has the term."""
+    part = docs.mapInArrow(_count, "lang string, source string, term string, c long, d long")
+    # Dealt by (lang, term): both sums below find their rows in one place.
+    counts = part.repartition("lang", "term").groupBy("lang", "term", "source").agg(
+        F.sum("c").alias("c"), F.sum("d").alias("d"))
+    terms = counts.groupBy("lang", "term").agg(
+        F.sum("c").alias("lang_c"), F.sum("d").alias("d"),
+        F.collect_list(F.struct("source", "c")).alias("postings"))
+    return terms.where(F.col("d") >= min_docs).drop("d")
 
 
 def source_divergence(docs: DataFrame, lang_col: str = "lang", source_col: str = "source",
@@ -214,17 +221,15 @@ def source_divergence(docs: DataFrame, lang_col: str = "lang", source_col: str =
     divergence from all other sources of the language (part ``pair``), and the
     ``top_terms`` terms it uses more than its language (part ``term``)."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(lang_col).alias("lang"), F.col(source_col).alias("source"),
-                       F.col(text_col).alias("text"))
-    counts = written(spark, term_counts(docs), "op13-counts")
-    kept = counts.groupBy("lang", "term").agg(F.sum("c").alias("lang_c"), F.sum("d").alias("d"))
-    kept = written(spark, kept.where(F.col("d") >= min_docs).drop("d"), "op13-terms")
-    langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_c").alias("lang_n"))
-    rows = written(spark, counts.join(kept, ["lang", "term"]).drop("d"), "op13-rows")
+    docs = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(name) for c, name in (
+        (lang_col, "lang"), (source_col, "source"), (text_col, "text"))])
+    index = written(spark, term_index(docs, min_docs), "op13-index")
+    langs = index.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_c").alias("lang_n"))
+    rows = index.select("lang", "term", "lang_c", F.explode("postings").alias("x")).select(
+        "lang", "term", "lang_c", "x.source", "x.c")
 
     # One row per group: gid and lid number the groups and the languages.
-    named = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source")])
-    groups = (named.groupBy("lang", "source").agg(F.lit(1).alias("_"))
+    groups = (docs.groupBy("lang", "source").agg(F.lit(1).alias("_"))
               .join(rows.groupBy("lang", "source").agg(F.sum("c").alias("n")),
                     ["lang", "source"], "left").join(langs, "lang", "left"))
     by_lang = Window.partitionBy("lang").orderBy("source")
@@ -257,9 +262,10 @@ def source_divergence(docs: DataFrame, lang_col: str = "lang", source_col: str =
 def _pairs(full: DataFrame, groups: DataFrame, few: bool) -> DataFrame:
     """(lid, g, h, value) for all ordered pairs of groups of a language."""
     spark = groups.sparkSession
-    shared = full.select("lid", "term", "gid", "c", "n", "v").repartition("lid", "term")
-    shared = shared.sortWithinPartitions("lid", "term").mapInArrow(
-        _rows, "lid long, g long, h long, value long")
+    shared = full.select("lid", "term", "gid", "c", "n", "v")
+    if not few:  # a broadcast leaves a term's postings together, a shuffle does not
+        shared = shared.repartition("lid", "term").sortWithinPartitions("lid", "term")
+    shared = shared.mapInArrow(_rows, "lid long, g long, h long, value long")
 
     zero = groups.select("lid", "gid", "v", weight(F.lit(0), F.col("n") + F.col("v")).alias("p0"))
     peer = zero.select("lid", F.col("gid").alias("h"), F.col("p0").alias("q0"))
