@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thermograph.constants import LEVEL_KEY
-from thermograph.functions.exact import (cents_to_double, half_even_div, hundredths, mean_2dp,
-                                         measure_scale, to_cents, to_units)
+from thermograph.functions.exact import Held, cents_to_double, held, to_cents
 
+MEASURES = ("temperature", "humidity")
 
 
 def _key(level: str) -> str:
@@ -28,42 +28,35 @@ def daily_means(df: DataFrame, level: str = "room") -> DataFrame:
     Output: daily, day, <key>, avg_temp, avg_hum (half-even, two digits),
     n_rows.  ``df`` must be enriched (location + calendar)."""
     key = _key(level)
-    scale = measure_scale(df, "temperature", "humidity")
-    agg = (df.groupBy("daily", "day", key)
-           .agg(F.sum(to_units("temperature", scale)).alias("_st"),
-                F.count("temperature").alias("_nt"),
-                F.sum(to_units("humidity", scale)).alias("_sh"),
-                F.count("humidity").alias("_nh"),
-                F.count(F.lit(1)).alias("n_rows")))
-    return agg.select("daily", "day", key,
-                      mean_2dp("_st", hundredths("_nt", scale)).alias("avg_temp"),
-                      mean_2dp("_sh", hundredths("_nh", scale)).alias("avg_hum"), "n_rows")
-
-
-_PARTIALS = ["_dn", "_nn", "_dts", "_dtn", "_dhs", "_dhn", "_nts", "_ntn", "_nhs", "_nhn"]
-
-
-def _conditional_sums(scale: int) -> list:
-    d, n = F.col("daily"), ~F.col("daily")
-    tc, hc = to_units("temperature", scale), to_units("humidity", scale)
-    return [F.count(F.when(d, 1)).alias("_dn"),
-            F.count(F.when(n, 1)).alias("_nn"),
-            F.sum(F.when(d, tc)).alias("_dts"), F.count(F.when(d, tc)).alias("_dtn"),
-            F.sum(F.when(d, hc)).alias("_dhs"), F.count(F.when(d, hc)).alias("_dhn"),
-            F.sum(F.when(n, tc)).alias("_nts"), F.count(F.when(n, tc)).alias("_ntn"),
-            F.sum(F.when(n, hc)).alias("_nhs"), F.count(F.when(n, hc)).alias("_nhn")]
-
-
-def _diff_from_sums(agg: DataFrame, key: str, scale: int) -> DataFrame:
+    how = held(df, *MEASURES)
+    values = {p: c for m in MEASURES for p, c in how[m].values().items()}
+    agg = df.groupBy("daily", "day", key).agg(
+        *[F.sum(c).alias(f"_s_{p}") for p, c in values.items()],
+        *[F.count(values[m]).alias(f"_n_{m}") for m in MEASURES],
+        F.count(F.lit(1)).alias("n_rows"))
+    temp, hum = (cents_to_double(how[m].mean("_s_{}".format, f"_n_{m}")) for m in MEASURES)
+    return agg.select("daily", "day", key, temp.alias("avg_temp"), hum.alias("avg_hum"), "n_rows")
+
+
+def _conditional_sums(how: dict[str, Held]) -> list:
+    """Rows, sums and counts of the day (``_d``) and of the night (``_n``)."""
+    out = []
+    for side, rows in (("d", F.col("daily")), ("n", ~F.col("daily"))):
+        out.append(F.count(F.when(rows, 1)).alias(f"_{side}n"))
+        for m in MEASURES:
+            values = how[m].values()
+            out += [F.sum(F.when(rows, c)).alias(f"_{side}s_{p}") for p, c in values.items()]
+            out.append(F.count(F.when(rows, values[m])).alias(f"_{side}n_{m}"))
+    return out
+
+
+def _diff_from_sums(agg: DataFrame, key: str, how: dict[str, Held]) -> DataFrame:
     # A null key never pairs a day side with a night side (an equality
     # match), so it has no difference.
     agg = agg.where((F.col("_dn") > 0) & (F.col("_nn") > 0) & F.col(key).isNotNull())
-    cents = agg.select(
-        "day", key,
-        half_even_div("_dts", hundredths("_dtn", scale)).alias("_dt"),
-        half_even_div("_dhs", hundredths("_dhn", scale)).alias("_dh"),
-        half_even_div("_nts", hundredths("_ntn", scale)).alias("_nt"),
-        half_even_div("_nhs", hundredths("_nhn", scale)).alias("_nh"))
+    cents = agg.select("day", key, *[
+        how[m].mean(f"_{side}s_{{}}".format, f"_{side}n_{m}").alias(f"_{side}{m[0]}")
+        for side in "dn" for m in MEASURES])
     return cents.select(
         "day", key,
         cents_to_double("_dt").alias("day_temp"), cents_to_double("_dh").alias("day_hum"),
@@ -83,16 +76,16 @@ def day_night_diff(df: DataFrame, level: str = "room") -> DataFrame:
     temp_diff, hum_diff (DOUBLE).
     """
     key = _key(level)
-    scale = measure_scale(df, "temperature", "humidity")
+    how = held(df, *MEASURES)
     agg = (df.where(F.col("daily").isNotNull())
            .groupBy(key, "day")
-           .agg(*_conditional_sums(scale)))
-    return _diff_from_sums(agg, key, scale)
+           .agg(*_conditional_sums(how)))
+    return _diff_from_sums(agg, key, how)
 
 
-def room_day_partials(df: DataFrame) -> DataFrame:
-    """Conditional sums per (room, day), carrying every coarser level key, in
-    units of the measures' last decimal place (``measure_scale``).
+def room_day_partials(df: DataFrame, how: dict[str, Held] | None = None) -> DataFrame:
+    """Conditional sums per (room, day), carrying every coarser level key, of
+    the whole numbers that hold the measures (``how``: :func:`held`).
 
     This is the only aggregate that reads the readings when all four levels
     are wanted: the coarser levels add these partial sums up (sums and counts
@@ -100,18 +93,20 @@ def room_day_partials(df: DataFrame) -> DataFrame:
     keys = [LEVEL_KEY[lv] for lv in ("room", "floor", "building", "neighborhood")]
     return (df.where(F.col("daily").isNotNull())
             .groupBy(*keys, "day")
-            .agg(*_conditional_sums(measure_scale(df, "temperature", "humidity"))))
+            .agg(*_conditional_sums(how or held(df, *MEASURES))))
 
 
 def day_night_diff_from_partials(partials: DataFrame, level: str = "room",
-                                 scale: int = 2) -> DataFrame:
+                                 how: dict[str, Held] | None = None) -> DataFrame:
     """:func:`day_night_diff` for one level from :func:`room_day_partials`;
-    ``scale``: the readings' ``measure_scale``."""
+    ``how``: as the readings' measures are held (two-digit units by default)."""
     key = _key(level)
+    how = how or {m: Held(m) for m in MEASURES}
     if level == "room":
-        return _diff_from_sums(partials, key, scale)
-    agg = partials.groupBy(key, "day").agg(*[F.sum(c).alias(c) for c in _PARTIALS])
-    return _diff_from_sums(agg, key, scale)
+        return _diff_from_sums(partials, key, how)
+    sums = [c for c in partials.columns if c.startswith("_")]
+    agg = partials.groupBy(key, "day").agg(*[F.sum(c).alias(c) for c in sums])
+    return _diff_from_sums(agg, key, how)
 
 
 def day_night_diff_join(df: DataFrame, level: str = "room") -> DataFrame:
@@ -147,5 +142,3 @@ def day_night_diff_float(df: DataFrame, level: str = "room") -> DataFrame:
     return j.select("day", key, "day_temp", "day_hum", "night_temp", "night_hum",
                     F.bround(F.col("day_temp") - F.col("night_temp"), 2).alias("temp_diff"),
                     F.bround(F.col("day_hum") - F.col("night_hum"), 2).alias("hum_diff"))
-
-

@@ -6,7 +6,7 @@ is inclusive), rounded half-even to two digits.  Temperature is windowed by the
 level key; humidity by the room key (``humidity_scope="room"``, as the batch
 job does) or by the level key (``"level"``).
 
-Frame sums are exact BIGINT sums of hundredths, always written as differences
+Frame sums are exact BIGINT sums (``functions.exact``), always written as differences
 of *growing* frames (``UNBOUNDED PRECEDING .. x``), which Spark evaluates
 incrementally: the cost per row does not depend on how many rows a frame holds
 (a sliding RANGE frame re-aggregates its buffer whenever its lower edge moves).
@@ -61,8 +61,7 @@ from pyspark.sql import functions as F
 
 from thermograph.constants import HORIZONS, LEVEL_KEY
 from thermograph.functions.calendar import epoch_micros, floor_div
-from thermograph.functions.exact import (cents_to_double, half_even_div, hundredths,
-                                         measure_scale, to_units)
+from thermograph.functions.exact import Held, cents_to_double, held
 from thermograph.session import is_small, key_parts, scratch_path
 
 _US = {"us": 1, "microsecond": 1, "ms": 1000, "millisecond": 1000,
@@ -94,18 +93,23 @@ def auto_bucket_micros(h_us: int) -> int:
     return max(4 * h_us, _US["day"])
 
 
-def _unit_cols(measures: list[str], scale: int) -> dict[str, Column]:
-    return {f"_c_{m}": to_units(m, scale) for m in measures}
+def _unit_cols(how: dict[str, Held]) -> dict[str, Column]:
+    """The whole numbers that hold the measures, ``_c_<part>``."""
+    return {f"_c_{p}": c for h in how.values() for p, c in h.values().items()}
+
+
+def _parts(how: dict[str, Held], measures: list[str]) -> list[str]:
+    return [p for m in measures for p in how[m].parts]
 
 
 def _out_name(measure: str, name: str, tag: str | None) -> str:
     return f"avg_{_SHORT[measure]}_{name}" if tag is None else f"avg_{_SHORT[measure]}_{tag}_{name}"
 
 
-def _mean_cols(measures: list[str], names: list[str], tag: str | None = None,
-               scale: int = 2) -> dict[str, Column]:
-    return {_out_name(m, nm, tag): cents_to_double(half_even_div(
-                f"_s_{m}_{nm}", hundredths(f"_n_{m}_{nm}", scale)))
+def _mean_cols(how: dict[str, Held], measures: list[str], names: list[str],
+               tag: str | None = None) -> dict[str, Column]:
+    return {_out_name(m, nm, tag): cents_to_double(
+                how[m].mean(f"_s_{{}}_{nm}".format, f"_n_{m}_{nm}"))
             for nm in names for m in measures}
 
 
@@ -340,13 +344,13 @@ def _run_stages(df: DataFrame, keys: list[str], stages: list[tuple[str, list[str
     """Chains one window stage per (key, measures, output tag) over the rows
     of ``df``; the rows keep every earlier stage's outputs."""
     names = list(hs)
-    scale = measure_scale(df, "temperature", "humidity")
+    how_held = held(df, "temperature", "humidity")
     base = (df.select(*keys, "dateTime", "temperature", "humidity")
             .withColumn(_ORD, epoch_micros("dateTime"))
-            .withColumns(_unit_cols(["temperature", "humidity"], scale)))
+            .withColumns(_unit_cols(how_held)))
     rows = base
     stage_keys = [k for k, _, _ in stages]
-    used = list(dict.fromkeys(m for _, ms, _ in stages for m in ms))
+    used = _parts(how_held, list(dict.fromkeys(m for _, ms, _ in stages for m in ms)))
     totals, fine = None, width
     if strategy in ("adaptive", "prefix") and width is None:
         fine = gcd(HOUR_US, *hs.values())
@@ -361,8 +365,9 @@ def _run_stages(df: DataFrame, keys: list[str], stages: list[tuple[str, list[str
     if len(narrow) > 1:  # several keys: one read for all of them
         fine = min(narrow)
         totals = _written_totals(base, list(dict.fromkeys(stage_keys)), used, fine)
-    for k, measures, tag in stages:
+    for k, of, tag in stages:
         how, w = plan[k]
+        measures = _parts(how_held, of)
         if how == "prefix":
             ms = {nm: h // w for nm, h in hs.items()}
             if totals is not None and w % fine == 0:
@@ -374,8 +379,8 @@ def _run_stages(df: DataFrame, keys: list[str], stages: list[tuple[str, list[str
             rows = _prefix_stage(rows, k, measures, hs, w, spans, payload)
         else:
             rows = _growing_stage(rows, k, measures, hs, w if how == "halo" else None)
-        rows = _drop_sums(rows.withColumns(_mean_cols(measures, names, tag, scale)), measures, names)
-    return rows.drop(_ORD, "_c_temperature", "_c_humidity")
+        rows = _drop_sums(rows.withColumns(_mean_cols(how_held, of, names, tag)), measures, names)
+    return rows.drop(_ORD, *_unit_cols(how_held))
 
 
 def moving_averages(df: DataFrame, level: str = "room",

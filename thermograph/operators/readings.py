@@ -2,33 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thermograph.constants import (GEN_END, GEN_FLOORS, GEN_HUMIDITY, GEN_LETTERS,
                                    GEN_START, GEN_TEMPERATURE)
-from thermograph.functions.exact import measure_scale, to_units
+from thermograph.functions.exact import Held, held
 
 
 def dedupe_readings(df: DataFrame, location: str = "location",
                     ts: str = "dateTime") -> DataFrame:
     """One reading per (location, time): the mean of its duplicates.
 
-    The mean is the nearest DOUBLE to the exact quotient (sum of units /
-    (count * units per one)), so it is the same in every engine.  Output: location,
-    dateTime, temperature, humidity, n_readings.  Ordering is left to the
-    sink."""
-    scale = measure_scale(df, "temperature", "humidity")
-    one = F.lit(10 ** scale)
-    agg = (df.groupBy(location, ts)
-           .agg(F.sum(to_units("temperature", scale)).alias("_st"), F.count("temperature").alias("_nt"),
-                F.sum(to_units("humidity", scale)).alias("_sh"), F.count("humidity").alias("_nh"),
-                F.count(F.lit(1)).alias("n_readings")))
-    return agg.select(
-        location, ts,
-        (F.col("_st").cast("double") / (F.col("_nt") * one).cast("double")).alias("temperature"),
-        (F.col("_sh").cast("double") / (F.col("_nh") * one).cast("double")).alias("humidity"),
-        "n_readings")
+    The mean is the nearest DOUBLE to the exact quotient of sum and count, so it is
+    the same in every engine.  Output: location, dateTime, temperature, humidity,
+    n_readings.  Ordering is left to the sink."""
+    measures = ("temperature", "humidity")
+    how = held(df, *measures)
+    values = {p: c for m in measures for p, c in how[m].values().items()}
+    agg = df.groupBy(location, ts).agg(
+        *[F.sum(c).alias(f"_s_{p}") for p, c in values.items()],
+        *[F.count(values[m]).alias(f"_n_{m}") for m in measures],
+        F.count(F.lit(1)).alias("n_readings"))
+    return agg.select(location, ts, *[_quotient(how[m]).alias(m) for m in measures], "n_readings")
+
+
+def _quotient(how: Held) -> Column:
+    """Sum by count as DOUBLE; digits are divided as whole numbers of any size, in
+    batches, as no engine type holds them."""
+    n = F.col(f"_n_{how.name}")
+    if not how.base:
+        one = F.lit(10 ** how.scale)
+        return F.col(f"_s_{how.name}").cast("double") / (n * one).cast("double")
+
+    @F.pandas_udf("double")
+    def divide(*columns: pd.Series) -> pd.Series:
+        out = []
+        for *sums, count in zip(*columns, strict=True):
+            total, one = how.exact([int(x) for x in sums]) if count else (0, 1)
+            out.append(total / (one * int(count)) if count else None)
+        return pd.Series(out, dtype="float64")
+
+    zero = [F.coalesce(F.col(f"_s_{p}"), F.lit(0)) for p in how.parts]
+    return F.when(n > 0, divide(*zero, n))
 
 
 def generate_readings(spark: SparkSession, n: int, seed: int = 7,

@@ -210,6 +210,26 @@ def q_moving_4dp(spark, sf_dir):
     return moving_average(_four_digits(spark, sf_dir), "room", "day", strategy="prefix")
 
 
+def _unrounded(spark, sf_dir):
+    """Enriched readings whose measures are the unrounded DOUBLE of ``events``."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id", F.col("value").alias("temperature"), (F.col("value") / 7).alias("humidity"))
+    rows = sensor_readings(spark, sf_dir).drop("temperature", "humidity")
+    return enrich(rows.join(ev, "event_id"))
+
+
+def q_mean_daily_double(spark, sf_dir):
+    return daily_means(_unrounded(spark, sf_dir), "room")
+
+
+def q_diff_double(spark, sf_dir):
+    return day_night_diff(_unrounded(spark, sf_dir), "floor")
+
+
+def q_moving_double(spark, sf_dir):
+    return moving_average(_unrounded(spark, sf_dir), "room", "day", strategy="prefix")
+
+
 def q_moving_by(strategy, horizon, spark, sf_dir):
     return moving_average(_enriched(spark, sf_dir), "neighborhood", horizon, strategy=strategy)
 
@@ -283,6 +303,10 @@ def _register() -> tuple[dict[str, Query], dict[str, str]]:
     # Measures with more than two digits.
     add("mean_daily_room_4dp", q_mean_daily_4dp, oracle.four_digit(oracle.mean_daily("room")))
     add("moving_avg_day_room_4dp", q_moving_4dp, oracle.four_digit(oracle.moving_avg("day", "room")))
+    # Measures as unrounded DOUBLE.
+    add("mean_daily_room_double", q_mean_daily_double, oracle.unrounded(oracle.mean_daily("room")))
+    add("diff_floor_double", q_diff_double, oracle.unrounded(oracle.diff("floor")))
+    add("moving_avg_day_room_double", q_moving_double, oracle.unrounded(oracle.moving_avg("day", "room")))
     return qs, sql
 
 

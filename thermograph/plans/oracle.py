@@ -189,6 +189,19 @@ def four_digit(query: str) -> str:
     return query
 
 
+def unrounded(query: str) -> str:
+    """``query`` (of the readings) over unrounded DOUBLE measures: columns hold whole
+    numbers of 2**-64, which a DOUBLE of these sizes is, so a hundred times their sum
+    over 2**64 times their count is a mean in hundredths."""
+    one = str(2**64)
+    for name, old, new in (("temperature", "CAST(10 + value % 27.5 AS DECIMAL(10,2))", "value"),
+                           ("humidity", "CAST((value * 7) % 100 AS DECIMAL(10,2))", "value / 7")):
+        query = query.replace(f"{old} AS {name}", f"CAST(({new}) * {one}.0 AS HUGEINT) AS {name}")
+        query = query.replace(cents(name), f"100 * {name}::HUGEINT")
+        query = query.replace(f"count({name})", f"{one}::HUGEINT * count({name})")
+    return query
+
+
 def malformed_telemetry() -> str:
     return f"""WITH {SENSORS_CTE}
 SELECT event_id, {_topic('location')} AS topic FROM sensors

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import _parse_datatype_string
 
 from thermograph.constants import LEVELS
-from thermograph.functions.exact import measure_scale
+from thermograph.functions.exact import held
 from thermograph.operators.daynight import day_night_diff_from_partials, room_day_partials
 from thermograph.operators.enrich import enrich
 from thermograph.operators.months import max_month
@@ -55,11 +55,11 @@ def run(spark: SparkSession, readings: DataFrame, out_dir: str, *,
         if differences:
             part_path = scratch_path(spark, f"room_day_partials-{uuid.uuid4().hex}")
             scratch.append(part_path)
-            room_day_partials(enriched).write.mode("overwrite").parquet(part_path)
+            how = held(enriched, "temperature", "humidity")
+            room_day_partials(enriched, how).write.mode("overwrite").parquet(part_path)
             partials = spark.read.parquet(part_path)
-            scale = measure_scale(enriched, "temperature", "humidity")
             for lv in levels:
-                diff = day_night_diff_from_partials(partials, lv, scale)
+                diff = day_night_diff_from_partials(partials, lv, how)
                 name = f"diff{_TITLE[lv]}"
                 written[name] = write_csv(diff, os.path.join(out_dir, name))
                 if written[name]:
@@ -101,8 +101,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--input", required=True, help="readings CSV file or directory")
     ap.add_argument("--out", required=True, help="output directory")
     ap.add_argument("--split-horizons", action="store_true")
-    ap.add_argument("--measures", default="decimal(18,6)",
-                    help="type of the measures in the input, e.g. float or decimal(20,8)")
+    ap.add_argument("--measures", default="decimal(30,18)",
+                    help="type of the measures in the input, e.g. double or decimal(10,2)")
     args = ap.parse_args(argv)
     spark = (SparkSession.builder.appName("thermograph-stats")
              .config("spark.ui.enabled", "false").getOrCreate())

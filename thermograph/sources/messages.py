@@ -26,8 +26,9 @@ PAYLOAD_SCHEMA = T.StructType([
     T.StructField("d", T.StructType([
         T.StructField("s_id", T.StringType(), True),
         T.StructField("seq", T.IntegerType(), True),
-        T.StructField("temp_c", T.DecimalType(10, 2), True),
-        T.StructField("hum", T.DecimalType(10, 2), True),
+        # As sent: eighteen places, so that limits are compared before any rounding.
+        T.StructField("temp_c", T.DecimalType(30, 18), True),
+        T.StructField("hum", T.DecimalType(30, 18), True),
         T.StructField("Def Route", T.StringType(), True),
     ]), True),
 ])

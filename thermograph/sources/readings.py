@@ -20,11 +20,11 @@ def readings_schema(measure_type: T.DataType | None = None,
                     time_type: T.DataType | None = None) -> T.StructType:
     """location STRING, dateTime TIMESTAMP, temperature, humidity.
 
-    ``measure_type`` defaults to DECIMAL(18,6): six digits are kept exactly;
-    pass a wider DECIMAL for more, ``FloatType()`` for the single-precision
-    layout.
+    ``measure_type`` defaults to DECIMAL(30,18): eighteen places are kept exactly.
+    A narrower DECIMAL is cheaper to add up; ``DoubleType()`` and ``FloatType()``
+    read the nearest binary value.
     """
-    m = measure_type or T.DecimalType(18, 6)
+    m = measure_type or T.DecimalType(30, 18)
     return T.StructType([
         T.StructField("location", T.StringType(), True),
         T.StructField("dateTime", time_type or T.TimestampType(), True),
