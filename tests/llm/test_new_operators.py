@@ -103,6 +103,24 @@ def test_pairs_under_the_distance_share_a_key(chunks, n):
         r[rng.permutation(op11.POSITIONS)[:op11.DISTANCE]] += 1
     same = [x == y for x, y in zip(op11.chunk_keys(a, chunks), op11.chunk_keys(b, chunks), strict=True)]
     assert len(same) == n and np.any(same, axis=0).all()
+    first = op11.first_common(a == b, chunks)
+    assert first.tolist() == np.argmax(np.array(same), axis=0).tolist()
+    assert op11.first_common(a != a, chunks).tolist() == [-1] * 500
+
+
+def test_runs_of_keys_over_batches():
+    import pyarrow as pa
+    rng = random.Random(3)
+    keys = sorted(rng.choice([1, 1, 1, 2, *range(3, 40)]) for _ in range(200))
+    rows = [(k, 0, i) for i, k in enumerate(keys)]
+    count = Counter(keys)
+    want = [(k, i, keys.index(k) if count[k] > 6 else None) for k, _, i in rows if count[k] > 1]
+    for step in (1, 7, 200):
+        batches = [pa.RecordBatch.from_pydict({"key": [r[0] for r in rows[i:i + step]], "nth": pa.array(
+            [0] * len(rows[i:i + step]), pa.int32()), "sid": [r[2] for r in rows[i:i + step]]})
+            for i in range(0, 200, step)]
+        got = [(r["key"], r["sid"], r["lead"]) for b in op11._runs(6)(iter(batches)) for r in b.to_pylist()]
+        assert got == want
 
 
 # --- 12: spelling variants
