@@ -152,8 +152,10 @@ def test_adaptive_plan_choice(spark, enriched):
     assert b["neighborhood"] >= b["fullRoomLocation"] >= 1
     week = 7 * 86400 * 10**6
     assert _plan_stages(base, ["neighborhood"], [week], True, 10**9)["neighborhood"][0] == "halo"
-    # more rows in the busiest hour than the target: buckets narrower than an hour
-    how, width = _plan_stages(base, ["neighborhood"], [week], True, 1)["neighborhood"]
+    # more rows in the busiest hour than the target: blocks of rows, or buckets
+    # narrower than an hour where prefix is asked for
+    assert _plan_stages(base, ["neighborhood"], [week], True, 1)["neighborhood"] == ("blocks", 1)
+    how, width = _plan_stages(base, ["neighborhood"], [week], False, 1)["neighborhood"]
     assert how == "prefix" and width < 3600 * 10**6 and week % width == 0
     spark.conf.set("spark.thermograph.smallInputBytes", "0")
     try:

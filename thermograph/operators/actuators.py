@@ -6,11 +6,14 @@ nothing.  So the state after a message is the last "signal" (1 above, 0 below)
 seen so far, or off when there is none, and a message is a transition when its
 signal differs from the state before it.
 
-Plan: rows are windowed by (scope key, time bucket) instead of by key alone,
-so a key holding a large share of the messages is spread over many tasks.  The
-state entering a bucket is the last signal of the earlier buckets: a small
-table with one row per (key, bucket) carries it forward, and is joined back on
-(key, bucket), which is also the window's partitioning.
+Plan: the order (scope key, time, tiebreak) is cut into blocks of rows, by row
+count (``operators.blocks``), so that a key with a large share of the messages, one
+instant, a missing time or a single actuator for all messages is spread over many
+tasks.  On the states {off, on} a block is a function: constant (the last signal in
+it) or the identity (no signal), so blocks compose by "the last one that is not the
+identity", an associative scan over a small table with one row per (key, block).
+The state entering a block is joined back on (key, block), which is also the
+partitioning of the window inside blocks.
 """
 
 from __future__ import annotations
@@ -20,28 +23,19 @@ from pyspark.sql import functions as F
 
 from thermograph.constants import HUMIDITY_LIMIT, TEMPERATURE_LIMIT
 from thermograph.functions.calendar import epoch_micros, floor_div
+from thermograph.operators.blocks import BLOCK, row_blocks, target_rows
 from thermograph.session import is_small, join_null_safe, key_parts
 
 DAY_US = 86400 * 10**6
 HOUR_US = 3600 * 10**6
+# Rows of a block that is windowed in one task.
+TARGET_ROWS = 1_000_000
 # Time order of a missing time: before every real one (year 1 is -6.2e16), and
 # small enough that the packed order fits DECIMAL(38,0).
 NO_TIME = -10**17
 DEFAULT_LIMITS = {"temperature": TEMPERATURE_LIMIT, "humidity": HUMIDITY_LIMIT}
 
 
-def _auto_bucket(df: DataFrame, key: str) -> int:
-    from thermograph.operators.moving import TARGET_BUCKET_ROWS, busiest_hours
-    conf = df.sparkSession.conf.get("spark.thermograph.bucketRows", None)
-    target = int(conf) if conf else TARGET_BUCKET_ROWS
-    r = busiest_hours(df, [key])[key]
-    minute = HOUR_US // 60
-    for width in (7 * DAY_US, DAY_US, HOUR_US, 15 * minute, 5 * minute):
-        if r * width / HOUR_US <= target:
-            return width
-    return minute
-
-
 def time_order(ts: str) -> Column:
     """Microseconds since the epoch; missing times come first, as nulls do."""
     return F.coalesce(epoch_micros(ts), F.lit(NO_TIME))
@@ -71,7 +65,8 @@ def _state_word(c: Column) -> Column:
 def actuator_states(readings: DataFrame, limits: dict[str, float] | None = None, *,
                     scope: str = "location", location: str = "location",
                     ts: str = "dateTime", tiebreak: str = "event_id",
-                    bucket_us: int | str | None = "auto", keep: list[str] | tuple = (),
+                    bucket_us: int | str | None = "auto", block_rows: int | None = None,
+                    keep: list[str] | tuple = (),
                     initial: DataFrame | None = None) -> DataFrame:
     """One row per message with the state of every actuator after it.
 
@@ -80,29 +75,35 @@ def actuator_states(readings: DataFrame, limits: dict[str, float] | None = None,
     "no change"), plus the ``keep`` columns passed through.
     ``scope="location"`` keeps one actuator per location;
     ``scope="global"`` shares one actuator among all messages (one key, still
-    split by time bucket).  ``initial`` (one row per key: the key column and
+    split into blocks).  ``initial`` (one row per key: the key column and
     ``<m>`` as 0/1) gives the states before the first message, e.g. the state
-    left by earlier micro-batches; missing keys start off.  ``bucket_us``:
-    time bucket width in microseconds, None for one partition per key, or
-    "auto": None for an input the optimizer estimates small, else the widest
-    of 7 days, 1 day, 1 hour, 15, 5 and 1 minutes whose busiest (key, bucket) stays under
-    ``spark.thermograph.bucketRows`` rows."""
+    left by earlier micro-batches; missing keys start off.
+
+    ``bucket_us="auto"``: one window partition per key for an input that the
+    optimizer estimates small, else blocks of up to ``spark.thermograph.bucketRows``
+    rows.  ``block_rows`` asks for blocks of so many rows, whatever the size;
+    ``bucket_us`` in microseconds for clock buckets of that width, None for one
+    partition per key.  Messages that are equal in key, time and tiebreak have no
+    order among each other."""
     limits = limits or DEFAULT_LIMITS
     key = location if scope == "location" else "_scope"
     df = readings
     if scope != "location":
         df = df.withColumn("_scope", F.lit("all"))
     df = df.withColumn("_ord", time_order(ts))
-    if bucket_us == "auto":
-        # one window partition per key only for inputs estimated small;
-        # otherwise the widest bucket keeping the busiest (key, bucket) under
-        # the row target, from one statistics job
-        bucket_us = None if is_small(readings) else _auto_bucket(df, key)
-    df = df.withColumns({
-        "_bucket": floor_div("_ord", bucket_us) if bucket_us else F.lit(0).cast("bigint"),
-        **{f"_sig_{m}": signal(m, lim) for m, lim in limits.items()},
-    })
-    df = df.withColumns(key_parts(key))
+    if bucket_us == "auto" and block_rows is None:
+        block_rows = None if is_small(readings) else target_rows(readings, TARGET_ROWS)
+        bucket_us = None
+    df = df.withColumns({**{f"_sig_{m}": signal(m, lim) for m, lim in limits.items()},
+                         **key_parts(key)})
+    if block_rows is not None:
+        # Rows without a tiebreak at one instant are dealt by what they say.
+        df = df.withColumn("_tie", F.xxhash64(*limits))
+        df = row_blocks(df, ["_kn", "_kv", "_ord", tiebreak, "_tie"], block_rows, "actuator_blocks")
+        df = df.withColumnRenamed(BLOCK, "_bucket")
+    else:
+        df = df.withColumn("_bucket", floor_div("_ord", bucket_us) if bucket_us
+                           else F.lit(0).cast("bigint"))
     w = Window.partitionBy("_kn", "_kv", "_bucket").orderBy("_ord", tiebreak)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prior = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -110,7 +111,7 @@ def actuator_states(readings: DataFrame, limits: dict[str, float] | None = None,
         **{f"_now_{m}": F.last(f"_sig_{m}", ignorenulls=True).over(upto) for m in limits},
         **{f"_was_{m}": F.last(f"_sig_{m}", ignorenulls=True).over(prior) for m in limits},
     })
-    if bucket_us or initial is not None:
+    if bucket_us or block_rows is not None or initial is not None:
         j = _with_carry(df, local, key, limits, tiebreak, location, scope, initial)
     else:
         # one partition per key and nothing before it: no state to carry in

@@ -33,9 +33,19 @@ task):
     goes as a halo copy to the later buckets whose frames reach back to it
     (about ``h / B`` extra rows).  Cheaper (no totals table), but a bucket of
     a hot key holds ``B`` worth of its rows.
+``"blocks"``
+    For keys with so many rows in an hour that no clock bucket bounds a task.  Rows
+    are added up per (key, instant); each instant asks for the sum of all up to it
+    and, per horizon, of all before ``t - h``.  Instants and questions are sorted
+    together, by key and time, and cut into blocks by row count
+    (``operators.blocks``); growing sums inside a block, and one row per (key, block)
+    for what comes before it, answer them.  The answers are joined to the rows.
 ``"plain"``
     One window partition per key (the textbook form).
 
+Rows without a time are peers of each other only: but for ``plain``, they get their
+key's sums from an aggregate joined to them, not from a window.
+
 ``strategy="auto"`` (the default) takes ``plain`` when the optimizer's size
 estimate of the input is small (``spark.thermograph.smallInputBytes``,
 64 MiB): one task per key is cheap there and buckets would only add stages.
@@ -44,11 +54,11 @@ hour), and that table is written to the shared folder.  A grouping-sets sum over
 it (one number per window key to the driver) finds the busiest (key, hour), and
 each window key gets ``halo`` if a halo bucket of its busiest stretch stays under
 ``spark.thermograph.bucketRows`` (1,000,000) rows, else ``prefix`` with the
-widest whole-hour bucket that does, or one of 30, 15, 5 or 1 minutes: sparse keys
-take the cheap plan, a hot key the bounded one.  The bucket totals of every
-window key are rolled up from the same table, so the input is read twice (once
-for the table, once for the rows), whatever the number of keys; once more if
-keys need buckets below an hour.
+widest whole-hour bucket that does, else ``blocks``: sparse keys take the cheap
+plan, a hot key the bounded one.  The bucket totals of every window key are rolled
+up from the same table, so the input is read twice (once for the table, once for
+the rows), whatever the number of keys; once more for each key that takes
+``blocks``.
 """
 
 from __future__ import annotations
@@ -62,7 +72,8 @@ from pyspark.sql import functions as F
 from thermograph.constants import HORIZONS, LEVEL_KEY
 from thermograph.functions.calendar import epoch_micros, floor_div
 from thermograph.functions.exact import Held, cents_to_double, held
-from thermograph.session import is_small, key_parts, scratch_path
+from thermograph.operators.blocks import BLOCK, row_blocks, target_rows
+from thermograph.session import is_small, join_null_safe, key_parts, scratch_path
 
 _US = {"us": 1, "microsecond": 1, "ms": 1000, "millisecond": 1000,
        "s": 10**6, "second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6,
@@ -159,10 +170,9 @@ def _growing_stage(df: DataFrame, key: str, measures: list[str], hs: dict[str, i
 # --- prefix -------------------------------------------------------------------
 
 def _bucket_totals(base: DataFrame, keys: list[str], measures: list[str], g: int) -> DataFrame:
-    """Sum and count of hundredths, and rows, per (keys, fine bucket) for
-    timed rows."""
-    return (base.where(F.col(_ORD).isNotNull())
-            .groupBy(*keys, floor_div(_ORD, g).alias("_b"))
+    """Sums, counts and rows per (keys, fine bucket); rows without a time have a
+    null bucket."""
+    return (base.groupBy(*keys, floor_div(_ORD, g).alias("_b"))
             .agg(F.count(F.lit(1)).alias("_rows"),
                  *[e for m in measures for e in (
                      F.sum(f"_c_{m}").alias(f"_ts_{m}"), F.count(f"_c_{m}").alias(f"_tn_{m}"))]))
@@ -205,7 +215,8 @@ def busiest_hours(base: DataFrame, keys: list[str], totals: DataFrame | None = N
         x = base.where(F.col(_ORD).isNotNull()).select(
             *keys, floor_div(_ORD, HOUR_US).alias("_h"), F.lit(1).cast("bigint").alias("_rows"))
     else:
-        x = totals.select(*keys, floor_div(f"_b * {fine}", HOUR_US).alias("_h"), "_rows")
+        x = totals.where("_b is not null").select(
+            *keys, floor_div(f"_b * {fine}", HOUR_US).alias("_h"), "_rows")
     rows = F.sum("_rows").alias("_r")
     if len(keys) == 1:
         r = x.groupBy(keys[0], "_h").agg(rows).agg(F.max("_r")).first()[0]
@@ -226,9 +237,9 @@ def _plan_stages(base: DataFrame, stage_keys: list[str], hs: list[int], adaptive
                  target_rows: int, totals: DataFrame | None = None,
                  fine: int = HOUR_US) -> dict[str, tuple[str, int]]:
     """Per window key: ``("halo", B)`` when a halo bucket of the busiest key
-    stays under the row target (and ``adaptive_halo``), else ``("prefix", g)``
-    with the widest bucket that does if an hour's rows are spread evenly (one
-    minute at the narrowest)."""
+    stays under the row target, else ``("prefix", g)`` with the widest whole-hour
+    bucket that does, else ``("blocks", target)``.  Without ``adaptive_halo``: always
+    ``prefix``, below an hour as if an hour's rows were spread evenly."""
     busiest = busiest_hours(base, stage_keys, totals, fine)
     halo_b = auto_bucket_micros(max(hs))
     widths = candidate_widths(hs)
@@ -239,6 +250,10 @@ def _plan_stages(base: DataFrame, stage_keys: list[str], hs: list[int], adaptive
         if adaptive_halo and r * -(-halo_b // HOUR_US) <= target_rows:
             plan[k] = ("halo", halo_b)
             continue
+        if adaptive_halo:
+            fit = [w for w in widths if r * max(1, w / HOUR_US) <= target_rows]
+            plan[k] = ("prefix", fit[0]) if fit else ("blocks", target_rows)
+            continue
         fit = [w for w in widths if r * w / HOUR_US <= target_rows]
         plan[k] = ("prefix", fit[0] if fit else widths[-1])
     return plan
@@ -250,6 +265,7 @@ def _span_totals(totals: DataFrame, key: str, measures: list[str], ms: dict[str,
     differences over the small totals table (one row per key and bucket).
     ``fine``: the totals are of more keys and of buckets of ``fine``, a part
     of ``g``, and are rolled up first."""
+    totals = totals.where("_b is not null")
     t = totals if fine is None else totals.groupBy(
         key, floor_div(f"_b * {fine}", g).alias("_b")).agg(
         *[F.sum(f"_{p}_{m}").alias(f"_{p}_{m}") for m in measures for p in ("ts", "tn")])
@@ -317,6 +333,56 @@ def _prefix_stage(rows: DataFrame, key: str, measures: list[str], hs: dict[str,
     return x.drop(*drop)
 
 
+# --- blocks, and rows without a time ------------------------------------------
+
+def _key_sums(rows: DataFrame, by: list[str], measures: list[str]) -> DataFrame:
+    return rows.groupBy(*by).agg(*[e for m in measures for e in (
+        F.sum(f"_c_{m}").alias(f"_ts_{m}"), F.count(f"_c_{m}").alias(f"_tn_{m}"))])
+
+
+def _block_stage(rows: DataFrame, base: DataFrame, key: str, measures: list[str],
+                 hs: dict[str, int], target: int) -> DataFrame:
+    """Frame sums of the timed ``rows`` from blocks of the instants of ``base``."""
+    names, sums = list(hs), [f"_t{p}_{m}" for m in measures for p in ("s", "n")]
+    timed = base.where(F.col(_ORD).isNotNull()).withColumns(key_parts(key))
+    instants = _key_sums(timed, ["_kn", "_kv", _ORD], measures)
+    # Of an instant's rows the last one adds its sums; those before it ask for the
+    # sum of what is earlier than t - h, so they come before an instant at t - h.
+    own = len(names)
+    asks = [F.struct((F.col(_ORD) - h).alias("_at"), F.lit(i).alias("_k"))
+            for i, h in enumerate(hs.values())]
+    asks.append(F.struct(F.col(_ORD).alias("_at"), F.lit(own).alias("_k")))
+    x = instants.withColumn("_a", F.explode(F.array(*asks))).select(
+        "_kn", "_kv", _ORD, "_a._at", "_a._k",
+        *[F.when(F.col("_a._k") == own, F.col(c)).alias(c) for c in sums])
+    x = row_blocks(x, ["_kn", "_kv", "_at", "_k"], target, "moving_blocks")
+    inside = (Window.partitionBy(BLOCK, "_kn", "_kv").orderBy("_at", "_k")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    earlier = (Window.partitionBy("_kn", "_kv").orderBy(BLOCK)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    before = x.groupBy(BLOCK, "_kn", "_kv").agg(*[F.sum(c).alias(c) for c in sums]).select(
+        BLOCK, "_kn", "_kv", *[F.sum(c).over(earlier).alias(f"_e{c}") for c in sums])
+    x = x.withColumns({c: F.sum(c).over(inside) for c in sums}).join(before, [BLOCK, "_kn", "_kv"])
+    total = {c: F.coalesce(c, F.lit(0)) + F.coalesce(f"_e{c}", F.lit(0)) for c in sums}
+    found = x.groupBy("_kn", "_kv", _ORD).agg(*[
+        (F.max(F.when(F.col("_k") == own, total[f"_t{p}_{m}"]))
+         - F.max(F.when(F.col("_k") == i, total[f"_t{p}_{m}"]))).alias(f"_{p}_{m}_{nm}")
+        for i, nm in enumerate(names) for m in measures for p in ("s", "n")])
+    return rows.withColumns(key_parts(key)).join(found, ["_kn", "_kv", _ORD], "left").drop("_kn", "_kv")
+
+
+def _untimed_stage(rows: DataFrame, untimed: DataFrame, key: str, measures: list[str],
+                   names: list[str]) -> DataFrame:
+    """Frame sums of rows without a time: all such rows of the key.
+
+    ``untimed``: (keys, ``_ts_`` / ``_tn_`` sums), any number of rows per key."""
+    sums = [f"_t{p}_{m}" for m in measures for p in ("s", "n")]
+    per = untimed.groupBy(key).agg(*[F.sum(c).alias(c) for c in sums])
+    per = per.select(key, *[F.col(f"_t{p}_{m}").alias(f"_{p}_{m}_{nm}")
+                            for nm in names for m in measures for p in ("s", "n")])
+    return join_null_safe(rows, per, [key])
+
+
 # --- public -------------------------------------------------------------------
 
 def _resolve(strategy: str, bucket, hs: list[int], df: DataFrame) -> tuple[str, int | None]:
@@ -326,6 +392,8 @@ def _resolve(strategy: str, bucket, hs: list[int], df: DataFrame) -> tuple[str,
         # small inputs: one window partition per key; else chosen per key
         # from the data (halo or prefix buckets)
         return ("plain", None) if is_small(df) else ("adaptive", None)
+    if strategy == "blocks":
+        return "blocks", None
     if strategy == "halo":
         width = auto_bucket_micros(max(hs)) if bucket in ("auto", True) else horizon_micros(bucket)
         return "halo", width
@@ -351,20 +419,29 @@ def _run_stages(df: DataFrame, keys: list[str], stages: list[tuple[str, list[str
     rows = base
     stage_keys = [k for k, _, _ in stages]
     used = _parts(how_held, list(dict.fromkeys(m for _, ms, _ in stages for m in ms)))
+    target = target_rows(df, TARGET_BUCKET_ROWS)
     totals, fine = None, width
     if strategy in ("adaptive", "prefix") and width is None:
         fine = gcd(HOUR_US, *hs.values())
         totals = _written_totals(base, list(dict.fromkeys(stage_keys)), used, fine)
-        conf = df.sparkSession.conf.get("spark.thermograph.bucketRows", None)
-        target = int(conf) if conf else TARGET_BUCKET_ROWS
         plan = _plan_stages(base, stage_keys, list(hs.values()), strategy == "adaptive", target,
                             totals, fine)
     else:
-        plan = {k: (strategy, width) for k in stage_keys}
+        plan = {k: (strategy, target if strategy == "blocks" else width) for k in stage_keys}
     narrow = [w for how, w in plan.values() if how == "prefix" and (totals is None or w % fine)]
     if len(narrow) > 1:  # several keys: one read for all of them
         fine = min(narrow)
         totals = _written_totals(base, list(dict.fromkeys(stage_keys)), used, fine)
+    untimed = untimed_rows = None
+    if strategy != "plain":
+        if totals is not None:
+            untimed = totals.where("_b is null")
+            untimed = None if untimed.isEmpty() else untimed
+        else:
+            untimed = _key_sums(base.where(F.col(_ORD).isNull()), list(dict.fromkeys(stage_keys)), used)
+        if untimed is not None:
+            untimed_rows = rows.where(F.col(_ORD).isNull())
+            rows = rows.where(F.col(_ORD).isNotNull())
     for k, of, tag in stages:
         how, w = plan[k]
         measures = _parts(how_held, of)
@@ -377,9 +454,17 @@ def _run_stages(df: DataFrame, keys: list[str], stages: list[tuple[str, list[str
             payload = [c for c in rows.columns
                        if c not in (k, _ORD) and not c.startswith("_c_")]
             rows = _prefix_stage(rows, k, measures, hs, w, spans, payload)
+        elif how == "blocks":
+            rows = _block_stage(rows, base, k, measures, hs, w)
         else:
             rows = _growing_stage(rows, k, measures, hs, w if how == "halo" else None)
-        rows = _drop_sums(rows.withColumns(_mean_cols(how_held, of, names, tag)), measures, names)
+        means = _mean_cols(how_held, of, names, tag)
+        rows = _drop_sums(rows.withColumns(means), measures, names)
+        if untimed is not None:
+            untimed_rows = _drop_sums(_untimed_stage(untimed_rows, untimed, k, measures, names)
+                                      .withColumns(means), measures, names)
+    if untimed is not None:
+        rows = rows.unionByName(untimed_rows)
     return rows.drop(_ORD, *_unit_cols(how_held))
 
 
@@ -451,30 +536,13 @@ def moving_average(df: DataFrame, level: str = "room", horizon: str | int = "1 h
                    bucket: str | int | None | bool = "auto") -> DataFrame:
     """One row per reading: <level key>, dateTime, avg_temp, avg_hum.
 
-    ``exact=False`` averages FLOAT measures over a sliding RANGE frame and
-    rounds with ``bround`` (one window partition per key)."""
+    ``exact=False`` averages the measures as FLOAT.  Their sums are exact as well
+    (``functions.exact``), so that growing sums can be subtracted and every strategy
+    gives what a sliding frame does."""
     key = LEVEL_KEY[level]
     if not exact:
-        return _float_moving_average(df, level, horizon, humidity_scope)
+        df = df.withColumns({m: F.col(m).cast("float") for m in ("temperature", "humidity")})
     res = moving_averages(df, level, {"h": horizon}, humidity_scope=humidity_scope,
                           strategy=strategy, bucket=bucket)
     return res.select(key, "dateTime", F.col("avg_temp_h").alias("avg_temp"),
                       F.col("avg_hum_h").alias("avg_hum"))
-
-
-def _float_moving_average(df: DataFrame, level: str, horizon: str | int,
-                          humidity_scope: str) -> DataFrame:
-    key = LEVEL_KEY[level]
-    room = LEVEL_KEY["room"]
-    h = horizon_micros(horizon)
-    hum_key = room if humidity_scope == "room" else key
-    base = df.select(*dict.fromkeys([key, room]), "dateTime", "temperature", "humidity") \
-        .withColumn(_ORD, epoch_micros("dateTime"))
-
-    def avg(m: str, k: str) -> Column:
-        w = Window.partitionBy(k).orderBy(_ORD).rangeBetween(-h, Window.currentRow)
-        return F.bround(F.avg(F.col(m).cast("float")).over(w), 2)
-
-    res = base.withColumn("avg_temp", avg("temperature", key)) \
-        .withColumn("avg_hum", avg("humidity", hum_key))
-    return res.select(key, "dateTime", "avg_temp", "avg_hum")

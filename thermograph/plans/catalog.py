@@ -238,6 +238,10 @@ def q_actuator_state_bucketed(spark, sf_dir):
     return act.actuator_states(sensor_readings(spark, sf_dir), bucket_us=act.HOUR_US)
 
 
+def q_actuator_state_blocks(spark, sf_dir):
+    return act.actuator_states(sensor_readings(spark, sf_dir), block_rows=act.TARGET_ROWS)
+
+
 def q_transitions_bucketed(spark, sf_dir):
     return act.actuator_transitions(sensor_readings(spark, sf_dir), "temperature",
                                     bucket_us=act.DAY_US)
@@ -294,10 +298,11 @@ def _register() -> tuple[dict[str, Query], dict[str, str]]:
     add("actuator_state", q_actuator_state, oracle.actuator_state())
     # The plans that large inputs take, whatever the size of this one.
     for hz in ("hour", "day", "week"):
-        for strategy in ("prefix", "halo"):
+        for strategy in ("prefix", "halo", "blocks"):
             add(f"moving_avg_{hz}_neighborhood_{strategy}", partial(q_moving_by, strategy, hz),
                 oracle.moving_avg(hz, "neighborhood"))
     add("actuator_state_bucketed", q_actuator_state_bucketed, oracle.actuator_state())
+    add("actuator_state_blocks", q_actuator_state_blocks, oracle.actuator_state())
     add("temperature_transitions_bucketed", q_transitions_bucketed, oracle.transitions("temperature"))
     add("malformed_telemetry", q_malformed_telemetry, oracle.malformed_telemetry())
     # Measures with more than two digits.
