@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from thermograph.constants import CONF_PREFIX, DATA_PREFIX, SENSOR_ORG
 from thermograph.functions.location import valid_location
+from thermograph.operators.asof import as_of_join
 from thermograph.functions.topics import (config_reply_topic, route_direction,
                                           sensor_location, topic_matches,
                                           topic_to_location)
@@ -65,19 +66,36 @@ def telemetry_with_location(readings: DataFrame, replies: DataFrame) -> DataFram
     """Attach each sensor's assigned location (``/`` form turned into dots)
     to its telemetry rows, joined on the sensor id.
 
-    The assignment table has one row per sensor after de-duplication; the join
-    is left to the optimizer, whose adaptive execution switches it to a
-    broadcast only when the measured assignment side is small."""
-    # The location is a function of the sensor id, so distinct pairs are one
-    # row per sensor (a hash aggregate, partially applied before the shuffle).
-    assign = (replies.where(F.col("location").isNotNull())
-              .select("sensor_id", F.replace("location", F.lit("/"), F.lit("."))
-                      .alias("assigned_location"))
-              .distinct())
+    For replies without times: a sensor has one location (the smallest, if replies
+    name several; see :func:`telemetry_located` for histories).  Messages of sensors
+    without a location are left out.  The join is left to the optimizer, whose
+    adaptive execution switches it to a broadcast only when the measured assignment
+    side is small."""
+    dotted = F.replace("location", F.lit("/"), F.lit("."))
+    assign = (replies.where(F.col("location").isNotNull()).groupBy("sensor_id")
+              .agg(F.min(dotted).alias("assigned_location")))
     return readings.join(assign, readings["s_id"] == assign["sensor_id"], "inner") \
         .drop("sensor_id")
 
 
+def telemetry_located(readings: DataFrame, history: DataFrame, *, tiebreak: str | None = None,
+                      block_rows: int | None = None) -> DataFrame:
+    """Each telemetry row once, with the location its sensor had at that time
+    (``assigned_location``, dotted; null before the first assignment) and since when
+    (``assigned_at``).
+
+    ``history``: sensor_id, location (``/`` or dotted), assigned_at.  A sensor keeps
+    its last location until it is given another; replies without a location change
+    nothing.  An assignment counts from its own time on; of several at one time the
+    one of the largest ``tiebreak`` does."""
+    said = history.where(F.col("location").isNotNull()).select(
+        F.col("sensor_id").alias("_sensor"), F.col("assigned_at"),
+        F.replace("location", F.lit("/"), F.lit(".")).alias("assigned_location"),
+        *([tiebreak] if tiebreak else []))
+    return as_of_join(readings, said, "s_id", "_sensor", "dateTime", "assigned_at",
+                      ["assigned_location", "assigned_at"], tiebreak=tiebreak, block_rows=block_rows)
+
+
 def filter_topics(messages: DataFrame, prefix: str = DATA_PREFIX,
                   location: str | None = None) -> DataFrame:
     """Messages of one location (exact topic) or of every location under

@@ -18,6 +18,7 @@ from thermograph.operators.enrich import enrich, enrich_calendar, enrich_locatio
 from thermograph.operators.months import max_month, monthly_diff_means
 from thermograph.operators.moving import moving_average
 from thermograph.operators.readings import dedupe_readings
+from thermograph.operators.subscriptions import match_messages
 from thermograph.operators import actuators as act
 from thermograph.operators import telemetry as tel
 from thermograph.operators import words
@@ -25,7 +26,7 @@ from thermograph.constants import CONF_PREFIX, DATA_PREFIX
 from thermograph.functions.topics import location_to_topic, sensor_location, topic_to_location
 from thermograph.plans import oracle
 from thermograph.sources.messages import telemetry_messages
-from thermograph.sources.readings import sensor_readings
+from thermograph.sources.readings import location_from_user, sensor_readings
 from thermograph.sources.text import documents
 
 # Location used by the single-location subscription query.
@@ -178,6 +179,34 @@ def q_telemetry_with_location(spark, sf_dir):
     return _measures_as_double(tel.telemetry_with_location(parsed, tel.config_replies(req)))
 
 
+def q_telemetry_located(spark, sf_dir, block_rows=None):
+    """Signups assign a sensor the room that their number names."""
+    parsed = tel.parse_telemetry(_messages(spark, sf_dir))
+    kind = spark.read.parquet(f"{sf_dir}/events.parquet").where("event_type = 'signup'").select("event_id")
+    history = (sensor_readings(spark, sf_dir, with_sensor=True).join(kind, "event_id")
+               .select("sensor_id", location_from_user("event_id").alias("location"),
+                       F.col("dateTime").alias("assigned_at"), F.col("event_id").alias("reply_id")))
+    out = tel.telemetry_located(parsed, history, tiebreak="reply_id", block_rows=block_rows)
+    return _measures_as_double(out).select("event_id", "s_id", "dateTime", "temperature",
+                                           "assigned_location", "assigned_at")
+
+
+def q_match_subscriptions(spark, sf_dir):
+    """All topics against patterns that the rooms' locations give: the room, a floor
+    of any building, a room of any floor, a neighborhood, everything and others."""
+    messages = _mixed(spark, sf_dir)
+    rooms = sensor_readings(spark, sf_dir).select(F.split("location", r"\.").alias("p")).distinct()
+    n, b, f, r = (F.get("p", F.lit(i)) for i in range(4))
+    patterns = rooms.select(F.explode(F.array(
+        F.concat(F.lit(DATA_PREFIX), F.array_join("p", "/")),
+        F.concat(F.lit(DATA_PREFIX), n, F.lit("/+/"), f, F.lit("/#")),
+        F.concat(F.lit(DATA_PREFIX), n, F.lit("/"), b, F.lit("/+/"), r),
+        F.concat(F.lit(DATA_PREFIX), n, F.lit("/#")),
+        F.concat(F.lit("+/+/"), n, F.lit("/#")), F.lit(CONF_PREFIX + "/#"), F.lit(CONF_PREFIX + "/+"),
+        F.lit("#"), F.lit("+"), F.lit(CONF_PREFIX), F.lit("a#"), F.lit(""))).alias("pattern"))
+    return match_messages(messages, patterns).select("event_id", "kind", "topic", "pattern")
+
+
 def q_transitions(metric, spark, sf_dir):
     return act.actuator_transitions(sensor_readings(spark, sf_dir), metric)
 
@@ -292,6 +321,10 @@ def _register() -> tuple[dict[str, Query], dict[str, str]]:
     add("route_topics", q_route_topics, oracle.route_topics())
     add("valid_location", q_valid_location, oracle.valid_location())
     add("telemetry_with_location", q_telemetry_with_location, oracle.telemetry_with_location())
+    add("telemetry_located", q_telemetry_located, oracle.telemetry_located())
+    add("telemetry_located_blocks", partial(q_telemetry_located, block_rows=act.TARGET_ROWS),
+        oracle.telemetry_located())
+    add("match_subscriptions", q_match_subscriptions, oracle.match_subscriptions())
     add("temperature_transitions", partial(q_transitions, "temperature"), oracle.transitions("temperature"))
     add("humidity_transitions", partial(q_transitions, "humidity"), oracle.transitions("humidity"))
     add("actuator_events", q_actuator_events, oracle.actuator_events())

@@ -343,6 +343,32 @@ SELECT event_id, location, dateTime, CAST(temperature AS DOUBLE) AS temperature,
 FROM sensors WHERE {_assigned('sensor_id')} IS NOT NULL"""
 
 
+def telemetry_located() -> str:
+    bits = [f"CAST(CAST(floor(event_id / {d}) AS BIGINT) % 2 AS VARCHAR)" for d in (2, 4, 8)]
+    room = "chr(CAST(65 + event_id % 2 AS INTEGER)) || '.' || " + " || '.' || ".join(bits)
+    return f"""WITH {SENSORS_CTE},
+hist AS (
+  SELECT sensor_id, dateTime AS assigned_at, max_by({room}, event_id) AS assigned_location
+  FROM sensors JOIN (SELECT event_id FROM events WHERE event_type = 'signup') USING (event_id)
+  GROUP BY sensor_id, dateTime)
+SELECT event_id, t.sensor_id AS s_id, dateTime, CAST(temperature AS DOUBLE) AS temperature,
+       assigned_location, assigned_at
+FROM sensors t ASOF LEFT JOIN hist h ON t.sensor_id = h.sensor_id AND t.dateTime >= h.assigned_at"""
+
+
+def match_subscriptions() -> str:
+    parts = "split_part(location, '.', 1) AS n, split_part(location, '.', 2) AS b, " \
+            "split_part(location, '.', 3) AS f, split_part(location, '.', 4) AS r"
+    return f"""WITH {SENSORS_CTE}, {MIXED_CTE},
+rooms AS (SELECT DISTINCT location, {parts} FROM sensors),
+given AS (SELECT DISTINCT unnest([{_topic('location')}, '{DATA_PREFIX}' || n || '/+/' || f || '/#',
+    '{DATA_PREFIX}' || n || '/' || b || '/+/' || r, '{DATA_PREFIX}' || n || '/#', '+/+/' || n || '/#',
+    '{CONF_PREFIX}/#', '{CONF_PREFIX}/+', '#', '+', '{CONF_PREFIX}']) AS pattern FROM rooms),
+rule AS (SELECT pattern, CASE WHEN pattern = '#' THEN '.*' ELSE
+    replace(replace(pattern, '+', '[^/]*'), '/#', '(/.*)?') END AS regex FROM given)
+SELECT event_id, kind, topic, pattern FROM mixed JOIN rule ON regexp_full_match(topic, regex)"""
+
+
 # --- actuators ----------------------------------------------------------------
 _LIMITS = {"temperature": TEMPERATURE_LIMIT, "humidity": HUMIDITY_LIMIT}
 

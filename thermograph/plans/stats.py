@@ -36,7 +36,7 @@ from thermograph.operators.months import max_month
 from thermograph.operators.moving import level_view, moving_averages_all_levels
 from thermograph.session import apply_job_conf, delete_path, scratch_path
 from thermograph.sinks.files import write_csv
-from thermograph.sources.readings import read_readings_csv
+from thermograph.sources.readings import accepted, read_readings_checked, rejected
 
 _TITLE = {"room": "Room", "floor": "Floor", "building": "Building", "neighborhood": "Neighborhood"}
 _HZ = {"hour": "Hour", "day": "Daily", "week": "Weekly"}
@@ -103,13 +103,21 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--split-horizons", action="store_true")
     ap.add_argument("--measures", default="decimal(30,18)",
                     help="type of the measures in the input, e.g. double or decimal(10,2)")
+    ap.add_argument("--rejects", help="folder for rows that can't be read (file, raw, reason); "
+                    "without it such rows fail the job")
     args = ap.parse_args(argv)
     spark = (SparkSession.builder.appName("thermograph-stats")
              .config("spark.ui.enabled", "false").getOrCreate())
     apply_job_conf(spark)  # UTC before the CSV times are parsed
-    res = run(spark, read_readings_csv(
-        spark, args.input, measure_type=_parse_datatype_string(args.measures)), args.out,
-              split_horizons=args.split_horizons)
+    checked = read_readings_checked(spark, args.input,
+                                    measure_type=_parse_datatype_string(args.measures))
+    if args.rejects:
+        rejected(checked).write.mode("overwrite").parquet(args.rejects)
+    else:
+        bad = rejected(checked).first()
+        if bad is not None:
+            raise ValueError(f"a row can't be read ({bad.reason}): {bad.raw!r} of {bad.file}")
+    res = run(spark, accepted(checked), args.out, split_horizons=args.split_horizons)
     for k, v in res.items():
         print(f"{k}: {'written' if v else 'empty, skipped'}")
 

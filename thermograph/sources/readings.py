@@ -50,6 +50,58 @@ def read_readings_csv(spark: SparkSession, path: str, *,
     return r.csv(path)
 
 
+def read_readings_checked(spark: SparkSession, path: str, *,
+                          measure_type: T.DataType | None = None,
+                          time_type: T.DataType | None = None,
+                          timestamp_format: str | None = None) -> DataFrame:
+    """All rows of ``path``, readable or not: the columns of
+    :func:`read_readings_csv`, ``file``, ``raw`` (the row as text) and ``reason``.
+
+    ``reason`` is null for a good row, else what is wrong first: ``columns`` (not
+    four), ``location`` (missing), ``time``, ``temperature`` or ``humidity`` (not of the
+    type, or of more digits than it holds).  An empty time or measure is missing, not
+    wrong.  Good and bad rows together are the rows of the input."""
+    schema = readings_schema(measure_type, time_type)
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema]
+                         + [T.StructField("_corrupt", T.StringType())])
+    rows = (spark.read.schema(texts).option("header", "true").option("sep", ";")
+            .option("enforceSchema", "true").option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_corrupt").csv(path)
+            .select("*", F.col("_metadata.file_path").alias("file")))
+    names = [f.name for f in schema]
+    place, time, *measures = schema
+    parsed = {}
+    if timestamp_format:
+        parsed[time.name] = F.try_to_timestamp(time.name, F.lit(timestamp_format)).cast(time.dataType)
+    else:
+        parsed[time.name] = F.col(time.name).try_cast(time.dataType)
+    bad = [("columns", F.col("_corrupt").isNotNull()), ("location", F.col(place.name).isNull()),
+           ("time", F.col(time.name).isNotNull() & parsed[time.name].isNull())]
+    for m in measures:
+        text = F.trim(F.col(m.name))
+        parsed[m.name] = text.try_cast(m.dataType)
+        wrong = parsed[m.name].isNull()
+        if isinstance(m.dataType, T.DecimalType):
+            # A cast would round what is behind the last place.
+            wrong = wrong | (text.try_cast("decimal(38,30)") != parsed[m.name]) | (
+                F.length(F.regexp_extract(text, r"\.(\d*?)0*\z", 1)) > m.dataType.scale)
+        bad.append((m.name, F.col(m.name).isNotNull() & F.coalesce(wrong, F.lit(False))))
+    reason = F.coalesce(*[F.when(F.coalesce(c, F.lit(False)), F.lit(name)) for name, c in bad])
+    raw = F.coalesce("_corrupt", F.concat_ws(";", *[F.coalesce(c, F.lit("")) for c in names]))
+    out = rows.withColumns({"reason": reason, "raw": raw, **{f"_{c}": v for c, v in parsed.items()}})
+    return out.select(place.name, *[F.col(f"_{c}").alias(c) for c in parsed], "file", "raw", "reason")
+
+
+def accepted(checked: DataFrame) -> DataFrame:
+    """The readings of :func:`read_readings_checked` that are good."""
+    return checked.where("reason is null").drop("file", "raw", "reason")
+
+
+def rejected(checked: DataFrame) -> DataFrame:
+    """(file, raw, reason) of the rows that are not."""
+    return checked.where("reason is not null").select("file", "raw", "reason")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin the rows of an input of up to ``SPREAD_BYTES`` (the
     optimizer's estimate) over ``SPREAD_PARTS`` partitions: one row group of a
