@@ -43,12 +43,15 @@ def parse_telemetry(messages: DataFrame, prefix: str = DATA_PREFIX, *,
     )
 
 
-def malformed(messages: DataFrame) -> DataFrame:
+def malformed(messages: DataFrame, needs_time: bool = False) -> DataFrame:
     """The messages that :func:`parse_telemetry` leaves out: no JSON, or no
-    ``d`` object.  All their columns are kept."""
+    ``d`` object; with ``needs_time`` also those without an arrival time.  All their
+    columns are kept."""
     j = F.from_json(F.col("payload"), PAYLOAD_SCHEMA)
-    return messages.select("*", F.explode(F.array(j)).alias("_j")).where(
-        F.col("_j.d").isNull()).drop("_j")
+    bad = F.col("_j.d").isNull()
+    if needs_time:
+        bad = bad | F.col("arrival").isNull()
+    return messages.select("*", F.explode(F.array(j)).alias("_j")).where(bad).drop("_j")
 
 
 def config_replies(requests: DataFrame, sensor_id: str = "sensor_id", *,

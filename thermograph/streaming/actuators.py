@@ -105,6 +105,83 @@ def transitions_stream(readings: DataFrame, metric: str = "temperature", **kw) -
     return st.where(F.col(f"{metric}_event") != "no change")
 
 
+# --- messages out of order --------------------------------------------------------
+
+def _ordered_step(key: str, tiebreak: str, limits: dict[str, float]):
+    metrics = list(limits)
+    apply = _make_step(key, tiebreak, limits, values=True)
+
+    class Carried:
+        """The last signals, in the form that the unordered step reads and leaves."""
+        exists = True
+
+        def __init__(self, last: tuple):
+            self.get = last
+
+        def update(self, last: tuple) -> None:
+            self.get = last
+
+    def step(group_key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        kept = state.get if state.exists else None
+        last = tuple(kept[:len(metrics)]) if kept else tuple(0 for _ in metrics)
+        frames = [] if state.hasTimedOut else list(pdfs)
+        if kept and len(kept[len(metrics)]):
+            at, ids, *values = kept[len(metrics):]
+            held = pd.DataFrame({"dateTime": pd.to_datetime(np.asarray(at, "int64"), unit="us"),
+                                 tiebreak: pd.array(ids, "Int64")})
+            for m, v in zip(metrics, values, strict=True):
+                held[m] = np.asarray(v, "float64")
+            held[key] = group_key[0]
+            frames.append(held)
+        rows = pd.concat([f[[key, tiebreak, "dateTime", *metrics]] for f in frames], ignore_index=True)
+        micros = rows["dateTime"].astype("datetime64[us]").astype("int64")
+        passed = state.getCurrentWatermarkMs()
+        # Rows up to the watermark are complete: later ones of such times are late.
+        ready = micros <= passed * 1000
+        carried = Carried(last)
+        if ready.any():
+            yield from apply(group_key, iter([rows[ready]]), carried)
+        rest, micros = rows[~ready], micros[~ready]
+        state.update((*carried.get, micros.tolist(), [None if pd.isna(x) else int(x) for x in rest[tiebreak]],
+                      *[pd.to_numeric(rest[m]).astype("float64").tolist() for m in metrics]))
+        if len(rest):
+            state.setTimeoutTimestamp(int(-(-int(micros.min()) // 1000)))
+
+    return step
+
+
+def ordered_state_stream(readings: DataFrame, delay: str, limits: dict[str, float] | None = None, *,
+                         scope: str = "location", location: str = "location",
+                         tiebreak: str = "event_id") -> DataFrame:
+    """As :func:`actuator_state_stream` with ``values``, for messages that arrive up to
+    ``delay`` out of order: the output is the batch result on all messages that are not
+    late, whatever order they come in.
+
+    A message waits in its key's state until the watermark (the latest time seen, less
+    ``delay``) has passed it; then those that wait are applied in (time, tiebreak)
+    order, by a timer where no new message of the key comes.  The state of a key is what
+    it receives in ``delay``.  Later messages are dropped by the watermark, and so are
+    those without a time: set them aside before."""
+    limits = limits or DEFAULT_LIMITS
+    metrics = list(limits)
+    key = location if scope == "location" else "_scope"
+    df = readings if scope == "location" else readings.withColumn("_scope", F.lit("all"))
+    ts_type = dict(df.dtypes)["dateTime"]
+    df = df.select(F.coalesce(F.col(key), F.lit("")).alias(key), tiebreak,
+                   F.col("dateTime").cast("timestamp").alias("dateTime"),
+                   *[F.col(m).cast("double").alias(m) for m in metrics])
+    out = df.withWatermark("dateTime", delay).groupBy(key).applyInPandasWithState(
+        _ordered_step(key, tiebreak, limits),
+        outputStructType=_output_schema(key, tiebreak, "timestamp", metrics)
+        + "".join(f", {m} double" for m in metrics),
+        stateStructType=_state_schema(metrics) + ", at array<bigint>, ids array<bigint>"
+        + "".join(f", values_{m} array<double>" for m in metrics),
+        outputMode="append",
+        timeoutConf=GroupStateTimeout.EventTimeTimeout,
+    ).withColumn("dateTime", F.col("dateTime").cast(ts_type))
+    return out.drop("_scope") if scope != "location" else out
+
+
 # --- micro-batches through the bucketed batch operator -------------------------
 
 def _epochs(spark, root: str) -> tuple[list[int], list[int]]:

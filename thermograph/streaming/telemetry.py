@@ -14,6 +14,7 @@ import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from thermograph.constants import DATA_PREFIX, LOCATION_PATTERN
@@ -24,7 +25,7 @@ from thermograph.session import apply_job_conf, checkpoint_dir
 from thermograph.sinks.streams import epoch_parquet_writer
 from thermograph.sources.messages import read_message_stream, read_request_stream
 from thermograph.streaming.actuators import (actuator_state_stream, bucketed_actuator_writer,
-                                             event_rows, switched)
+                                             event_rows, ordered_state_stream, switched)
 
 
 def _start(df: DataFrame, name: str, out_path: str, spark: SparkSession,
@@ -47,12 +48,38 @@ def split_malformed(write: Callable[[DataFrame, int], None], prefix: str,
     messages without a readable payload to ``<malformed_path>/epoch=<id>``
     (good + bad = input).  Without a path, a bad message is an error."""
     def run(batch: DataFrame, epoch_id: int) -> None:
-        write(parse_telemetry(batch, prefix), epoch_id)
         bad = malformed(batch)
         if malformed_path:
             bad.write.mode("overwrite").parquet(os.path.join(malformed_path, f"epoch={epoch_id}"))
         elif not bad.isEmpty():
             raise ValueError("a message has no readable payload (no malformed_path is set)")
+        write(parse_telemetry(batch, prefix), epoch_id)
+    return run
+
+
+_ASIDE = "_malformed"
+
+
+def _beside(rows: DataFrame, bad: DataFrame) -> DataFrame:
+    """One stream of ``rows`` and, in the column ``_malformed``, bad messages: the
+    state of a stream is kept by its plan, so that they leave it together."""
+    aside = bad.select(F.struct(*bad.columns).alias(_ASIDE))
+    return rows.unionByName(aside, allowMissingColumns=True)
+
+
+def _split_beside(out_path: str, malformed_path: str | None) -> Callable[[DataFrame, int], None]:
+    """Writes the two parts of :func:`_beside` per micro-batch, computed once."""
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        batch.persist()
+        try:
+            bad = batch.where(F.col(_ASIDE).isNotNull()).select(f"{_ASIDE}.*")
+            if malformed_path:
+                bad.write.mode("overwrite").parquet(os.path.join(malformed_path, f"epoch={epoch_id}"))
+            elif not bad.isEmpty():
+                raise ValueError("a message has no readable payload (no malformed_path is set)")
+            epoch_parquet_writer(out_path)(batch.where(F.col(_ASIDE).isNull()).drop(_ASIDE), epoch_id)
+        finally:
+            batch.unpersist()
     return run
 
 
@@ -87,7 +114,7 @@ def actuators(spark: SparkSession, messages_path: str, out_path: str, *,
               max_files_per_trigger: int | None = None, events_only: bool = False,
               as_events: bool = False, location: str | None = None, prefix: str = DATA_PREFIX,
               limits: dict[str, float] | None = None,
-              malformed_path: str | None = None) -> StreamingQuery:
+              malformed_path: str | None = None, delay: str = "10 minutes") -> StreamingQuery:
     """Messages -> actuator state after every message (both actuators).
 
     ``location``: subscribe to this one location only (it must have the N.B.F.R
@@ -100,23 +127,31 @@ def actuators(spark: SparkSession, messages_path: str, out_path: str, *,
     ``mode="buckets"`` (default) runs each micro-batch through the bucketed
     batch operator with a per-key state table (a hot key is split by time);
     ``mode="keyed"`` uses ``applyInPandasWithState`` (one group per key and
-    micro-batch)."""
+    micro-batch); ``mode="ordered"`` also holds messages back for ``delay``, so that
+    they are applied in time order however they arrive (messages without a time are
+    set aside with the bad ones)."""
     if location is not None and not re.fullmatch(LOCATION_PATTERN, location):
         raise ValueError(f"not a location: {location!r}")
     limits = limits or DEFAULT_LIMITS
     msgs = read_message_stream(spark, messages_path, max_files_per_trigger=max_files_per_trigger)
     msgs = filter_topics(msgs, prefix, location)
     ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "streams", "actuators")
-    if mode == "keyed":
-        # Its state lives in the stream, so bad messages are left out by the
-        # plan; the ingest job keeps them.
-        states = actuator_state_stream(parse_telemetry(msgs, prefix), limits, scope=scope,
-                                       values=as_events)
+    if mode in ("keyed", "ordered"):
+        good = parse_telemetry(msgs, prefix)
+        bad = malformed(msgs)
+        if mode == "ordered":
+            bad = malformed(msgs, needs_time=True)
+            states = ordered_state_stream(good.where("dateTime is not null"), delay, limits, scope=scope)
+            if not as_events:
+                states = states.drop(*limits)
+        else:
+            states = actuator_state_stream(good, limits, scope=scope, values=as_events)
         if as_events:
             states = event_rows(states, list(limits), ["location"] if scope == "location" else [])
         elif events_only:
             states = switched(states, list(limits))
-        return _start(states, "actuators", out_path, spark, ckpt, available_now, trigger_seconds)
+        return _start(_beside(states, bad), "actuators", out_path, spark, ckpt, available_now,
+                      trigger_seconds, _split_beside(out_path, malformed_path))
     writer = split_malformed(
         bucketed_actuator_writer(out_path, os.path.join(ckpt, "state"), limits, scope=scope,
                                  events_only=events_only, as_events=as_events), prefix, malformed_path)
@@ -140,7 +175,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--prefix", default=DATA_PREFIX)
     ap.add_argument("--location", help="actuators: subscribe to one location only")
     ap.add_argument("--scope", choices=["location", "global"], default="location")
-    ap.add_argument("--mode", choices=["buckets", "keyed"], default="buckets")
+    ap.add_argument("--mode", choices=["buckets", "keyed", "ordered"], default="buckets")
+    ap.add_argument("--delay", default="10 minutes", help="how late messages may come (ordered)")
     ap.add_argument("--events-only", action="store_true", help="messages that switch an actuator")
     ap.add_argument("--events", action="store_true", help="one row per switch")
     ap.add_argument("--once", action="store_true", help="stop when all that has landed is done")
@@ -156,7 +192,7 @@ def main(argv: list[str] | None = None) -> None:
         query = location_assignment(spark, args.input, args.out, **common)
     else:
         query = actuators(spark, args.input, args.out, prefix=args.prefix, scope=args.scope,
-                          mode=args.mode, location=args.location, events_only=args.events_only, as_events=args.events,
+                          mode=args.mode, delay=args.delay, location=args.location, events_only=args.events_only, as_events=args.events,
                           malformed_path=args.malformed or args.out.rstrip("/") + "_malformed",
                           **common)
     query.awaitTermination()
