@@ -398,13 +398,29 @@ def test_overlaps(spark, odd_rows, monkeypatch, limit):
     assert op10.decontaminate(frame(spark, docs), bench.limit(0)).count() == len(docs)
 
 
-def test_every_placement_of_replaced_words_leaves_enough_seeds():
+def test_every_placement_of_replaced_words_leaves_a_seed():
+    """The masks ignore words between the places they look at, and are complete."""
+    assert all(mask[-1] + 1 > len(mask) for mask in op10.MASKS)
     for width in range(op10.SHORTEST, op10.WINDOW + 1):
         differ = max(r for r in range(width) if 100 * (width - r) >= op10.PCT * width)
-        fewest = min(sum(not any(p <= x < p + op10.SEED for x in gone)
-                         for p in range(width - op10.SEED + 1))
-                     for gone in itertools.combinations(range(width), differ))
-        assert fewest >= op10.fewest_hits(width) >= 2
+        fewest = width
+        for gone in itertools.combinations(range(width), differ):
+            left = [at for mask in op10.MASKS for at in range(width - mask[-1])
+                    if not any(at + o in gone for o in mask)]
+            fewest = min(fewest, len(left))
+        assert fewest == op10.fewest_hits(width) >= 1
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_short_items_are_matched_whole(spark, monkeypatch, limit):
+    monkeypatch.setattr(op10, "BROADCAST_SEEDS", limit)
+    monkeypatch.setattr(op10, "BROADCAST_IDS", limit)
+    items = [(1, "one"), (2, "a b"), (3, "c d e f g h i j"), (4, "k l m n o p q r s"), (5, "")]
+    docs = [(1, "ONE"), (2, "x a b"), (3, "a x b"), (4, "z c d e f g h i j z"), (5, "c d e f x h i j"),
+            (6, "k l m n o p q r x"), (7, "k l m n x p q x s"), (8, None), (9, "b a one a b")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in op10.overlaps(frame(spark, docs), bench).collect()}
+    assert got == {(1, 1), (2, 2), (4, 3), (6, 4), (9, 1), (9, 2)}
 
 
 @pytest.mark.parametrize("limit", [1_000_000, 0])

@@ -95,32 +95,26 @@ SELECT conv_id, n_turns, sha256(a) AS turns_sha256, CAST(length(l) AS BIGINT) AS
 """
 SQL["op5_chat_format"] = OP5
 
+# Every diagonal on which enough words are equal, without any seeds.
 OP10 = f"""
 WITH d AS MATERIALIZED (SELECT doc_id, {WORDS.format("lower(coalesce(text, ''))")} AS a FROM documents),
 b AS MATERIALIZED (SELECT item_id, {WORDS.format("lower(coalesce(text, ''))")} AS b FROM benchmark),
-dp AS (SELECT doc_id, a, unnest(range(0, len(a))) AS p FROM d WHERE len(a) >= 9),
-bp AS (SELECT item_id, b, unnest(range(0, len(b))) AS i FROM b WHERE len(b) >= 9),
-ds AS MATERIALIZED (
-  SELECT doc_id, p, 0 AS m, concat_ws(' ', a[p+1], a[p+3], a[p+5], a[p+7], a[p+9], a[p+11]) AS k
-  FROM dp WHERE p + 11 <= len(a) UNION ALL
-  SELECT doc_id, p, 1, concat_ws(' ', a[p+1], a[p+2], a[p+3], a[p+7], a[p+8], a[p+9])
-  FROM dp WHERE p + 9 <= len(a)),
-bs AS MATERIALIZED (
-  SELECT item_id, i, 0 AS m, concat_ws(' ', b[i+1], b[i+3], b[i+5], b[i+7], b[i+9], b[i+11]) AS k
-  FROM bp WHERE i + 11 <= len(b) UNION ALL
-  SELECT item_id, i, 1, concat_ws(' ', b[i+1], b[i+2], b[i+3], b[i+7], b[i+8], b[i+9])
-  FROM bp WHERE i + 9 <= len(b)),
-h AS (SELECT DISTINCT doc_id, item_id, p - i AS g FROM ds JOIN bs USING (m, k)),
-e AS (SELECT doc_id, item_id, g, len(b) AS n_words, least(20, len(b)) AS w,
+n AS (SELECT item_id, b, len(b) AS n_words, least(20, len(b)) AS w,
+  CASE WHEN len(b) < 9 THEN 100 ELSE 80 END * least(20, len(b)) AS needed FROM b WHERE len(b) > 0),
+dw AS MATERIALIZED (SELECT doc_id, unnest(a) AS x, unnest(range(0, len(a))) AS p FROM d),
+bw AS MATERIALIZED (SELECT item_id, unnest(b) AS x, unnest(range(0, len(b))) AS i FROM b),
+h AS MATERIALIZED (SELECT doc_id, item_id, p - i AS g FROM dw JOIN bw USING (x) JOIN n USING (item_id)
+  GROUP BY doc_id, item_id, p - i, needed HAVING 100 * count(*) >= needed),
+e AS (SELECT doc_id, item_id, g, n_words, w, needed,
   list_transform(range(0, len(b)), lambda i: CASE WHEN i + g >= 0 AND i + g < len(a)
     AND b[i + 1] = a[i + g + 1] THEN 1 ELSE 0 END) AS q
-  FROM h JOIN d USING (doc_id) JOIN b USING (item_id)),
-s AS (SELECT doc_id, item_id, g, n_words, w, list_sum(q) AS n_equal,
+  FROM h JOIN d USING (doc_id) JOIN n USING (item_id)),
+s AS (SELECT doc_id, item_id, g, n_words, needed, list_sum(q) AS n_equal,
   list_max(list_transform(range(1, n_words - w + 2), lambda x: list_sum(q[x:x + w - 1]))) AS best FROM e)
 SELECT doc_id, item_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_equal AS BIGINT) AS n_equal,
   CAST(best AS BIGINT) AS best, CAST(g AS BIGINT) AS diagonal FROM (
     SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY best DESC, n_equal DESC, g) AS r
-    FROM s WHERE 100 * best >= 80 * w) WHERE r = 1
+    FROM s WHERE 100 * best >= needed) WHERE r = 1
 """
 SQL["op10_decontaminate"] = OP10
 
