@@ -295,3 +295,37 @@ def test_rows_of_equal_source_names_in_languages_stay_apart(spark):
                                "text string, lang string, source string")
     got = op13.source_divergence(df).where(F.col("part") == "pair").collect()
     assert sorted((r.lang, r.source, r.item) for r in got) == [("en", "s", "t"), ("en", "t", "s")]
+
+
+# --- earlier operators: what was mended
+
+def test_article_text_is_kept_whatever_its_names_resemble():
+    from thermograph.llm import op2_html_extract as op2
+    page = ('<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be one</p>'
+            '<p class="ad-hoc">kept text</p><div class="search-theory">about search</div>'
+            '<svg><text>label</text></svg><div class="ad">buy</div><div class="comment-list">nice!</div>'
+            '<div class="social share-buttons">tweet</div><p id="notice-board-history">old boards</p></article>')
+    assert op2.split_page(page)[0] == "Let x=1 be one kept text about search label old boards"
+
+
+def test_runs_that_two_pages_share_go(spark):
+    from thermograph.llm import op2_html_extract as op2
+    menu = "one two three four five six seven eight nine"
+    pages = spark.createDataFrame(
+        [(1, "http://h.example/a", f"<div>{menu}</div><div>first says this</div>"),
+         (2, "http://h.example/b", f"<div>{menu}</div><div>another tells that</div>"), (3, "http://g.example/a", f"<div>{menu}</div>")], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in op2.extract(pages).collect()}
+    assert got == {1: "first says this", 2: "another tells that", 3: menu}
+
+
+def test_many_spans_in_one_text():
+    import time
+
+    from thermograph.llm import op1_secret_scan as op1, op8_license_scan as op8
+    begun = time.perf_counter()
+    spans = op1.scan("password=abcdefghijkl " * 30_000)
+    assert len(spans) == 30_000 and spans[-1][2] == 22 * 30_000 - 1
+    index = op8.Index()
+    template = max(range(len(index.words)), key=lambda t: -len(index.words[t]))
+    kept = op8.scan(list(index.words[template]) * 3, [], index)
+    assert kept == [] and time.perf_counter() - begun < 30
