@@ -23,6 +23,7 @@ kept, one row per input row.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -195,11 +196,12 @@ def scan(text: list[int], hits: list[tuple[int, int]], index: Index) -> list[tup
             if m and 100 * m >= COVERAGE * len(template):
                 found.append((begin + a, begin + b, t, m))
     found.sort(key=lambda x: (-x[3], -x[3] / len(index.words[x[2]]), x[2], x[0]))
-    kept: list[tuple] = []
+    kept: list[tuple] = []  # by place; they don't overlap, so a span's neighbours decide
     for span in found:
-        if all(span[1] <= a or span[0] >= b for a, b, _, _ in kept):
-            kept.append(span)
-    return sorted(kept)
+        at = bisect_left(kept, span)
+        if (at == 0 or kept[at - 1][1] <= span[0]) and (at == len(kept) or kept[at][0] >= span[1]):
+            kept.insert(at, span)
+    return kept
 
 
 def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
