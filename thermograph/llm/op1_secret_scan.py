@@ -35,7 +35,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -169,8 +171,11 @@ def scan(text: str) -> list[tuple[int, int, int]]:
     spans += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= 18]
     spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     base = sorted(spans)
+    # The farthest end of the spans that begin up to each one.
+    begins, ends = [a for a, _, _ in base], list(accumulate((b for _, _, b in base), max))
     for s, e in random_spans(text):
-        if not any(a <= s and e <= b for a, _, b in base):
+        at = bisect_right(begins, s)
+        if not at or ends[at - 1] < e:
             spans.append((s, 3, e))
     return sorted(spans)
 
