@@ -125,3 +125,18 @@ def test_float_form_is_the_sliding_frame(spark, strategy):
     want = readings_df(spark, rows).select("dateTime", *[
         F.bround(F.avg(F.col(m).cast("float")).over(w), 2).alias(m) for m in ("temperature", "humidity")])
     assert got == {r.dateTime: (r.temperature, r.humidity) for r in want.collect()}
+
+
+def test_tables_of_a_run_are_removed(spark):
+    import glob
+
+    from thermograph.session import clear_scratch, scratch_root, scratch_run
+    df = readings(spark, "mixed")
+    root = scratch_root(spark).removeprefix("file:")
+    with scratch_run(spark):
+        states = actuator_states(df, block_rows=300)
+        assert states.count() == N and glob.glob(f"{root}/run-*/actuator_blocks-*")
+    assert not glob.glob(f"{root}/run-*")
+    assert actuator_states(df, block_rows=300).count() == N and glob.glob(f"{root}/actuator_blocks-*")
+    clear_scratch(spark)
+    assert not glob.glob(f"{root}/*")

@@ -21,7 +21,6 @@ FLOOR_CODES = ["S", "0", "1", "2"]
 # Location format accepted for a single-location subscription (the dots are
 # deliberately unescaped: any character may separate the parts).
 LOCATION_PATTERN = "^([A-Z0-9]+.[A-Z0-9]+.[A-Z0-9]+.[A-Z0-9]+)$"
-# Word separators are only the space and the newline.
 # Letters counted by the letter count.
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 # Moving-average horizons.

@@ -219,24 +219,35 @@ def q_actuator_state(spark, sf_dir):
     return act.actuator_states(sensor_readings(spark, sf_dir))
 
 
-def _four_digits(spark, sf_dir):
-    """Enriched readings whose measures have four digits (whole numbers of
-    0.0001, by a rule from ``events``)."""
+def _four_digits(spark, sf_dir, with_sensor=False):
+    """Readings whose measures have four digits (whole numbers of 0.0001, by a rule
+    from ``events``)."""
     base = F.round(F.col("value") * 100).cast("bigint")
     ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", base.alias("_b"))
     units = {"temperature": (F.col("_b") * 37 + F.col("event_id")) % 400000,
              "humidity": (F.col("_b") * 53 + F.col("event_id")) % 1000000}
-    rows = sensor_readings(spark, sf_dir).drop("temperature", "humidity").join(ev, "event_id")
-    return enrich(rows.withColumns({
-        m: (u.cast("decimal(12,0)") / 10000).cast("decimal(10,4)") for m, u in units.items()}).drop("_b"))
+    rows = sensor_readings(spark, sf_dir, with_sensor=with_sensor).drop("temperature", "humidity")
+    return rows.join(ev, "event_id").withColumns({
+        m: (u.cast("decimal(12,0)") / 10000).cast("decimal(10,4)") for m, u in units.items()}).drop("_b")
 
 
 def q_mean_daily_4dp(spark, sf_dir):
-    return daily_means(_four_digits(spark, sf_dir), "room")
+    return daily_means(enrich(_four_digits(spark, sf_dir)), "room")
 
 
 def q_moving_4dp(spark, sf_dir):
-    return moving_average(_four_digits(spark, sf_dir), "room", "day", strategy="prefix")
+    return moving_average(enrich(_four_digits(spark, sf_dir)), "room", "day", strategy="prefix")
+
+
+def q_parse_telemetry_4dp(spark, sf_dir):
+    messages = telemetry_messages(_four_digits(spark, sf_dir, with_sensor=True))
+    return _measures_as_double(tel.parse_telemetry(messages))
+
+
+def q_transitions_4dp(spark, sf_dir):
+    """Limits are held against what was sent, with all its digits."""
+    messages = telemetry_messages(_four_digits(spark, sf_dir, with_sensor=True))
+    return act.actuator_transitions(tel.parse_telemetry(messages), "temperature")
 
 
 def _unrounded(spark, sf_dir):
@@ -341,6 +352,9 @@ def _register() -> tuple[dict[str, Query], dict[str, str]]:
     # Measures with more than two digits.
     add("mean_daily_room_4dp", q_mean_daily_4dp, oracle.four_digit(oracle.mean_daily("room")))
     add("moving_avg_day_room_4dp", q_moving_4dp, oracle.four_digit(oracle.moving_avg("day", "room")))
+    add("parse_telemetry_4dp", q_parse_telemetry_4dp, oracle.four_digit_values(oracle.parse_telemetry()))
+    add("temperature_transitions_4dp", q_transitions_4dp,
+        oracle.four_digit_values(oracle.transitions("temperature")))
     # Measures as unrounded DOUBLE.
     add("mean_daily_room_double", q_mean_daily_double, oracle.unrounded(oracle.mean_daily("room")))
     add("diff_floor_double", q_diff_double, oracle.unrounded(oracle.diff("floor")))

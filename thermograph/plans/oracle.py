@@ -176,19 +176,29 @@ def moving_avg(horizon: str, level: str, humidity_scope: str = "room") -> str:
         framed)
 
 
+_BASE = "CAST(round(value * 100) AS BIGINT)"
+_FOUR_DIGITS = (
+    ("temperature", "CAST(10 + value % 27.5 AS DECIMAL(10,2))", f"({_BASE} * 37 + event_id) % 400000"),
+    ("humidity", "CAST((value * 7) % 100 AS DECIMAL(10,2))", f"({_BASE} * 53 + event_id) % 1000000"))
+
+
 def four_digit(query: str) -> str:
     """``mean_daily`` or ``moving_avg`` SQL over four-digit measures: columns
     hold units of 0.0001, so counts are multiplied by 100 for a mean in
     hundredths."""
-    base = "CAST(round(value * 100) AS BIGINT)"
-    for name, old, new in (
-            ("temperature", "CAST(10 + value % 27.5 AS DECIMAL(10,2))", f"({base} * 37 + event_id) % 400000"),
-            ("humidity", "CAST((value * 7) % 100 AS DECIMAL(10,2))", f"({base} * 53 + event_id) % 1000000")):
+    for name, old, new in _FOUR_DIGITS:
         query = query.replace(f"{old} AS {name}", f"{new} AS {name}")
         query = query.replace(cents(name), name).replace(f"count({name})", f"100 * count({name})")
     return query
 
 
+def four_digit_values(query: str) -> str:
+    """SQL of single readings over the same measures, as DOUBLE."""
+    for name, old, new in _FOUR_DIGITS:
+        query = query.replace(f"{old} AS {name}", f"({new}) / 10000.0 AS {name}")
+    return query
+
+
 def unrounded(query: str) -> str:
     """``query`` (of the readings) over unrounded DOUBLE measures: columns hold whole
     numbers of 2**-64, which a DOUBLE of these sizes is, so a hundred times their sum

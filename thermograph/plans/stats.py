@@ -34,7 +34,7 @@ from thermograph.operators.daynight import day_night_diff_from_partials, room_da
 from thermograph.operators.enrich import enrich
 from thermograph.operators.months import max_month
 from thermograph.operators.moving import level_view, moving_averages_all_levels
-from thermograph.session import apply_job_conf, delete_path, scratch_path
+from thermograph.session import apply_job_conf, scratch_path, scratch_run
 from thermograph.sinks.files import write_csv
 from thermograph.sources.readings import accepted, read_readings_checked, rejected
 
@@ -48,51 +48,47 @@ def run(spark: SparkSession, readings: DataFrame, out_dir: str, *,
     """Compute and write all results; returns name -> written (False when the
     result was empty and skipped)."""
     apply_job_conf(spark)
-    enriched = enrich(readings)
+    with scratch_run(spark):
+        return _run(spark, enrich(readings), out_dir, levels, split_horizons, moving, differences)
+
+
+def _run(spark: SparkSession, enriched: DataFrame, out_dir: str, levels: tuple[str, ...],
+         split_horizons: bool, moving: bool, differences: bool) -> dict[str, bool]:
     written: dict[str, bool] = {}
-    scratch: list[str] = []
-    try:
-        if differences:
-            part_path = scratch_path(spark, f"room_day_partials-{uuid.uuid4().hex}")
-            scratch.append(part_path)
-            how = held(enriched, "temperature", "humidity")
-            room_day_partials(enriched, how).write.mode("overwrite").parquet(part_path)
-            partials = spark.read.parquet(part_path)
-            for lv in levels:
-                diff = day_night_diff_from_partials(partials, lv, how)
-                name = f"diff{_TITLE[lv]}"
-                written[name] = write_csv(diff, os.path.join(out_dir, name))
-                if written[name]:
-                    mname = f"maxMonth{_TITLE[lv]}"
-                    # at most 12 rows, written in month order
-                    written[mname] = write_csv(max_month(diff).orderBy("month"),
-                                               os.path.join(out_dir, mname))
-        if moving:
-            # All levels in one pass (humidity is windowed by room for every
-            # level, so it is computed once), written once to the shared folder
-            # and projected per level and horizon.
-            all_path = scratch_path(spark, f"moving_all_levels-{uuid.uuid4().hex}")
-            scratch.append(all_path)
-            moving_averages_all_levels(enriched).write.mode("overwrite").parquet(all_path)
-            all_levels = spark.read.parquet(all_path)
-            for lv in levels:
-                view = level_view(all_levels, lv)
-                key = view.columns[0]
-                # moving averages are written even when empty (one row per reading)
-                if split_horizons:
-                    for hz, title in _HZ.items():
-                        name = f"movingAverageTemperatureAndHumidity{title}{_TITLE[lv]}"
-                        one = view.select(key, "dateTime", F.col(f"avg_temp_{hz}").alias("avg_temp"),
-                                          F.col(f"avg_hum_{hz}").alias("avg_hum"))
-                        written[name] = write_csv(one, os.path.join(out_dir, name), skip_empty=False)
-                else:
-                    name = f"movingAverage{_TITLE[lv]}"
-                    written[name] = write_csv(view, os.path.join(out_dir, name), skip_empty=False)
-    finally:
-        # intermediate tables in the shared folder are removed once the
-        # results that read them are written
-        for path in scratch:
-            delete_path(spark, path)
+    if differences:
+        part_path = scratch_path(spark, f"room_day_partials-{uuid.uuid4().hex}")
+        how = held(enriched, "temperature", "humidity")
+        room_day_partials(enriched, how).write.mode("overwrite").parquet(part_path)
+        partials = spark.read.parquet(part_path)
+        for lv in levels:
+            diff = day_night_diff_from_partials(partials, lv, how)
+            name = f"diff{_TITLE[lv]}"
+            written[name] = write_csv(diff, os.path.join(out_dir, name))
+            if written[name]:
+                mname = f"maxMonth{_TITLE[lv]}"
+                # at most 12 rows, written in month order
+                written[mname] = write_csv(max_month(diff).orderBy("month"),
+                                           os.path.join(out_dir, mname))
+    if moving:
+        # All levels in one pass (humidity is windowed by room for every
+        # level, so it is computed once), written once to the shared folder
+        # and projected per level and horizon.
+        all_path = scratch_path(spark, f"moving_all_levels-{uuid.uuid4().hex}")
+        moving_averages_all_levels(enriched).write.mode("overwrite").parquet(all_path)
+        all_levels = spark.read.parquet(all_path)
+        for lv in levels:
+            view = level_view(all_levels, lv)
+            key = view.columns[0]
+            # moving averages are written even when empty (one row per reading)
+            if split_horizons:
+                for hz, title in _HZ.items():
+                    name = f"movingAverageTemperatureAndHumidity{title}{_TITLE[lv]}"
+                    one = view.select(key, "dateTime", F.col(f"avg_temp_{hz}").alias("avg_temp"),
+                                      F.col(f"avg_hum_{hz}").alias("avg_hum"))
+                    written[name] = write_csv(one, os.path.join(out_dir, name), skip_empty=False)
+            else:
+                name = f"movingAverage{_TITLE[lv]}"
+                written[name] = write_csv(view, os.path.join(out_dir, name), skip_empty=False)
     return written
 
 

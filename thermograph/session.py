@@ -9,6 +9,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -70,9 +74,37 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The folder of this application's written tables, in the shared folder."""
+    return os.path.join(checkpoint_dir(spark), f"scratch-{spark.sparkContext.applicationId}")
+
+
+_RUN: ContextVar[str | None] = ContextVar("scratch_run", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub folder of the shared checkpoint folder for written tables."""
-    return os.path.join(checkpoint_dir(spark), name)
+    """A place for a written table.  Results are read from such tables, so they stay
+    until the end of their :func:`scratch_run`, or :func:`clear_scratch`."""
+    return os.path.join(scratch_root(spark), _RUN.get() or "", name)
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are removed at the end, when the results that read them
+    have been written."""
+    run = f"run-{uuid.uuid4().hex}"
+    before = _RUN.set(run)
+    try:
+        yield
+    finally:
+        _RUN.reset(before)
+        delete_path(spark, os.path.join(scratch_root(spark), run))
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the tables that this application has written between its stages; to be
+    called when its results are written."""
+    delete_path(spark, scratch_root(spark))
 
 
 # Inputs up to this estimated size take the simple plans (one window partition

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from thermograph.operators.actuators import DEFAULT_LIMITS
-from thermograph.session import delete_path
+from thermograph.session import delete_path, scratch_run
 
 
 def _output_schema(key: str, tiebreak: str, ts_type: str, metrics: list[str]) -> str:
@@ -243,6 +243,11 @@ def bucketed_actuator_writer(out_path: str, state_path: str,
     key = "location" if scope == "location" else "_scope"
 
     def write(batch: DataFrame, epoch_id: int) -> None:
+        # Blocks of a large micro-batch are removed when its output is written.
+        with scratch_run(batch.sparkSession):
+            apply(batch, epoch_id)
+
+    def apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         root = state_path.rstrip("/")
         older = [n for n in _epochs(spark, root)[0] if n < epoch_id]
