@@ -68,9 +68,10 @@ def test_minhash_odd_rows(spark, odd_rows):
     assert op11.minhash_components(frame(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("bucket, block", [(3, 6), (8, 4)])
-def test_minhash_large_components(spark, monkeypatch, bucket, block):
-    """Components beyond a tile and keys beyond a bucket lose no link."""
+@pytest.mark.parametrize("bucket, block, edges", [(3, 6, 0), (8, 4, 1 << 19)])
+def test_minhash_large_components(spark, monkeypatch, bucket, block, edges):
+    """Components beyond a tile, keys beyond a bucket and many edges lose no link."""
+    monkeypatch.setattr(op11, "EDGES", edges)
     monkeypatch.setattr(op11, "BUCKET", bucket)
     monkeypatch.setattr(op11, "BLOCK", block)
     rng = random.Random(bucket)
