@@ -39,7 +39,7 @@ def values(kind: str, n: int) -> list:
 
 
 def frame(spark, kind, vs, key=lambda i: i % 3):
-    rows = [(f"A.0.S.{key(i)}", START + dt.timedelta(minutes=7 * (i % 200)), v, v) for i, v in enumerate(vs)]
+    rows = [(f"A.0.S.{key(i)}", START + dt.timedelta(minutes=11 * (i % 200)), v, v) for i, v in enumerate(vs)]
     return spark.createDataFrame(
         rows, f"location string, dateTime timestamp, temperature {kind}, humidity {kind}")
 
@@ -55,7 +55,7 @@ def test_daily_means(spark, kind):
     got = {(r.fullRoomLocation, r.day, r.daily): r.avg_temp for r in daily_means(df).collect()}
     want = {}
     for i, v in enumerate(vs):
-        at = START + dt.timedelta(minutes=7 * (i % 200))
+        at = START + dt.timedelta(minutes=11 * (i % 200))
         want.setdefault((f"A.0.S.{i % 3}", at.date(), 8 <= at.hour < 20), []).append(v)
     for k, vs in want.items():
         vs = [Fraction(v) for v in vs if finite(v)]
@@ -71,7 +71,7 @@ def test_frames_and_partials(spark, kind):
     plain = moving_average(df, "room", "1 hour").collect()
     prefix = moving_average(df, "room", "1 hour", strategy="prefix").collect()
     assert sorted(map(str, plain)) == sorted(map(str, prefix))
-    at = [START + dt.timedelta(minutes=7 * (i % 200)) for i in range(len(vs))]
+    at = [START + dt.timedelta(minutes=11 * (i % 200)) for i in range(len(vs))]
     want = []
     for i in range(len(vs)):
         inside = [Fraction(vs[j]) for j in range(len(vs)) if j % 3 == i % 3 and finite(vs[j])
