@@ -85,4 +85,5 @@ def test_queries_equal_sql(spark, name):
     assert cols == sorted(got.columns)
     a = want[cols].sort_values(cols).reset_index(drop=True)
     b = got[cols].sort_values(cols).reset_index(drop=True)
-    assert a.equals(b)
+    # A column with nulls is floating in one engine's frame and not in the other's.
+    assert a.convert_dtypes().equals(b.convert_dtypes())
