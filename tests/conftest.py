@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
     s = local_session(cores="*", shuffle_partitions=8)
     # Tests only: the shared checkpoint folder is unset locally.
     if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("ckpt")))
+        s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("ckpt")))
     yield s
     s.stop()
 

@@ -61,16 +61,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local fallback is created only when the setting is missing, as in tests.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if not path:
-        master = spark.sparkContext.master or ""
-        if not master.startswith("local"):
+        if not (context.master or "").startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set: name a folder on the "
                                "shared file system (a machine-local folder would be "
                                "lost with its executor)")
-        path = tempfile.mkdtemp(prefix="thermograph-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+        # The setting can't be changed in a running session; the context's folder can.
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="thermograph-ckpt-"))
+        return context.getCheckpointDir()
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(path)
     return path
 
 
