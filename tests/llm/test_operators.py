@@ -5,9 +5,13 @@ from __future__ import annotations
 import hashlib
 import itertools
 import json
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -258,31 +262,105 @@ def test_a_template_recurs_at_every_size(spark):
     names = sorted({"".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8))
                     for _ in range(4200)})
     docs = [(i, f"Posted by user {x} in the general forum of this site") for i, x in enumerate(names)]
-    assert len(docs) > op6.LEAF
     got = rows(op6.dedup_lines(frame(spark, docs)))
     assert [r["doc_id"] for r in got if not r["n_dropped"]] == [0]
 
 
-def test_a_large_leaf_is_dealt_into_parts_without_effect(spark, monkeypatch):
-    rng = random.Random(13)
-    kinds = [prose(rng, 17).split() for _ in range(12)]
+def word_code(w):
+    return int(op6.Lines(pa.array([w], pa.large_string())).word[0])
+
+
+def plain_line_dedup(docs):
+    """What ``dedup_lines`` is to return for the (id, text) of ``docs``, word by word."""
+    space = re.compile("[^ \t\n\x0b\x0c\r]+")
+    code = lambda w: "#" if any(c in "0123456789" for c in w) else w
+    lines = {}
+    for i, text in docs:
+        for line in (text or "").split("\n"):
+            if key := tuple(code(w) for w in space.findall(line)):
+                lines.setdefault(key, set()).add(i)
+    support = Counter()
+    for key, ids in lines.items():
+        for p, w in enumerate(key):
+            support[len(key), key[:3], p, w] += len(ids)
+    usual = {}
+    rank = lambda w: word_code(w if w != "#" else "0")
+    for (n, lead, p, w), k in support.items():
+        usual[n, lead, p] = min(usual.get((n, lead, p), (0, 0, "")), (-k, rank(w), w))
+    kinds = {}
+    for key, ids in lines.items():
+        n, lead = len(key), key[:3]
+        own = [support[n, lead, p, w] for p, w in enumerate(key)]
+        level = sorted(own[3:], reverse=True)[max(1, math.ceil(0.7 * n - 1e-9) - 3) - 1] if n > 3 else 0
+        shape = tuple(usual[n, lead, p][2] if p > 2 and 2 * k <= level else key[p]
+                      for p, k in enumerate(own))
+        kinds.setdefault(shape, []).append((key, ids))
+    first = {}
+    for shape, members in kinds.items():
+        docs_of = [i for _, ids in members for i in ids]
+        if len(docs_of) >= 2 and len(docs_of) * len(shape) >= op6.WEIGHT:
+            first.update((key, min(docs_of)) for key, _ in members)
+    out = []
+    for i, text in docs:
+        left = [line for line in (text or "").split("\n")
+                if first.get(tuple(code(w) for w in space.findall(line)), i) == i]
+        out.append((i, "\n".join(left)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_templates_as_in_plain_python(spark, monkeypatch, seed):
+    rng = random.Random(seed)
+    # Words travel as 16-bit hashes: none of these share one.
+    some = list({word_code(w): w for w in sorted({*prose(rng, 400).split()})}.values())
+    kinds = [rng.choices(some, k=rng.choice([4, 9, 17])) for _ in range(12)]
+    lead = ["one two three", "12 12:00 7"]
     docs = []
-    for i in range(900):
-        w = list(rng.choice(kinds))
-        for _ in range(rng.randint(0, 7)):
-            w[rng.randrange(17)] = rng.choice(rng.choice(kinds))
-        docs.append((i, f"{i} 12:00 {i * 7} " + " ".join(w)))
-    docs += [(1000 + i, rng.choice(docs)[1]) for i in range(300)]
+    for i in range(300):
+        lines = []
+        for _ in range(rng.randint(0, 4)):
+            w = list(rng.choice(kinds))
+            for _ in range(rng.choice([0, 0, 1, 2, 5])):
+                w[rng.randrange(len(w))] = rng.choice([rng.choice(rng.choice(kinds)), rng.choice(some), str(i)])
+            lines.append(rng.choice(lead) + " " + " ".join(w))
+        docs.append((i, "\n".join(lines)))
     df = frame(spark, docs)
-    want = sorted((r.line, r.first) for r in op6.recurring_lines(df).collect())
-    monkeypatch.setattr(op6, "LEAF", 200)
-    assert sorted((r.line, r.first) for r in op6.recurring_lines(df).collect()) == want
-    lines = spark.range(2000).selectExpr("1L leaf", "xxhash64(id) line", "20 size", "1L n_docs",
-                                         "id first", "cast('a' as binary) words")
-    leaves = op6.large_leaves(lines)
-    assert [tuple(r) for r in leaves.collect()] == [(1, 10)]
-    most = op6._dealt(lines, leaves).groupBy("part").count().agg(F.max("count")).first()[0]
-    assert most < 300
+    want = plain_line_dedup(docs)
+    assert want != sorted(docs)
+    done = lambda: sorted((r.doc_id, r.text) for r in op6.dedup_lines(df).collect())
+    assert done() == want
+    # The plan of large leaves, split groups and a small table in the tasks change nothing.
+    for name, value in (("LEAF_WORDS", 100), ("SALT_LINES", 7), ("HELD", 2000)):
+        monkeypatch.setattr(op6, name, value)
+    assert done() == want
+
+
+def test_a_leaf_of_unlike_lines_takes_a_fixed_number_of_jobs(spark, monkeypatch):
+    monkeypatch.setattr(op6, "LEAF_WORDS", 1000)
+    parts = "ab cd ef gh ij kl mn op".split()
+
+    def jobs(n):
+        rng = random.Random(n)
+        lines = spark.createDataFrame(
+            [(i, f"{i} 12:00 {i * 7} " + " ".join("".join(rng.choices(parts, k=6)) for _ in range(8)))
+             for i in range(n)], "doc_id long, text string")
+        spark.sparkContext.setJobGroup(f"lines-{n}", "")
+        assert op6.recurring_lines(lines).count() == 0
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"lines-{n}"))
+    few, many = jobs(500), jobs(20_000)
+    spark.sparkContext.setJobGroup("", "")
+    assert many <= few + 3
+
+
+def test_varying_places_become_variable(spark):
+    """Two words vary at once, and each of their values is frequent."""
+    rng = random.Random(5)
+    who, what = (prose(rng, 40).split() for _ in range(2))
+    docs = [(i, f"the job of user {rng.choice(who)} was put in queue {rng.choice(what)} by the clock")
+            for i in range(3000)]
+    got = rows(op6.dedup_lines(frame(spark, docs)))
+    assert sorted(r["doc_id"] for r in got if not r["n_dropped"])[0] == 0
+    assert sum(not r["n_dropped"] for r in got) == 1
 
 
 # --- 7: tokens

@@ -2,19 +2,20 @@
 
 A line is its words (runs without ASCII white space); a word with a digit is a
 variable field.  The tree has a fixed depth: the number of words, then the
-``DEPTH`` leading words (variables as one).  Lines that reach the same leaf are
-taken most frequent first (then by hash): a line joins, of the templates begun
-before it, the one with most equal words if these are ``SIMILAR`` % or more of
-all (of several, the first); otherwise it begins a template.
-
-That holds at every size.  A leaf of up to ``LEAF`` different lines is done in
-one task.  A larger one is dealt into parts of about ``LEAF`` lines by their
-hash and done in rounds: the first of the lines without a template, at most
-about ``LEAF``, are done in one task; the templates they begin are laid over
-every part.  Where a part ends or a round stops changes no result.  A round
-settles the whole leaf but for lines that are like none of its templates, so a
-leaf of few templates takes few rounds, one of unlike lines only takes as many
-as it has lines by ``LEAF``, and compares them all.
+``DEPTH`` leading words (variables as one).  Within a leaf, a word's support is
+the number of documents whose lines have it at its place.  The level of a line
+is the support that its best supported words reach, ``SIMILAR`` % of all words
+(the leading ones among them).  Words supported by at most half of the level are
+variable fields too, never more than the rest of the words.  A line's template
+is the line with the leaf's best supported word of the place (ties: the smallest
+hash) in each variable field: lines of one template each equal it in
+``SIMILAR`` % of their words or more.
+
+Only ratios of supports count, so a template is found alike at every size, in
+whatever order lines come.  A leaf of up to ``LEAF_WORDS`` words in different
+lines is done in one task.  The words of a larger one are spread: supports are an
+aggregate by (leaf, place, word), joined back, and each line is put together
+again; a fixed number of jobs, with work in proportion to the words.
 
 A template recurs if at least two documents have it and documents times words
 reach ``WEIGHT``: long lines recur from the second document on, short ones need
@@ -33,27 +34,26 @@ Blank lines are kept as they are.  An empty table gives an empty result.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from thermograph.llm._groups import free_name, with_length, written
 from thermograph.llm._text import U64, Words, mix, powers, text_slices
-from thermograph.session import delete_path, scratch_path
 
 DEPTH = 3
 SIMILAR = 70
-LEAF = 4096  # lines of a leaf that a task holds; no result depends on it
+LEAF_WORDS = 1 << 20  # words of a leaf that a task holds; no result depends on it
 WEIGHT = 20
 # Lines to drop up to which they are broadcast to the texts; beyond, a join shuffles.
 BROADCAST_ROWS = 1_000_000
-SALTS = 16  # tasks that share the lines of a template of a large leaf
-HELD = 200_000  # different lines that a task adds up before it sends them on
+SALT_LINES = 1 << 18  # lines of a large leaf that one group of a join may hold
+HELD = 64 << 20  # bytes of different lines that a task adds up before it sends them on
+ROW_BYTES = 300  # what a held line takes beside its words
 
 _DIGIT = np.zeros(256, bool)
 _DIGIT[0x30:0x3A] = True
@@ -115,6 +115,7 @@ def _count(id_type: pa.DataType):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
+        room = HELD
         for batch in batches:
             ids = batch.column("_id").to_pylist()
             for i, _, texts in text_slices(batch.column("_text")):
@@ -126,13 +127,14 @@ def _count(id_type: pa.DataType):
                     got = held.get(line[at])
                     if got is None:
                         held[line[at]] = [leaf[at], size[at], 1, own, lines.words_of(at)]
+                        room -= ROW_BYTES + 2 * size[at]
+                        if room <= 0:
+                            yield rows(held)
+                            held, room = {}, HELD
                     else:
                         got[2] += 1
                         if got[3] is None or own is not None and own < got[3]:
                             got[3] = own
-                if len(held) >= HELD:
-                    yield rows(held)
-                    held = {}
         if held:
             yield rows(held)
     return run
@@ -141,21 +143,24 @@ def _count(id_type: pa.DataType):
 def cluster(words: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Template number of each line of a leaf; ``words``: one row per line."""
     m, size = words.shape
-    out = np.zeros(m, np.int64)
-    shape = np.zeros((min(m, 64), size), np.uint16)
-    n = 0
-    for i in np.argsort(-weight, kind="stable"):
-        if n:
-            equal = (shape[:n] == words[i]).sum(axis=1)
-            best = int(equal.argmax())
-            if 100 * int(equal[best]) >= SIMILAR * size:
-                out[i] = best
-                continue
-        if n == len(shape):
-            shape = np.concatenate((shape, np.zeros_like(shape)))
-        shape[n], out[i] = words[i], n
-        n += 1
-    return out
+    free = size - DEPTH
+    if m == 1 or free <= 0:
+        return np.zeros(m, np.int64)
+    place = (np.arange(free, dtype=np.int64) << 16) + words[:, DEPTH:]
+    found, at = np.unique(place, return_inverse=True)
+    at = at.reshape(m, free)
+    total = np.bincount(at.ravel(), weights=np.repeat(weight, free)).astype(np.int64)
+    support = total[at]
+    level = np.partition(support, free - _held(size), axis=1)[:, free - _held(size)]
+    order = np.lexsort((found, -total, found >> 16))
+    usual = found[order[np.concatenate(([True], np.diff(found[order] >> 16) > 0))]]
+    whole = np.where(2 * support <= level[:, None], usual, place)
+    return np.unique(whole, axis=0, return_inverse=True)[1].reshape(m)
+
+
+def _held(size: int) -> int:
+    """How many of the words after the leading ones set a line's level."""
+    return max(1, -(-SIMILAR * size // 100) - DEPTH)
 
 
 def _leaf(line, size, n_docs, first, words) -> Iterator[tuple[int, object]]:
@@ -200,9 +205,11 @@ def _recurring(id_type: pa.DataType):
 
         def done(tables: list[pa.RecordBatch]) -> pa.RecordBatch:
             t = pa.Table.from_batches(tables).combine_chunks()
-            leaf = t.column("leaf").to_numpy()
+            leaf, size = t.column("leaf").to_numpy(), t.column("size").to_numpy()
             n = t.column("n_docs").to_numpy()
-            begin = np.flatnonzero(np.concatenate(([True], leaf[1:] != leaf[:-1])))
+            # Sizes too: hashes of leaves may collide.
+            begin = np.flatnonzero(np.concatenate(
+                ([True], (leaf[1:] != leaf[:-1]) | (size[1:] != size[:-1]))))
             end = np.append(begin[1:], len(leaf))
             lines, firsts = [], []
             for i, j in zip(begin.tolist(), end.tolist(), strict=True):
@@ -233,99 +240,61 @@ def _recurring(id_type: pa.DataType):
     return run
 
 
-def _matrix(lines: pa.Table) -> np.ndarray:
-    """The words of the lines of a leaf, one row per line."""
-    return np.frombuffer(b"".join(lines.column("words").to_pylist()), np.uint16).reshape(
-        len(lines), -1)
-
-
-def _begin(held: int):
-    """Templates of the first open lines of a leaf, from the first ones (``rank``
-    1, 2, ...) of each part: up to where a part may have more."""
-    def run(lines: pa.Table) -> pa.Table:
-        lines = lines.sort_by([("n_docs", "descending"), ("line", "ascending")])
-        last = max(1, held // lines.column("parts")[0].as_py())
-        cut = np.flatnonzero(lines.column("rank").to_numpy() == last)
-        lines = lines.slice(0, int(cut[0]) + 1 if len(cut) else len(lines)).drop_columns(["rank"])
-        kind = cluster(_matrix(lines), lines.column("n_docs").to_numpy())
-        _, begun = np.unique(kind, return_index=True)
-        lead = lines.column("line").to_numpy()[begun][kind]
-        return lines.append_column("lead", pa.array(lead, pa.int64()))
-    return run
-
-
-def _lay(own: pa.Table, found: pa.Table) -> pa.Table:
-    """The lines of a part, with the templates found in this round."""
-    if not len(own) or not len(found):
-        return own
-    line, n = own.column("line").to_numpy(), own.column("n_docs").to_numpy()
-    best = own.column("best").to_numpy().copy()
-    open_ = own.column("lead").combine_chunks().is_null().to_numpy(zero_copy_only=False)
-    lead = own.column("lead").combine_chunks().fill_null(0).to_numpy().copy()
-    words = _matrix(own)
-    size = words.shape[1]
-    found = found.sort_by([("n_docs", "descending"), ("line", "ascending")])
-    at, to = found.column("line").to_numpy(), found.column("lead").to_numpy()
-    begun = np.flatnonzero(at == to)
-    shapes = _matrix(found.take(pa.array(begun)))
-    for shape, t, w in zip(shapes, at[begun], found.column("n_docs").to_numpy()[begun], strict=True):
-        equal = (words == shape).sum(axis=1)
-        joins = ((w > n) | (w == n) & (t < line)) & (100 * equal >= SIMILAR * size) & (equal > best)
-        best[joins], lead[joins] = equal[joins], t
-        open_ &= ~joins
-    # The lines of the round are settled: later templates come after them.
-    order = np.argsort(line)
-    place = np.minimum(np.searchsorted(line, at, sorter=order), len(line) - 1)
-    mine = line[order[place]] == at
-    place = order[place[mine]]
-    best[place], lead[place], open_[place] = size, to[mine], False
-    for name, array in (("best", pa.array(best, pa.int32())),
-                        ("lead", pa.array(lead, pa.int64(), mask=open_))):
-        own = own.set_column(own.schema.get_field_index(name), name, array)
-    return own
-
-
-def _dealt(lines: DataFrame, leaves: DataFrame) -> DataFrame:
-    """The lines of ``leaves`` (leaf, parts), dealt into parts; none has a template."""
-    return lines.join(F.broadcast(leaves), "leaf").select(
-        "leaf", "parts", F.pmod("line", "parts").alias("part"), "line", "size", "n_docs",
-        "first", "words", F.lit(0).alias("best"), F.lit(None).cast("long").alias("lead"))
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per word after the leading ones: place (position and word)."""
+    for batch in batches:
+        if not len(batch):
+            continue
+        size = batch.column("size").to_numpy()
+        # About a million words at a time: a batch may hold very long lines.
+        edge = np.searchsorted(np.cumsum(size), np.arange(0, int(size.sum()) + (1 << 20), 1 << 20))
+        for i, j in zip(edge[:-1].tolist(), [*edge[1:-1].tolist(), len(size)], strict=True):
+            if i == j:
+                continue
+            part, n = batch.slice(i, j - i), size[i:j]
+            word = np.frombuffer(b"".join(part.column("words").to_pylist()), np.uint16)
+            inside = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)
+            keep = inside >= DEPTH
+            row = pa.array(np.repeat(np.arange(len(n)), n)[keep])
+            place = (inside[keep].astype(np.int64) << 16) + word[keep]
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(c).take(row) for c in ("leaf", "salts", "line", "n_docs", "size")),
+                 pa.array(place)], ["leaf", "salts", "line", "n_docs", "size", "place"])
 
 
 def _large(lines: DataFrame, leaves: DataFrame) -> DataFrame:
-    """(line, first) for the lines of recurring templates of large leaves."""
+    """(line, first) for the lines of recurring templates of large leaves: what
+    ``cluster`` does, with the words as rows."""
     spark = lines.sparkSession
-    folder = scratch_path(spark, f"op6-large-{uuid.uuid4().hex}")
-
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
-
-    k = 0
-    state = kept(_dealt(lines, leaves), "0")
-    while not (left := state.where("lead is null")).isEmpty():
-        k += 1
-        per_part = F.greatest(F.lit(1), F.floor(F.lit(LEAF) / F.col("parts")))
-        rank = F.row_number().over(Window.partitionBy("leaf", "part").orderBy(F.desc("n_docs"), "line"))
-        first = left.select("leaf", "parts", "line", "n_docs", "words", rank.alias("rank")).where(
-            F.col("rank") <= per_part)
-        found = kept(first.groupBy("leaf").applyInArrow(
-            _begin(LEAF), "leaf long, parts long, line long, n_docs long, words binary, lead long"),
-            f"found-{k}")
-        everywhere = found.where("line = lead").withColumn(
-            "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-        sent = everywhere.unionByName(
-            found.where("line <> lead").withColumn("part", F.pmod("line", "parts")))
-        state = kept(state.groupBy("leaf", "part").cogroup(sent.groupBy("leaf", "part"))
-                     .applyInArrow(_lay, state.schema), str(k))
-        delete_path(spark, f"{folder}/{k - 1}")
-        delete_path(spark, f"{folder}/found-{k}")
-    kinds = state.groupBy("lead").agg(
-        F.sum("n_docs").alias("docs"), F.min("first").alias("first"), F.max("size").alias("size"))
+    own = written(spark, lines.join(leaves, "leaf"), "op6-large")
+    places = written(spark, own.select("leaf", "salts", "line", "n_docs", "size", "words").mapInArrow(
+        _places, "leaf long, salts long, line long, n_docs long, size int, place long"), "op6-places")
+    support = places.groupBy("leaf", "place").agg(
+        F.sum("n_docs").alias("support"), F.max("salts").alias("salts"))
+    position = F.shiftright("place", 16)
+    usual = support.groupBy("leaf", position.alias("position")).agg(
+        (-F.max(F.struct("support", (-F.col("place")).alias("low")))["low"]).alias("usual"))
+    known = support.withColumn("position", position).join(usual, ["leaf", "position"]).select(
+        "leaf", "place", "support", "usual",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
+    held = F.greatest(F.lit(1), F.ceil(F.col("size") * SIMILAR / 100).cast("int") - DEPTH)
+    shapes = places.withColumn("salt", F.pmod("line", "salts")).join(
+        known, ["leaf", "place", "salt"]).groupBy("leaf", "line", "size").agg(
+        F.sort_array(F.collect_list(F.struct("place", "support", "usual"))).alias("row"))
+    level = F.element_at(F.sort_array(F.col("row.support"), asc=False), held)
+    shapes = shapes.withColumn("level", level).select("leaf", "line", F.xxhash64(F.transform(
+        "row", lambda x: F.when(2 * x["support"] <= F.col("level"), x["usual"]).otherwise(x["place"])
+    )).alias("shape"))
+    state = written(spark, own.select("leaf", "salts", "line", "size", "n_docs", "first").join(
+        shapes, ["leaf", "line"]), "op6-shapes")
+    kinds = state.groupBy("leaf", "shape").agg(
+        F.sum("n_docs").alias("docs"), F.min("first").alias("first"), F.max("size").alias("size"),
+        F.max("salts").alias("salts"))
     kinds = kinds.where(f"docs >= 2 and docs * size >= {WEIGHT}").select(
-        "lead", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    return state.select("line", "lead", F.pmod("line", F.lit(SALTS)).cast("int").alias("salt")).join(
-        kinds, ["lead", "salt"]).select("line", "first")
+        "leaf", "shape", "first",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
+    return state.select("leaf", "line", "shape", F.pmod("line", "salts").alias("salt")).join(
+        kinds, ["leaf", "shape", "salt"]).select("line", "first")
 
 
 def _doc_lines(id_type: pa.DataType):
@@ -393,17 +362,20 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lines = written(docs.sparkSession, counted.groupBy("leaf", "line", "size", "words").agg(
         F.sum("n_docs").alias("n_docs"), F.min("first").alias("first")), "op6-counted")
     leaves = written(docs.sparkSession, large_leaves(lines), "op6-leaves")
-    large = not leaves.isEmpty()
-    small = lines.join(F.broadcast(leaves), "leaf", "left_anti") if large else lines
-    out = (small.select(*counted.columns).repartition("leaf").sortWithinPartitions("leaf")
+    n = leaves.count()
+    known = F.broadcast(leaves) if n <= BROADCAST_ROWS else leaves
+    small = lines.join(known, "leaf", "left_anti") if n else lines
+    out = (small.select(*counted.columns).repartition("leaf").sortWithinPartitions("leaf", "size")
            .mapInArrow(_recurring(arrow), f"line long, first {name}"))
-    return out.unionByName(_large(lines, leaves)) if large else out
+    return out.unionByName(_large(lines, known)) if n else out
 
 
 def large_leaves(lines: DataFrame) -> DataFrame:
-    """(leaf, parts) of the leaves of over ``LEAF`` different lines."""
-    return lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("m")).where(f"m > {LEAF}").select(
-        "leaf", F.ceil(F.col("m") / LEAF).cast("long").alias("parts"))
+    """(leaf, salts) of the leaves of over ``LEAF_WORDS`` words in different lines."""
+    return lines.groupBy("leaf").agg(
+        F.count(F.lit(1)).alias("m"), F.sum("size").alias("words")).where(
+        f"m > 1 and words > {LEAF_WORDS}").select(
+        "leaf", F.ceil(F.col("m") / SALT_LINES).cast("long").alias("salts"))
 
 
 def _marked(docs: DataFrame, id_col: str, text_col: str, column: str) -> DataFrame:
