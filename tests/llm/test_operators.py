@@ -65,6 +65,108 @@ def test_battery_has_power_and_few_false_alarms():
     assert sum(bool(op1.random_spans(x)) for x in names) <= 5
 
 
+@pytest.mark.parametrize("alphabet", ["low", "up", "letters", "HEX", "base32", "base36", "BASE36", "base64"])
+def test_battery_finds_tokens_of_every_alphabet(alphabet):
+    rng = random.Random(alphabet)
+    a = op1.ALPHABETS[alphabet]
+    tokens = ["".join(rng.choice(a) for _ in range(n)) for n in (32, 40) for _ in range(400)]
+    hits = [bool(op1.random_spans(t)) for t in tokens]
+    assert sum(hits[:400]) >= 360 and sum(hits[400:]) >= 380
+
+
+def test_names_and_long_words_are_no_secrets():
+    rng = random.Random(6)
+    usual = ("session window manager factory abstract connection pool handler default index query size value "
+             "next buffer result list name user data table process service client request response with for "
+             "Verordnung internationale information ministerstwo nacional administration").split()
+    # Every other one has a letter that is rare in words.
+    rare = "jump quick fix exact zone box key json schiff und kraft Maximum Geschwindigkeit size".split()
+    for words, share in ((usual, 0.01), (usual + rare, 0.05)):
+        for join in ("", "_", "-", "/"):
+            for case in (str, str.title, str.upper):
+                names = [join.join(case(w) for w in rng.choices(words, k=rng.randint(4, 7)))
+                         for _ in range(400)]
+                hits = sum(bool(op1.random_spans(x)) for x in names)
+                assert hits <= share * len(names) * (not join), (join, case, hits)
+    for x in ("donaudampfschifffahrtsgesellschaft", "rindfleischetikettierungsgesetz", "x" * 5000,
+              "incomprehensibilities", "antidisestablishmentarianism", "aaaaaaaaaabbbbbbbbbbcccccccccc"):
+        assert not op1.random_spans(x), x
+
+
+def plain_base_spans(text):
+    """The fixed patterns, matched place by place."""
+    value = set(op1.DIGITS + op1.LOW + op1.LOW.upper() + "+/_.=-")
+    upper, hexa = set(op1.DIGITS + op1.LOW.upper()), set(op1.DIGITS + "abcdef")
+    fold = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    run = lambda at, chars: next((k for k in range(at, len(text)) if text[k] not in chars), len(text))
+
+    def assign(at):
+        for word in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if fold.startswith(word, at):
+                k = at + len(word)
+                k += text[k:k + 1] in ("'", '"')
+                k = run(k, " ")
+                if text[k:k + 1] in ("=", ":") and k < len(text):
+                    v = run(k + 1, " ")
+                    v += text[v:v + 1] in ("'", '"')
+                    v = run(v, " ")
+                    # "=" is also a character of values; nothing else can be given back.
+                    end = run(v, value)
+                    if end > v:
+                        return end, end - v >= 12
+        return None
+
+    def access(at):
+        if text.startswith("AKIA", at) and (end := run(at + 4, upper)) > at + 4:
+            return end, end - at >= 18
+        return None
+
+    def hexes(at):
+        end = run(at, hexa)
+        return (end, end - at >= 16) if end > at else None
+    out = []
+    for kind, match in (("assign", assign), ("access", access), ("hex", hexes)):
+        at = 0
+        while at < len(text):
+            got = match(at)
+            if got and got[1]:
+                out.append((kind, at, got[0]))
+            at = got[0] if got else at + 1
+    return sorted(out, key=lambda x: (x[1], op1.KINDS.index(x[0])))
+
+
+def test_fixed_patterns_place_by_place(spark):
+    rng = random.Random(8)
+    bits = ["password", "PassWd", "secret", "token", "api_key", "APIkey", "AKIA", "=", ":", " ", '"', "'",
+            "Q7ZP2M4X8K1J5H", "0123456789abcdef", "abcdefghijkl", "short", "é", "\n", "deadbeef", ".", "ſ"]
+    docs = [(i, "".join(rng.choices(bits, k=rng.randint(0, 40)))) for i in range(1500)]
+    got = {r.doc_id: [(x.kind, x.start, x.end) for x in r.spans if x.kind != "random"]
+           for r in op1.secret_spans(frame(spark, docs)).collect()}
+    assert got == {i: plain_base_spans(t) for i, t in docs}
+
+
+def test_tails_and_false_discovery_control():
+    for n, p in ((20, 0.2), (60, 0.52)):
+        for k in range(n + 1):
+            exact = sum(math.comb(n, i) * p ** i * (1 - p) ** (n - i) for i in range(k, n + 1))
+            got = op1.binomial_tail(k, n, p)
+            assert abs(got - exact) < 1e-9 or k <= n * p and got == 1.0
+    for df, x, tail in ((3, 7.815, 0.05), (3, 16.266, 0.001), (7, 14.067, 0.05), (10, 29.588, 0.001)):
+        assert abs(op1.chi2_tail(x, df) / tail - 1) < 0.2
+    # Each discovery has as many others as its own p-value needs.
+    rng = random.Random(4)
+    runs = ["".join(rng.choice(op1.ALPHABETS["base36"]) for _ in range(rng.randint(20, 30))) for _ in range(30)]
+    text = " ".join(runs)
+    found = {text[s:e] for s, e in op1.random_spans(text)}
+    known = [(r, op1.text_p(r), op1.encoding(r)) for r in runs if op1.encoding(r)]
+    mean = sum(len(r) for r, _, _ in known) / len(known)
+    q = {r: p * mean / len(r) for r, p, _ in known}
+    ok = [k for k in range(1, len(q) + 1) if sum(v <= op1.FDR * k / len(q) for v in q.values()) >= k]
+    limit = op1.FDR * max(ok, default=0) / len(q)
+    assert found == {r for r, _, a in known
+                     if q[r] <= limit and op1.uniform_p(r, op1.ALPHABETS[a]) >= op1.REJECT / 3}
+
+
 # --- 2: pages
 
 def test_pages(spark):

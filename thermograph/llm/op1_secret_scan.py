@@ -5,17 +5,20 @@ Patterns (leftmost, non-overlapping per kind): ``assign``, a key word, ``=`` or
 characters in all; ``hex``, 16 or more lower-case hexadecimal digits.
 
 The battery takes every maximal run of ``A-Za-z0-9+/_-`` of 20 or more
-characters that has a digit and infers its encoding: the smallest of
-hexadecimal, base 32, base 36 and base 64 whose alphabet holds it.
+characters that has digits and letters, or letters alone, and infers its
+encoding: the smallest of the letters of one case, of both, hexadecimal, base
+32, base 36 and base 64 whose alphabet holds it.
 
 * *Is it uniform?*  Chi-squared over bins of the alphabet (5 or more characters
   expected in each), a runs test about the middle of the alphabet and the lag-1
   serial correlation.  A run that is rejected by one of them at
   ``REJECT / 3`` is no secret.
 * *Could it be text?*  Chi-squared against the shares of common letters, other
-  letters, digits and signs in identifiers, and the number of changes between
-  character classes against a binomial that changes as seldom as names do;
-  both p-values are combined by Fisher's method.  They fall with the length.
+  letters, digits and signs in identifiers; the number of changes between
+  character classes against a binomial that changes as seldom as names do; the
+  number of neighbouring letters that words often put side by side against a
+  binomial with the share that names have.  The p-values are combined by
+  Fisher's method.  They fall with the length.
 * *False discoveries.*  Benjamini-Hochberg over the runs of a document at
   ``FDR``, each p-value divided by a weight in proportion to the run's length,
   as long runs carry more evidence; weights average one.
@@ -51,6 +54,7 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}")
+CAPITAL = re.compile("(?:^|(?<=[ld]))u(?=l)")
 KINDS = ("assign", "access", "hex", "random")
 WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
@@ -60,6 +64,7 @@ MIN_RUN = 20
 DIGITS = "0123456789"
 LOW = "abcdefghijklmnopqrstuvwxyz"
 ALPHABETS = {
+    "low": LOW, "up": LOW.upper(), "letters": LOW.upper() + LOW,
     "hex": DIGITS + "abcdef", "HEX": DIGITS + "ABCDEF", "base32": LOW.upper() + "234567",
     "base36": DIGITS + LOW, "BASE36": DIGITS + LOW.upper(),
     "base64": LOW.upper() + LOW + DIGITS + "+/-_",
@@ -69,6 +74,13 @@ COMMON = frozenset("etaoinsrhlETAOINSRHL")
 # how often neighbours there differ in class.
 TEXT_SHARES = (0.60, 0.23, 0.11, 0.06)
 TEXT_CHANGE = 0.2
+# Pairs of letters that are frequent in words of European
+# languages, and the least share of such pairs in names.
+PAIRS = frozenset(
+    "al am an ar as at be ca ce ch co ct de di do ea ed el en er es et ge ha he ic ie il in io is "
+    "it la le li lo ma me na nd ne ng no ns nt om on or ou pe po pr ra re ri ro rt sa se si so ss "
+    "st ta te th ti to tr un ur us ut ve vi".split())
+TEXT_PAIRS = 0.48
 
 
 def normal_tail(z: float) -> float:
@@ -100,9 +112,10 @@ def binomial_tail(k: int, n: int, p: float) -> float:
 
 
 def encoding(run: str) -> str | None:
-    """The smallest alphabet that holds all characters of ``run``."""
+    """The smallest alphabet that holds all characters of ``run``; none for runs
+    of digits, and of words joined by signs alone."""
     used = set(run)
-    if not used & set(DIGITS) or not used - set(DIGITS):
+    if not used - set(DIGITS) or not used & set(DIGITS) and not run.isalpha():
         return None
     return next((name for name, a in ALPHABETS.items() if used <= set(a)), None)
 
@@ -134,7 +147,7 @@ def uniform_p(run: str, alphabet: str) -> float:
 
 
 def text_p(run: str) -> float:
-    """Fisher's combination of the two tests against text."""
+    """Fisher's combination of the tests against text."""
     n = len(run)
     kind = ["c" if c in COMMON else "o" if c.isalpha() else "d" if c.isdigit() else "s"
             for c in run]
@@ -143,10 +156,15 @@ def text_p(run: str) -> float:
     # Signs join the words of a name, so they aren't a class of their own here.
     case = ["u" if c.isupper() else "l" if c.islower() else "d" for c in run if c.isalnum()]
     changes = sum(a != b for a, b in zip(case[1:], case, strict=False))
-    a = max(chi2_tail(x, len(TEXT_SHARES) - 1), 1e-300)
-    b = max(binomial_tail(changes, max(len(case) - 1, 0), TEXT_CHANGE), 1e-300)
-    both = a * b
-    return min(1.0, both * (1 - math.log(both)))
+    # A capital that begins a lower-case word is one change, not two.
+    changes -= len(CAPITAL.findall("".join(case)))
+    low = run.lower()
+    pairs = [x + y in PAIRS for x, y in zip(low, low[1:], strict=False) if x.isalpha() and y.isalpha()]
+    tails = (chi2_tail(x, len(TEXT_SHARES) - 1),
+             binomial_tail(changes, max(len(case) - 1, 0), TEXT_CHANGE),
+             binomial_tail(len(pairs) - sum(pairs), len(pairs), 1 - TEXT_PAIRS))
+    log = -sum(math.log(max(p, 1e-100)) for p in tails)
+    return min(1.0, math.exp(-log) * sum(log ** i / math.factorial(i) for i in range(len(tails))))
 
 
 def random_spans(text: str) -> list[tuple[int, int]]:
@@ -225,12 +243,7 @@ def suspects(texts: pa.Array) -> np.ndarray:
         at.append(k)
         k = flat.find(b"AKIA", k + 1)
     at += _long_runs(_HEX[raw], off, 16).tolist()
-    digits = np.concatenate(([0], np.cumsum((raw >= 0x30) & (raw <= 0x39))))
-    runs = _long_runs(_RUN[raw], off, MIN_RUN)
-    if len(runs):
-        stop = np.concatenate((np.flatnonzero(~_RUN[raw]), [len(raw)]))
-        end = stop[np.searchsorted(stop, runs)]
-        at += runs[digits[end] > digits[runs]].tolist()
+    at += _long_runs(_RUN[raw], off, MIN_RUN).tolist()
     return np.unique(np.searchsorted(off, np.array(at, np.int64), side="right") - 1)
 
 
