@@ -319,6 +319,81 @@ def test_runs_that_two_pages_share_go(spark):
     assert got == {1: "first says this", 2: "another tells that", 3: menu}
 
 
+def shared_prefix(streams, host, at, run, min_pages):
+    """By brute force: tokens of the longest prefix of host's stream ``at`` that
+    ``min_pages`` pages of the host have (0: fewer than ``run``)."""
+    def pages(tokens):
+        n = len(tokens)
+        return sum(p for h, s, p in streams if h == host and (
+            s == tokens if n < run else any(s[i:i + n] == tokens for i in range(len(s) - n + 1))))
+    for n in range(len(at), min(run, len(at)) - 1, -1):
+        if n and pages(at[:n]) >= min_pages:
+            return n
+    return 0
+
+
+def test_longest_repeats_of_a_host_by_brute_force(spark):
+    from thermograph.llm import op2_html_extract as op2
+    rng, run, seen, streams = random.Random(7), 3, set(), []
+    menu = [rng.choice("abcd") for _ in range(23)]
+    for i in range(60):
+        s = [rng.choice("abcd") for _ in range(rng.choice((0, 1, 2, 5, 9)))]
+        s = s + menu[:rng.randint(0, 23)] + s if i % 3 else s + ["a"] * rng.randint(0, 12)
+        host = rng.choice("gh")
+        if s and (host, *s) not in seen:
+            seen.add((host, *s))
+            streams.append((host, s, rng.choice((1, 1, 2))))
+    df = spark.createDataFrame([(i, h, p, " ".join(s)) for i, (h, s, p) in enumerate(streams)],
+                               "_sid long, _host string, _pages long, _stream string")
+    for min_pages in (2, 3):
+        got = {}
+        for r in op2.longest_repeats(df, run, min_pages, depth=4).collect():
+            got.setdefault(r._sid, {})[r.position] = r.length
+        for i, (h, s, _) in enumerate(streams):
+            # A stream shorter than the run is one suffix, the whole.
+            want = {j: shared_prefix(streams, h, s[j:], run, min_pages)
+                    for j in range(max(1, len(s) - run + 1))}
+            mine = got.get(i, {})
+            assert all(want[j] == n for j, n in mine.items())
+            assert max(mine.values(), default=0) == max(want.values())
+            for repeats in (want, mine):
+                repeats["all"] = {j + k for j, n in repeats.items() for k in range(n)}
+            assert mine["all"] == want["all"]
+
+
+def test_neighbours_in_a_shard_whatever_is_held():
+    from thermograph.llm import op2_html_extract as op2
+    rng = random.Random(3)
+    rows = sorted((rng.randint(0, 3), b"".join(rng.choice((b"a", b"b")) * 8 for _ in range(rng.randint(1, 6))),
+                   rng.randint(0, 5), 1) for _ in range(300))
+    for min_pages in (1, 2, 4):
+        s = op2.Shards(min_pages, 10_000)
+        want = [*(x for r in rows for x in s.add(r)), *s.finish()]
+        for (shard, key, _, _), n in want:
+            full = [k for k in range(len(key) // 8 + 1) if len(
+                {r[2] for r in rows if r[0] == shard and r[1][:8 * k] == key[:8 * k]}) >= min_pages]
+            assert n == max(full, default=0)
+        for held in (1, 7):
+            s = op2.Shards(min_pages, held)
+            assert [*(x for r in rows for x in s.add(r)), *s.finish()] == want
+
+
+def test_pages_tell_their_longest_repeat(spark):
+    from thermograph.llm import op2_html_extract as op2
+    menu, more = "one two three four five six seven eight nine", "ten eleven twelve"
+    pages = spark.createDataFrame(
+        [(1, "http://h.example/a", f"<div>{menu} {more}</div><div>first says this</div>"),
+         (2, "http://h.example/b", f"<div>{menu} {more}</div><div>another tells that</div>"),
+         (3, "http://h.example/c", f"<div>{menu}</div><div>and a third one</div>"),
+         (4, "http://h.example/d", f"<nav>{menu} {more}</nav><article>{menu} is the article</article>"),
+         (5, "http://g.example/a", f"<div>{menu}</div>"), (6, "http://h.example/e", None)],
+        "page_id long, url string, html string")
+    got = {r.page_id: (r.text, r.n_repeated, r.longest_repeat) for r in op2.extract(pages).collect()}
+    assert got == {1: ("first says this", 12, 12), 2: ("another tells that", 12, 12),
+                   3: ("and a third one", 9, 9), 4: (f"{menu} is the article", 0, 12),
+                   5: (menu, 0, 0), 6: ("", 0, 0)}
+
+
 def test_many_spans_in_one_text():
     import time
 
