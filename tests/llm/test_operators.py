@@ -11,11 +11,13 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.odd_tables import frame, odd_rows, prose  # noqa: F401
+from thermograph.llm._text import Words, shingle_sets
 from thermograph.llm import (op1_secret_scan as op1, op2_html_extract as op2,
                              op3_jaccard_join as op3, op4_quality_rules as op4,
                              op5_chat_format as op5, op6_line_dedup as op6, op7_bpe as op7,
@@ -252,6 +254,56 @@ def test_components_of_odd_rows(spark, odd_rows):
     assert op3.jaccard_components(empty).count() == 0 == op3.one_of_each(empty).count()
 
 
+def test_a_common_passage_makes_no_candidates(spark, monkeypatch):
+    # A document that is little else than a passage looks at the passage's keys; those
+    # that only contain it can link with nothing, and aren't brought together there.
+    rng, rows_of = random.Random(6), {}
+    words = [f"w{i}" for i in range(20_000)]
+    passage = [rng.choice(words) for _ in range(36)]
+    docs = [(i, " ".join(passage + [rng.choice(words) for _ in range(20)])) for i in range(60)]
+    docs += [(90, " ".join([*passage, "x"])), (91, " ".join([*passage, "y"])), (92, docs[3][1] + " z")]
+    keep = op3.written
+
+    def written(spark, df, name):
+        out = keep(spark, df, name)
+        rows_of[name] = out.count()
+        return out
+    monkeypatch.setattr(op3, "written", written)
+    monkeypatch.setattr(op3, "BROADCAST_ROWS", 2)  # tiles are broadcast in turns
+    got = rows(op3.jaccard_components(frame(spark, docs)))
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_components(docs)
+    assert rows_of["op3-members"] == 4
+
+
+def test_keys_are_packed_whole():
+    rng = np.random.default_rng(2)
+    for n, buckets in ((1, 1), (5000, 1), (5000, 7)):
+        key = rng.integers(0, 2**64, n, np.uint64)
+        key[n // 2:] = key[:n - n // 2]  # keys of two sets
+        tag = rng.integers(0, 2**32, n).astype(np.uint32)
+        got = sorted((b, x) for b, keys, tags in op3.pack(key, tag, buckets)
+                     for x in op3.unpack(keys, tags).tolist())
+        assert got == sorted((int(k >> 32) * buckets >> 32, (int(k) & 0xFFFFFFFF) << 32 | int(t))
+                             for k, t in zip(key.tolist(), tag.tolist(), strict=True))
+
+
+def test_sets_whose_ids_agree_in_the_bits_that_travel(spark):
+    rng = random.Random(9)
+    base, seen, pair = prose(rng, 60).split(), {}, None
+    for _ in range(30):
+        texts = [" ".join([*base, f"a{rng.getrandbits(60)}"]) for _ in range(10_000)]
+        row, value = shingle_sets(Words(pa.array(texts, pa.large_string()), lower=True), len(texts), 5)
+        for t, s in zip(texts, op3.set_ids(row, value, len(texts))[1].tolist(), strict=True):
+            if (other := seen.setdefault(s >> 33, t)) != t:
+                pair = other, t
+        if pair:
+            break
+    docs = [(1, pair[0]), (2, pair[1])]
+    assert brute_components(docs)[1][2] == 1
+    got = rows(op3.jaccard_components(frame(spark, docs)))
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_components(docs)
+
+
 # --- 4: quality
 
 def test_quality(spark, odd_rows):
