@@ -405,3 +405,22 @@ def test_many_spans_in_one_text():
     template = max(range(len(index.words)), key=lambda t: -len(index.words[t]))
     kept = op8.scan(list(index.words[template]) * 3, [], index)
     assert kept == [] and time.perf_counter() - begun < 30
+
+
+def test_articles_go_through_the_array(spark):
+    from thermograph.llm import op2_html_extract as op2
+    line = "this line of ten words is in two articles here"
+    pages = spark.createDataFrame(
+        [(1, "http://h.example/a", f"<nav>a b c</nav><article><p>first</p><p>{line} and</p></article>"),
+         (2, "http://h.example/b", f"<main><p>{line}</p> but</main>"),
+         (3, "http://h.example/c", "<article>none of them</article>"),
+         (4, "http://h.example/d", f"<div>{line}</div>"),  # as in articles: no menu
+         (5, "http://g.example/a", f"<article>{line}</article>"),
+         (6, "http://f.example/a", f"<article>{line}</article>"), (6, "http://f.example/a", f"<article>{line}</article>"),
+         (7, "http://e.example/a", "<article>short one</article>"), (8, "http://e.example/b", "<article>short one</article>")],
+        "page_id long, url string, html string")
+    got = sorted((r.page_id, r.text, r.n_repeated, r.longest_repeat, r.article_repeat)
+                 for r in op2.extract(pages).collect())
+    assert got == [(1, f"first {line} and", 0, 0, 10), (2, f"{line} but", 0, 0, 10), (3, "none of them", 0, 0, 0),
+                   (4, line, 0, 0, 0), (5, line, 0, 0, 0), (6, line, 0, 0, 0), (6, line, 0, 0, 0),
+                   (7, "short one", 0, 0, 2), (8, "short one", 0, 0, 2)]
